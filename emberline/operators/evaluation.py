@@ -76,8 +76,8 @@ def macro_metrics(cm: DataFrame, labels: Sequence[str] | None = None) -> DataFra
 
 def true_prob(actual: str, probs_col: str):
     """Probability given to the actual label, from a (label, prob) array."""
-    hit = F.filter(F.col(probs_col), lambda s: s["label"] == F.col(actual))
-    return F.coalesce(F.try_element_at(hit, F.lit(1))["prob"], F.lit(0.0))
+    from .model import prob_of
+    return prob_of(probs_col, F.col(actual))
 
 
 def log_loss(df: DataFrame, actual: str, probs_col: str) -> DataFrame:

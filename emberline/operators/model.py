@@ -125,7 +125,8 @@ def predict(model: LinearModel, df: DataFrame, label_col: str | None = None,
     for i in range(k):
         total = F.col(_tmp("e", i)) if total is None else total + F.col(_tmp("e", i))
     scored = scored.withColumn("__s", total)
-    probs = [F.col(_tmp("e", i)) / F.col("__s") for i in range(k)]
+    scored = scored.withColumns({_tmp("p", i): F.col(_tmp("e", i)) / F.col("__s") for i in range(k)})
+    probs = [F.col(_tmp("p", i)) for i in range(k)]
     # argmax over logits (exact, no exp), first class in ascending order wins ties
     pred = None
     for i in range(k):
@@ -136,24 +137,54 @@ def predict(model: LinearModel, df: DataFrame, label_col: str | None = None,
         pred = F.when(cond, F.lit(model.classes[i])) if pred is None else pred.when(
             cond, F.lit(model.classes[i]))
     pred = pred.otherwise(F.lit(model.classes[0]))
-    arr = F.array(*[F.struct(F.lit(c).alias("label"), p.alias("prob"))
-                    for c, p in zip(model.classes, probs)])
-    arr = F.array_sort(arr, lambda a, b: F.when(a["prob"] > b["prob"], F.lit(-1))
-                       .when(a["prob"] < b["prob"], F.lit(1))
-                       .when(a["label"] < b["label"], F.lit(-1))
-                       .when(a["label"] > b["label"], F.lit(1))
-                       .otherwise(F.lit(0)))
+    arr = sorted_probs(model.classes, [F.col(_tmp("p", i)) for i in range(k)])
     extra = {label_col: pred, probs_col: arr}
     if prob_columns:
         for c, p in zip(model.classes, probs):
             extra[f"prob_{c}"] = p
+    # materialise the probabilities once, then build the array from columns
     return scored.withColumns(extra).select(*out_cols, *extra.keys())
 
 
-def prob_of(probs_col: str, label: str) -> Column:
-    """Probability of ``label`` looked up by name in a (label, prob) array."""
-    hit = F.filter(F.col(probs_col), lambda s: s["label"] == F.lit(label))
-    return F.coalesce(F.try_element_at(hit, F.lit(1))["prob"], F.lit(0.0))
+# Above this many classes the array is sorted with a comparator (a lambda,
+# evaluated outside whole-stage codegen); below it the order is spelled out
+# with comparisons that compile into the generated code.
+CODEGEN_SORT_MAX_CLASSES = 8
+
+
+def sorted_probs(classes: list[str], probs: list[Column]) -> Column:
+    """array<struct<label, prob>> ordered by prob descending, label ascending."""
+    k = len(classes)
+    items = [F.struct(F.lit(c).alias("label"), p.alias("prob")) for c, p in zip(classes, probs)]
+    if k > CODEGEN_SORT_MAX_CLASSES:
+        return F.array_sort(F.array(*items), lambda a, b: F.when(a["prob"] > b["prob"], F.lit(-1))
+                            .when(a["prob"] < b["prob"], F.lit(1))
+                            .when(a["label"] < b["label"], F.lit(-1))
+                            .when(a["label"] > b["label"], F.lit(1))
+                            .otherwise(F.lit(0)))
+    # position of class i = number of classes ranked before it
+    pos = []
+    for i in range(k):
+        ahead = F.lit(0)
+        for j in range(k):
+            if j == i:
+                continue
+            before = (probs[j] > probs[i]) | ((probs[j] == probs[i]) & F.lit(classes[j] < classes[i]))
+            ahead = ahead + F.when(before, F.lit(1)).otherwise(F.lit(0))
+        pos.append(ahead)
+    slots = []
+    for p in range(k):
+        slot = None
+        for i in range(k):
+            slot = F.when(pos[i] == p, items[i]) if slot is None else slot.when(pos[i] == p, items[i])
+        slots.append(slot)
+    return F.array(*slots)
+
+
+def prob_of(probs_col: str, label) -> Column:
+    """Probability of ``label`` (a name or a column) from a (label, prob) array; 0 if absent."""
+    key = F.lit(label) if isinstance(label, str) else label
+    return F.coalesce(F.try_element_at(F.map_from_entries(F.col(probs_col)), key), F.lit(0.0))
 
 
 def first_of(probs_col: str, field_name: str) -> Column:

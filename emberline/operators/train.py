@@ -14,6 +14,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +36,9 @@ class TrainConfig:
     l2: float = RV.L2_REG
     penalize_intercept: bool = False
     name: str = RV.DEFAULT_MODEL_NAME
+    # "arrow": per-partition numpy matrix products on Arrow batches (default);
+    # "sql": one SQL aggregate of k*(d+1) sums, fully JVM-side
+    engine: str = "arrow"
 
 
 # ---------------------------------------------------------------- weights --
@@ -111,45 +115,107 @@ def design(df: DataFrame, pre: Preprocess, label: str, weights: dict[str, float]
 
 # --------------------------------------------------------------- gradient --
 
-def _softmax_columns(classes, W, b, d):
-    logits = []
-    for k in range(len(classes)):
-        e = F.lit(float(b[k]))
-        for j in range(d):
-            if W[k][j] != 0.0:
-                e = e + F.lit(float(W[k][j])) * F.col(f"_x{j}")
-        logits.append(e)
-    return logits
+def _num(x: float) -> str:
+    """A DOUBLE literal in Spark SQL (exponent form, exact round trip)."""
+    return format(float(x), ".17e")
+
 
+def gradient_sql(view: str, classes: list[str], W, b, d: int) -> str:
+    """One aggregate query: weighted residual sums per (class, feature) and the loss.
 
-def gradient_sums(X: DataFrame, classes: list[str], W, b, d: int) -> dict:
-    """One pass: weighted residual sums per (class, feature), per class, and the loss."""
+    Written as a single SQL string so that each step costs one parse instead
+    of hundreds of client-side column calls; Catalyst sees the same plan.
+    """
     k = len(classes)
-    with_l = X.select("*", *[lg.alias(f"_l{i}") for i, lg in enumerate(_softmax_columns(classes, W, b, d))])
-    m = F.greatest(*[F.col(f"_l{i}") for i in range(k)]) if k > 1 else F.col("_l0")
-    with_e = with_l.withColumn("_m", m).withColumns(
-        {f"_e{i}": F.exp(F.col(f"_l{i}") - F.col("_m")) for i in range(k)})
-    tot = sum((F.col(f"_e{i}") for i in range(1, k)), F.col("_e0"))
-    with_p = with_e.withColumn("_z", tot).withColumns(
-        {f"_p{i}": F.col(f"_e{i}") / F.col("_z") for i in range(k)})
-    res = with_p.withColumns({
-        f"_r{i}": F.col("_w") * (F.col(f"_p{i}") - (F.col("_y") == F.lit(c)).cast("double"))
-        for i, c in enumerate(classes)})
-    p_true = F.lit(0.0)
-    for i, c in enumerate(classes):
-        p_true = F.when(F.col("_y") == F.lit(c), F.col(f"_p{i}")).otherwise(p_true)
-    aggs: list[Column] = [
-        F.sum(F.col("_w") * -F.log(F.greatest(p_true, F.lit(1e-15)))).alias("loss")]
+    logits = []
+    for i in range(k):
+        terms = [_num(b[i])] + [f"{_num(W[i][j])} * _x{j}" for j in range(d) if W[i][j] != 0.0]
+        logits.append(" + ".join(terms) + f" AS _l{i}")
+    m = f"greatest({', '.join(f'_l{i}' for i in range(k))})" if k > 1 else "_l0"
+    exps = ", ".join(f"exp(_l{i} - _m) AS _e{i}" for i in range(k))
+    z = " + ".join(f"_e{i}" for i in range(k))
+    probs = ", ".join(f"_e{i} / _z AS _p{i}" for i in range(k))
+    lit = lambda c: "'" + c.replace("'", "''") + "'"
+    res = ", ".join(f"_w * (_p{i} - CASE WHEN _y = {lit(c)} THEN 1.0D ELSE 0.0D END) AS _r{i}"
+                    for i, c in enumerate(classes))
+    pt = "CASE " + " ".join(f"WHEN _y = {lit(c)} THEN _p{i}" for i, c in enumerate(classes)) + " ELSE 0.0D END"
+    aggs = [f"sum(_w * -ln(greatest(_pt, 1.0E-15D))) AS loss"]
     for i in range(k):
-        aggs.append(F.sum(f"_r{i}").alias(f"g_{i}"))
-        for j in range(d):
-            aggs.append(F.sum(F.col(f"_r{i}") * F.col(f"_x{j}")).alias(f"g_{i}_{j}"))
-    row = res.agg(*aggs).first().asDict()
+        aggs.append(f"sum(_r{i}) AS g_{i}")
+        aggs += [f"sum(_r{i} * _x{j}) AS g_{i}_{j}" for j in range(d)]
+    return (f"SELECT {', '.join(aggs)} FROM ("
+            f"SELECT *, {res}, {pt} AS _pt FROM ("
+            f"SELECT *, {probs} FROM ("
+            f"SELECT *, {z} AS _z FROM ("
+            f"SELECT *, {exps} FROM ("
+            f"SELECT *, {m} AS _m FROM ("
+            f"SELECT *, {', '.join(logits)} FROM {view}))))))")
+
+
+def gradient_sums(X: DataFrame | str, classes: list[str], W, b, d: int, spark=None) -> dict:
+    """One pass via SQL aggregates: residual sums per (class, feature), per class, loss."""
+    k = len(classes)
+    if isinstance(X, DataFrame):
+        spark = X.sparkSession
+        view = f"_design_{abs(hash(id(X)))}"
+        X.createOrReplaceTempView(view)
+    else:
+        view = X
+    row = spark.sql(gradient_sql(view, classes, W, b, d)).first().asDict()
     G = np.array([[row[f"g_{i}_{j}"] or 0.0 for j in range(d)] for i in range(k)])
     gb = np.array([row[f"g_{i}"] or 0.0 for i in range(k)])
     return {"G": G, "gb": gb, "loss": row["loss"] or 0.0}
 
 
+def _partial_gradient(classes, W, b, d):
+    """Per-partition ``R^T [1 | X]`` and loss, with ``R = w * (softmax(XW^T + b) - Y)``.
+
+    Runs inside each task on Arrow batches of the cached design matrix; the
+    output is ``k*(d+1)+1`` numbers per partition, never per row.
+    """
+    W = np.asarray(W, dtype=np.float64)
+    b = np.asarray(b, dtype=np.float64)
+    cls = np.asarray(classes, dtype=object)
+    k = len(classes)
+    xcols = [f"_x{j}" for j in range(d)]
+
+    def run(batches):
+        acc = np.zeros(k * (d + 1) + 1)
+        seen = False
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            seen = True
+            x = pdf[xcols].to_numpy(dtype=np.float64)
+            w = pdf["_w"].to_numpy(dtype=np.float64)
+            y = pdf["_y"].to_numpy(dtype=object)
+            L = x @ W.T + b
+            L -= L.max(axis=1, keepdims=True)
+            E = np.exp(L)
+            P = E / E.sum(axis=1, keepdims=True)
+            Y = (y[:, None] == cls[None, :]).astype(np.float64)
+            R = w[:, None] * (P - Y)
+            G = R.T @ x                                   # k x d
+            acc[: k * d] += G.ravel()
+            acc[k * d: k * d + k] += R.sum(axis=0)
+            pt = np.where(Y.any(axis=1), (P * Y).sum(axis=1), 0.0)
+            acc[-1] += float(np.sum(w * -np.log(np.maximum(pt, 1e-15))))
+        if seen:
+            yield pd.DataFrame({"i": np.arange(acc.size, dtype=np.int32), "v": acc})
+    return run
+
+
+def gradient_sums_arrow(X: DataFrame, classes: list[str], W, b, d: int) -> dict:
+    """One pass: partial gradients per partition, summed per index by Spark."""
+    k = len(classes)
+    parts = X.mapInPandas(_partial_gradient(classes, W, b, d), "i int, v double")
+    rows = parts.groupBy("i").agg(F.sum("v").alias("v")).collect()
+    acc = np.zeros(k * (d + 1) + 1)
+    for r in rows:
+        acc[r["i"]] = r["v"]
+    return {"G": acc[: k * d].reshape(k, d), "gb": acc[k * d: k * d + k], "loss": acc[-1]}
+
+
 def proximal_step(W, b, G, gb, wsum: float, cfg: TrainConfig):
     """Mean-loss gradient + ``l2*w``, step ``rate``, then L1 soft-threshold."""
     W = np.asarray(W, dtype=float)
@@ -171,32 +237,49 @@ def soft_threshold(x, t: float):
 
 
 def prepare(df: DataFrame, cfg: TrainConfig):
-    pre = fit_preprocess(df, cfg.numeric, cfg.categorical)
-    weights = collect_class_weights(df, cfg.label, cfg.balanced)
-    classes = sorted(weights)
-    X = design(df, pre, cfg.label, weights)
-    return pre, weights, classes, X
+    """Statistics, vocabulary and class weights, then the persisted design matrix.
+
+    The input is cached for the three small passes that precede the design
+    matrix (an expensive source -- a generator, a join -- runs once), and
+    released as soon as the design matrix itself is materialised.
+    """
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        pre = fit_preprocess(src, cfg.numeric, cfg.categorical)
+        weights = collect_class_weights(src, cfg.label, cfg.balanced)
+        classes = sorted(weights)
+        # The design matrix is a deterministic function of the input, so lost
+        # cached blocks are recomputed exactly from lineage.
+        X = design(src, pre, cfg.label, weights).persist(StorageLevel.MEMORY_AND_DISK)
+        wsum = X.agg(F.sum("_w").alias("w")).first()["w"] or 1.0
+    finally:
+        src.unpersist()
+    return pre, weights, classes, X, wsum
 
 
 def train_gd(df: DataFrame, cfg: TrainConfig | None = None) -> LinearModel:
     """Multinomial logistic regression by constant-rate proximal gradient descent."""
     cfg = cfg or TrainConfig()
-    pre, weights, classes, X = prepare(df, cfg)
-    # The design matrix is a deterministic function of the input, so lost
-    # cached blocks are recomputed exactly from lineage.
-    X = X.persist(StorageLevel.MEMORY_AND_DISK)
+    pre, weights, classes, X, wsum = prepare(df, cfg)
+    spark = X.sparkSession
+    view = f"_design_{abs(hash(id(X)))}"
     try:
         d = len(pre.feature_names())
         k = len(classes)
-        wsum = X.agg(F.sum("_w").alias("w")).first()["w"] or 1.0
         W = np.zeros((k, d))
         b = np.zeros(k)
         history = []
+        if cfg.engine == "sql":
+            X.createOrReplaceTempView(view)
         for _ in range(cfg.iterations):
-            s = gradient_sums(X, classes, W, b, d)
+            if cfg.engine == "sql":
+                s = gradient_sums(view, classes, W, b, d, spark=spark)
+            else:
+                s = gradient_sums_arrow(X, classes, W, b, d)
             history.append(s["loss"] / wsum)
             W, b = proximal_step(W, b, s["G"], s["gb"], wsum, cfg)
     finally:
+        spark.catalog.dropTempView(view)
         X.unpersist()
     return LinearModel(classes, pre, W.tolist(), b.tolist(), name=cfg.name,
                        label=cfg.label, history=history)
@@ -209,11 +292,13 @@ def first_step(df: DataFrame, cfg: TrainConfig | None = None) -> DataFrame:
     aggregate; returned as a DataFrame built from that aggregate's one row.
     """
     cfg = cfg or TrainConfig()
-    pre, weights, classes, X = prepare(df, cfg)
+    pre, weights, classes, X, wsum = prepare(df, cfg)
     d = len(pre.feature_names())
     k = len(classes)
-    wsum = X.agg(F.sum("_w").alias("w")).first()["w"] or 1.0
-    s = gradient_sums(X, classes, np.zeros((k, d)), np.zeros(k), d)
+    try:
+        s = gradient_sums(X, classes, np.zeros((k, d)), np.zeros(k), d)
+    finally:
+        X.unpersist()
     W, b = proximal_step(np.zeros((k, d)), np.zeros(k), s["G"], s["gb"], wsum, cfg)
     model = LinearModel(classes, pre, W.tolist(), b.tolist(), name=cfg.name, label=cfg.label)
     return df.sparkSession.createDataFrame(
@@ -228,7 +313,7 @@ def train_lr(df: DataFrame, cfg: TrainConfig | None = None) -> LinearModel:
     from pyspark.ml.feature import VectorAssembler
 
     cfg = cfg or TrainConfig()
-    pre, weights, classes, X = prepare(df, cfg)
+    pre, weights, classes, X, _ = prepare(df, cfg)
     d = len(pre.feature_names())
     index = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(c), F.lit(float(i)))])
     data = VectorAssembler(inputCols=[f"_x{j}" for j in range(d)], outputCol="features").transform(
@@ -238,7 +323,10 @@ def train_lr(df: DataFrame, cfg: TrainConfig | None = None) -> LinearModel:
                             family="multinomial", maxIter=cfg.iterations, regParam=reg,
                             elasticNetParam=(cfg.l1 / reg) if reg > 0 else 0.0,
                             standardization=False, fitIntercept=True)
-    fitted = lr.fit(data)
+    try:
+        fitted = lr.fit(data)
+    finally:
+        X.unpersist()
     coef = fitted.coefficientMatrix.toArray()
     icpt = fitted.interceptVector.toArray()
     n_out = coef.shape[0]

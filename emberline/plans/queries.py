@@ -347,7 +347,7 @@ def _position_sql(c: str) -> str:
 def q_probs_array(spark, sf_dir):
     p = predictions(spark, sf_dir)
     return p.select("station_id", "temperature_celsius", "humidity_percent",
-                    F.posexplode(PROBS).alias("pos", "e")).select(
+                    F.posexplode_outer(PROBS).alias("pos", "e")).select(
         "station_id", "temperature_celsius", "humidity_percent", "pos",
         F.col("e.label").alias("label"), F.round("e.prob", R6).alias("prob"))
 
