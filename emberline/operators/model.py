@@ -90,6 +90,25 @@ class LinearModel:
             j += len(levels)
         return expr
 
+    def logit_sql(self, k: int) -> str:
+        """The same logit as Spark SQL text (one parse instead of many column calls)."""
+        w = self.weights[k]
+        pre = self.pre
+        expr = num(self.intercepts[k])
+        for j, c in enumerate(pre.numeric):
+            std = (f"coalesce((CAST({ident(c)} AS DOUBLE) - {num(pre.means[j])}) / "
+                   f"{num(pre.stds[j])}, {num(0.0)})")
+            expr = f"({expr} + {num(w[j])} * {std})"
+        j = len(pre.numeric)
+        for c in pre.categorical:
+            levels = pre.vocab[c]
+            if levels:
+                entries = ", ".join(f"{text(v)}, {num(w[j + i])}" for i, v in enumerate(levels))
+                expr = (f"({expr} + coalesce(try_element_at(map({entries}), "
+                        f"CAST({ident(c)} AS STRING)), {num(0.0)}))")
+            j += len(levels)
+        return expr
+
     def coefficient_rows(self) -> list[tuple]:
         names = ["(intercept)"] + self.pre.feature_names()
         out = []
@@ -103,6 +122,19 @@ def _tmp(prefix: str, k: int) -> str:
     return f"__{prefix}{k}"
 
 
+def num(x: float) -> str:
+    """An exact DOUBLE literal in Spark SQL."""
+    return format(float(x), ".17e")
+
+
+def text(x: str) -> str:
+    return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def predict(model: LinearModel, df: DataFrame, label_col: str | None = None,
             probs_col: str | None = None, prob_columns: bool = False) -> DataFrame:
     """Input columns + predicted label + array<struct<label, prob>>.
@@ -115,35 +147,52 @@ def predict(model: LinearModel, df: DataFrame, label_col: str | None = None,
     label_col = label_col or f"predicted_{model.label}"
     probs_col = probs_col or f"predicted_{model.label}_probs"
     k = len(model.classes)
-    out_cols = df.columns
-    scored = df.withColumns({_tmp("l", i): model.logit(i) for i in range(k)})
-    logits = [F.col(_tmp("l", i)) for i in range(k)]
-    top = F.greatest(*logits) if k > 1 else logits[0]
-    scored = scored.withColumn("__m", top)
-    scored = scored.withColumns({_tmp("e", i): F.exp(logits[i] - F.col("__m")) for i in range(k)})
-    total = None
-    for i in range(k):
-        total = F.col(_tmp("e", i)) if total is None else total + F.col(_tmp("e", i))
-    scored = scored.withColumn("__s", total)
-    scored = scored.withColumns({_tmp("p", i): F.col(_tmp("e", i)) / F.col("__s") for i in range(k)})
-    probs = [F.col(_tmp("p", i)) for i in range(k)]
+    out_cols = [ident(c) for c in df.columns]
+    L = [f"__l{i}" for i in range(k)]
+    E = [f"__e{i}" for i in range(k)]
+    P = [f"__p{i}" for i in range(k)]
+    top = f"greatest({', '.join(L)})" if k > 1 else L[0]
+    # three projections: logits, shifted exponentials, probabilities; each is
+    # referenced several times below, so Catalyst keeps them materialised
+    scored = (df.selectExpr("*", *[f"{model.logit_sql(i)} AS {L[i]}" for i in range(k)])
+              .selectExpr("*", *[f"exp({L[i]} - {top}) AS {E[i]}" for i in range(k)])
+              .selectExpr("*", *[f"{E[i]} / ({' + '.join(E)}) AS {P[i]}" for i in range(k)]))
     # argmax over logits (exact, no exp), first class in ascending order wins ties
-    pred = None
+    whens = []
+    for i, c in enumerate(model.classes):
+        conds = [f"{L[i]} > {L[j]}" if j < i else f"{L[i]} >= {L[j]}" for j in range(k) if j != i]
+        whens.append(f"WHEN {' AND '.join(conds) or 'true'} THEN {text(c)}")
+    pred = f"CASE {' '.join(whens)} ELSE {text(model.classes[0])} END"
+    extra = [f"{pred} AS {ident(label_col)}",
+             f"{sorted_probs_sql(model.classes, P)} AS {ident(probs_col)}"]
+    if prob_columns:
+        extra += [f"{P[i]} AS {ident('prob_' + c)}" for i, c in enumerate(model.classes)]
+    return scored.selectExpr(*out_cols, *extra)
+
+
+def sorted_probs_sql(classes: list[str], probs: list[str]) -> str:
+    """SQL text of ``sorted_probs`` (same order: prob descending, label ascending)."""
+    k = len(classes)
+    items = [f"named_struct('label', {text(c)}, 'prob', {p})" for c, p in zip(classes, probs)]
+    if k > CODEGEN_SORT_MAX_CLASSES:
+        return (f"array_sort(array({', '.join(items)}), (a, b) -> CASE "
+                "WHEN a.prob > b.prob THEN -1 WHEN a.prob < b.prob THEN 1 "
+                "WHEN a.label < b.label THEN -1 WHEN a.label > b.label THEN 1 ELSE 0 END)")
+    pos = []
     for i in range(k):
-        cond = F.lit(True)
+        terms = []
         for j in range(k):
-            if j != i:
-                cond = cond & ((logits[i] > logits[j]) if j < i else (logits[i] >= logits[j]))
-        pred = F.when(cond, F.lit(model.classes[i])) if pred is None else pred.when(
-            cond, F.lit(model.classes[i]))
-    pred = pred.otherwise(F.lit(model.classes[0]))
-    arr = sorted_probs(model.classes, [F.col(_tmp("p", i)) for i in range(k)])
-    extra = {label_col: pred, probs_col: arr}
-    if prob_columns:
-        for c, p in zip(model.classes, probs):
-            extra[f"prob_{c}"] = p
-    # materialise the probabilities once, then build the array from columns
-    return scored.withColumns(extra).select(*out_cols, *extra.keys())
+            if j == i:
+                continue
+            tie = "true" if classes[j] < classes[i] else "false"
+            terms.append(f"CASE WHEN {probs[j]} > {probs[i]} OR ({probs[j]} = {probs[i]} AND {tie}) "
+                         f"THEN 1 ELSE 0 END")
+        pos.append("(" + (" + ".join(terms) or "0") + ")")
+    slots = []
+    for p in range(k):
+        whens = " ".join(f"WHEN {pos[i]} = {p} THEN {items[i]}" for i in range(k))
+        slots.append(f"CASE {whens} END")
+    return f"array({', '.join(slots)})"
 
 
 # Above this many classes the array is sorted with a comparator (a lambda,

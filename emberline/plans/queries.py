@@ -82,7 +82,7 @@ def register(name: str, sql: str | None = None):
 # ------------------------------------------------------------ shared inputs --
 
 def obs(spark, sf_dir) -> DataFrame:
-    return from_lineitem(read_table(spark, sf_dir, "lineitem"))
+    return from_lineitem(read_table(spark, sf_dir, "lineitem", balance=True))
 
 
 def labeled_obs(spark, sf_dir) -> DataFrame:
@@ -567,7 +567,7 @@ def q_run_summary(spark, sf_dir):
 SELECT event_id, user_id, row_number() OVER (ORDER BY ts, event_id) AS row_id FROM events
 """)
 def q_row_numbered_events(spark, sf_dir):
-    ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    ev = read_table(spark, sf_dir, "events", balance=True).select("event_id", "user_id", "ts")
     return with_row_id(ev, ["ts", "event_id"]).select("event_id", "user_id", "row_id")
 
 
