@@ -106,11 +106,13 @@ def fit_preprocess(df: DataFrame, numeric: list[str], categorical: list[str],
 def design(df: DataFrame, pre: Preprocess, label: str, weights: dict[str, float]) -> DataFrame:
     """``_x0.._x{d-1}`` (double), ``_y`` (label), ``_w`` (sample weight)."""
     wmap = F.create_map(*[x for c, w in weights.items() for x in (F.lit(c), F.lit(float(w)))])
+    imap = F.create_map(*[x for i, c in enumerate(sorted(weights)) for x in (F.lit(c), F.lit(i))])
     cols = [c.alias(f"_x{j}") for j, c in enumerate(pre.feature_columns())]
+    y = F.col(label).cast("string")
     return (df.where(F.col(label).isNotNull())
-            .select(*cols, F.col(label).cast("string").alias("_y"),
-                    F.coalesce(F.try_element_at(wmap, F.col(label).cast("string")),
-                               F.lit(0.0)).alias("_w")))
+            .select(*cols, y.alias("_y"),
+                    F.coalesce(F.try_element_at(imap, y), F.lit(-1)).alias("_yi"),
+                    F.coalesce(F.try_element_at(wmap, y), F.lit(0.0)).alias("_w")))
 
 
 # --------------------------------------------------------------- gradient --
@@ -175,9 +177,9 @@ def _partial_gradient(classes, W, b, d):
     """
     W = np.asarray(W, dtype=np.float64)
     b = np.asarray(b, dtype=np.float64)
-    cls = np.asarray(classes, dtype=object)
     k = len(classes)
     xcols = [f"_x{j}" for j in range(d)]
+    onehot = np.vstack([np.eye(k), np.zeros((1, k))])   # index -1 (unknown) -> zeros
 
     def run(batches):
         acc = np.zeros(k * (d + 1) + 1)
@@ -188,12 +190,12 @@ def _partial_gradient(classes, W, b, d):
             seen = True
             x = pdf[xcols].to_numpy(dtype=np.float64)
             w = pdf["_w"].to_numpy(dtype=np.float64)
-            y = pdf["_y"].to_numpy(dtype=object)
+            yi = pdf["_yi"].to_numpy(dtype=np.int64)
             L = x @ W.T + b
             L -= L.max(axis=1, keepdims=True)
             E = np.exp(L)
             P = E / E.sum(axis=1, keepdims=True)
-            Y = (y[:, None] == cls[None, :]).astype(np.float64)
+            Y = onehot[yi]
             R = w[:, None] * (P - Y)
             G = R.T @ x                                   # k x d
             acc[: k * d] += G.ravel()
@@ -208,7 +210,8 @@ def _partial_gradient(classes, W, b, d):
 def gradient_sums_arrow(X: DataFrame, classes: list[str], W, b, d: int) -> dict:
     """One pass: partial gradients per partition, summed per index by Spark."""
     k = len(classes)
-    parts = X.mapInPandas(_partial_gradient(classes, W, b, d), "i int, v double")
+    cols = [f"_x{j}" for j in range(d)] + ["_yi", "_w"]
+    parts = X.select(*cols).mapInPandas(_partial_gradient(classes, W, b, d), "i int, v double")
     rows = parts.groupBy("i").agg(F.sum("v").alias("v")).collect()
     acc = np.zeros(k * (d + 1) + 1)
     for r in rows:
