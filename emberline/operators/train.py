@@ -169,49 +169,65 @@ def gradient_sums(X: DataFrame | str, classes: list[str], W, b, d: int, spark=No
     return {"G": G, "gb": gb, "loss": row["loss"] or 0.0}
 
 
+def design_packed(df: DataFrame, pre: Preprocess, label: str, weights: dict[str, float]) -> DataFrame:
+    """``x`` (array<double> of the d features), ``_yi`` (class index), ``_w``.
+
+    One array column ships to Python as a single flat Arrow buffer, about
+    half the conversion cost of d separate columns.
+    """
+    wide = design(df, pre, label, weights)
+    d = len(pre.feature_names())
+    return wide.select(F.array(*[F.col(f"_x{j}") for j in range(d)]).alias("x"), "_yi", "_w")
+
+
 def _partial_gradient(classes, W, b, d):
-    """Per-partition ``R^T [1 | X]`` and loss, with ``R = w * (softmax(XW^T + b) - Y)``.
+    """Per-partition ``R^T [X | 1]`` and loss, with ``R = w * (softmax(XW^T + b) - Y)``.
 
     Runs inside each task on Arrow batches of the cached design matrix; the
     output is ``k*(d+1)+1`` numbers per partition, never per row.
     """
+    import pyarrow as pa
+
     W = np.asarray(W, dtype=np.float64)
     b = np.asarray(b, dtype=np.float64)
     k = len(classes)
-    xcols = [f"_x{j}" for j in range(d)]
     onehot = np.vstack([np.eye(k), np.zeros((1, k))])   # index -1 (unknown) -> zeros
 
     def run(batches):
         acc = np.zeros(k * (d + 1) + 1)
         seen = False
-        for pdf in batches:
-            if pdf.empty:
+        for batch in batches:
+            n = batch.num_rows
+            if n == 0:
                 continue
             seen = True
-            x = pdf[xcols].to_numpy(dtype=np.float64)
-            w = pdf["_w"].to_numpy(dtype=np.float64)
-            yi = pdf["_yi"].to_numpy(dtype=np.int64)
+            xs = batch.column("x")
+            flat = xs.flatten().to_numpy(zero_copy_only=False)
+            x = flat.reshape(n, d)
+            w = batch.column("_w").to_numpy(zero_copy_only=False)
+            yi = batch.column("_yi").to_numpy(zero_copy_only=False).astype(np.int64)
             L = x @ W.T + b
             L -= L.max(axis=1, keepdims=True)
             E = np.exp(L)
             P = E / E.sum(axis=1, keepdims=True)
             Y = onehot[yi]
             R = w[:, None] * (P - Y)
-            G = R.T @ x                                   # k x d
-            acc[: k * d] += G.ravel()
+            acc[: k * d] += (R.T @ x).ravel()
             acc[k * d: k * d + k] += R.sum(axis=0)
             pt = np.where(Y.any(axis=1), (P * Y).sum(axis=1), 0.0)
             acc[-1] += float(np.sum(w * -np.log(np.maximum(pt, 1e-15))))
         if seen:
-            yield pd.DataFrame({"i": np.arange(acc.size, dtype=np.int32), "v": acc})
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(acc.size, dtype=np.int32)), pa.array(acc)], names=["i", "v"])
     return run
 
 
 def gradient_sums_arrow(X: DataFrame, classes: list[str], W, b, d: int) -> dict:
-    """One pass: partial gradients per partition, summed per index by Spark."""
+    """One pass over the packed design matrix: partial gradients per partition,
+    summed per coefficient index by Spark (map-side combined, ``k*(d+1)+1`` rows)."""
     k = len(classes)
-    cols = [f"_x{j}" for j in range(d)] + ["_yi", "_w"]
-    parts = X.select(*cols).mapInPandas(_partial_gradient(classes, W, b, d), "i int, v double")
+    parts = X.select("x", "_yi", "_w").mapInArrow(_partial_gradient(classes, W, b, d),
+                                                   "i int, v double")
     rows = parts.groupBy("i").agg(F.sum("v").alias("v")).collect()
     acc = np.zeros(k * (d + 1) + 1)
     for r in rows:
@@ -239,7 +255,7 @@ def soft_threshold(x, t: float):
     return np.where(np.abs(x) > t, np.sign(x) * (np.abs(x) - t), 0.0)
 
 
-def prepare(df: DataFrame, cfg: TrainConfig):
+def prepare(df: DataFrame, cfg: TrainConfig, packed: bool = False):
     """Statistics, vocabulary and class weights, then the persisted design matrix.
 
     The input is cached for the three small passes that precede the design
@@ -251,9 +267,10 @@ def prepare(df: DataFrame, cfg: TrainConfig):
         pre = fit_preprocess(src, cfg.numeric, cfg.categorical)
         weights = collect_class_weights(src, cfg.label, cfg.balanced)
         classes = sorted(weights)
+        build = design_packed if packed else design
         # The design matrix is a deterministic function of the input, so lost
         # cached blocks are recomputed exactly from lineage.
-        X = design(src, pre, cfg.label, weights).persist(StorageLevel.MEMORY_AND_DISK)
+        X = build(src, pre, cfg.label, weights).persist(StorageLevel.MEMORY_AND_DISK)
         wsum = X.agg(F.sum("_w").alias("w")).first()["w"] or 1.0
     finally:
         src.unpersist()
@@ -263,7 +280,7 @@ def prepare(df: DataFrame, cfg: TrainConfig):
 def train_gd(df: DataFrame, cfg: TrainConfig | None = None) -> LinearModel:
     """Multinomial logistic regression by constant-rate proximal gradient descent."""
     cfg = cfg or TrainConfig()
-    pre, weights, classes, X, wsum = prepare(df, cfg)
+    pre, weights, classes, X, wsum = prepare(df, cfg, packed=(cfg.engine != "sql"))
     spark = X.sparkSession
     view = f"_design_{abs(hash(id(X)))}"
     try:
