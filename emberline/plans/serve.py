@@ -118,15 +118,18 @@ def available_states(preds: DataFrame, col: str = "state_province",
                      max_states: int = MAX_STATES) -> DataFrame:
     """One row: ``states`` (distinct, sorted, NULL first) and ``count``.
 
-    DISTINCT runs distributed (partial aggregation, one shuffle); only the
-    distinct regions reach the single final row, and more than ``max_states``
-    of them raises instead of building an unbounded list.
+    DISTINCT runs distributed (partial aggregation, one shuffle); at most
+    ``max_states + 1`` distinct regions reach the single final row, and more
+    than ``max_states`` raises instead of building an unbounded list.
     """
     distinct = preds.select(F.col(col).alias("s")).distinct()
+    # at most max_states + 1 rows ever reach the single collecting task: the
+    # bound holds before anything is gathered, and one row over raises
+    bounded = distinct.limit(max_states + 1)
     # collect structs, not values: a NULL region is a distinct value too and
     # must stay in the list (sorted first, as ORDER BY puts NULLs first)
-    agg = distinct.agg(F.sort_array(F.collect_list(F.struct("s"))).alias("states"),
-                       F.count(F.lit(1)).alias("count"))
+    agg = bounded.agg(F.sort_array(F.collect_list(F.struct("s"))).alias("states"),
+                      F.count(F.lit(1)).alias("count"))
     return agg.select(
         F.when(F.col("count") > F.lit(max_states),
                F.raise_error(F.lit(f"more than {max_states} distinct values")))
