@@ -53,6 +53,27 @@ def save_table(df: DataFrame, name: str, namespace: str | None = None) -> str:
     return full
 
 
+REGION_KEY = "state_key"
+
+
+def save_predictions(preds: DataFrame, name: str = RV.PREDICTIONS_TABLE,
+                     namespace: str | None = None, region_col: str = "state_province",
+                     max_records_per_file: int = 5_000_000) -> str:
+    """Create-or-replace a predictions table partitioned by ``lower(region)``.
+
+    A region lookup (``lower(state) = lower(:p)``) then becomes a partition
+    filter on ``state_key`` and reads one region's files only.  Rows are not
+    reshuffled by region before the write (a hot region would become one
+    task); each task writes its own files per region, capped in size.
+    """
+    full = f"{_q(namespace)}.{_q(name)}" if namespace else _q(name)
+    (preds.withColumn(REGION_KEY, F.lower(F.col(region_col)))
+     .write.mode("overwrite").format("parquet")
+     .option("maxRecordsPerFile", str(max_records_per_file))
+     .partitionBy(REGION_KEY).saveAsTable(full))
+    return full
+
+
 def read_saved(spark: SparkSession, name: str, namespace: str | None = None) -> DataFrame:
     return spark.table(f"{_q(namespace)}.{_q(name)}" if namespace else _q(name))
 

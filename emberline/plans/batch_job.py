@@ -53,7 +53,7 @@ def run_batch(spark: SparkSession, cfg: BatchConfig | None = None,
 
     obs = observations if observations is not None else inline_observations(spark)
     preds = predict(model, engineer(obs))
-    C.save_table(preds, RV.PREDICTIONS_TABLE, cfg.namespace)
+    C.save_predictions(preds, RV.PREDICTIONS_TABLE, cfg.namespace)
     preds = C.read_saved(spark, RV.PREDICTIONS_TABLE, cfg.namespace)
     prediction_count = C.count_rows(preds).first()["row_count"]
 

@@ -17,6 +17,7 @@ from ..functions.temporal import iso_datetime
 from ..operators.model import first_of
 
 PRED = f"predicted_{RV.LABEL_COLUMN}"
+REGION_KEY = "state_key"      # partition column of a stored predictions table
 PROBS = f"predicted_{RV.LABEL_COLUMN}_probs"
 
 SERVING_COLUMNS = ["station_id", "state_province", "temperature_celsius", "humidity_percent",
@@ -62,9 +63,15 @@ def prediction_for_state(preds: DataFrame, state: str, zero_as_null: bool = True
 
     The region is a bound parameter compared as ``lower(col) = lower(:p)``;
     "first" is the smallest record in ``RECORD_ORDER`` (a per-partition top-1
-    then a merge, no full sort).
+    then a merge, no full sort).  On a table stored with ``save_predictions``
+    the same condition on the ``state_key`` partition column prunes the scan
+    to one region's files.
     """
-    hit = prediction_rows(preds).where(F.lower(F.col("state_province")) == F.lower(F.lit(state)))
+    wanted = F.lower(F.lit(state))
+    if REGION_KEY in preds.columns:
+        # stored partitioned by lower(region): this becomes a partition filter
+        preds = preds.where(F.col(REGION_KEY) == wanted)
+    hit = prediction_rows(preds).where(F.lower(F.col("state_province")) == wanted)
     first = hit.orderBy(*[F.asc(c) for c in RECORD_ORDER + TIE_BREAK]).limit(1)
     return as_records(first, zero_as_null)
 

@@ -1,6 +1,5 @@
 """Namespaces, tables, model round trip, registry, sinks, streaming, batch run."""
 
-import json
 import os
 
 from pyspark.sql import functions as F
@@ -75,3 +74,18 @@ def test_batch_run_end_to_end(spark, tmpdir_path):
     summary = {r.metric: r.value for r in res["summary"].collect()}
     assert summary["training_rows"] == "1000" and summary["prediction_rows"] == "16"
     C.drop_namespace(spark, "emb_batch")
+
+
+def test_partitioned_predictions_prune_region_lookup(spark):
+    ns = "emb_part_ns"
+    C.ensure_namespace(spark, ns)
+    preds = predict(fixed_model(), engineer(inline_observations(spark)))
+    C.save_predictions(preds, "preds", ns)
+    stored = C.read_saved(spark, "preds", ns)
+    q = SV.prediction_for_state(stored, "SACHSEN")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(state_key" in plan and "= sachsen)" in plan
+    rows = q.collect()
+    assert len(rows) == 1 and rows[0]["station_id"] == "station_SN"
+    assert SV.available_states(stored).first()["count"] == 16
+    C.drop_namespace(spark, ns)
