@@ -38,6 +38,10 @@ class TrainConfig:
     # "arrow": per-partition numpy matrix products on Arrow batches (default);
     # "sql": one SQL aggregate of k*(d+1) sums, fully JVM-side
     engine: str = "arrow"
+    # optional: stop once the relative improvement of the data loss between
+    # two steps falls below min_rel_progress (off: all iterations run)
+    early_stop: bool = False
+    min_rel_progress: float = 0.01
 
 
 # ---------------------------------------------------------------- weights --
@@ -296,6 +300,9 @@ def train_gd(df: DataFrame, cfg: TrainConfig | None = None) -> LinearModel:
             else:
                 s = gradient_sums_arrow(X, classes, W, b, d)
             history.append(s["loss"] / wsum)
+            if cfg.early_stop and len(history) >= 2 and history[-2] > 0 and \
+                    (history[-2] - history[-1]) / history[-2] < cfg.min_rel_progress:
+                break
             W, b = proximal_step(W, b, s["G"], s["gb"], wsum, cfg)
     finally:
         spark.catalog.dropTempView(view)

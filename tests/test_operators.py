@@ -143,3 +143,14 @@ def test_unseen_category_scores_without_error(spark):
         "temp_risk_score long, humidity_risk_score long")
     r = predict(fixed_model(), df).first()
     assert abs(sum(e["prob"] for e in r[f"predicted_{RV.LABEL_COLUMN}_probs"]) - 1.0) < 1e-12
+
+
+def test_early_stop_is_opt_in(spark):
+    data = generate_training(spark, 1500, seed=8)
+    train, _ = split(data)
+    full = train_gd(train, TrainConfig(iterations=12))
+    early = train_gd(train, TrainConfig(iterations=12, early_stop=True, min_rel_progress=0.04))
+    assert len(full.history) == 12
+    assert 2 <= len(early.history) < 12
+    rel = [(a - b) / a for a, b in zip(early.history, early.history[1:])]
+    assert rel[-1] < 0.04 and all(r >= 0.04 for r in rel[:-1])
