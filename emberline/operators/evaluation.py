@@ -12,7 +12,8 @@ plain window would compute in a single task per class.  Instead:
    partial aggregation (a value shared by a third of the rows becomes one row);
 2. the pairs are range-partitioned on ``(class, score)`` -- Spark samples the
    boundaries, so partitions are balanced whatever the score distribution;
-3. each partition, sorted, makes one streaming pass (Arrow batches) and emits
+3. each partition, sorted, makes one streaming pass (Arrow batches, numpy
+   segment sums) and emits
    per class: its own pair count with running negatives local to the
    partition, and its totals -- one row per (partition, class);
 4. those few rows (bounded by partitions x classes) give every partition the
@@ -24,7 +25,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -105,29 +105,39 @@ def _partition_rank_sums(batches):
     Input rows are sorted by (cls, score) within the partition and distinct on
     it, carrying the positive / negative counts at that score.  A pair
     (positive at s, negative at t) counts 1 when t < s and 1/2 when t == s.
+    The batches are processed in order with a running count per class, so
+    memory stays at one Arrow batch.
     """
+    import pyarrow as pa
+
     state: dict[str, list] = {}
     pid = None
-    for pdf in batches:
-        if pdf.empty:
+    for batch in batches:
+        n = batch.num_rows
+        if n == 0:
             continue
-        pid = int(pdf["pid"].iloc[0])
-        for cls, g in pdf.groupby("cls", sort=False):
-            pos = g["n_pos"].to_numpy(dtype=np.float64)
-            neg = g["n_neg"].to_numpy(dtype=np.float64)
-            st = state.setdefault(cls, [0.0, 0, 0])   # local_num, n_pos, n_neg
-            below = st[2] + np.cumsum(neg) - neg       # negatives strictly below, this partition
-            st[0] += float(np.sum(pos * (below + 0.5 * neg)))
-            st[1] += int(pos.sum())
-            st[2] += int(neg.sum())
+        pid = int(batch.column("pid")[0].as_py())
+        cls = batch.column("cls").to_numpy(zero_copy_only=False)
+        pos = batch.column("n_pos").to_numpy(zero_copy_only=False).astype(np.float64)
+        neg = batch.column("n_neg").to_numpy(zero_copy_only=False).astype(np.float64)
+        # segments of equal class (the batch is sorted by class first)
+        starts = np.flatnonzero(np.r_[True, cls[1:] != cls[:-1]])
+        ends = np.r_[starts[1:], n]
+        for a, b in zip(starts, ends):
+            st = state.setdefault(cls[a], [0.0, 0, 0])   # local_num, n_pos, n_neg
+            p, q = pos[a:b], neg[a:b]
+            below = st[2] + np.cumsum(q) - q              # negatives strictly below, this partition
+            st[0] += float(np.dot(p, below + 0.5 * q))
+            st[1] += int(p.sum())
+            st[2] += int(q.sum())
     if pid is not None and state:
-        yield pd.DataFrame({
-            "pid": [pid] * len(state),
-            "cls": list(state.keys()),
-            "local_num": [v[0] for v in state.values()],
-            "n_pos": [v[1] for v in state.values()],
-            "n_neg": [v[2] for v in state.values()],
-        })
+        yield pa.RecordBatch.from_arrays([
+            pa.array([pid] * len(state), pa.int32()),
+            pa.array(list(state.keys()), pa.string()),
+            pa.array([v[0] for v in state.values()], pa.float64()),
+            pa.array([v[1] for v in state.values()], pa.int64()),
+            pa.array([v[2] for v in state.values()], pa.int64()),
+        ], names=["pid", "cls", "local_num", "n_pos", "n_neg"])
 
 
 def score_pairs(df: DataFrame, actual: str, prob_cols: dict[str, str]) -> DataFrame:
@@ -149,7 +159,7 @@ def auc_by_class(df: DataFrame, actual: str, prob_cols: dict[str, str],
     ranged = (pairs.repartitionByRange(n, "cls", "score")
               .sortWithinPartitions("cls", "score")
               .select(F.spark_partition_id().alias("pid"), "cls", "score", "n_pos", "n_neg"))
-    partial = ranged.mapInPandas(_partition_rank_sums, _PARTIAL_SCHEMA)
+    partial = ranged.mapInArrow(_partition_rank_sums, _PARTIAL_SCHEMA)
     # at most (partitions x classes) rows from here on
     earlier = Window.partitionBy("cls").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
     with_off = partial.withColumn("neg_before", F.coalesce(F.sum("n_neg").over(earlier), F.lit(0)))
