@@ -18,6 +18,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # remove RDD checkpoint files once their frames are garbage-collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # scoring and gradient projections generate wide methods; let the JIT
     # compile them instead of interpreting their bytecode
     "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
