@@ -31,6 +31,29 @@ def uniform(seed: int | str, site: str, id_col: Column | str) -> Column:
     return bits / F.lit(_SCALE)
 
 
+def _text(x: str) -> str:
+    return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def uniform_sql(seed: int | str, site: str, id_sql: str = "row_id") -> str:
+    """``uniform`` as Spark SQL text, for projections built in one parse."""
+    key = f"concat({_text(f'{seed}|{site}|')}, CAST({id_sql} AS STRING))"
+    return (f"(CAST(conv(substring(md5({key}), 1, {_HEX_DIGITS}), 16, 10) AS BIGINT) "
+            f"/ {format(_SCALE, '.17e')})")
+
+
+def cascade_sql(seed, name: str, id_sql: str, labels: Sequence[str],
+                thresholds: Sequence[float]) -> str:
+    """``category_cascade`` as Spark SQL text (same draws, same order)."""
+    if len(labels) != len(thresholds) + 1:
+        raise ValueError("need exactly one more label than thresholds")
+    whens = " ".join(
+        f"WHEN {uniform_sql(seed, f'{name}_{k}', id_sql)} < {format(float(t), '.17e')} "
+        f"THEN {_text(lab)}"
+        for k, (lab, t) in enumerate(zip(labels, thresholds), start=1))
+    return f"CASE {whens} ELSE {_text(labels[-1])} END"
+
+
 def scaled_uniform(seed, site, id_col, scale: float, offset: float = 0.0) -> Column:
     """``u * scale + offset`` as a double."""
     return uniform(seed, site, id_col) * F.lit(float(scale)) + F.lit(float(offset))

@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import reference_values as RV
-from ..functions.rng import category_cascade, scaled_uniform, uniform
-from ..operators.enrich import engineer, enrich_coordinates, label_rows
+from ..functions.rng import cascade_sql, category_cascade, scaled_uniform, uniform, uniform_sql
+from ..operators.enrich import coordinates_sql, derived_sql
 from ..session import default_parallelism
 
 ROWS_PER_PARTITION = 2_000_000
@@ -47,6 +47,25 @@ def base_columns(seed, id_col="row_id") -> list[Column]:
     return cols
 
 
+def base_columns_sql(seed, id_sql: str = "row_id") -> list[str]:
+    """``base_columns`` as Spark SQL text: one parse and one analysis for all."""
+    num = lambda x: format(float(x), ".17e")
+    cols = []
+    for name, (scale, offset) in RV.NUMERIC_DRAWS.items():
+        cols.append(f"{uniform_sql(seed, name, id_sql)} * {num(scale)} + {num(offset)} AS {name}")
+    cols.append(f"concat('station_', CAST(CAST(FLOOR({uniform_sql(seed, 'station_id', id_sql)} * "
+                f"{num(RV.STATION_COUNT)}) + 1 AS BIGINT) AS STRING)) AS station_id")
+    scale, offset = RV.ELEVATION_DRAW
+    cols.append(f"{uniform_sql(seed, 'elevation_meters', id_sql)} * {num(scale)} + {num(offset)} "
+                f"AS elevation_meters")
+    cols.append(f"{cascade_sql(seed, 'weather', id_sql, RV.WEATHER_LABELS, RV.WEATHER_THRESHOLDS)} "
+                f"AS weather_condition")
+    cols.append(f"{cascade_sql(seed, 'state', id_sql, RV.STATES, RV.STATE_THRESHOLDS)} AS state_province")
+    cols.append(f"CAST(FLOOR({uniform_sql(seed, 'month', id_sql)} * {num(RV.MONTH_COUNT)}) + 1 AS BIGINT) "
+                f"AS month")
+    return cols
+
+
 def id_range(spark: SparkSession, n: int, num_partitions: int | None = None) -> DataFrame:
     """Ids 1..n as ``row_id``; partitions sized for ~2M rows each."""
     if num_partitions is None:
@@ -57,7 +76,7 @@ def id_range(spark: SparkSession, n: int, num_partitions: int | None = None) ->
 
 def synthetic_rows(ids: DataFrame, seed: int = 42, id_col: str = "row_id") -> DataFrame:
     """Base draws for every id of ``ids`` (before coordinates and labels)."""
-    return ids.select(F.col(id_col).alias("row_id"), *base_columns(seed, id_col))
+    return ids.selectExpr(f"`{id_col}` AS row_id", *base_columns_sql(seed, f"`{id_col}`"))
 
 
 def generate_training(spark: SparkSession, n: int = RV.DEFAULT_TRAINING_ROWS,
@@ -67,9 +86,9 @@ def generate_training(spark: SparkSession, n: int = RV.DEFAULT_TRAINING_ROWS,
 
 
 def training_from_ids(ids: DataFrame, seed: int = 42, id_col: str = "row_id") -> DataFrame:
+    """Base draws, then coordinates, risk scores and the rule label in one projection."""
     base = synthetic_rows(ids, seed, id_col)
-    with_xy = enrich_coordinates(base, seed=seed, id_col="row_id")
-    return label_rows(engineer(with_xy))
+    return base.selectExpr("*", *coordinates_sql(seed, "row_id"), *derived_sql())
 
 
 def rows_like(spark: SparkSession, table: DataFrame) -> int:

@@ -7,7 +7,7 @@ narrow projection (no shuffle), so scoring and serving grow with the data.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import reference_values as RV
@@ -36,11 +36,6 @@ def inline_observations(spark: SparkSession, rows=None, at: str = RV.OBSERVATION
     return df.withColumns({"timestamp": ts, "month": month_of(ts)}).select(*OBSERVATION_ORDER)
 
 
-def _pick(labels, index: Column) -> Column:
-    """Element ``index`` (0-based) of a fixed label list."""
-    return F.element_at(F.array(*[F.lit(x) for x in labels]), (index + 1).cast("int"))
-
-
 def from_lineitem(lineitem: DataFrame) -> DataFrame:
     """Weather-like observations, one per lineitem row.
 
@@ -50,20 +45,24 @@ def from_lineitem(lineitem: DataFrame) -> DataFrame:
     and the weather label ``partkey mod 5`` into the weather list.  The first
     line of each order reports zero precipitation.
     """
-    l = F.col
-    return lineitem.select(
-        F.concat(F.lit("station_"), ((l("l_suppkey") % 16) + 1).cast("string")).alias("station_id"),
-        _pick(RV.STATES, l("l_suppkey") % 16).alias("state_province"),
-        l("l_shipdate").alias("timestamp"),
-        (F.lit(10.0) + l("l_quantity") / F.lit(2.0)).alias("temperature_celsius"),
-        (F.lit(20.0) + l("l_discount") * F.lit(700.0)).alias("humidity_percent"),
-        (F.lit(990.0) + (l("l_partkey") % 200) / F.lit(10.0)).alias("pressure_hpa"),
-        (l("l_tax") * F.lit(187.5)).alias("wind_speed_ms"),
-        (l("l_orderkey") % 360).cast("double").alias("wind_direction_degrees"),
-        F.when(l("l_linenumber") == 1, F.lit(0.0))
-         .otherwise(l("l_extendedprice") / F.lit(21000.0)).alias("precipitation_mm"),
-        ((l("l_orderkey") % 100).cast("double") / F.lit(10.0)).alias("visibility_km"),
-        _pick(RV.WEATHER_LABELS, l("l_partkey") % 5).alias("weather_condition"),
-        (F.lit(50.0) + (l("l_partkey") % 1500).cast("double")).alias("elevation_meters"),
-        month_of(l("l_shipdate")).alias("month"),
+    states = ", ".join(_text(x) for x in RV.STATES)
+    weather = ", ".join(_text(x) for x in RV.WEATHER_LABELS)
+    return lineitem.selectExpr(
+        "concat('station_', CAST(l_suppkey % 16 + 1 AS STRING)) AS station_id",
+        f"element_at(array({states}), CAST(l_suppkey % 16 + 1 AS INT)) AS state_province",
+        "l_shipdate AS timestamp",
+        "10.0D + l_quantity / 2.0D AS temperature_celsius",
+        "20.0D + l_discount * 700.0D AS humidity_percent",
+        "990.0D + (l_partkey % 200) / 10.0D AS pressure_hpa",
+        "l_tax * 187.5D AS wind_speed_ms",
+        "CAST(l_orderkey % 360 AS DOUBLE) AS wind_direction_degrees",
+        "CASE WHEN l_linenumber = 1 THEN 0.0D ELSE l_extendedprice / 21000.0D END AS precipitation_mm",
+        "CAST(l_orderkey % 100 AS DOUBLE) / 10.0D AS visibility_km",
+        f"element_at(array({weather}), CAST(l_partkey % 5 + 1 AS INT)) AS weather_condition",
+        "50.0D + CAST(l_partkey % 1500 AS DOUBLE) AS elevation_meters",
+        "CAST(month(l_shipdate) AS BIGINT) AS month",
     )
+
+
+def _text(x: str) -> str:
+    return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
