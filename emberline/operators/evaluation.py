@@ -184,16 +184,24 @@ def evaluate(df: DataFrame, actual: str, predicted: str, probs_col: str,
     Two distributed passes (grouped counts + loss, AUC); the rest is
     arithmetic on k*k and k rows.
     """
+    from pyspark import StorageLevel
+
     from .model import prob_of
 
-    cl = confusion_with_loss(df, actual, predicted, probs_col).persist()
+    # the scored input feeds both passes; an expensive source runs once
+    src = df.select(actual, predicted, probs_col).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        tot = cl.agg(F.sum("n").alias("n"), F.sum("ll").alias("ll")).first()
-        m = macro_metrics(cl.select("actual", "predicted", "n"), labels).first()
+        cl = confusion_with_loss(src, actual, predicted, probs_col).persist()
+        try:
+            tot = cl.agg(F.sum("n").alias("n"), F.sum("ll").alias("ll")).first()
+            m = macro_metrics(cl.select("actual", "predicted", "n"), labels).first()
+        finally:
+            cl.unpersist()
+        scored = src.select(actual, *[prob_of(probs_col, c).alias(f"__p_{i}")
+                                      for i, c in enumerate(classes)])
+        auc = roc_auc(scored, actual, {c: f"__p_{i}" for i, c in enumerate(classes)}).first()
     finally:
-        cl.unpersist()
-    scored = df.select(actual, *[prob_of(probs_col, c).alias(f"__p_{i}") for i, c in enumerate(classes)])
-    auc = roc_auc(scored, actual, {c: f"__p_{i}" for i, c in enumerate(classes)}).first()
+        src.unpersist()
     n = tot["n"] or 0
     return {
         "accuracy": m["accuracy"],
