@@ -78,31 +78,60 @@ def split(df: DataFrame, id_col: str = "row_id", seed: int = 42,
 
 # ------------------------------------------------------------- preprocess --
 
-def fit_preprocess(df: DataFrame, numeric: list[str], categorical: list[str],
-                   max_levels: int = MAX_LEVELS) -> Preprocess:
-    """Means / sample stds (one aggregate job) and sorted levels (one distinct job)."""
+def _moments_row(df: DataFrame, numeric: list[str]) -> tuple[list[float], list[float]]:
+    """Means and sample stds of the numeric inputs: one aggregate, one row."""
+    if not numeric:
+        return [], []
     aggs = []
     for c in numeric:
         x = F.col(c).cast("double")
         aggs += [F.avg(x).alias(f"m_{c}"), F.stddev_samp(x).alias(f"s_{c}")]
-    row = df.agg(*aggs).first() if aggs else None
+    row = df.agg(*aggs).first()
     means, stds = [], []
     for c in numeric:
         m, s = row[f"m_{c}"], row[f"s_{c}"]
         means.append(float(m) if m is not None else 0.0)
         stds.append(float(s) if s is not None and s > 0 else 1.0)
-    vocab: dict[str, list[str]] = {c: [] for c in categorical}
-    if categorical:
-        pairs = F.explode(F.array(*[
-            F.struct(F.lit(c).alias("f"), F.col(c).cast("string").alias("v")) for c in categorical]))
-        levels = (df.select(pairs.alias("p")).select("p.f", "p.v").where(F.col("v").isNotNull())
-                  .distinct().limit(max_levels * len(categorical) + 1).collect())
-        for r in levels:
-            vocab[r["f"]].append(r["v"])
-        for c in categorical:
-            if len(vocab[c]) > max_levels:
-                raise ValueError(f"{c} has more than {max_levels} levels")
-            vocab[c].sort()
+    return means, stds
+
+
+_LABEL_KEY = "\u0000label"
+
+
+def _level_counts(df: DataFrame, columns: list[str], bound: int, label: str | None = None):
+    """``{column: {level: count}}`` from one grouped aggregate over (column, level).
+
+    The label, when given, rides along as one more column, so vocabulary and
+    class counts cost a single pass.  At most ``bound + 1`` rows are
+    collected; more raises.
+    """
+    items = [F.struct(F.lit(c).alias("f"), F.col(c).cast("string").alias("v")) for c in columns]
+    if label is not None:
+        items.append(F.struct(F.lit(_LABEL_KEY).alias("f"), F.col(label).cast("string").alias("v")))
+    if not items:
+        return {}
+    rows = (df.select(F.explode(F.array(*items)).alias("p")).select("p.f", "p.v")
+            .where(F.col("v").isNotNull()).groupBy("f", "v").agg(F.count(F.lit(1)).alias("n"))
+            .limit(bound + 1).collect())
+    if len(rows) > bound:
+        raise ValueError(f"more than {bound} distinct levels in {columns + ([label] if label else [])}")
+    out: dict[str, dict[str, int]] = {c: {} for c in columns}
+    if label is not None:
+        out[_LABEL_KEY] = {}
+    for r in rows:
+        out[r["f"]][r["v"]] = int(r["n"])
+    return out
+
+
+def fit_preprocess(df: DataFrame, numeric: list[str], categorical: list[str],
+                   max_levels: int = MAX_LEVELS) -> Preprocess:
+    """Means / sample stds (one aggregate job) and sorted levels (one grouped job)."""
+    means, stds = _moments_row(df, numeric)
+    counts = _level_counts(df, categorical, max_levels * max(1, len(categorical)))
+    vocab = {c: sorted(counts[c]) for c in categorical}
+    for c in categorical:
+        if len(vocab[c]) > max_levels:
+            raise ValueError(f"{c} has more than {max_levels} levels")
     return Preprocess(list(numeric), means, stds, list(categorical), vocab)
 
 
@@ -267,8 +296,21 @@ def prepare(df: DataFrame, cfg: TrainConfig, packed: bool = False):
     """
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        pre = fit_preprocess(src, cfg.numeric, cfg.categorical)
-        weights = collect_class_weights(src, cfg.label, cfg.balanced)
+        # pass 1: moments; pass 2: vocabulary and class counts together
+        means, stds = _moments_row(src, cfg.numeric)
+        bound = MAX_LEVELS * max(1, len(cfg.categorical)) + MAX_CLASSES
+        counts = _level_counts(src, cfg.categorical, bound, label=cfg.label)
+        vocab = {c: sorted(counts[c]) for c in cfg.categorical}
+        for c in cfg.categorical:
+            if len(vocab[c]) > MAX_LEVELS:
+                raise ValueError(f"{c} has more than {MAX_LEVELS} levels")
+        pre = Preprocess(list(cfg.numeric), means, stds, list(cfg.categorical), vocab)
+        class_n = counts[_LABEL_KEY]
+        if len(class_n) > MAX_CLASSES:
+            raise ValueError(f"more than {MAX_CLASSES} classes in {cfg.label}")
+        total, k = sum(class_n.values()), len(class_n)
+        # balanced: N / (k * n_c), the same formula as class_weights()
+        weights = {c: (total / (k * n) if cfg.balanced else 1.0) for c, n in class_n.items()}
         classes = sorted(weights)
         build = design_packed if packed else design
         # The design matrix is a deterministic function of the input, so lost
