@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from emberline import reference_values as RV
 from emberline.operators.enrich import engineer, label_rows
 from emberline.operators.model import fixed_model, predict
@@ -82,3 +84,19 @@ def test_available_states_and_sample(spark):
     assert one["count"] == 16 and one["states"] == sorted(RV.STATES)
     top = SV.sample_predictions(preds, 5).collect()
     assert len(top) == 5
+
+
+def test_empty_table_everywhere(spark):
+    from emberline.operators.evaluation import auc_by_class, confusion, macro_metrics
+    empty = inline_observations(spark).limit(0)
+    preds = predict(fixed_model(), engineer(empty))
+    assert preds.count() == 0
+    assert SV.current_predictions(preds).count() == 0
+    assert SV.prediction_for_state(preds, "Bayern").count() == 0
+    one = SV.available_states(preds).first()
+    assert one["count"] == 0 and one["states"] == []
+    label = f"predicted_{RV.LABEL_COLUMN}"
+    assert confusion(preds, "state_province", label).count() == 0
+    assert macro_metrics(confusion(preds, "state_province", label)).first()["accuracy"] is None
+    scored = preds.select("state_province", F.lit(0.5).alias("p"))
+    assert auc_by_class(scored, "state_province", {"x": "p"}).count() == 0
