@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .sqltext import num, text
+
 # 13 hex digits = 52 bits, the mantissa width of a double: the quotient is
 # exact and lies in [0, 1).
 _HEX_DIGITS = 13
@@ -31,15 +33,11 @@ def uniform(seed: int | str, site: str, id_col: Column | str) -> Column:
     return bits / F.lit(_SCALE)
 
 
-def _text(x: str) -> str:
-    return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def uniform_sql(seed: int | str, site: str, id_sql: str = "row_id") -> str:
     """``uniform`` as Spark SQL text, for projections built in one parse."""
-    key = f"concat({_text(f'{seed}|{site}|')}, CAST({id_sql} AS STRING))"
+    key = f"concat({text(f'{seed}|{site}|')}, CAST({id_sql} AS STRING))"
     return (f"(CAST(conv(substring(md5({key}), 1, {_HEX_DIGITS}), 16, 10) AS BIGINT) "
-            f"/ {format(_SCALE, '.17e')})")
+            f"/ {num(_SCALE)})")
 
 
 def cascade_sql(seed, name: str, id_sql: str, labels: Sequence[str],
@@ -48,10 +46,10 @@ def cascade_sql(seed, name: str, id_sql: str, labels: Sequence[str],
     if len(labels) != len(thresholds) + 1:
         raise ValueError("need exactly one more label than thresholds")
     whens = " ".join(
-        f"WHEN {uniform_sql(seed, f'{name}_{k}', id_sql)} < {format(float(t), '.17e')} "
-        f"THEN {_text(lab)}"
+        f"WHEN {uniform_sql(seed, f'{name}_{k}', id_sql)} < {num(t)} "
+        f"THEN {text(lab)}"
         for k, (lab, t) in enumerate(zip(labels, thresholds), start=1))
-    return f"CASE {whens} ELSE {_text(labels[-1])} END"
+    return f"CASE {whens} ELSE {text(labels[-1])} END"
 
 
 def scaled_uniform(seed, site, id_col, scale: float, offset: float = 0.0) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import reference_values as RV
 from ..functions.rng import uniform
+from ..functions.sqltext import num, text
 from ..functions.scores import humidity_risk_score, temp_risk_score, wildfire_rule_label
 
 
@@ -55,14 +56,6 @@ def enrich_coordinates(df: DataFrame, seed: int = 42, id_col: str = "row_id",
             .drop("_c_state", "_c_lon", "_c_lon_s", "_c_lat", "_c_lat_s"))
 
 
-def _num(x: float) -> str:
-    return format(float(x), ".17e")
-
-
-def _text(x: str) -> str:
-    return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def coordinates_sql(seed: int = 42, id_sql: str = "row_id", state_sql: str = "state_province",
                     centroids: dict | None = None, default=RV.DEFAULT_CENTROID) -> list[str]:
     """``enrich_coordinates`` (literal-map form) as Spark SQL text."""
@@ -70,11 +63,11 @@ def coordinates_sql(seed: int = 42, id_sql: str = "row_id", state_sql: str = "st
     table = RV.CENTROIDS if centroids is None else centroids
 
     def look(pos):
-        entries = ", ".join(f"{_text(k)}, {_num(v[pos])}" for k, v in table.items())
-        return f"coalesce(try_element_at(map({entries}), {state_sql}), {_num(default[pos])})"
+        entries = ", ".join(f"{text(k)}, {num(v[pos])}" for k, v in table.items())
+        return f"coalesce(try_element_at(map({entries}), {state_sql}), {num(default[pos])})"
 
-    lon = f"{look(0)} + ({uniform_sql(seed, 'longitude', id_sql)} - {_num(0.5)}) * {look(1)}"
-    lat = f"{look(2)} + ({uniform_sql(seed, 'latitude', id_sql)} - {_num(0.5)}) * {look(3)}"
+    lon = f"{look(0)} + ({uniform_sql(seed, 'longitude', id_sql)} - {num(0.5)}) * {look(1)}"
+    lat = f"{look(2)} + ({uniform_sql(seed, 'latitude', id_sql)} - {num(0.5)}) * {look(3)}"
     return [f"{lon} AS longitude", f"{lat} AS latitude"]
 
 
@@ -84,16 +77,16 @@ def derived_sql() -> list[str]:
     (h1, g1), (h2, g2) = RV.HUMIDITY_SCORE_CUTS
     hi, mo = RV.HIGH_RULE, RV.MODERATE_RULE
     return [
-        f"CASE WHEN temperature_celsius > {_num(t1)} THEN CAST({s1} AS BIGINT) "
-        f"WHEN temperature_celsius > {_num(t2)} THEN CAST({s2} AS BIGINT) "
+        f"CASE WHEN temperature_celsius > {num(t1)} THEN CAST({s1} AS BIGINT) "
+        f"WHEN temperature_celsius > {num(t2)} THEN CAST({s2} AS BIGINT) "
         f"ELSE CAST({RV.TEMP_SCORE_DEFAULT} AS BIGINT) END AS temp_risk_score",
-        f"CASE WHEN humidity_percent < {_num(h1)} THEN CAST({g1} AS BIGINT) "
-        f"WHEN humidity_percent < {_num(h2)} THEN CAST({g2} AS BIGINT) "
+        f"CASE WHEN humidity_percent < {num(h1)} THEN CAST({g1} AS BIGINT) "
+        f"WHEN humidity_percent < {num(h2)} THEN CAST({g2} AS BIGINT) "
         f"ELSE CAST({RV.HUMIDITY_SCORE_DEFAULT} AS BIGINT) END AS humidity_risk_score",
-        f"CASE WHEN temperature_celsius > {_num(hi['temperature_gt'])} "
-        f"AND humidity_percent < {_num(hi['humidity_lt'])} AND wind_speed_ms > {_num(hi['wind_gt'])} "
-        f"THEN 'high' WHEN temperature_celsius > {_num(mo['temperature_gt'])} "
-        f"AND humidity_percent < {_num(mo['humidity_lt'])} THEN 'moderate' ELSE 'low' END "
+        f"CASE WHEN temperature_celsius > {num(hi['temperature_gt'])} "
+        f"AND humidity_percent < {num(hi['humidity_lt'])} AND wind_speed_ms > {num(hi['wind_gt'])} "
+        f"THEN 'high' WHEN temperature_celsius > {num(mo['temperature_gt'])} "
+        f"AND humidity_percent < {num(mo['humidity_lt'])} THEN 'moderate' ELSE 'low' END "
         f"AS {RV.LABEL_COLUMN}",
     ]
 

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import reference_values as RV
+from ..functions.sqltext import ident, num, text
 
 # Bound on the levels of one categorical feature: the vocabulary is collected
 # to the driver and inlined into plans, so its size must be known-small.
@@ -122,17 +123,6 @@ def _tmp(prefix: str, k: int) -> str:
     return f"__{prefix}{k}"
 
 
-def num(x: float) -> str:
-    """An exact DOUBLE literal in Spark SQL."""
-    return format(float(x), ".17e")
-
-
-def text(x: str) -> str:
-    return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def ident(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
 
 
 def predict(model: LinearModel, df: DataFrame, label_col: str | None = None,

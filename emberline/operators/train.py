@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from .. import reference_values as RV
 from ..functions.rng import split_flag
+from ..functions.sqltext import num
 from .model import MAX_CLASSES, MAX_LEVELS, LinearModel, Preprocess
 
 
@@ -149,11 +150,6 @@ def design(df: DataFrame, pre: Preprocess, label: str, weights: dict[str, float]
 
 # --------------------------------------------------------------- gradient --
 
-def _num(x: float) -> str:
-    """A DOUBLE literal in Spark SQL (exponent form, exact round trip)."""
-    return format(float(x), ".17e")
-
-
 def gradient_sql(view: str, classes: list[str], W, b, d: int) -> str:
     """One aggregate query: weighted residual sums per (class, feature) and the loss.
 
@@ -163,7 +159,7 @@ def gradient_sql(view: str, classes: list[str], W, b, d: int) -> str:
     k = len(classes)
     logits = []
     for i in range(k):
-        terms = [_num(b[i])] + [f"{_num(W[i][j])} * _x{j}" for j in range(d) if W[i][j] != 0.0]
+        terms = [num(b[i])] + [f"{num(W[i][j])} * _x{j}" for j in range(d) if W[i][j] != 0.0]
         logits.append(" + ".join(terms) + f" AS _l{i}")
     m = f"greatest({', '.join(f'_l{i}' for i in range(k))})" if k > 1 else "_l0"
     exps = ", ".join(f"exp(_l{i} - _m) AS _e{i}" for i in range(k))

@@ -108,6 +108,10 @@ def iso_sql(col: str) -> str:
             f"ELSE strftime({col}, '%Y-%m-%dT%H:%M:%S.%f') END")
 
 
+def iso_sql_zoned() -> str:
+    return iso_sql(f"timezone('{RV.OBSERVATION_ZONE}', timezone('UTC', timestamp))")
+
+
 PRED_SQL = O.predict_sql(FIXED, O.LABELED)
 FIRST_LABEL_SQL, FIRST_PROB_SQL = O.first_label_prob_sql(FIXED)
 
@@ -142,6 +146,16 @@ def q_enrich_coordinates(spark, sf_dir):
     return enrich_coordinates(base.select("row_id", "state_province"))
 
 
+@register("enrich_coordinates_join",
+          f"SELECT row_id, state_province, {O._coordinates()} FROM ({O.GEN_BASE}) b")
+def q_enrich_coordinates_join(spark, sf_dir):
+    """The same coordinates through a join with the centroid table (JN1 as a join)."""
+    from ..operators.enrich import centroid_table
+    base = synthetic_rows(id_range(spark, training_rows_count(spark, sf_dir)))
+    return enrich_coordinates(base.select("row_id", "state_province"),
+                              centroids=centroid_table(spark))
+
+
 @register("training_projection", f"""
 SELECT {', '.join(RV.NUMERIC_FEATURES + RV.CATEGORICAL_FEATURES + RV.ORDINAL_FEATURES)}, {LABEL}
 FROM ({O.GEN}) g
@@ -164,6 +178,19 @@ def q_threshold_scores(spark, sf_dir):
         "temp_risk_score", "humidity_risk_score")
 
 
+@register("zoned_timestamps", f"""
+SELECT station_id, {iso_sql_zoned()} AS local_time,
+       CAST(month(timezone('{RV.OBSERVATION_ZONE}', timezone('UTC', timestamp))) AS BIGINT) AS local_month
+FROM ({O.OBS}) o
+""")
+def q_zoned_timestamps(spark, sf_dir):
+    """Ship timestamps read as UTC instants, shown as Europe/Berlin wall time (FN8, FN9)."""
+    from ..functions.temporal import iso_datetime, month_of, zoned_wall_time
+    local = zoned_wall_time("timestamp", RV.OBSERVATION_ZONE)
+    return obs(spark, sf_dir).select("station_id", iso_datetime(local).alias("local_time"),
+                                     month_of(local).alias("local_month"))
+
+
 @register("rule_labels", f"""
 SELECT station_id, temperature_celsius, humidity_percent, wind_speed_ms, {LABEL}
 FROM ({O.LABELED}) l

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import reference_values as RV
+from ..functions.sqltext import num
 from ..functions.rng import cascade_sql, category_cascade, scaled_uniform, uniform, uniform_sql
 from ..operators.enrich import coordinates_sql, derived_sql
 from ..session import default_parallelism
@@ -49,7 +50,6 @@ def base_columns(seed, id_col="row_id") -> list[Column]:
 
 def base_columns_sql(seed, id_sql: str = "row_id") -> list[str]:
     """``base_columns`` as Spark SQL text: one parse and one analysis for all."""
-    num = lambda x: format(float(x), ".17e")
     cols = []
     for name, (scale, offset) in RV.NUMERIC_DRAWS.items():
         cols.append(f"{uniform_sql(seed, name, id_sql)} * {num(scale)} + {num(offset)} AS {name}")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import reference_values as RV
+from ..functions.sqltext import text
 from ..functions.temporal import month_of, zoned_wall_time
 
 OBSERVATION_SCHEMA = (
@@ -45,8 +46,8 @@ def from_lineitem(lineitem: DataFrame) -> DataFrame:
     and the weather label ``partkey mod 5`` into the weather list.  The first
     line of each order reports zero precipitation.
     """
-    states = ", ".join(_text(x) for x in RV.STATES)
-    weather = ", ".join(_text(x) for x in RV.WEATHER_LABELS)
+    states = ", ".join(text(x) for x in RV.STATES)
+    weather = ", ".join(text(x) for x in RV.WEATHER_LABELS)
     return lineitem.selectExpr(
         "concat('station_', CAST(l_suppkey % 16 + 1 AS STRING)) AS station_id",
         f"element_at(array({states}), CAST(l_suppkey % 16 + 1 AS INT)) AS state_province",
@@ -62,7 +63,3 @@ def from_lineitem(lineitem: DataFrame) -> DataFrame:
         "50.0D + CAST(l_partkey % 1500 AS DOUBLE) AS elevation_meters",
         "CAST(month(l_shipdate) AS BIGINT) AS month",
     )
-
-
-def _text(x: str) -> str:
-    return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
