@@ -28,3 +28,16 @@ def iso_datetime(ts) -> Column:
     micros = F.date_format(c, "SSSSSS")
     return F.when(c.isNull(), F.lit(None).cast("string")).when(
         micros == F.lit("000000"), base).otherwise(F.concat(base, F.lit("."), micros))
+
+
+def iso_instant(ts) -> Column:
+    """ISO-8601 text of an instant (timestamp with zone), in UTC with ``+00:00``.
+
+    Rendered independently of the session time zone: the instant is shifted
+    so that its UTC wall clock is printed, then the offset is appended (the
+    form Python's ``isoformat`` gives for an aware UTC datetime).
+    """
+    c = F.col(ts) if isinstance(ts, str) else ts
+    return F.when(c.isNull(), F.lit(None).cast("string")).otherwise(
+        F.concat(iso_datetime(F.to_utc_timestamp(c, F.current_timezone()).cast("timestamp_ntz")),
+                 F.lit("+00:00")))

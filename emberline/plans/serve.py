@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import reference_values as RV
-from ..functions.temporal import iso_datetime
+from ..functions.temporal import iso_datetime, iso_instant
 from ..operators.model import first_of
 
 PRED = f"predicted_{RV.LABEL_COLUMN}"
@@ -172,8 +172,8 @@ def model_info(registry: DataFrame, name: str) -> DataFrame:
     hit = registry.where(F.col("model_name") == F.lit(name)).orderBy(
         F.desc("last_modified_time")).limit(1)
     return hit.select("model_catalog", "model_schema", "model_name", "model_type",
-                      iso_datetime("creation_time").alias("creation_time"),
-                      iso_datetime("last_modified_time").alias("last_modified_time"))
+                      iso_instant("creation_time").alias("creation_time"),
+                      iso_instant("last_modified_time").alias("last_modified_time"))
 
 
 def model_info_or_error(registry: DataFrame, name: str) -> DataFrame:
