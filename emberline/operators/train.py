@@ -1,12 +1,13 @@
 """Training: class weights, random split, preprocessing fit, gradient descent.
 
 The trainer is the classic Spark iterative pattern: the design matrix is
-built once as columns and persisted, then each step is ONE aggregation job
-whose partial sums are combined map-side (``k*(d+1)`` sums plus the loss), so
-only a single row of numbers reaches the driver per step.  The update
-(gradient step, L2 term, L1 soft-threshold) is ``k x d`` arithmetic on the
-driver.  The cost per step is one pass over the cached data, whatever its
-size, and nothing per-row ever leaves the executors.
+built once and persisted, then each step is ONE pass over it that produces
+``k*(d+1)`` gradient sums plus the loss.  By default every partition computes
+its partial sums as numpy matrix products over Arrow batches and Spark adds
+them up per coefficient (map-side combined); the alternative engine is a
+single SQL aggregate.  Only those numbers reach the driver, which applies the
+``k x d`` update (gradient step, L2 term, L1 soft-threshold).  Nothing per
+row ever leaves the executors.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .. import reference_values as RV
 from ..functions.rng import split_flag
-from ..functions.sqltext import num
+from ..functions.sqltext import num, text
 from .model import MAX_CLASSES, MAX_LEVELS, LinearModel, Preprocess
 
 
@@ -165,10 +166,9 @@ def gradient_sql(view: str, classes: list[str], W, b, d: int) -> str:
     exps = ", ".join(f"exp(_l{i} - _m) AS _e{i}" for i in range(k))
     z = " + ".join(f"_e{i}" for i in range(k))
     probs = ", ".join(f"_e{i} / _z AS _p{i}" for i in range(k))
-    lit = lambda c: "'" + c.replace("'", "''") + "'"
-    res = ", ".join(f"_w * (_p{i} - CASE WHEN _y = {lit(c)} THEN 1.0D ELSE 0.0D END) AS _r{i}"
+    res = ", ".join(f"_w * (_p{i} - CASE WHEN _y = {text(c)} THEN 1.0D ELSE 0.0D END) AS _r{i}"
                     for i, c in enumerate(classes))
-    pt = "CASE " + " ".join(f"WHEN _y = {lit(c)} THEN _p{i}" for i, c in enumerate(classes)) + " ELSE 0.0D END"
+    pt = "CASE " + " ".join(f"WHEN _y = {text(c)} THEN _p{i}" for i, c in enumerate(classes)) + " ELSE 0.0D END"
     aggs = [f"sum(_w * -ln(greatest(_pt, 1.0E-15D))) AS loss"]
     for i in range(k):
         aggs.append(f"sum(_r{i}) AS g_{i}")
@@ -286,9 +286,10 @@ def soft_threshold(x, t: float):
 def prepare(df: DataFrame, cfg: TrainConfig, packed: bool = False):
     """Statistics, vocabulary and class weights, then the persisted design matrix.
 
-    The input is cached for the three small passes that precede the design
-    matrix (an expensive source -- a generator, a join -- runs once), and
-    released as soon as the design matrix itself is materialised.
+    The input is cached for the two small passes that precede the design
+    matrix (moments; vocabulary with class counts), so an expensive source --
+    a generator, a join -- runs once; it is released as soon as the design
+    matrix itself is materialised.
     """
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
