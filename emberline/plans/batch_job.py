@@ -79,3 +79,32 @@ def run_batch(spark: SparkSession, cfg: BatchConfig | None = None,
             "accuracy": metrics_df.select(F.col("accuracy")),
             "roc_auc": metrics_df.select(F.col("roc_auc"))}),
     }
+
+
+def main(argv=None) -> None:
+    """``python -m emberline.plans.batch_job --rows 1000 --namespace wildfire``."""
+    import argparse
+    import json
+
+    from ..session import build_session
+
+    ap = argparse.ArgumentParser(description="generate, train, score, evaluate, sample")
+    ap.add_argument("--namespace", default=C.DEFAULT_NAMESPACE)
+    ap.add_argument("--rows", type=int, default=RV.DEFAULT_TRAINING_ROWS)
+    ap.add_argument("--seed", type=int, default=42)
+    ap.add_argument("--converged", action="store_true", help="Spark ML L-BFGS instead of GD")
+    ap.add_argument("--evaluation-path", default=None, help="write the metrics as JSON here")
+    ap.add_argument("--master", default=None)
+    args = ap.parse_args(argv)
+    spark = build_session(args.master, app="emberline-batch")
+    res = run_batch(spark, BatchConfig(namespace=args.namespace, training_rows=args.rows,
+                                       seed=args.seed, converged=args.converged,
+                                       evaluation_path=args.evaluation_path))
+    print(f"training rows: {res['training_rows']}")
+    print(f"predictions: {res['prediction_rows']}")
+    print(json.dumps({k: (None if v is None else str(v)) for k, v in res["metrics"].items()}))
+    res["sample"].show(truncate=False)
+
+
+if __name__ == "__main__":
+    main()
