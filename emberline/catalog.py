@@ -58,17 +58,21 @@ REGION_KEY = "state_key"
 
 def save_predictions(preds: DataFrame, name: str = RV.PREDICTIONS_TABLE,
                      namespace: str | None = None, region_col: str = "state_province",
-                     max_records_per_file: int = 5_000_000) -> str:
+                     max_records_per_file: int = 5_000_000, rebalance: bool = True) -> str:
     """Create-or-replace a predictions table partitioned by ``lower(region)``.
 
     A region lookup (``lower(state) = lower(:p)``) then becomes a partition
-    filter on ``state_key`` and reads one region's files only.  Rows are not
-    reshuffled by region before the write (a hot region would become one
-    task); each task writes its own files per region, capped in size.
+    filter on ``state_key`` and reads one region's files only.  With
+    ``rebalance`` the rows are grouped by region through a REBALANCE hint, so
+    adaptive execution sizes the output partitions and splits a hot region
+    over several tasks (no single task holds it, and there are no per-task
+    small files for every region); without it each task writes its own files.
     """
     full = f"{_q(namespace)}.{_q(name)}" if namespace else _q(name)
-    (preds.withColumn(REGION_KEY, F.lower(F.col(region_col)))
-     .write.mode("overwrite").format("parquet")
+    keyed = preds.withColumn(REGION_KEY, F.lower(F.col(region_col)))
+    if rebalance:
+        keyed = keyed.hint("rebalance", REGION_KEY)
+    (keyed.write.mode("overwrite").format("parquet")
      .option("maxRecordsPerFile", str(max_records_per_file))
      .partitionBy(REGION_KEY).saveAsTable(full))
     return full
