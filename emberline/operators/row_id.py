@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from ..session import ensure_checkpoint_dir, shuffle_partitions
 
@@ -23,11 +24,22 @@ _PID, _POS = "_rid_pid", "_rid_pos"
 
 
 def with_row_id(df: DataFrame, order_by: list, name: str = "row_id",
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, tiebreak: bool = True) -> DataFrame:
+    """``df`` plus a dense 1-based ``name`` following ``order_by``.
+
+    With ``tiebreak`` the remaining orderable columns are appended to the
+    order: rows tied on ``order_by`` get a deterministic order, and a large
+    tie group (one value shared by a third of the rows) is split across range
+    partitions instead of landing in one task.
+    """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or shuffle_partitions(spark)
     cols = [F.col(c) if isinstance(c, str) else c for c in order_by]
+    if tiebreak:
+        named = {c for c in order_by if isinstance(c, str)}
+        cols += [F.col(f.name) for f in df.schema.fields
+                 if f.name not in named and not isinstance(f.dataType, MapType)]
     ranged = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
     pid = F.spark_partition_id()
     # monotonically_increasing_id = (partition id << 33) + position in partition

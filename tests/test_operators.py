@@ -154,3 +154,16 @@ def test_early_stop_is_opt_in(spark):
     assert 2 <= len(early.history) < 12
     rel = [(a - b) / a for a, b in zip(early.history, early.history[1:])]
     assert rel[-1] < 0.04 and all(r >= 0.04 for r in rel[:-1])
+
+
+def test_row_id_splits_a_hot_tie_group(spark):
+    # a third of the rows share one key value
+    df = spark.range(0, 3000, numPartitions=4).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    got = with_row_id(df, ["k"], num_partitions=6)
+    rows = got.collect()
+    assert sorted(r.row_id for r in rows) == list(range(1, 3001))
+    ordered = sorted(rows, key=lambda r: r.row_id)
+    assert [(r.k, r.v) for r in ordered] == sorted((r.k, r.v) for r in rows)
+    sizes = got.groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in sizes) < 1000   # the 1000-row tie group is split
