@@ -291,7 +291,10 @@ def prepare(df: DataFrame, cfg: TrainConfig, packed: bool = False):
     a generator, a join -- runs once; it is released as soon as the design
     matrix itself is materialised.
     """
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    # only the model's inputs are cached; columns it does not use are pruned
+    # before the cache, so a generator never even computes them
+    needed = list(dict.fromkeys(cfg.numeric + cfg.categorical + [cfg.label]))
+    src = df.select(*needed).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # pass 1: moments; pass 2: vocabulary and class counts together
         means, stds = _moments_row(src, cfg.numeric)
