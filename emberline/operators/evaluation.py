@@ -40,7 +40,10 @@ def confusion(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 
 
 def per_class(cm: DataFrame, labels: Sequence[str] | None = None) -> DataFrame:
-    """Per class: support, predicted count, correct count, precision, recall, f1."""
+    """Per class: support, predicted count, correct count, precision, recall, f1.
+
+    Classes are those seen as actual or predicted, or exactly ``labels``.
+    """
     rows = cm.select(F.explode(F.array(
         F.struct(F.col("actual").alias("cls"), F.col("n").alias("support"),
                  F.when(F.col("actual") == F.col("predicted"), F.col("n"))
@@ -50,7 +53,13 @@ def per_class(cm: DataFrame, labels: Sequence[str] | None = None) -> DataFrame:
                  F.lit(0).cast("bigint").alias("correct"), F.col("n").alias("pred")),
     )).alias("r")).select("r.*")
     if labels is not None:
+        # exactly the requested classes: a class with no rows at all still
+        # counts in the macro means (with precision = recall = 0)
         rows = rows.where(F.col("cls").isin(list(labels)))
+        zeros = cm.sparkSession.createDataFrame(
+            [(c, 0, 0, 0) for c in labels], "cls string, support long, correct long, pred long")
+        rows = rows.select(F.col("cls").cast("string"), F.col("support").cast("long"),
+                           F.col("correct").cast("long"), F.col("pred").cast("long")).unionByName(zeros)
     agg = rows.groupBy("cls").agg(F.sum("support").alias("support"),
                                   F.sum("correct").alias("correct"),
                                   F.sum("pred").alias("pred"))

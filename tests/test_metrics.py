@@ -32,3 +32,13 @@ def test_zero_support_class_does_not_divide_by_zero(spark):
     assert pc["high"]["recall"] == 0.0 and pc["high"]["precision"] == 0.0
     m = macro_metrics(confusion(df, "actual", "predicted")).first()
     assert m["accuracy"] == 0.5
+
+
+def test_requested_labels_include_absent_classes(spark):
+    df = spark.createDataFrame([("low", "low"), ("moderate", "moderate")], "actual string, predicted string")
+    cm = confusion(df, "actual", "predicted")
+    seen = macro_metrics(cm).first()
+    assert seen["recall"] == 1.0 and seen["precision"] == 1.0
+    forced = macro_metrics(cm, ["high", "low", "moderate"]).first()
+    assert forced["recall"] == pytest.approx(2 / 3) and forced["f1_score"] == pytest.approx(2 / 3)
+    assert forced["accuracy"] == 1.0
