@@ -60,7 +60,7 @@ def run_batch(spark: SparkSession, cfg: BatchConfig | None = None,
     scored_eval = predict(model, eval_part)
     label = model.label
     metrics = evaluate(scored_eval, label, f"predicted_{label}", f"predicted_{label}_probs",
-                       model.classes)
+                       model.classes, labels=model.classes)
     metrics_df = spark.createDataFrame(
         [tuple(None if metrics[k] is None else float(metrics[k]) for k in
                ("accuracy", "f1_score", "log_loss", "precision", "recall", "roc_auc"))],

@@ -316,7 +316,7 @@ def q_gd_first_step(spark, sf_dir):
 
 def _metrics_frame(spark, model: LinearModel, eval_df: DataFrame) -> DataFrame:
     scored = predict(model, eval_df)
-    m = EV.evaluate(scored, LABEL, PRED, PROBS, model.classes)
+    m = EV.evaluate(scored, LABEL, PRED, PROBS, model.classes, labels=model.classes)
     row = [(float(m[k]) if m[k] is not None else None) for k in
            ("accuracy", "f1_score", "log_loss", "precision", "recall", "roc_auc")]
     return spark.createDataFrame(
