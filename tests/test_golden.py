@@ -100,3 +100,14 @@ def test_empty_table_everywhere(spark):
     assert macro_metrics(confusion(preds, "state_province", label)).first()["accuracy"] is None
     scored = preds.select("state_province", F.lit(0.5).alias("p"))
     assert auc_by_class(scored, "state_province", {"x": "p"}).count() == 0
+
+
+def test_available_states_keeps_a_null_region(spark):
+    obs = inline_observations(spark)
+    with_null = obs.unionByName(obs.limit(1).withColumn("state_province", F.lit(None).cast("string")))
+    preds = predict(fixed_model(), engineer(with_null))
+    one = SV.available_states(preds).first()
+    assert one["count"] == 17
+    assert one["states"][0] is None and one["states"][1:] == sorted(RV.STATES)
+    rows = SV.available_states_rows(preds).collect()
+    assert len(rows) == 17 and rows[0]["state_province"] is None and rows[0]["state_index"] == 0
