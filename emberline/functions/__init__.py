@@ -1,12 +1,14 @@
-"""Column-level building blocks (pure Spark expressions, no UDFs)."""
+"""Column-level building blocks (built-in Spark expressions, no UDFs)."""
 
-from .rng import category_cascade, scaled_uniform, split_flag, uniform
+from .rng import cascade_sql, category_cascade, scaled_uniform, split_flag, uniform, uniform_sql
 from .scores import (humidity_risk_score, rule_label, temp_risk_score,
                      threshold_score, wildfire_rule_label)
-from .temporal import iso_datetime, month_of, zoned_wall_time
+from .sqltext import ident, num, text
+from .temporal import iso_datetime, iso_instant, month_of, zoned_wall_time
 
 __all__ = [
-    "category_cascade", "scaled_uniform", "split_flag", "uniform",
+    "cascade_sql", "category_cascade", "scaled_uniform", "split_flag", "uniform", "uniform_sql",
     "humidity_risk_score", "rule_label", "temp_risk_score", "threshold_score",
-    "wildfire_rule_label", "iso_datetime", "month_of", "zoned_wall_time",
+    "wildfire_rule_label", "ident", "num", "text", "iso_datetime", "iso_instant", "month_of",
+    "zoned_wall_time",
 ]

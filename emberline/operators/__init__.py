@@ -1,6 +1,7 @@
 """DataFrame -> DataFrame operators."""
 
-from .enrich import centroid_table, engineer, enrich_coordinates, label_rows
+from .enrich import (centroid_table, coordinates_sql, derived_sql, engineer, enrich_coordinates,
+                     label_rows)
 from .evaluation import (auc_by_class, confusion, confusion_with_loss, evaluate, log_loss,
                        macro_metrics, per_class, roc_auc)
 from .model import LinearModel, Preprocess, first_of, fixed_model, predict, prob_of
@@ -9,7 +10,8 @@ from .train import (TrainConfig, class_weights, first_step, fit_preprocess, mome
                     train_gd, train_lr, vocabulary)
 
 __all__ = [
-    "centroid_table", "engineer", "enrich_coordinates", "label_rows",
+    "centroid_table", "coordinates_sql", "derived_sql", "engineer", "enrich_coordinates",
+    "label_rows",
     "auc_by_class", "confusion", "confusion_with_loss", "evaluate", "log_loss",
     "macro_metrics", "per_class", "roc_auc",
     "LinearModel", "Preprocess", "first_of", "fixed_model", "predict", "prob_of",
