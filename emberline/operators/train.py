@@ -421,12 +421,17 @@ def moments(df: DataFrame, columns: list[str]) -> DataFrame:
 def vocabulary(df: DataFrame, columns: list[str]) -> DataFrame:
     """``(feature, level, level_index)``: sorted distinct levels per categorical.
 
-    The distinct runs distributed; the numbering window sees only the
-    distinct levels of one feature per partition.
+    The distinct runs distributed, and so does the numbering: a global dense
+    row number over ``(feature, level)`` (range-partitioned, see
+    ``with_row_id``) minus each feature's first number.  No task ever holds
+    all levels of a feature, whatever its cardinality.
     """
-    from pyspark.sql import Window
+    from .row_id import with_row_id
     pairs = F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("level")) for c in columns]))
     levels = df.select(pairs.alias("p")).select("p.*").where(F.col("level").isNotNull()).distinct()
-    w = Window.partitionBy("feature").orderBy("level")
-    return levels.withColumn("level_index", (F.row_number().over(w) - 1).cast("bigint"))
+    numbered = with_row_id(levels, ["feature", "level"], name="_n")
+    # one row per requested column: a bound known before anything runs
+    first = numbered.groupBy("feature").agg(F.min("_n").alias("_first"))
+    return (numbered.join(F.broadcast(first), "feature")
+            .select("feature", "level", (F.col("_n") - F.col("_first")).cast("bigint").alias("level_index")))
