@@ -167,3 +167,15 @@ def test_row_id_splits_a_hot_tie_group(spark):
     assert [(r.k, r.v) for r in ordered] == sorted((r.k, r.v) for r in rows)
     sizes = got.groupBy(F.spark_partition_id()).count().collect()
     assert max(r["count"] for r in sizes) < 1000   # the 1000-row tie group is split
+
+
+def test_vocabulary_numbers_many_levels(spark):
+    from emberline.operators.train import vocabulary
+    df = spark.range(0, 20000, numPartitions=6).select(
+        F.format_string("lv%05d", F.col("id") % 5000).alias("big"),
+        F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("small"))
+    got = vocabulary(df, ["big", "small"]).collect()
+    big = sorted((r.level_index, r.level) for r in got if r.feature == "big")
+    assert [i for i, _ in big] == list(range(5000))
+    assert [lv for _, lv in big] == sorted(lv for _, lv in big)
+    assert sorted((r.level, r.level_index) for r in got if r.feature == "small") == [("a", 0), ("b", 1)]
