@@ -89,3 +89,13 @@ def test_partitioned_predictions_prune_region_lookup(spark):
     assert len(rows) == 1 and rows[0]["station_id"] == "station_SN"
     assert SV.available_states(stored).first()["count"] == 16
     C.drop_namespace(spark, ns)
+
+
+def test_batch_command_line(spark, tmpdir_path, capsys):
+    from emberline.plans.batch_job import main
+    out = os.path.join(tmpdir_path, "eval_cli")
+    main(["--rows", "600", "--namespace", "emb_cli_test", "--evaluation-path", out])
+    printed = capsys.readouterr().out
+    assert "training rows: 600" in printed and "predictions: 16" in printed
+    assert spark.read.json(out).count() == 1
+    C.drop_namespace(spark, "emb_cli_test")
