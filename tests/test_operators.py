@@ -179,3 +179,18 @@ def test_vocabulary_numbers_many_levels(spark):
     assert [i for i, _ in big] == list(range(5000))
     assert [lv for _, lv in big] == sorted(lv for _, lv in big)
     assert sorted((r.level, r.level_index) for r in got if r.feature == "small") == [("a", 0), ("b", 1)]
+
+
+def test_levels_with_quotes_and_backslashes_score_exactly(spark):
+    from emberline.operators.model import LinearModel, Preprocess
+    odd = ["it's", "back\\slash", "new\nline", "plain"]
+    pre = Preprocess(["x"], [0.0], [1.0], ["c"], {"c": sorted(odd)})
+    names = pre.feature_names()
+    # class "a" gets weight 1 on each odd level, 0 elsewhere; class "b" is flat
+    w_a = [0.0] + [1.0 if n != "c=plain" else 0.0 for n in names[1:]]
+    model = LinearModel(["a", "b"], pre, [w_a, [0.0] * len(names)], [0.0, 0.0], label="y")
+    df = spark.createDataFrame([(0.0, v) for v in odd] + [(0.0, "unseen")], "x double, c string")
+    got = {r.c: r.predicted_y for r in predict(model, df).collect()}
+    assert got == {"it's": "a", "back\\slash": "a", "new\nline": "a", "plain": "a", "unseen": "a"}
+    probs = {r.c: r.predicted_y_probs[0]["prob"] for r in predict(model, df).collect()}
+    assert probs["plain"] == 0.5 and probs["unseen"] == 0.5 and probs["it's"] > 0.7
