@@ -518,7 +518,7 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY lower(state_province) ORDER BY {_TIE_SQL}) AS rn
   FROM ({PRED_SQL}) p),
 firsts AS (SELECT lower(state_province) AS state_key, {_record_sql()} FROM ranked WHERE rn = 1)
-SELECT req.requested_state, firsts.station_id IS NOT NULL AS found,
+SELECT req.requested_state, firsts.state_key IS NOT NULL AS found,
        firsts.station_id, firsts.state_province, firsts.temperature_celsius, firsts.humidity_percent,
        firsts.wind_speed_ms, firsts.precipitation_mm, firsts.weather_condition,
        firsts.predicted_risk_level, firsts.risk_probability, firsts.timestamp

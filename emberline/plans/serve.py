@@ -99,9 +99,9 @@ def lookup(requests: DataFrame, preds: DataFrame, request_col: str = "requested_
     """
     firsts = first_per_state(preds)
     joined = requests.join(firsts, F.lower(F.col(request_col)) == F.col("state_key"), "left")
-    rec = joined.select(request_col, F.col("rec.*"))
-    return rec.select(request_col, F.col("station_id").isNotNull().alias("found"),
-                      *as_records_columns(zero_as_null))
+    # found = the join matched (a matched record may itself hold NULL fields)
+    rec = joined.select(request_col, F.col("state_key").isNotNull().alias("found"), F.col("rec.*"))
+    return rec.select(request_col, "found", *as_records_columns(zero_as_null))
 
 
 def as_records_columns(zero_as_null: bool) -> list[Column]:

@@ -111,3 +111,12 @@ def test_available_states_keeps_a_null_region(spark):
     assert one["states"][0] is None and one["states"][1:] == sorted(RV.STATES)
     rows = SV.available_states_rows(preds).collect()
     assert len(rows) == 17 and rows[0]["state_province"] is None and rows[0]["state_index"] == 0
+
+
+def test_lookup_found_even_when_the_record_has_null_fields(spark):
+    obs = inline_observations(spark).where(F.col("state_province") == "Berlin") \
+        .withColumn("station_id", F.lit(None).cast("string"))
+    preds = predict(fixed_model(), engineer(obs))
+    req = spark.createDataFrame([("BERLIN",)], "requested_state string")
+    r = SV.lookup(req, preds).first()
+    assert r["found"] and r["station_id"] is None and r["state_province"] == "Berlin"
