@@ -42,7 +42,8 @@ def confusion(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 def per_class(cm: DataFrame, labels: Sequence[str] | None = None) -> DataFrame:
     """Per class: support, predicted count, correct count, precision, recall, f1.
 
-    Classes are those seen as actual or predicted, or exactly ``labels``.
+    Classes are those seen as actual or predicted, or exactly ``labels``;
+    a NULL label forms no class.
     """
     rows = cm.select(F.explode(F.array(
         F.struct(F.col("actual").alias("cls"), F.col("n").alias("support"),
@@ -52,6 +53,7 @@ def per_class(cm: DataFrame, labels: Sequence[str] | None = None) -> DataFrame:
         F.struct(F.col("predicted").alias("cls"), F.lit(0).cast("bigint").alias("support"),
                  F.lit(0).cast("bigint").alias("correct"), F.col("n").alias("pred")),
     )).alias("r")).select("r.*")
+    rows = rows.where(F.col("cls").isNotNull())   # a NULL label is no class
     if labels is not None:
         # exactly the requested classes: a class with no rows at all still
         # counts in the macro means (with precision = recall = 0)
