@@ -120,3 +120,29 @@ def test_lookup_found_even_when_the_record_has_null_fields(spark):
     req = spark.createDataFrame([("BERLIN",)], "requested_state string")
     r = SV.lookup(req, preds).first()
     assert r["found"] and r["station_id"] is None and r["state_province"] == "Berlin"
+
+
+def test_inline_rows_match_duckdb(spark):
+    """The inline table, its zoned timestamp, month and scores recomputed by DuckDB."""
+    import duckdb
+
+    from emberline.plans import oracle as O
+    values = ", ".join(
+        "(" + ", ".join(O.s(v) if isinstance(v, str) else O.d(v) for v in row) + ")"
+        for row in RV.NEXT_DAY_OBSERVATIONS)
+    cols = ", ".join(RV.OBSERVATION_COLUMNS)
+    sql = f"""
+    SELECT station_id, strftime(timezone('{RV.OBSERVATION_ZONE}',
+                                timezone('UTC', TIMESTAMP '{RV.OBSERVATION_TIME}')), '%Y-%m-%dT%H:%M:%S') AS ts,
+           CAST(month(timezone('{RV.OBSERVATION_ZONE}', timezone('UTC', TIMESTAMP '{RV.OBSERVATION_TIME}')))
+                AS BIGINT) AS month,
+           {O.temp_score()} AS temp_risk_score, {O.humidity_score()} AS humidity_risk_score,
+           {O.rule_label()} AS label
+    FROM (VALUES {values}) v({cols})
+    """
+    want = sorted(duckdb.sql(sql).fetchall())
+    from emberline.functions.temporal import iso_datetime
+    got = label_rows(engineer(inline_observations(spark))).select(
+        "station_id", iso_datetime("timestamp").alias("ts"), "month", "temp_risk_score",
+        "humidity_risk_score", RV.LABEL_COLUMN).collect()
+    assert sorted(tuple(r) for r in got) == want
