@@ -30,9 +30,10 @@ def test_namespace_table_model_registry(spark, tmpdir_path):
     assert reg.where(F.col("model_name") == m.name).count() == 1
     back = C.load_model(spark, m.name, ns)
     obs = engineer(inline_observations(spark))
-    a = predict(m, obs).select("predicted_" + RV.LABEL_COLUMN).collect()
-    b = predict(back, obs).select("predicted_" + RV.LABEL_COLUMN).collect()
-    assert a == b
+    cols = ["station_id", "predicted_" + RV.LABEL_COLUMN, "predicted_" + RV.LABEL_COLUMN + "_probs"]
+    a = sorted(tuple(r) for r in predict(m, obs).select(*cols).collect())
+    b = sorted(tuple(r) for r in predict(back, obs).select(*cols).collect())
+    assert a == b                                   # labels and probabilities, bit for bit
     info = SV.model_info(reg, m.name).first()
     assert info["model_name"] == m.name and info["model_schema"] == ns
     missing = SV.model_info_or_error(reg, "nope").first()
