@@ -94,12 +94,21 @@ def main(argv=None) -> None:
     ap.add_argument("--seed", type=int, default=42)
     ap.add_argument("--converged", action="store_true", help="Spark ML L-BFGS instead of GD")
     ap.add_argument("--evaluation-path", default=None, help="write the metrics as JSON here")
+    ap.add_argument("--observations-dir", default=None,
+                    help="score the observation view of lineitem.parquet in this folder "
+                         "instead of the sixteen next-day rows")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
     spark = build_session(args.master, app="emberline-batch")
+    observations = None
+    if args.observations_dir:
+        from ..sources.observations import from_lineitem
+        from ..sources.tables import read_table
+        observations = from_lineitem(read_table(spark, args.observations_dir, "lineitem", balance=True))
     res = run_batch(spark, BatchConfig(namespace=args.namespace, training_rows=args.rows,
                                        seed=args.seed, converged=args.converged,
-                                       evaluation_path=args.evaluation_path))
+                                       evaluation_path=args.evaluation_path),
+                    observations=observations)
     print(f"training rows: {res['training_rows']}")
     print(f"predictions: {res['prediction_rows']}")
     print(json.dumps({k: (None if v is None else str(v)) for k, v in res["metrics"].items()}))
