@@ -13,9 +13,11 @@ import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.enrich import engineer
+from ..catalog import REGION_KEY
 from ..operators.model import LinearModel, predict
 from ..session import ensure_checkpoint_dir
 from ..sources.observations import OBSERVATION_SCHEMA
@@ -34,18 +36,24 @@ def scored_stream(spark: SparkSession, source_dir: str, model: LinearModel,
 
 def start_scoring(spark: SparkSession, source_dir: str, sink_dir: str, model: LinearModel,
                   checkpoint: str | None = None, available_now: bool = True,
-                  schema: str = STREAM_SCHEMA) -> StreamingQuery:
+                  schema: str = STREAM_SCHEMA, partition_by_region: bool = True) -> StreamingQuery:
     """Score every file in ``source_dir`` into parquet files under ``sink_dir``.
 
     ``available_now`` processes what is there and stops (a catch-up run);
-    otherwise the query keeps running and picks up new files.
+    otherwise the query keeps running and picks up new files.  With
+    ``partition_by_region`` the output has the layout of a stored predictions
+    table (``state_key = lower(region)`` folders), so region lookups prune.
     """
     if checkpoint is None:
         base = ensure_checkpoint_dir(spark)
         checkpoint = os.path.join(base, f"scoring-{uuid.uuid4().hex}")
-    writer = (scored_stream(spark, source_dir, model, schema).writeStream
-              .format("parquet").option("path", sink_dir)
+    scored = scored_stream(spark, source_dir, model, schema)
+    if partition_by_region:
+        scored = scored.withColumn(REGION_KEY, F.lower(F.col("state_province")))
+    writer = (scored.writeStream.format("parquet").option("path", sink_dir)
               .option("checkpointLocation", checkpoint).outputMode("append"))
+    if partition_by_region:
+        writer = writer.partitionBy(REGION_KEY)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="10 seconds")
     return writer.start()

@@ -59,6 +59,8 @@ def test_streaming_scoring_equals_batch(spark, tmpdir_path):
     label = "predicted_" + RV.LABEL_COLUMN
     batch = predict(m, engineer(obs.limit(8)))
     assert sorted(r[label] for r in out.collect()) == sorted(r[label] for r in batch.collect())
+    assert "state_key" in out.columns
+    assert SV.prediction_for_state(out, "bayern").count() == 1
 
 
 def test_batch_run_end_to_end(spark, tmpdir_path):
