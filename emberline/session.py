@@ -20,20 +20,33 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
     # remove RDD checkpoint files once their frames are garbage-collected
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
-    # scoring and gradient projections generate wide methods; let the JIT
-    # compile them instead of interpreting their bytecode
-    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
-    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 
+# scoring and gradient projections generate wide methods; let the JIT compile
+# them instead of interpreting their bytecode
+JIT_WIDE_METHODS = "-XX:-DontCompileHugeMethods"
+
+
 def build_session(master: str | None = None, app: str = "emberline",
                   shuffle_partitions: int | None = None,
-                  extra: dict | None = None) -> SparkSession:
+                  extra: dict | None = None, jit_wide_methods: bool = True) -> SparkSession:
+    """A session with the settings above.
+
+    ``jit_wide_methods`` adds the JIT flag to the driver and executor JVM
+    options, but only where no options are configured yet: a cluster's own
+    ``extraJavaOptions`` are never replaced (add the flag there instead).
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if jit_wide_methods:
+        from pyspark import SparkConf
+        preset = SparkConf()
+        for key in ("spark.driver.extraJavaOptions", "spark.executor.extraJavaOptions"):
+            if not preset.get(key, None) and key not in (extra or {}):
+                conf[key] = JIT_WIDE_METHODS
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
