@@ -66,11 +66,13 @@ def base_columns_sql(seed, id_sql: str = "row_id") -> list[str]:
     return cols
 
 
-def id_range(spark: SparkSession, n: int, num_partitions: int | None = None) -> DataFrame:
-    """Ids 1..n as ``row_id``; partitions sized for ~2M rows each."""
+def id_range(spark: SparkSession, n: int, num_partitions: int | None = None,
+             rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
+    """Ids 1..n as ``row_id``; by default one partition per ``rows_per_partition``
+    ids (never fewer partitions than the cluster has cores)."""
     if num_partitions is None:
         num_partitions = max(default_parallelism(spark),
-                             math.ceil(n / ROWS_PER_PARTITION))
+                             math.ceil(n / max(1, rows_per_partition)))
     return spark.range(1, n + 1, numPartitions=num_partitions).withColumnRenamed("id", "row_id")
 
 
@@ -80,9 +82,10 @@ def synthetic_rows(ids: DataFrame, seed: int = 42, id_col: str = "row_id") -> Da
 
 
 def generate_training(spark: SparkSession, n: int = RV.DEFAULT_TRAINING_ROWS,
-                      seed: int = 42, num_partitions: int | None = None) -> DataFrame:
-    """The full 18-column training table for ids 1..n."""
-    return training_from_ids(id_range(spark, n, num_partitions), seed)
+                      seed: int = 42, num_partitions: int | None = None,
+                      rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
+    """The full 18-column training table for ids 1..n (identical for any partitioning)."""
+    return training_from_ids(id_range(spark, n, num_partitions, rows_per_partition), seed)
 
 
 def training_from_ids(ids: DataFrame, seed: int = 42, id_col: str = "row_id") -> DataFrame:
