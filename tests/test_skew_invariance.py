@@ -61,3 +61,10 @@ def test_label_shares_follow_the_uniform_ranges(spark):
     eval_share = split(g)[1].count() / n
     assert abs(eval_share - RV.EVAL_FRACTION) < 0.01
     assert np.isclose(sum(shares.values()), 1.0)
+
+
+def test_generator_rows_per_partition_changes_layout_not_rows(spark):
+    a = generate_training(spark, 4000, seed=2, rows_per_partition=300)
+    b = generate_training(spark, 4000, seed=2)
+    assert a.rdd.getNumPartitions() > b.rdd.getNumPartitions()
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
