@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -54,15 +55,15 @@ def build_session(master: str | None = None, app: str = "emberline",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session; only when nothing is
-    configured (a laptop or a test run) is a private temporary folder set.
+    ``spark.checkpoint.dir`` is read from the session.  Only a local master (a
+    laptop or a test run, where every task shares the driver's disk) may go
+    without; there a private temporary folder is set.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -70,6 +71,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="emberline-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
