@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, sharding
+from . import mixing, packing, sharding, simhash
 from .common import n_words, table, written
 from .oracle import OP8_SQL
 
@@ -35,6 +35,15 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+SHINGLE_WORDS, MAX_BITS = 3, 2
+
+
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents: SimHash over 3-word shingles, at most 2 differing bits."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(d, SHINGLE_WORDS, MAX_BITS)
+
+
 def with_domain(docs: DataFrame) -> DataFrame:
     n = F.regexp_extract(F.coalesce("source", F.lit("")), r"([0-9]+)$", 1)
     names = F.array(F.lit("web"), F.lit("reference"), F.lit("forum"))
@@ -60,7 +69,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_sharding": op1_sharding, "op8_mixing": op8_mixing, "op10_packing": op10_packing}
+    return {"op1_sharding": op1_sharding, "op3_simhash": op3_simhash, "op8_mixing": op8_mixing,
+             "op10_packing": op10_packing}
 
 
 def oracle_sql() -> dict[str, str]:
