@@ -41,3 +41,21 @@ SELECT doc_id, domain, lang, source, CAST(n_tokens AS BIGINT) AS n_tokens, leaf_
          PARTITION BY domain, coalesce(lang, ''), coalesce(source, '') ORDER BY k, n_tokens
          ROWS UNBOUNDED PRECEDING) <= rest THEN 1 ELSE 0 END AS BIGINT) AS copies
 FROM t"""
+
+OP2_SQL = """
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS words FROM documents),
+win AS (
+  SELECT doc_id, p, md5(array_to_string(words[p:p + 49], ' ')) AS k
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS p FROM d)),
+hit AS (
+  SELECT DISTINCT doc_id, p FROM win JOIN (SELECT k, min(doc_id) AS lo FROM win GROUP BY k) USING (k)
+  WHERE lo < doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS p FROM hit),
+word AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS p FROM d),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text
+  FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+       CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""

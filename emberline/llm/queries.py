@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, sharding, simhash
+from . import mixing, packing, sharding, simhash, substring
 from .common import n_words, table, written
-from .oracle import OP8_SQL
+from .oracle import OP2_SQL, OP8_SQL
 
 SHARDS, SHARD_SEED = 8, 20240229
 MIX_SEED, MIX_EPOCHS, MIX_SHARE = 7, 4, (1, 1)
@@ -35,6 +35,16 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+WINDOW_WORDS, ANCHOR_WORDS = 50, 20
+
+
+def op2_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents left after 50-word windows of smaller documents are removed."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring.remove_repeats(d, WINDOW_WORDS, ANCHOR_WORDS).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 SHINGLE_WORDS, MAX_BITS = 3, 2
 
 
@@ -69,9 +79,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_sharding": op1_sharding, "op3_simhash": op3_simhash, "op8_mixing": op8_mixing,
+    return {"op1_sharding": op1_sharding, "op2_substring": op2_substring, "op3_simhash": op3_simhash, "op8_mixing": op8_mixing,
              "op10_packing": op10_packing}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_mixing": OP8_SQL}
+    return {"op2_substring": OP2_SQL, "op8_mixing": OP8_SQL}
