@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, sharding, simhash, substring
+from . import html, mixing, packing, piecewise, sharding, simhash, substring
 from .common import n_words, table, written
 from .oracle import OP2_SQL, OP8_SQL
 
@@ -54,6 +54,17 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(d, SHINGLE_WORDS, MAX_BITS)
 
 
+def op4_piecewise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piecewise fingerprints of all documents, compared with their edited texts' and the next documents'."""
+    return piecewise.edited_likeness(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return html.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def with_domain(docs: DataFrame) -> DataFrame:
     n = F.regexp_extract(F.coalesce("source", F.lit("")), r"([0-9]+)$", 1)
     names = F.array(F.lit("web"), F.lit("reference"), F.lit("forum"))
@@ -79,7 +90,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_sharding": op1_sharding, "op2_substring": op2_substring, "op3_simhash": op3_simhash, "op8_mixing": op8_mixing,
+    return {"op1_sharding": op1_sharding, "op2_substring": op2_substring, "op3_simhash": op3_simhash, "op4_piecewise": op4_piecewise,
+            "op6_html": op6_html, "op8_mixing": op8_mixing,
              "op10_packing": op10_packing}
 
 
