@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html, mixing, packing, piecewise, sharding, simhash, substring
+from . import html, innerproduct, mixing, packing, piecewise, sharding, simhash, substring, toxicity
 from .common import n_words, table, written
-from .oracle import OP2_SQL, OP8_SQL
+from .oracle import OP2_SQL, OP5_SQL, OP8_SQL
 
 SHARDS, SHARD_SEED = 8, 20240229
 MIX_SEED, MIX_EPOCHS, MIX_SHARE = 7, 4, (1, 1)
@@ -60,11 +60,37 @@ def op4_piecewise(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
+QUERY_STEP, TOP_K, VECTOR_SCALE = 100, 10, 1024
+
+
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best inner products of every hundredth vector against all others."""
+    return innerproduct.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % QUERY_STEP == 0,
+                              TOP_K, scale=VECTOR_SCALE)
+
+
 def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of all pages."""
     return html.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+TOXIC_FOLDS, TOXIC_HELD, TOXIC_FROM = 4, 2, 0.3
+
+
+def held_out(folds: int, held: int) -> Column:
+    """Whether a document's fold (crc32 of doc_id as text) is the held-out one; never for a NULL id."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == held, F.lit(False))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from the labels outside the held-out fold."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(d, table(spark, sf_dir, "labels"), ~held_out(TOXIC_FOLDS, TOXIC_HELD))
+    return toxicity.score(d, model).select(
+        "doc_id", held_out(TOXIC_FOLDS, TOXIC_HELD).alias("held_out"), "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
+
+
 def with_domain(docs: DataFrame) -> DataFrame:
     n = F.regexp_extract(F.coalesce("source", F.lit("")), r"([0-9]+)$", 1)
     names = F.array(F.lit("web"), F.lit("reference"), F.lit("forum"))
@@ -91,9 +117,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_sharding": op1_sharding, "op2_substring": op2_substring, "op3_simhash": op3_simhash, "op4_piecewise": op4_piecewise,
-            "op6_html": op6_html, "op8_mixing": op8_mixing,
+            "op5_topk": op5_topk, "op6_html": op6_html, "op7_toxicity": op7_toxicity, "op8_mixing": op8_mixing,
              "op10_packing": op10_packing}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_substring": OP2_SQL, "op8_mixing": OP8_SQL}
+    return {"op2_substring": OP2_SQL, "op5_topk": OP5_SQL, "op8_mixing": OP8_SQL}
