@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html, innerproduct, mixing, packing, piecewise, sharding, simhash, substring, toxicity
+from . import html, innerproduct, katz, mixing, packing, piecewise, sharding, simhash, substring, toxicity
 from .common import n_words, table, written
 from .oracle import OP2_SQL, OP5_SQL, OP8_SQL
 
@@ -107,6 +107,15 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "domain", "lang", "source", "n_tokens", "leaf_budget", "copies")
 
 
+LM_FOLDS, LM_HELD = 7, 2
+
+
+def op9_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Katz backoff and add-one scores of all documents, learned outside the held-out fold."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return katz.score(d, held_out(LM_FOLDS, LM_HELD))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, tokenized, packed into sequences of at most 1024 tokens."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -118,7 +127,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_sharding": op1_sharding, "op2_substring": op2_substring, "op3_simhash": op3_simhash, "op4_piecewise": op4_piecewise,
             "op5_topk": op5_topk, "op6_html": op6_html, "op7_toxicity": op7_toxicity, "op8_mixing": op8_mixing,
-             "op10_packing": op10_packing}
+             "op9_katz": op9_katz, "op10_packing": op10_packing}
 
 
 def oracle_sql() -> dict[str, str]:
