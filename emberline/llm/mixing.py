@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+SALTS = 64  # parts of a leaf in the join with its budget
 SUB_DIGITS = 3  # a leaf's order is cut into 16 ** SUB_DIGITS ranges of the order key
 
 
@@ -87,7 +88,10 @@ def mix(docs: DataFrame, levels: list[str], weights: list[dict], defaults: list[
         *lv, F.col("budget").alias("leaf_budget"),
         F.when(F.col("tokens") > 0, F.expr("budget div tokens")).otherwise(0).alias("_mx_full"),
         F.when(F.col("tokens") > 0, F.expr("budget % tokens")).otherwise(0).alias("_mx_left"))
-    t = t.join(budgets, lv)
+    # the salt keeps the rows of a hot leaf apart here, and the running sums on shuffles of their own
+    t = t.withColumn("_mx_z", F.pmod(F.xxhash64(doc_id), F.lit(SALTS)))
+    budgets = budgets.withColumn("_mx_z", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+    t = t.join(budgets, [*lv, "_mx_z"]).drop("_mx_z")
     t = t.withColumn("_mx_k", order_key(F.col(doc_id), seed, F.col("_mx_full")))
     t = t.withColumn("_mx_s", F.substring("_mx_k", 1, SUB_DIGITS))
     part = [*lv, "_mx_s"]

@@ -32,6 +32,7 @@ from .components import components
 from .sharding import mix64
 
 SEED = 42
+NO_ID = 2**63 - 1  # stands for a NULL doc_id
 PAIRS, GROUPS, SPREAD = 32, 6, 16
 
 
@@ -54,18 +55,25 @@ def fingerprint_of(words: list[bytes], width: int) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fp): fp holds the 64 bits as a signed long.  NULL texts count as empty."""
+    """(doc_id, row_key, fp): fp holds the 64 bits as a signed long, row_key a hash of
+    the text.  NULL texts count as empty."""
     small_batches(docs.sparkSession)
+    names = ["doc_id", "row_key", "fp"]
 
     def run(batches):
         for batch in batches:
-            fps = [fingerprint_of(t.lower().split(), width) for t in batch.column(1).to_pylist()]
+            fps = [fingerprint_of(t.lower().split(), width) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64), pa.int64())], names=["doc_id", "fp"])
+                [*batch.columns[:2], pa.array(np.array(fps, np.uint64).view(np.int64), pa.int64())], names=names)
 
     # bytes.lower() and bytes.split() act on ASCII letters and on the six ASCII spaces only
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), as_bytes(F.col(text))).mapInArrow(
-        run, "doc_id long, fp long")
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_key(text), as_bytes(F.col(text))).mapInArrow(
+        run, ", ".join(f"{c} long" for c in names))
+
+
+def row_key(text: str) -> Column:
+    """Tells rows of one doc_id apart by their text."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("row_key")
 
 
 def pivots() -> tuple[list[int], list[int]]:
@@ -113,21 +121,39 @@ def links(fps: DataFrame, max_bits: int) -> DataFrame:
     return pairs.select(F.col("fp_a").alias("u"), F.col("fp_b").alias("v")).distinct()
 
 
+def _classes(docs: DataFrame, width: int, max_bits: int, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, row_key, fp), and for each distinct fp its class (the smallest fp
+    reachable) and its first row: smallest doc_id, NULL last, then smallest row_key."""
+    own = written(fingerprints(docs, width, doc_id, text), "simhash")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key"))
+    distinct = written(own.groupBy("fp").agg(first.alias("first")), "fingerprints")
+    found = components(links(distinct.select("fp"), max_bits))
+    return own, distinct.join(found, distinct["fp"] == found["node"], "left").select(
+        "fp", "first", F.coalesce("component", "fp").alias("class"))
+
+
 def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 2,
                     doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fingerprint, component_id, representative) for every row.
+    """(doc_id, fingerprint, component_id) for every row.
 
     ``component_id`` is the smallest doc_id reachable over links (NULL ids count
     last: NULL only if a component has no other).  Repeated rows come back each.
     Texts without words have fingerprint zero and link like any other; a text of
     fewer words than ``width`` is one shingle.  An empty table gives none.
     """
-    own = written(fingerprints(docs, width, doc_id, text), "simhash")
-    distinct = written(own.groupBy("fp").agg(F.min("doc_id").alias("low")), "fingerprints")
-    found = components(links(distinct.select("fp"), max_bits))
-    classes = distinct.join(found, distinct["fp"] == found["node"], "left").select(
-        "fp", "low", F.coalesce("component", "fp").alias("class"))
-    lowest = classes.groupBy("class").agg(F.min("low").alias("component_id"))
-    member = classes.join(lowest, "class").select("fp", "component_id")
+    own, classes = _classes(docs, width, max_bits, doc_id, text)
+    lowest = classes.groupBy("class").agg(F.min("first.doc_id").alias("component_id"))
+    member = written(classes.join(lowest, "class").select("fp", "component_id"), "members")
     return own.join(member, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, width: int = 3, max_bits: int = 2,
+             doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stand for their class: one of each, that of the smallest
+    doc_id (NULL ids last; of rows that repeat it, that of the smallest text hash)."""
+    _, classes = _classes(docs, width, max_bits, doc_id, text)
+    stay = classes.groupBy("class").agg(F.min("first").alias("k")).select(
+        F.coalesce("k.doc_id", F.lit(NO_ID)).alias("_ko_id"), F.col("k.row_key").alias("_ko_key")).distinct()
+    keyed = docs.withColumns({"_ko_id": F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)), "_ko_key": row_key(text)})
+    return keyed.join(stay, ["_ko_id", "_ko_key"], "left_semi").dropDuplicates(["_ko_id", "_ko_key"]).drop("_ko_id", "_ko_key")

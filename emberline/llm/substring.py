@@ -169,11 +169,14 @@ def _source_digests(docs: DataFrame, spans: DataFrame, window: int) -> DataFrame
 def repeated_spans(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     """Spans (d, start, n, s, s0): edges start .. start+n-1 of document d, found at s0 in a smaller document s."""
     paths = _paths(docs, window, anchor)
-    shared = paths.groupBy("anchor").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).where("lo < hi")
-    paths = written(paths.join(shared.select("anchor"), "anchor"), "repeat-paths")
+    # tables, not subplans: Spark splits hot keys of a join only where both sides are shuffled for it
+    shared = written(paths.groupBy("anchor").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).where(
+        "lo < hi").select("anchor"), "repeat-anchors")
+    paths = written(paths.join(shared, "anchor"), "repeat-paths")
     distinct = paths.groupBy("anchor", "path").agg(F.min("d").alias("s"), F.min_by("start", "d").alias("s0"))
     branches = distinct.groupBy("anchor").agg((F.count(F.lit(1)) > 1).alias("branches"))
-    known = paths.join(distinct, ["anchor", "path"]).join(branches, "anchor")
+    distinct = written(distinct.join(branches, "anchor"), "distinct-paths")
+    known = paths.join(distinct, ["anchor", "path"])
     whole = known.where("s < d").select("d", "start", "n", "s", "s0")
     edges = _edges(docs, known.where("s = d and branches").select("d", "start", "n"), window)
     first = edges.groupBy("e1", "e2").agg(F.min("d").alias("s"), F.max("d").alias("hi"),
@@ -191,9 +194,10 @@ def repeated_spans(docs: DataFrame, window: int, anchor: int) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, window: int = 50, anchor: int = 20,
-                   doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+                   doc_id: str = "doc_id", text: str = "text", as_is: bool = False) -> DataFrame:
     """``docs`` without its text, plus ``n_words``, ``n_removed`` and ``kept`` (the
-    words that stay, joined by one space, as UTF-8 bytes).
+    words that stay, joined by one space, as UTF-8 bytes; with ``as_is``, a text
+    that loses nothing keeps its own spacing).
 
     A word goes if a window of ``window`` words covers it whose words also start
     in a document with a smaller doc_id; windows are judged on the input.  NULL
@@ -227,7 +231,8 @@ def remove_repeats(docs: DataFrame, window: int = 50, anchor: int = 20,
                 gone = (np.cumsum(marks[:-1]) > 0).tolist()
                 n_words.append(len(words))
                 n_removed.append(sum(gone))
-                kept.append(b" ".join(w for w, g in zip(words, gone) if not g) if n_removed[-1] else b" ".join(words))
+                kept.append(t if as_is and not n_removed[-1] else b" ".join(
+                    [w for w, g in zip(words, gone) if not g] if n_removed[-1] else words))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(f"_rr_o{i}") for i in range(len(others))),
                  pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary())],

@@ -14,8 +14,10 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -225,7 +227,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, doc_id: str = "doc_i
         if w >= LEAST_WEIGHT:
             weights[f] = w
     model = {"costs": costs, "weights": weights, "a": -3.0, "b": 1.0}
-    held = evidences(sample.where("fold = 0").select("text", "toxic"), model).toPandas()  # a quarter of the sample
+    held = evidences(sample.where("fold = 0").select("text", "toxic"), model).drop("text").toPandas()  # a quarter of the sample
     model["a"], model["b"] = calibrate(held["evidence"].to_numpy(), held["toxic"].to_numpy(), model["a"], model["b"])
     return model
 
@@ -246,24 +248,21 @@ def calibrate(x: np.ndarray, y: np.ndarray, a: float, b: float) -> tuple[float,
 
 def evidences(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     """``docs`` plus ``evidence``, 0 for empty and NULL texts."""
-    others = [c for c in docs.columns if c != text]
-    src = docs.select(F.coalesce(F.col(text), F.lit("")).alias("_tx"), *[F.col(f"`{c}`").alias(f"_o{i}") for i, c in enumerate(others)])
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((model["costs"], model["weights"]))  # bounded by the sample
-    schema = src.drop("_tx").schema.add("evidence", "double")
 
-    def run(batches):
+    @F.pandas_udf("double")
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         costs, table = shared.value
         cache, weights = Readings(costs), Weights(table)
-        for batch in batches:
-            x = [evidence(words_of(t, costs, cache), weights) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(x, pa.float64())], names=schema.names)
+        for texts in parts:
+            yield pd.Series([evidence(words_of(t, costs, cache), weights) for t in texts], dtype="float64")
 
-    return src.mapInArrow(run, schema).select(
-        *[F.col(f"_o{i}").alias(c) for i, c in enumerate(others)], "evidence")
+    return docs.withColumn("evidence", run(F.coalesce(F.col(text), F.lit(""))))
 
 
 def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
-    """``docs`` without its text, plus ``score`` (0 to 1).
+    """``docs`` plus ``score`` (0 to 1).
 
     Empty and NULL texts have no evidence and get the lowest score; repeated
     rows come back each; an empty table gives an empty result.
