@@ -90,7 +90,7 @@ def mix(docs: DataFrame, levels: list[str], weights: list[dict], defaults: list[
         F.when(F.col("tokens") > 0, F.expr("budget % tokens")).otherwise(0).alias("_mx_left"))
     # the salt keeps the rows of a hot leaf apart here, and the running sums on shuffles of their own
     t = t.withColumn("_mx_z", F.pmod(F.xxhash64(doc_id), F.lit(SALTS)))
-    budgets = budgets.withColumn("_mx_z", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+    budgets = budgets.withColumn("_mx_z", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     t = t.join(budgets, [*lv, "_mx_z"]).drop("_mx_z")
     t = t.withColumn("_mx_k", order_key(F.col(doc_id), seed, F.col("_mx_full")))
     t = t.withColumn("_mx_s", F.substring("_mx_k", 1, SUB_DIGITS))
