@@ -13,32 +13,49 @@ from emberline.llm import mixing, packing, simhash, substring, toxicity
 from emberline.llm import queries as q
 from emberline.llm.common import n_words, table, written
 
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def keeps_columns(stage):
+    """Extra columns travel under names of their own, whatever they are called."""
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        own = {c: c if c in COLUMNS else f"_extra{i}" for i, c in enumerate(docs.columns)}
+        out = stage(spark, docs.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()]), sf_dir)
+        return out.select(*[F.col(n).alias(c) for c, n in own.items()])
+    run.__name__, run.__doc__ = stage.__name__, stage.__doc__
+    return run
+
+
 MIX_SHARE = (9, 10)  # of the words that reach the mixing stage, each document once at most
 
 
+@keeps_columns
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score stays under the threshold."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~q.held_out(q.TOXIC_FOLDS, q.TOXIC_HELD))
-    return toxicity.score(docs, model).where(F.col("score") < q.TOXIC_FROM).select(*docs.columns)
+    return toxicity.score(docs, model).where(F.col("score") < q.TOXIC_FROM)
 
 
+@keeps_columns
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash class: that of the smallest doc_id."""
     return simhash.keep_one(docs, q.SHINGLE_WORDS, q.MAX_BITS)
 
 
+@keeps_columns
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the words of 50-word windows that a smaller doc_id has too."""
     left = substring.remove_repeats(docs, q.WINDOW_WORDS, q.ANCHOR_WORDS, as_is=True)
     left = left.withColumn("text", F.col("kept").cast("string"))
-    return left.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    return left.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+@keeps_columns
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that fit their source's share of the token budget."""
     counted = q.with_domain(docs.withColumn("n_tokens", n_words(F.col("text"))))
     mixed = mixing.mix(counted, ["domain", "lang", "source"], q.MIX_WEIGHTS, q.MIX_DEFAULTS, MIX_SHARE, 1, q.MIX_SEED)
-    return mixed.where("copies > 0").select(*docs.columns)
+    return mixed.where("copies > 0")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

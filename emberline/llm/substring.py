@@ -195,7 +195,7 @@ def repeated_spans(docs: DataFrame, window: int, anchor: int) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, window: int = 50, anchor: int = 20,
                    doc_id: str = "doc_id", text: str = "text", as_is: bool = False) -> DataFrame:
-    """``docs`` without its text, plus ``n_words``, ``n_removed`` and ``kept`` (the
+    """``docs`` without its text (and columns named as the new ones), plus ``n_words``, ``n_removed`` and ``kept`` (the
     words that stay, joined by one space, as UTF-8 bytes; with ``as_is``, a text
     that loses nothing keeps its own spacing).
 
@@ -213,7 +213,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, anchor: int = 20,
     spans = repeated_spans(plain, window, anchor)
     sure = spans.join(_source_digests(plain, spans, window), ["s", "s0", "n"])
     lists = sure.groupBy("d").agg(F.collect_set(F.struct("start", "n", "digest")).alias("_rr_p"))
-    others = [c for c in docs.columns if c != text]
+    others = [c for c in docs.columns if c not in (text, "n_words", "n_removed", "kept")]
     full = docs.select(key.alias("d"), as_bytes(F.col(text)).alias("text"), *[
         F.col(f"`{c}`").alias(f"_rr_o{i}") for i, c in enumerate(others)])
 

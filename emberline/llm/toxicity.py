@@ -117,6 +117,7 @@ def readings(word: str, costs: np.ndarray) -> str:
     plain = word.strip(TRIM)
     if not ODD.search(word):
         return plain
+    word = word.lstrip("\"'([{").rstrip(".,;:!?\"')]}")
     # long tokens (keys, links) are read piece by piece, so no part is left out
     return "".join(restore(word[i:i + LONGEST], costs) for i in range(0, len(word), LONGEST)).strip(TRIM)
 
