@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from . import reference_values as RV
 from .operators.model import LinearModel, Preprocess
-from .session import ensure_checkpoint_dir
 
 REGISTRY = "model_registry"
 REGISTRY_SCHEMA = ("model_catalog string, model_schema string, model_name string, "
@@ -123,23 +122,17 @@ def save_model(spark: SparkSession, model: LinearModel, namespace: str,
     row = spark.createDataFrame(
         [(catalog_name, namespace, model.name, model.model_type, created, now,
           json.dumps(model.classes), model.label)], REGISTRY_SCHEMA)
+    # one row is appended per save and readers take the latest of a name: nothing
+    # that another writer or a crash could lose is read back and rewritten
     if spark.catalog.tableExists(f"{namespace}.{REGISTRY}"):
-        previous = read_saved(spark, REGISTRY, namespace)
-        kept = previous.where(F.col("model_name") != F.lit(model.name))
-        old = previous.where(F.col("model_name") == F.lit(model.name)).select("creation_time").take(1)
-        if old:
-            row = row.withColumn("creation_time", F.lit(old[0]["creation_time"]))
-        # cut the lineage to the table that is about to be overwritten: a
-        # reliable checkpoint in the cluster's checkpoint folder
-        ensure_checkpoint_dir(spark)
-        merged = kept.unionByName(row).checkpoint(eager=True)
-        save_table(merged, REGISTRY, namespace)
-    else:
-        save_table(row, REGISTRY, namespace)
+        known = registry(spark, namespace).where(F.col("model_name") == F.lit(model.name))
+        row = row.join(known.select("model_name", F.col("creation_time").alias("_first")), "model_name", "left").withColumn(
+            "creation_time", F.coalesce("_first", "creation_time")).select(*row.columns)
+    row.write.mode("append").format("parquet").saveAsTable(f"{_q(namespace)}.{_q(REGISTRY)}")
 
 
 def load_model(spark: SparkSession, name: str, namespace: str) -> LinearModel:
-    reg = read_saved(spark, REGISTRY, namespace).where(F.col("model_name") == F.lit(name)).take(1)
+    reg = registry(spark, namespace).where(F.col("model_name") == F.lit(name)).take(1)
     if not reg:
         raise KeyError(f"model {name} is not registered in {namespace}")
     classes = json.loads(reg[0]["classes"])
@@ -157,8 +150,9 @@ def load_model(spark: SparkSession, name: str, namespace: str) -> LinearModel:
 
 
 def registry(spark: SparkSession, namespace: str) -> DataFrame:
-    """The registry table (what a catalog's MODELS view would show)."""
-    return read_saved(spark, REGISTRY, namespace)
+    """The latest registry row of every model (what a catalog's MODELS view would show)."""
+    saved = read_saved(spark, REGISTRY, namespace)
+    return saved.groupBy("model_name").agg(F.max_by(F.struct(*saved.columns), "last_modified_time").alias("r")).select("r.*")
 
 
 DEFAULT_NAMESPACE = "wildfire"

@@ -6,7 +6,7 @@ from .evaluation import (auc_by_class, confusion, confusion_with_loss, evaluate,
                        macro_metrics, per_class, roc_auc)
 from .model import LinearModel, Preprocess, first_of, fixed_model, predict, prob_of
 from .row_id import with_row_id
-from .train import (TrainConfig, class_weights, first_step, fit_preprocess, moments, split,
+from .train import (TrainConfig, class_weights, first_step, moments, optimality, split,
                     train_gd, train_lr, vocabulary)
 
 __all__ = [
@@ -16,6 +16,6 @@ __all__ = [
     "macro_metrics", "per_class", "roc_auc",
     "LinearModel", "Preprocess", "first_of", "fixed_model", "predict", "prob_of",
     "with_row_id",
-    "TrainConfig", "class_weights", "first_step", "fit_preprocess", "moments", "split",
+    "TrainConfig", "class_weights", "first_step", "moments", "optimality", "split",
     "train_gd", "train_lr", "vocabulary",
 ]

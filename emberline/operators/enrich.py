@@ -13,10 +13,6 @@ from ..functions.sqltext import num, text
 from ..functions.scores import humidity_risk_score, temp_risk_score, wildfire_rule_label
 
 
-# a centroid table up to this many rows (about 50 bytes each) is broadcast
-MAX_BROADCAST_CENTROIDS = 100_000
-
-
 def _literal_map(entries: dict, position: int) -> Column:
     return F.create_map(*chain.from_iterable(
         (F.lit(k), F.lit(float(v[position]))) for k, v in entries.items()))
@@ -35,9 +31,9 @@ def enrich_coordinates(df: DataFrame, seed: int = 42, id_col: str = "row_id",
     (default: the sixteen states), compiled into literal maps inside the
     projection -- a lookup with no join and no shuffle -- or a DataFrame with
     columns ``state_province, lon, lon_spread, lat, lat_spread``, joined on the
-    state: broadcast when its row count is within ``MAX_BROADCAST_CENTROIDS``
-    (checked by reading at most that many rows), else a shuffle join.
-    Unknown and NULL states take ``default``.
+    state; adaptive execution picks the join on measured sizes.  A state listed
+    twice takes its smallest entry, so no row is multiplied.  Unknown and NULL
+    states take ``default``.
     """
     rid = F.col(id_col)
     u_lon = uniform(seed, "longitude", rid)
@@ -50,14 +46,10 @@ def enrich_coordinates(df: DataFrame, seed: int = 42, id_col: str = "row_id",
         lon = _jitter(F.coalesce(look(0), d_lon), F.coalesce(look(1), d_lon_s), u_lon)
         lat = _jitter(F.coalesce(look(2), d_lat), F.coalesce(look(3), d_lat_s), u_lat)
         return df.withColumns({"longitude": lon, "latitude": lat})
-    c = centroids.select(
-        F.col("state_province").alias("_c_state"), F.col("lon").alias("_c_lon"),
-        F.col("lon_spread").alias("_c_lon_s"), F.col("lat").alias("_c_lat"),
-        F.col("lat_spread").alias("_c_lat_s"))
-    # broadcast only behind a proven bound: at most MAX_BROADCAST_CENTROIDS
-    # rows (reading stops at bound + 1); a larger table is joined by shuffle
-    if c.limit(MAX_BROADCAST_CENTROIDS + 1).count() <= MAX_BROADCAST_CENTROIDS:
-        c = F.broadcast(c)
+    entry = F.min(F.struct("lon", "lon_spread", "lat", "lat_spread")).alias("c")
+    c = centroids.groupBy(F.col("state_province").alias("_c_state")).agg(entry).select(
+        "_c_state", F.col("c.lon").alias("_c_lon"), F.col("c.lon_spread").alias("_c_lon_s"),
+        F.col("c.lat").alias("_c_lat"), F.col("c.lat_spread").alias("_c_lat_s"))
     joined = df.join(c, F.col(state_col) == F.col("_c_state"), "left")
     lon = _jitter(F.coalesce("_c_lon", d_lon), F.coalesce("_c_lon_s", d_lon_s), u_lon)
     lat = _jitter(F.coalesce("_c_lat", d_lat), F.coalesce("_c_lat_s", d_lat_s), u_lat)

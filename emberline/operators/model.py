@@ -12,7 +12,6 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
-from itertools import chain
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,10 +19,9 @@ from pyspark.sql import functions as F
 from .. import reference_values as RV
 from ..functions.sqltext import ident, num, text
 
-# Bound on the levels of one categorical feature: the vocabulary is collected
-# to the driver and inlined into plans, so its size must be known-small.
-MAX_LEVELS = 10_000
-MAX_CLASSES = 1_000
+def number(c: str) -> Column:
+    """A numeric input as double, NaN as NULL."""
+    return F.nullif(F.col(c).cast("double"), F.lit(float("nan")))
 
 
 @dataclass
@@ -43,9 +41,9 @@ class Preprocess:
         return names
 
     def numeric_column(self, i: int) -> Column:
-        """Standardised numeric input; NULL becomes 0 (the training mean)."""
-        c, mu, sd = self.numeric[i], self.means[i], self.stds[i]
-        return F.coalesce((F.col(c).cast("double") - F.lit(mu)) / F.lit(sd), F.lit(0.0))
+        """Standardised numeric input; NULL and NaN become 0 (the training mean)."""
+        mu, sd = self.means[i], self.stds[i]
+        return F.coalesce((number(self.numeric[i]) - F.lit(mu)) / F.lit(sd), F.lit(0.0))
 
     def feature_columns(self) -> list[Column]:
         """Dense design columns in ``feature_names`` order."""
@@ -74,30 +72,13 @@ class LinearModel:
     def n_numeric(self) -> int:
         return len(self.pre.numeric)
 
-    def logit(self, k: int) -> Column:
-        """``b_k + sum_j w_kj x_j``; categoricals are one map lookup each."""
-        w = self.weights[k]
-        expr = F.lit(float(self.intercepts[k]))
-        for j in range(self.n_numeric):
-            expr = expr + F.lit(float(w[j])) * self.pre.numeric_column(j)
-        j = self.n_numeric
-        for c in self.pre.categorical:
-            levels = self.pre.vocab[c]
-            if levels:
-                lut = F.create_map(*chain.from_iterable(
-                    (F.lit(v), F.lit(float(w[j + i]))) for i, v in enumerate(levels)))
-                expr = expr + F.coalesce(F.try_element_at(lut, F.col(c).cast("string")),
-                                         F.lit(0.0))
-            j += len(levels)
-        return expr
-
     def logit_sql(self, k: int) -> str:
         """The same logit as Spark SQL text (one parse instead of many column calls)."""
         w = self.weights[k]
         pre = self.pre
         expr = num(self.intercepts[k])
         for j, c in enumerate(pre.numeric):
-            std = (f"coalesce((CAST({ident(c)} AS DOUBLE) - {num(pre.means[j])}) / "
+            std = (f"coalesce((nullif(CAST({ident(c)} AS DOUBLE), double('NaN')) - {num(pre.means[j])}) / "
                    f"{num(pre.stds[j])}, {num(0.0)})")
             expr = f"({expr} + {num(w[j])} * {std})"
         j = len(pre.numeric)
@@ -119,12 +100,6 @@ class LinearModel:
         return out
 
 
-def _tmp(prefix: str, k: int) -> str:
-    return f"__{prefix}{k}"
-
-
-
-
 def predict(model: LinearModel, df: DataFrame, label_col: str | None = None,
             probs_col: str | None = None, prob_columns: bool = False) -> DataFrame:
     """Input columns + predicted label + array<struct<label, prob>>.
@@ -161,63 +136,11 @@ def predict(model: LinearModel, df: DataFrame, label_col: str | None = None,
 
 
 def sorted_probs_sql(classes: list[str], probs: list[str]) -> str:
-    """SQL text of ``sorted_probs`` (same order: prob descending, label ascending)."""
-    k = len(classes)
+    """SQL text of array<struct<label, prob>>, by prob descending, label ascending."""
     items = [f"named_struct('label', {text(c)}, 'prob', {p})" for c, p in zip(classes, probs)]
-    if k > CODEGEN_SORT_MAX_CLASSES:
-        return (f"array_sort(array({', '.join(items)}), (a, b) -> CASE "
-                "WHEN a.prob > b.prob THEN -1 WHEN a.prob < b.prob THEN 1 "
-                "WHEN a.label < b.label THEN -1 WHEN a.label > b.label THEN 1 ELSE 0 END)")
-    pos = []
-    for i in range(k):
-        terms = []
-        for j in range(k):
-            if j == i:
-                continue
-            tie = "true" if classes[j] < classes[i] else "false"
-            terms.append(f"CASE WHEN {probs[j]} > {probs[i]} OR ({probs[j]} = {probs[i]} AND {tie}) "
-                         f"THEN 1 ELSE 0 END")
-        pos.append("(" + (" + ".join(terms) or "0") + ")")
-    slots = []
-    for p in range(k):
-        whens = " ".join(f"WHEN {pos[i]} = {p} THEN {items[i]}" for i in range(k))
-        slots.append(f"CASE {whens} END")
-    return f"array({', '.join(slots)})"
-
-
-# Above this many classes the array is sorted with a comparator (a lambda,
-# evaluated outside whole-stage codegen); below it the order is spelled out
-# with comparisons that compile into the generated code.
-CODEGEN_SORT_MAX_CLASSES = 8
-
-
-def sorted_probs(classes: list[str], probs: list[Column]) -> Column:
-    """array<struct<label, prob>> ordered by prob descending, label ascending."""
-    k = len(classes)
-    items = [F.struct(F.lit(c).alias("label"), p.alias("prob")) for c, p in zip(classes, probs)]
-    if k > CODEGEN_SORT_MAX_CLASSES:
-        return F.array_sort(F.array(*items), lambda a, b: F.when(a["prob"] > b["prob"], F.lit(-1))
-                            .when(a["prob"] < b["prob"], F.lit(1))
-                            .when(a["label"] < b["label"], F.lit(-1))
-                            .when(a["label"] > b["label"], F.lit(1))
-                            .otherwise(F.lit(0)))
-    # position of class i = number of classes ranked before it
-    pos = []
-    for i in range(k):
-        ahead = F.lit(0)
-        for j in range(k):
-            if j == i:
-                continue
-            before = (probs[j] > probs[i]) | ((probs[j] == probs[i]) & F.lit(classes[j] < classes[i]))
-            ahead = ahead + F.when(before, F.lit(1)).otherwise(F.lit(0))
-        pos.append(ahead)
-    slots = []
-    for p in range(k):
-        slot = None
-        for i in range(k):
-            slot = F.when(pos[i] == p, items[i]) if slot is None else slot.when(pos[i] == p, items[i])
-        slots.append(slot)
-    return F.array(*slots)
+    return (f"array_sort(array({', '.join(items)}), (a, b) -> CASE "
+            "WHEN a.prob > b.prob THEN -1 WHEN a.prob < b.prob THEN 1 "
+            "WHEN a.label < b.label THEN -1 WHEN a.label > b.label THEN 1 ELSE 0 END)")
 
 
 def prob_of(probs_col: str, label) -> Column:
@@ -226,9 +149,12 @@ def prob_of(probs_col: str, label) -> Column:
     return F.coalesce(F.try_element_at(F.map_from_entries(F.col(probs_col)), key), F.lit(0.0))
 
 
-def first_of(probs_col: str, field_name: str) -> Column:
-    """``probs[0].field`` -- the first element, NULL for an empty array."""
-    return F.try_element_at(F.col(probs_col), F.lit(1))[field_name]
+def first_of(probs_col: str, field_name: str, strict: bool = False) -> Column:
+    """``probs[0].field`` -- the first element; of an empty array NULL, or an error if ``strict``."""
+    first = F.try_element_at(F.col(probs_col), F.lit(1))[field_name]
+    if strict:
+        first = F.when(F.size(probs_col) == 0, F.raise_error(F.lit(f"{probs_col} is empty"))).otherwise(first)
+    return first
 
 
 def fixed_preprocess() -> Preprocess:

@@ -12,6 +12,7 @@ row ever leaves the executors.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from .. import reference_values as RV
 from ..functions.rng import split_flag
 from ..functions.sqltext import num, text
-from .model import MAX_CLASSES, MAX_LEVELS, LinearModel, Preprocess
+from .model import LinearModel, Preprocess, number
 
 
 @dataclass
@@ -51,22 +52,10 @@ class TrainConfig:
 def class_weights(df: DataFrame, label: str = RV.LABEL_COLUMN) -> DataFrame:
     """``(label, n, weight)`` with ``weight = N / (k * n_label)`` (balanced)."""
     counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    tot = F.sum("n").over(_whole())
-    k = F.count(F.lit(1)).over(_whole())
-    return counts.select(label, "n", (tot / (k * F.col("n")).cast("double")).alias("weight"))
-
-
-def _whole():
-    from pyspark.sql import Window
-    # one row per class: a bounded table, a global window is one small task
-    return Window.partitionBy()
-
-
-def collect_class_weights(df: DataFrame, label: str, balanced: bool) -> dict[str, float]:
-    rows = class_weights(df, label).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes in {label}")
-    return {r[label]: (float(r["weight"]) if balanced else 1.0) for r in rows}
+    # the totals are one row, attached by a broadcast
+    totals = counts.agg(F.sum("n").alias("_tot"), F.count(F.lit(1)).alias("_k"))
+    weight = F.col("_tot") / (F.col("_k") * F.col("n")).cast("double")
+    return counts.crossJoin(F.broadcast(totals)).select(label, "n", weight.alias("weight"))
 
 
 # ------------------------------------------------------------------ split --
@@ -86,7 +75,7 @@ def _moments_row(df: DataFrame, numeric: list[str]) -> tuple[list[float], list[f
         return [], []
     aggs = []
     for c in numeric:
-        x = F.col(c).cast("double")
+        x = number(c)
         aggs += [F.avg(x).alias(f"m_{c}"), F.stddev_samp(x).alias(f"s_{c}")]
     row = df.agg(*aggs).first()
     means, stds = [], []
@@ -100,12 +89,12 @@ def _moments_row(df: DataFrame, numeric: list[str]) -> tuple[list[float], list[f
 _LABEL_KEY = "\u0000label"
 
 
-def _level_counts(df: DataFrame, columns: list[str], bound: int, label: str | None = None):
+def _level_counts(df: DataFrame, columns: list[str], label: str | None = None):
     """``{column: {level: count}}`` from one grouped aggregate over (column, level).
 
     The label, when given, rides along as one more column, so vocabulary and
-    class counts cost a single pass.  At most ``bound + 1`` rows are
-    collected; more raises.
+    class counts cost a single pass.  What is collected becomes the model's
+    own vocabulary: one row per coefficient.
     """
     items = [F.struct(F.lit(c).alias("f"), F.col(c).cast("string").alias("v")) for c in columns]
     if label is not None:
@@ -114,9 +103,7 @@ def _level_counts(df: DataFrame, columns: list[str], bound: int, label: str | No
         return {}
     rows = (df.select(F.explode(F.array(*items)).alias("p")).select("p.f", "p.v")
             .where(F.col("v").isNotNull()).groupBy("f", "v").agg(F.count(F.lit(1)).alias("n"))
-            .limit(bound + 1).collect())
-    if len(rows) > bound:
-        raise ValueError(f"more than {bound} distinct levels in {columns + ([label] if label else [])}")
+            .collect())
     out: dict[str, dict[str, int]] = {c: {} for c in columns}
     if label is not None:
         out[_LABEL_KEY] = {}
@@ -125,18 +112,6 @@ def _level_counts(df: DataFrame, columns: list[str], bound: int, label: str | No
     return out
 
 
-def fit_preprocess(df: DataFrame, numeric: list[str], categorical: list[str],
-                   max_levels: int = MAX_LEVELS) -> Preprocess:
-    """Means / sample stds (one aggregate job) and sorted levels (one grouped job)."""
-    means, stds = _moments_row(df, numeric)
-    counts = _level_counts(df, categorical, max_levels * max(1, len(categorical)))
-    vocab = {c: sorted(counts[c]) for c in categorical}
-    for c in categorical:
-        if len(vocab[c]) > max_levels:
-            raise ValueError(f"{c} has more than {max_levels} levels")
-    return Preprocess(list(numeric), means, stds, list(categorical), vocab)
-
-
 def design(df: DataFrame, pre: Preprocess, label: str, weights: dict[str, float]) -> DataFrame:
     """``_x0.._x{d-1}`` (double), ``_y`` (label), ``_w`` (sample weight)."""
     wmap = F.create_map(*[x for c, w in weights.items() for x in (F.lit(c), F.lit(float(w)))])
@@ -187,75 +162,115 @@ def gradient_sums(X: DataFrame | str, classes: list[str], W, b, d: int, spark=No
     k = len(classes)
     if isinstance(X, DataFrame):
         spark = X.sparkSession
-        view = f"_design_{abs(hash(id(X)))}"
+        view = f"_design_{uuid.uuid4().hex}"
         X.createOrReplaceTempView(view)
     else:
         view = X
-    row = spark.sql(gradient_sql(view, classes, W, b, d)).first().asDict()
+    try:
+        row = spark.sql(gradient_sql(view, classes, W, b, d)).first().asDict()
+    finally:
+        if isinstance(X, DataFrame):
+            spark.catalog.dropTempView(view)
     G = np.array([[row[f"g_{i}_{j}"] or 0.0 for j in range(d)] for i in range(k)])
     gb = np.array([row[f"g_{i}"] or 0.0 for i in range(k)])
     return {"G": G, "gb": gb, "loss": row["loss"] or 0.0}
 
 
-def design_packed(df: DataFrame, pre: Preprocess, label: str, weights: dict[str, float]) -> DataFrame:
-    """``x`` (array<double> of the d features), ``_yi`` (class index), ``_w``.
+BLOCK_ROWS = 4096
+
 
-    One array column ships to Python as a single flat Arrow buffer, about
-    half the conversion cost of d separate columns.
+def design_blocks(df: DataFrame, pre: Preprocess, label: str, weights: dict[str, float]) -> DataFrame:
+    """The design matrix as binary blocks of ``BLOCK_ROWS`` rows, for the cache.
+
+    A row holds its numeric inputs as doubles and ONE index per categorical
+    (-1: a level not seen), so width does not grow with the vocabulary, and a
+    step reads the cached blocks without converting rows again.
     """
-    wide = design(df, pre, label, weights)
-    d = len(pre.feature_names())
-    return wide.select(F.array(*[F.col(f"_x{j}") for j in range(d)]).alias("x"), "_yi", "_w")
+    import pyarrow as pa
+
+    wmap = F.create_map(*[x for c, w in weights.items() for x in (F.lit(c), F.lit(float(w)))])
+    imap = F.create_map(*[x for i, c in enumerate(sorted(weights)) for x in (F.lit(c), F.lit(i))])
+    y = F.col(label).cast("string")
+    nums = [pre.numeric_column(i) for i in range(len(pre.numeric))]
+    cats = []
+    for c in pre.categorical:
+        levels = F.array(*[F.lit(v) for v in pre.vocab[c]]) if pre.vocab[c] else F.array().cast("array<string>")
+        spots = F.map_from_arrays(levels, F.sequence(F.lit(0), F.lit(len(pre.vocab[c]) - 1))) if pre.vocab[c] else None
+        at = F.try_element_at(spots, F.col(c).cast("string")) if spots is not None else F.lit(None)
+        cats.append(F.coalesce(at.cast("int"), F.lit(-1)))
+    rows = df.where(F.col(label).isNotNull()).select(
+        F.array(*nums).cast("array<double>").alias("x"), F.array(*cats).cast("array<int>").alias("c"),
+        F.coalesce(F.try_element_at(imap, y), F.lit(-1)).alias("y"),
+        F.coalesce(F.try_element_at(wmap, y), F.lit(0.0)).alias("w"))
+    names = ["n", "x", "c", "y", "w", "wsum"]
 
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, BLOCK_ROWS):
+                b = batch.slice(at, BLOCK_ROWS)
+                w = b.column("w").to_numpy(zero_copy_only=False)
+                parts = [b.column(k).flatten().to_numpy(zero_copy_only=False) for k in ("x", "c")]
+                parts += [b.column("y").to_numpy(zero_copy_only=False), w]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([v]) for v in (b.num_rows, *(p.tobytes() for p in parts), float(w.sum()))], names=names)
 
-def _partial_gradient(classes, W, b, d):
-    """Per-partition ``R^T [X | 1]`` and loss, with ``R = w * (softmax(XW^T + b) - Y)``.
+    return rows.mapInArrow(run, "n long, x binary, c binary, y binary, w binary, wsum double")
 
-    Runs inside each task on Arrow batches of the cached design matrix; the
-    output is ``k*(d+1)+1`` numbers per partition, never per row.
+
+def _partial_gradient(classes, W, b, pre: Preprocess):
+    """Per-partition gradient sums and loss, with ``R = w * (softmax(XW^T + b) - Y)``.
+
+    Numeric inputs are a matrix product, categoricals a lookup of one weight
+    per row and a count per level; the output is ``k*(d+1)+1`` numbers per
+    partition, never per row.
     """
     import pyarrow as pa
 
     W = np.asarray(W, dtype=np.float64)
     b = np.asarray(b, dtype=np.float64)
-    k = len(classes)
+    k, m = len(classes), len(pre.numeric)
+    sizes = [len(pre.vocab[c]) for c in pre.categorical]
+    starts = m + np.cumsum([0, *sizes])
+    d = int(starts[-1])
     onehot = np.vstack([np.eye(k), np.zeros((1, k))])   # index -1 (unknown) -> zeros
+    # one more weight, 0, for levels not seen (index -1)
+    tables = [np.hstack([W[:, s:s + n], np.zeros((k, 1))]) for s, n in zip(starts, sizes)]
 
     def run(batches):
-        acc = np.zeros(k * (d + 1) + 1)
-        seen = False
+        G, gb, loss, seen = np.zeros((k, d)), np.zeros(k), 0.0, False
         for batch in batches:
-            n = batch.num_rows
-            if n == 0:
-                continue
-            seen = True
-            xs = batch.column("x")
-            flat = xs.flatten().to_numpy(zero_copy_only=False)
-            x = flat.reshape(n, d)
-            w = batch.column("_w").to_numpy(zero_copy_only=False)
-            yi = batch.column("_yi").to_numpy(zero_copy_only=False).astype(np.int64)
-            L = x @ W.T + b
-            L -= L.max(axis=1, keepdims=True)
-            E = np.exp(L)
-            P = E / E.sum(axis=1, keepdims=True)
-            Y = onehot[yi]
-            R = w[:, None] * (P - Y)
-            acc[: k * d] += (R.T @ x).ravel()
-            acc[k * d: k * d + k] += R.sum(axis=0)
-            pt = np.where(Y.any(axis=1), (P * Y).sum(axis=1), 0.0)
-            acc[-1] += float(np.sum(w * -np.log(np.maximum(pt, 1e-15))))
+            for n, x, c, y, w in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                seen = True
+                x = np.frombuffer(x, np.float64).reshape(n, m)
+                c = np.frombuffer(c, np.int32).reshape(n, len(sizes))
+                w = np.frombuffer(w, np.float64)
+                L = x @ W[:, :m].T + b
+                for i, t in enumerate(tables):
+                    L += t[:, c[:, i]].T
+                L -= L.max(axis=1, keepdims=True)
+                E = np.exp(L)
+                P = E / E.sum(axis=1, keepdims=True)
+                Y = onehot[np.frombuffer(y, np.int32)]
+                R = w[:, None] * (P - Y)
+                G[:, :m] += R.T @ x
+                for i, (s, size) in enumerate(zip(starts, sizes)):
+                    for j in range(k):
+                        G[j, s:s + size] += np.bincount(c[:, i] + 1, R[:, j], size + 1)[1:]
+                gb += R.sum(axis=0)
+                pt = np.where(Y.any(axis=1), (P * Y).sum(axis=1), 0.0)
+                loss += float(np.sum(w * -np.log(np.maximum(pt, 1e-15))))
         if seen:
+            acc = np.concatenate([G.ravel(), gb, [loss]])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(acc.size, dtype=np.int32)), pa.array(acc)], names=["i", "v"])
     return run
 
 
-def gradient_sums_arrow(X: DataFrame, classes: list[str], W, b, d: int) -> dict:
+def gradient_sums_arrow(X: DataFrame, classes: list[str], W, b, pre: Preprocess) -> dict:
     """One pass over the packed design matrix: partial gradients per partition,
     summed per coefficient index by Spark (map-side combined, ``k*(d+1)+1`` rows)."""
-    k = len(classes)
-    parts = X.select("x", "_yi", "_w").mapInArrow(_partial_gradient(classes, W, b, d),
-                                                   "i int, v double")
+    k, d = len(classes), len(pre.feature_names())
+    parts = X.select("n", "x", "c", "y", "w").mapInArrow(_partial_gradient(classes, W, b, pre), "i int, v double")
     rows = parts.groupBy("i").agg(F.sum("v").alias("v")).collect()
     acc = np.zeros(k * (d + 1) + 1)
     for r in rows:
@@ -298,25 +313,19 @@ def prepare(df: DataFrame, cfg: TrainConfig, packed: bool = False):
     try:
         # pass 1: moments; pass 2: vocabulary and class counts together
         means, stds = _moments_row(src, cfg.numeric)
-        bound = MAX_LEVELS * max(1, len(cfg.categorical)) + MAX_CLASSES
-        counts = _level_counts(src, cfg.categorical, bound, label=cfg.label)
+        counts = _level_counts(src, cfg.categorical, label=cfg.label)
         vocab = {c: sorted(counts[c]) for c in cfg.categorical}
-        for c in cfg.categorical:
-            if len(vocab[c]) > MAX_LEVELS:
-                raise ValueError(f"{c} has more than {MAX_LEVELS} levels")
         pre = Preprocess(list(cfg.numeric), means, stds, list(cfg.categorical), vocab)
         class_n = counts[_LABEL_KEY]
-        if len(class_n) > MAX_CLASSES:
-            raise ValueError(f"more than {MAX_CLASSES} classes in {cfg.label}")
         total, k = sum(class_n.values()), len(class_n)
         # balanced: N / (k * n_c), the same formula as class_weights()
         weights = {c: (total / (k * n) if cfg.balanced else 1.0) for c, n in class_n.items()}
         classes = sorted(weights)
-        build = design_packed if packed else design
+        build = design_blocks if packed else design
         # The design matrix is a deterministic function of the input, so lost
         # cached blocks are recomputed exactly from lineage.
         X = build(src, pre, cfg.label, weights).persist(StorageLevel.MEMORY_AND_DISK)
-        wsum = X.agg(F.sum("_w").alias("w")).first()["w"] or 1.0
+        wsum = X.agg(F.sum("_w" if not packed else "wsum").alias("w")).first()["w"] or 1.0
     finally:
         src.unpersist()
     return pre, weights, classes, X, wsum
@@ -327,7 +336,7 @@ def train_gd(df: DataFrame, cfg: TrainConfig | None = None) -> LinearModel:
     cfg = cfg or TrainConfig()
     pre, weights, classes, X, wsum = prepare(df, cfg, packed=(cfg.engine != "sql"))
     spark = X.sparkSession
-    view = f"_design_{abs(hash(id(X)))}"
+    view = f"_design_{uuid.uuid4().hex}"
     try:
         d = len(pre.feature_names())
         k = len(classes)
@@ -340,7 +349,9 @@ def train_gd(df: DataFrame, cfg: TrainConfig | None = None) -> LinearModel:
             if cfg.engine == "sql":
                 s = gradient_sums(view, classes, W, b, d, spark=spark)
             else:
-                s = gradient_sums_arrow(X, classes, W, b, d)
+                s = gradient_sums_arrow(X, classes, W, b, pre)
+            if not np.isfinite(s["loss"]):
+                raise ValueError("the training loss is not finite")
             history.append(s["loss"] / wsum)
             if cfg.early_stop and len(history) >= 2 and history[-2] > 0 and \
                     (history[-2] - history[-1]) / history[-2] < cfg.min_rel_progress:
@@ -404,13 +415,33 @@ def train_lr(df: DataFrame, cfg: TrainConfig | None = None) -> LinearModel:
     return LinearModel(classes, pre, W, b, name=cfg.name, label=cfg.label, history=hist)
 
 
+def optimality(df: DataFrame, model: LinearModel, cfg: TrainConfig | None = None, tolerance: float = 0.01) -> DataFrame:
+    """``(class, feature, optimal)``: whether each coefficient meets the optimality
+    condition of the objective - a subgradient of at most ``tolerance`` - computed
+    over the table: loss gradient + l2 w, within l1 of 0 where w = 0 and cancelled
+    by l1 sign(w) elsewhere; intercepts are not penalised."""
+    cfg = cfg or TrainConfig()
+    pre, weights, classes, X, wsum = prepare(df, cfg, packed=True)
+    try:
+        s = gradient_sums_arrow(X, classes, model.weights, model.intercepts, pre)
+    finally:
+        X.unpersist()
+    W = np.asarray(model.weights, dtype=float)
+    g = s["G"] / wsum + cfg.l2 * W
+    off = np.where(np.abs(W) > 1e-12, np.abs(g + cfg.l1 * np.sign(W)), np.maximum(np.abs(g) - cfg.l1, 0.0))
+    names = pre.feature_names()
+    rows = [(c, "(intercept)", bool(abs(s["gb"][i] / wsum) <= tolerance)) for i, c in enumerate(classes)]
+    rows += [(c, f, bool(off[i, j] <= tolerance)) for i, c in enumerate(classes) for j, f in enumerate(names)]
+    return df.sparkSession.createDataFrame(rows, "class string, feature string, optimal boolean")
+
+
 # ------------------------------------------------- statistics as DataFrames --
 
 def moments(df: DataFrame, columns: list[str]) -> DataFrame:
     """``(feature, mean, std)``: one wide aggregate, then unpivoted to rows."""
     aggs = []
     for c in columns:
-        x = F.col(c).cast("double")
+        x = number(c)
         aggs += [F.avg(x).alias(f"m_{c}"), F.stddev_samp(x).alias(f"s_{c}")]
     wide = df.agg(*aggs)
     return wide.select(F.inline(F.array(*[

@@ -128,12 +128,23 @@ FROM (SELECT *, {_coordinates()} FROM ({GEN_BASE}) b) c
 """
 
 
+# ---------------------------------------------------- training on lineitem --
+
+KEYED = OBS.replace("SELECT 'station_'", "SELECT concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS row_id,\n"
+                    "       'station_'", 1)
+
+TRAINING = f"""
+SELECT *, {temp_score()} AS temp_risk_score, {humidity_score()} AS humidity_risk_score,
+       {rule_label()} AS wildfire_risk_label
+FROM (SELECT *, {_coordinates()} FROM ({KEYED}) b) c
+"""
+
+
 def split_flag(eval_fraction: float = RV.EVAL_FRACTION) -> str:
     return f"({uniform('split')} < {d(eval_fraction)})"
 
 
-GEN_TRAIN = f"SELECT * FROM ({GEN}) g WHERE NOT {split_flag()}"
-GEN_EVAL = f"SELECT * FROM ({GEN}) g WHERE {split_flag()}"
+TRAIN = f"SELECT * FROM ({TRAINING}) g WHERE NOT {split_flag()}"
 
 # ------------------------------------------------------------------- model --
 

@@ -1,7 +1,7 @@
 """Registered queries: ``name -> (spark, sf_dir) -> DataFrame`` plus equivalent SQL.
 
 Every query reads the given tables (``lineitem`` drives the observation view
-and the size of the generated training table; ``supplier`` the batch of
+and the training table; ``supplier`` the batch of
 lookups; ``events`` the row numbering), so its work grows with the data.
 Doubles computed through ``exp``/``ln`` or long sums are rounded (6 digits;
 9 for ratios of counts) in both the Spark query and its SQL twin.
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,9 +20,8 @@ from ..operators import evaluation as EV
 from ..operators.enrich import engineer, enrich_coordinates, label_rows
 from ..operators.model import LinearModel, first_of, fixed_model, predict, prob_of
 from ..operators.row_id import with_row_id
-from ..operators.train import (TrainConfig, class_weights, first_step, moments, split, train_gd,
-                               train_lr, vocabulary)
-from ..sources.generator import generate_training, id_range, synthetic_rows
+from ..operators.train import (TrainConfig, class_weights, first_step, moments, optimality, split,
+                               train_gd, train_lr, vocabulary)
 from ..sources.observations import from_lineitem
 from ..sources.tables import read_table
 from . import oracle as O
@@ -81,7 +81,7 @@ def register(name: str, sql: str | None = None):
 # ------------------------------------------------------------ shared inputs --
 
 def obs(spark, sf_dir) -> DataFrame:
-    return from_lineitem(read_table(spark, sf_dir, "lineitem", balance=True))
+    return from_lineitem(read_table(spark, sf_dir, "lineitem"))
 
 
 def labeled_obs(spark, sf_dir) -> DataFrame:
@@ -93,13 +93,14 @@ def predictions(spark, sf_dir, model: LinearModel = FIXED) -> DataFrame:
     return predict(model, label_rows(engineer(obs(spark, sf_dir))))
 
 
-def training_rows_count(spark, sf_dir) -> int:
-    return read_table(spark, sf_dir, "lineitem").count()
+def keyed_obs(spark, sf_dir) -> DataFrame:
+    """Observations with ``row_id``, the text of the row's keys: draws and the split hang on it."""
+    return from_lineitem(read_table(spark, sf_dir, "lineitem"), keyed=True)
 
 
-def generated(spark, sf_dir) -> DataFrame:
-    """Training table with one generated row per lineitem row."""
-    return generate_training(spark, training_rows_count(spark, sf_dir))
+def training(spark, sf_dir) -> DataFrame:
+    """The training table: one labelled row per lineitem row, with coordinates."""
+    return label_rows(engineer(enrich_coordinates(keyed_obs(spark, sf_dir))))
 
 
 def iso_sql(col: str) -> str:
@@ -116,52 +117,29 @@ PRED_SQL = O.predict_sql(FIXED, O.LABELED)
 FIRST_LABEL_SQL, FIRST_PROB_SQL = O.first_label_prob_sql(FIXED)
 
 
-# ---------------------------------------------------------------- generator --
-
-@register("gen_training_rows", O.GEN)
-def q_gen_training_rows(spark, sf_dir):
-    return generated(spark, sf_dir)
-
-
-@register("gen_category_cascade", f"""
-SELECT 'weather_condition' AS feature, weather_condition AS value, count(*) AS n
-FROM ({O.GEN_BASE}) b GROUP BY weather_condition
-UNION ALL
-SELECT 'state_province' AS feature, state_province AS value, count(*) AS n
-FROM ({O.GEN_BASE}) b GROUP BY state_province
-""")
-def q_gen_category_cascade(spark, sf_dir):
-    base = synthetic_rows(id_range(spark, training_rows_count(spark, sf_dir)))
-    pairs = F.explode(F.array(
-        F.struct(F.lit("weather_condition").alias("feature"), F.col("weather_condition").alias("value")),
-        F.struct(F.lit("state_province").alias("feature"), F.col("state_province").alias("value"))))
-    return (base.select(pairs.alias("p")).select("p.*")
-            .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")))
-
+# ------------------------------------------------------------ training rows --
 
 @register("enrich_coordinates",
-          f"SELECT row_id, state_province, {O._coordinates()} FROM ({O.GEN_BASE}) b")
+          f"SELECT row_id, state_province, {O._coordinates()} FROM ({O.KEYED}) b")
 def q_enrich_coordinates(spark, sf_dir):
-    base = synthetic_rows(id_range(spark, training_rows_count(spark, sf_dir)))
-    return enrich_coordinates(base.select("row_id", "state_province"))
+    return enrich_coordinates(keyed_obs(spark, sf_dir).select("row_id", "state_province"))
 
 
 @register("enrich_coordinates_join",
-          f"SELECT row_id, state_province, {O._coordinates()} FROM ({O.GEN_BASE}) b")
+          f"SELECT row_id, state_province, {O._coordinates()} FROM ({O.KEYED}) b")
 def q_enrich_coordinates_join(spark, sf_dir):
     """The same coordinates through a join with the centroid table (JN1 as a join)."""
     from ..operators.enrich import centroid_table
-    base = synthetic_rows(id_range(spark, training_rows_count(spark, sf_dir)))
-    return enrich_coordinates(base.select("row_id", "state_province"),
+    return enrich_coordinates(keyed_obs(spark, sf_dir).select("row_id", "state_province"),
                               centroids=centroid_table(spark))
 
 
 @register("training_projection", f"""
 SELECT {', '.join(RV.NUMERIC_FEATURES + RV.CATEGORICAL_FEATURES + RV.ORDINAL_FEATURES)}, {LABEL}
-FROM ({O.GEN}) g
+FROM ({O.TRAINING}) g
 """)
 def q_training_projection(spark, sf_dir):
-    return generated(spark, sf_dir).select(
+    return training(spark, sf_dir).select(
         *RV.NUMERIC_FEATURES, *RV.CATEGORICAL_FEATURES, *RV.ORDINAL_FEATURES, LABEL)
 
 
@@ -210,23 +188,23 @@ def q_label_distribution(spark, sf_dir):
 # ------------------------------------------------------------ training prep --
 
 @register("class_weights", f"""
-WITH c AS (SELECT {LABEL}, count(*) AS n FROM ({O.GEN}) g WHERE {LABEL} IS NOT NULL GROUP BY {LABEL})
+WITH c AS (SELECT {LABEL}, count(*) AS n FROM ({O.TRAINING}) g WHERE {LABEL} IS NOT NULL GROUP BY {LABEL})
 SELECT {LABEL}, n, round(CAST((SELECT sum(n) FROM c) AS DOUBLE)
                          / ((SELECT count(*) FROM c) * n), {R9}) AS weight
 FROM c
 """)
 def q_class_weights(spark, sf_dir):
-    cw = class_weights(generated(spark, sf_dir), LABEL)
+    cw = class_weights(training(spark, sf_dir), LABEL)
     return cw.withColumn("weight", F.round("weight", R9))
 
 
 @register("train_eval_split", f"""
 SELECT {O.split_flag()} AS is_eval, {LABEL}, count(*) AS n
-FROM ({O.GEN}) g GROUP BY ALL
+FROM ({O.TRAINING}) g GROUP BY ALL
 """)
 def q_train_eval_split(spark, sf_dir):
     from ..functions.rng import split_flag
-    g = generated(spark, sf_dir)
+    g = training(spark, sf_dir)
     return g.groupBy(split_flag(42, F.col("row_id"), RV.EVAL_FRACTION).alias("is_eval"), LABEL).agg(
         F.count(F.lit(1)).alias("n"))
 
@@ -236,10 +214,10 @@ _STATS_COLS = RV.NUMERIC_FEATURES + RV.ORDINAL_FEATURES
 
 @register("standardize_stats", "\nUNION ALL\n".join(
     f"SELECT '{c}' AS feature, round(avg(CAST({c} AS DOUBLE)), {R6}) AS mean, "
-    f"round(stddev_samp(CAST({c} AS DOUBLE)), {R6}) AS std FROM ({O.GEN_TRAIN}) t"
+    f"round(stddev_samp(CAST({c} AS DOUBLE)), {R6}) AS std FROM ({O.TRAIN}) t"
     for c in _STATS_COLS))
 def q_standardize_stats(spark, sf_dir):
-    train, _ = split(generated(spark, sf_dir))
+    train, _ = split(training(spark, sf_dir))
     m = moments(train, _STATS_COLS)
     return m.select("feature", F.round("mean", R6).alias("mean"), F.round("std", R6).alias("std"))
 
@@ -247,15 +225,15 @@ def q_standardize_stats(spark, sf_dir):
 @register("one_hot_vocab", f"""
 WITH lv AS (
   SELECT DISTINCT 'weather_condition' AS feature, weather_condition AS level
-  FROM ({O.GEN_TRAIN}) t WHERE weather_condition IS NOT NULL
+  FROM ({O.TRAIN}) t WHERE weather_condition IS NOT NULL
   UNION
   SELECT DISTINCT 'state_province' AS feature, state_province AS level
-  FROM ({O.GEN_TRAIN}) t WHERE state_province IS NOT NULL)
+  FROM ({O.TRAIN}) t WHERE state_province IS NOT NULL)
 SELECT feature, level, row_number() OVER (PARTITION BY feature ORDER BY level) - 1 AS level_index
 FROM lv
 """)
 def q_one_hot_vocab(spark, sf_dir):
-    train, _ = split(generated(spark, sf_dir))
+    train, _ = split(training(spark, sf_dir))
     return vocabulary(train, RV.CATEGORICAL_FEATURES)
 
 
@@ -278,7 +256,7 @@ def _first_step_sql() -> str:
         f"FROM t JOIN lv v ON v.cat = '{c}'" for c in cfg.categorical)
     k_sql = "(SELECT count(*) FROM wt)"
     return f"""
-WITH t AS ({O.GEN_TRAIN}),
+WITH t AS ({O.TRAIN}),
 c AS (SELECT {LABEL} AS cls, count(*) AS n FROM t WHERE {LABEL} IS NOT NULL GROUP BY 1),
 wt AS (SELECT cls, CAST((SELECT sum(n) FROM c) AS DOUBLE) / ((SELECT count(*) FROM c) * n) AS w FROM c),
 st AS ({stats}),
@@ -308,35 +286,77 @@ FROM stepped
 
 @register("gd_first_step", _first_step_sql())
 def q_gd_first_step(spark, sf_dir):
-    train, _ = split(generated(spark, sf_dir))
+    train, _ = split(training(spark, sf_dir))
     return first_step(train).select("class", "feature", F.round("weight", R6).alias("weight"))
 
 
 # ----------------------------------------------------------------- training --
 
-def _metrics_frame(spark, model: LinearModel, eval_df: DataFrame) -> DataFrame:
-    scored = predict(model, eval_df)
-    m = EV.evaluate(scored, LABEL, PRED, PROBS, model.classes, labels=model.classes)
-    row = [(float(m[k]) if m[k] is not None else None) for k in
-           ("accuracy", "f1_score", "log_loss", "precision", "recall", "roc_auc")]
-    return spark.createDataFrame(
-        [tuple(row) + (len(model.history), float(model.history[-1]) if model.history else None)],
-        "accuracy double, f1_score double, log_loss double, precision double, recall double, "
-        "roc_auc double, iterations int, final_objective double")
-
-
-@register("train_gd")
+def _descent_sql(steps: int) -> str:
+    """The trainer in SQL: one column per coefficient, one recursion per step."""
+    cfg = TrainConfig()
+    levels = [(c, v) for c, names in (("weather_condition", RV.WEATHER_LABELS), ("state_province", RV.STATES))
+              for v in sorted(names)]
+    features = [*cfg.numeric, *(f"{c}={v}" for c, v in levels)]
+    stats = ", ".join(f"avg(CAST({c} AS DOUBLE)) AS m{i}, stddev_samp(CAST({c} AS DOUBLE)) AS s{i}"
+                      for i, c in enumerate(cfg.numeric))
+    xs = [f"coalesce((CAST({c} AS DOUBLE) - m{i}) / CASE WHEN s{i} > 0 THEN s{i} ELSE {O.d(1)} END, {O.d(0)}) AS x{i}"
+          for i, c in enumerate(cfg.numeric)]
+    xs += [f"CASE WHEN {c} = {O.s(v)} THEN {O.d(1)} ELSE {O.d(0)} END AS x{len(cfg.numeric) + i}"
+           for i, (c, v) in enumerate(levels)]
+    k, n = range(len(CLASSES)), range(len(features))
+    logits = ", ".join(f"b{c} + " + " + ".join(f"w{c}_{j} * x{j}" for j in n) + f" AS l{c}" for c in k)
+    top = "greatest(" + ", ".join(f"l{c}" for c in k) + ")"
+    exps = ", ".join(f"exp(l{c} - {top}) AS e{c}" for c in k)
+    residuals = ", ".join(f"w * (e{c} / ({' + '.join(f'e{i}' for i in k)}) - CASE WHEN y = {O.s(CLASSES[c])} "
+                          f"THEN {O.d(1)} ELSE {O.d(0)} END) AS r{c}" for c in k)
+    rate, t = O.d(cfg.rate), O.d(cfg.rate * cfg.l1)
+    steps_sql = [f"any_value(b{c}) - {rate} * sum(r{c}) / sum(w) AS b{c}" for c in k]
+    steps_sql += [f"any_value(w{c}_{j}) - {rate} * (sum(r{c} * x{j}) / sum(w) + {O.d(cfg.l2)} * any_value(w{c}_{j})) AS w{c}_{j}"
+                  for c in k for j in n]
+    shrink = [f"b{c}" for c in k] + [
+        f"CASE WHEN abs(w{c}_{j}) > {t} THEN sign(w{c}_{j}) * (abs(w{c}_{j}) - {t}) ELSE {O.d(0)} END AS w{c}_{j}"
+        for c in k for j in n]
+    zero = [f"{O.d(0)} AS b{c}" for c in k] + [f"{O.d(0)} AS w{c}_{j}" for c in k for j in n]
+    out = [f"SELECT {O.s(CLASSES[c])} AS class, '(intercept)' AS feature, round(b{c}, 4) AS weight FROM last" for c in k]
+    out += [f"SELECT {O.s(CLASSES[c])}, {O.s(features[j])}, round(w{c}_{j}, 4) FROM last" for c in k for j in n]
+    return f"""
+WITH RECURSIVE t AS ({O.TRAIN}),
+c AS (SELECT {LABEL} AS cls, count(*) AS n FROM t WHERE {LABEL} IS NOT NULL GROUP BY 1),
+wt AS (SELECT cls, CAST((SELECT sum(n) FROM c) AS DOUBLE) / ((SELECT count(*) FROM c) * n) AS w FROM c),
+st AS (SELECT {stats} FROM t),
+x AS (SELECT {LABEL} AS y, w, {', '.join(xs)} FROM t JOIN wt ON cls = {LABEL}, st),
+it AS (
+  SELECT 0 AS step, {', '.join(zero)}
+  UNION ALL
+  SELECT step + 1 AS step, {', '.join(shrink)} FROM (
+    SELECT step, {', '.join(steps_sql)}
+    FROM (SELECT *, {residuals} FROM (SELECT *, {exps} FROM (SELECT *, {logits} FROM it, x))) GROUP BY step)
+  WHERE step < {steps}),
+last AS (SELECT * FROM it WHERE step = {steps})
+""" + "\nUNION ALL\n".join(out)
+
+
+@register("train_gd", _descent_sql(RV.MAX_ITERATIONS))
 def q_train_gd(spark, sf_dir):
-    train, held_out = split(generated(spark, sf_dir))
-    model = train_gd(train)
-    return _metrics_frame(spark, model, held_out)
-
-
-@register("train_lr_converged")
+    """All coefficients after the full number of steps."""
+    train, _ = split(training(spark, sf_dir))
+    return spark.createDataFrame(train_gd(train).coefficient_rows(), "class string, feature string, weight double").select(
+        "class", "feature", F.round("weight", 4).alias("weight"))
+
+
+@register("train_lr_converged", f"""
+WITH t AS ({O.TRAIN}),
+f AS (SELECT unnest({O.str_list(['(intercept)'] + TrainConfig().numeric)}) AS feature
+      UNION SELECT DISTINCT 'weather_condition=' || weather_condition FROM t WHERE weather_condition IS NOT NULL
+      UNION SELECT DISTINCT 'state_province=' || state_province FROM t WHERE state_province IS NOT NULL)
+SELECT class, feature, true AS optimal
+FROM (SELECT DISTINCT {LABEL} AS class FROM t WHERE {LABEL} IS NOT NULL), f
+""")
 def q_train_lr_converged(spark, sf_dir):
-    train, held_out = split(generated(spark, sf_dir))
-    model = train_lr(train)
-    return _metrics_frame(spark, model, held_out)
+    """Whether each coefficient of the converged model is optimal, computed over the table."""
+    train, _ = split(training(spark, sf_dir))
+    return optimality(train, train_lr(train))
 
 
 # ------------------------------------------------------------------ scoring --
@@ -468,6 +488,7 @@ def _record_sql(prob_expr: str = FIRST_PROB_SQL) -> str:
             f"NULLIF(precipitation_mm, {O.d(0)}) AS precipitation_mm, weather_condition, "
             f"{PRED} AS predicted_risk_level, "
             f"round(NULLIF({prob_expr}, {O.d(0)}), {R6}) AS risk_probability, "
+            f"round(prob_{SV.HIGH}, {R6}) AS high_risk_prob, "
             f"{iso_sql('timestamp')} AS timestamp")
 
 
@@ -475,18 +496,19 @@ _ORDER_SQL = ", ".join(SV.RECORD_ORDER)
 
 
 def _rounded_records(df: DataFrame) -> DataFrame:
-    return df.withColumn("risk_probability", F.round("risk_probability", R6))
+    return df.withColumns({c: F.round(c, R6) for c in ("risk_probability", "high_risk_prob")})
 
 
 @register("current_predictions", f"""
-SELECT {_record_sql()} FROM ({PRED_SQL}) p
-ORDER BY {FIRST_PROB_SQL} DESC, {_ORDER_SQL}
+SELECT row_number() OVER (ORDER BY round({FIRST_PROB_SQL}, {R9}) DESC, {_ORDER_SQL}, {PRED}, {FIRST_LABEL_SQL},
+                          {FIRST_PROB_SQL}, prob_{SV.HIGH}) AS rank_position, {_record_sql()}
+FROM ({PRED_SQL}) p
 """)
 def q_current_predictions(spark, sf_dir):
-    return _rounded_records(SV.current_predictions(predictions(spark, sf_dir)))
+    return _rounded_records(SV.current_predictions(predictions(spark, sf_dir), digits=R9))
 
 
-_TIE_SQL = f"{_ORDER_SQL}, {PRED}, {FIRST_LABEL_SQL}, {FIRST_PROB_SQL}"
+_TIE_SQL = f"{_ORDER_SQL}, {PRED}, {FIRST_LABEL_SQL}, {FIRST_PROB_SQL}, prob_{SV.HIGH}"
 
 
 @register("prediction_for_state", f"""
@@ -521,7 +543,7 @@ firsts AS (SELECT lower(state_province) AS state_key, {_record_sql()} FROM ranke
 SELECT req.requested_state, firsts.state_key IS NOT NULL AS found,
        firsts.station_id, firsts.state_province, firsts.temperature_celsius, firsts.humidity_percent,
        firsts.wind_speed_ms, firsts.precipitation_mm, firsts.weather_condition,
-       firsts.predicted_risk_level, firsts.risk_probability, firsts.timestamp
+       firsts.predicted_risk_level, firsts.risk_probability, firsts.high_risk_prob, firsts.timestamp
 FROM req LEFT JOIN firsts ON lower(req.requested_state) = firsts.state_key
 """)
 def q_lookup_states_batch(spark, sf_dir):
@@ -535,19 +557,19 @@ SELECT CAST(row_number() OVER (ORDER BY state_province NULLS FIRST) - 1 AS INTEG
 FROM (SELECT DISTINCT state_province FROM ({PRED_SQL}) p) s
 """)
 def q_available_states(spark, sf_dir):
-    return SV.available_states_rows(predictions(spark, sf_dir))
+    return SV.available_states(predictions(spark, sf_dir))
 
 
 @register("sample_top5", f"""
 SELECT station_id, state_province, temperature_celsius, humidity_percent, {PRED},
-       round({FIRST_PROB_SQL}, {R6}) AS high_risk_probability
+       round({FIRST_PROB_SQL}, {R6}) AS high_risk_probability, round(prob_{SV.HIGH}, {R6}) AS high_risk_prob
 FROM ({PRED_SQL}) p
 ORDER BY {FIRST_PROB_SQL} DESC, {_TIE_SQL}
 LIMIT 5
 """)
 def q_sample_top5(spark, sf_dir):
     s = SV.sample_predictions(predictions(spark, sf_dir), 5)
-    return s.withColumn("high_risk_probability", F.round("high_risk_probability", R6))
+    return s.withColumns({c: F.round(c, R6) for c in ("high_risk_probability", "high_risk_prob")})
 
 
 _SAMPLE_COLS = ["station_id", "state_province", "temperature_celsius", "humidity_percent",
@@ -579,12 +601,12 @@ SELECT 'roc_auc', COALESCE(CAST(round(avg(CASE WHEN n_pos > 0 AND n_neg > 0
                                 AS VARCHAR), 'N/A') FROM c
 """)
 def q_run_summary(spark, sf_dir):
-    preds = predictions(spark, sf_dir)
+    # scored once: all figures come from the cached narrow columns
+    preds = predictions(spark, sf_dir).select(LABEL, PRED, PROBS).persist(StorageLevel.MEMORY_AND_DISK)
     acc = EV.macro_metrics(EV.confusion(preds, LABEL, PRED)).select(F.round("accuracy", R6))
     probs = preds.select(LABEL, *[prob_of(PROBS, c).alias(f"p_{c}") for c in CLASSES])
     auc = EV.roc_auc(probs, LABEL, {c: f"p_{c}" for c in CLASSES}).select(F.round("roc_auc", R6))
-    train_ids = id_range(spark, training_rows_count(spark, sf_dir))
-    return SV.summary_rows(train_ids, preds, {"accuracy": acc, "roc_auc": auc})
+    return SV.summary_rows(preds, preds, {"accuracy": acc, "roc_auc": auc})
 
 
 # ---------------------------------------------------------- row numbering --
@@ -593,7 +615,7 @@ def q_run_summary(spark, sf_dir):
 SELECT event_id, user_id, row_number() OVER (ORDER BY ts, event_id) AS row_id FROM events
 """)
 def q_row_numbered_events(spark, sf_dir):
-    ev = read_table(spark, sf_dir, "events", balance=True).select("event_id", "user_id", "ts")
+    ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
     return with_row_id(ev, ["ts", "event_id"]).select("event_id", "user_id", "row_id")
 
 

@@ -9,16 +9,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import reference_values as RV
 from ..functions.temporal import iso_datetime, iso_instant
-from ..operators.model import first_of
+from ..operators.model import first_of, prob_of
+from ..operators.row_id import with_row_id
 
 PRED = f"predicted_{RV.LABEL_COLUMN}"
 REGION_KEY = "state_key"      # partition column of a stored predictions table
 PROBS = f"predicted_{RV.LABEL_COLUMN}_probs"
+HIGH = "high"                 # the class whose probability readers ask for
 
 SERVING_COLUMNS = ["station_id", "state_province", "temperature_celsius", "humidity_percent",
                    "wind_speed_ms", "precipitation_mm", "weather_condition"]
@@ -26,7 +29,7 @@ SERVING_COLUMNS = ["station_id", "state_province", "temperature_celsius", "humid
 RECORD_ORDER = ["station_id", "state_province", "timestamp", "temperature_celsius",
                 "humidity_percent", "wind_speed_ms", "precipitation_mm", "weather_condition"]
 # the remaining projected fields, so that "first" is a total order on records
-TIE_BREAK = [PRED, "high_risk_label", "high_risk_probability"]
+TIE_BREAK = [PRED, "high_risk_label", "high_risk_probability", "high_class_probability"]
 
 
 def _zero_null(c: str, zero_as_null: bool) -> Column:
@@ -39,7 +42,7 @@ def prediction_rows(preds: DataFrame) -> DataFrame:
     return preds.select(*SERVING_COLUMNS, PRED,
                         first_of(PROBS, "label").alias("high_risk_label"),
                         first_of(PROBS, "prob").alias("high_risk_probability"),
-                        "timestamp")
+                        prob_of(PROBS, HIGH).alias("high_class_probability"), "timestamp")
 
 
 def as_records(rows: DataFrame, zero_as_null: bool = True) -> DataFrame:
@@ -51,11 +54,19 @@ def as_records(rows: DataFrame, zero_as_null: bool = True) -> DataFrame:
     return rows.select(*as_records_columns(zero_as_null))
 
 
-def current_predictions(preds: DataFrame, zero_as_null: bool = True) -> DataFrame:
-    """All predictions, highest first-element probability first (a global sort)."""
-    rows = prediction_rows(preds)
-    ordered = rows.orderBy(F.desc("high_risk_probability"), *[F.asc(c) for c in RECORD_ORDER])
-    return as_records(ordered, zero_as_null)
+def current_predictions(preds: DataFrame, zero_as_null: bool = True, digits: int | None = None) -> DataFrame:
+    """All predictions with ``rank_position``: highest first-element probability first.
+
+    The order is a column, so it survives whatever is done with the rows.
+    Probabilities are compared to ``digits`` places if given; ties follow
+    ``RECORD_ORDER``.  The narrow record is kept while it is numbered, so
+    scoring runs once.
+    """
+    rows = prediction_rows(preds).persist(StorageLevel.MEMORY_AND_DISK)
+    p = F.col("high_risk_probability")
+    p = p if digits is None else F.round(p, digits)
+    ranked = with_row_id(rows, [p.isNull(), -p, *RECORD_ORDER], name="rank_position")
+    return ranked.select("rank_position", *as_records_columns(zero_as_null))
 
 
 def prediction_for_state(preds: DataFrame, state: str, zero_as_null: bool = True) -> DataFrame:
@@ -114,52 +125,32 @@ def as_records_columns(zero_as_null: bool) -> list[Column]:
         F.col("weather_condition"),
         F.col(PRED).alias("predicted_risk_level"),
         _zero_null("high_risk_probability", zero_as_null).alias("risk_probability"),
+        F.col("high_class_probability").alias("high_risk_prob"),
         iso_datetime("timestamp").alias("timestamp"),
     ]
 
 
-MAX_STATES = 100_000
+def available_states(preds: DataFrame, col: str = "state_province") -> DataFrame:
+    """``(state_index, state_province, n_states)``: the distinct regions in order, NULL first.
 
+    One row per region however many there are: the distinct and the numbering
+    both run distributed.
+    """
+    distinct = preds.select(F.col(col).alias("state_province")).distinct()
+    return with_row_id(distinct, ["state_province"], name="_n", total="n_states").select(
+        (F.col("_n") - 1).cast("int").alias("state_index"), "state_province", "n_states")
 
-def available_states(preds: DataFrame, col: str = "state_province",
-                     max_states: int = MAX_STATES) -> DataFrame:
-    """One row: ``states`` (distinct, sorted, NULL first) and ``count``.
 
-    DISTINCT runs distributed (partial aggregation, one shuffle); at most
-    ``max_states + 1`` distinct regions reach the single final row, and more
-    than ``max_states`` raises instead of building an unbounded list.
-    """
-    distinct = preds.select(F.col(col).alias("s")).distinct()
-    # at most max_states + 1 rows ever reach the single collecting task: the
-    # bound holds before anything is gathered, and one row over raises
-    bounded = distinct.limit(max_states + 1)
-    # collect structs, not values: a NULL region is a distinct value too and
-    # must stay in the list (sorted first, as ORDER BY puts NULLs first)
-    agg = bounded.agg(F.sort_array(F.collect_list(F.struct("s"))).alias("states"),
-                      F.count(F.lit(1)).alias("count"))
-    return agg.select(
-        F.when(F.col("count") > F.lit(max_states),
-               F.raise_error(F.lit(f"more than {max_states} distinct values")))
-        .otherwise(F.transform("states", lambda x: x["s"])).alias("states"), "count")
-
-
-def available_states_rows(preds: DataFrame, col: str = "state_province",
-                          max_states: int = MAX_STATES) -> DataFrame:
-    """The same answer flattened: ``(state_index, state_province, n_states)``."""
-    one = available_states(preds, col, max_states)
-    return one.select(F.posexplode("states").alias("state_index", "state_province"),
-                      F.col("count").alias("n_states"))
-
-
-def sample_predictions(preds: DataFrame, k: int = 5) -> DataFrame:
-    """Top-k by first-element probability (per-partition top-k, then a merge)."""
+def sample_predictions(preds: DataFrame, k: int = 5, by: str = "high_risk_probability") -> DataFrame:
+    """Top-k by first-element probability, or ``by="high_risk_prob"`` by that of the
+    class "high" (per-partition top-k, then a merge)."""
     rows = preds.select("station_id", "state_province", "temperature_celsius", "humidity_percent",
                         PRED, first_of(PROBS, "prob").alias("high_risk_probability"),
+                        prob_of(PROBS, HIGH).alias("high_risk_prob"),
                         "timestamp", "precipitation_mm", "wind_speed_ms", "weather_condition")
-    ordered = rows.orderBy(F.desc("high_risk_probability"),
-                           *[F.asc(c) for c in RECORD_ORDER + [PRED]]).limit(k)
+    ordered = rows.orderBy(F.desc(by), *[F.asc(c) for c in RECORD_ORDER + [PRED]]).limit(k)
     return ordered.select("station_id", "state_province", "temperature_celsius",
-                          "humidity_percent", PRED, "high_risk_probability")
+                          "humidity_percent", PRED, "high_risk_probability", "high_risk_prob")
 
 
 def sample_rows(df: DataFrame, order_by: Sequence[str], k: int = 10) -> DataFrame:
@@ -176,12 +167,18 @@ def model_info(registry: DataFrame, name: str) -> DataFrame:
                       iso_instant("last_modified_time").alias("last_modified_time"))
 
 
+def model_info_batch(registry: DataFrame, requests: DataFrame, request_col: str = "model_name") -> DataFrame:
+    """One row per request, one schema: the registry row, or only the name and an ``error``."""
+    info = registry.select(
+        "model_catalog", "model_schema", F.col("model_name").alias("_found"), "model_type",
+        iso_instant("creation_time").alias("creation_time"), iso_instant("last_modified_time").alias("last_modified_time"))
+    joined = requests.select(F.col(request_col).alias("model_name")).join(info, F.col("model_name") == F.col("_found"), "left")
+    return joined.select("model_catalog", "model_schema", "model_name", "model_type", "creation_time", "last_modified_time",
+                         F.when(F.col("_found").isNull(), F.lit("Model not found")).alias("error"))
+
+
 def model_info_or_error(registry: DataFrame, name: str) -> DataFrame:
-    found = model_info(registry, name)
-    if found.take(1):
-        return found.withColumn("error", F.lit(None).cast("string"))
-    spark = registry.sparkSession
-    return spark.createDataFrame([("Model not found", name)], "error string, model_name string")
+    return model_info_batch(registry, registry.sparkSession.range(1).select(F.lit(name).alias("model_name")))
 
 
 def summary_rows(training: DataFrame, predictions: DataFrame,

@@ -9,47 +9,19 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from .. import reference_values as RV
 from ..functions.sqltext import num
-from ..functions.rng import cascade_sql, category_cascade, scaled_uniform, uniform, uniform_sql
+from ..functions.rng import cascade_sql, uniform_sql
 from ..operators.enrich import coordinates_sql, derived_sql
 from ..session import default_parallelism
 
 ROWS_PER_PARTITION = 2_000_000
 
 
-def weather_draw(seed, id_col) -> Column:
-    return category_cascade(seed, "weather", id_col, RV.WEATHER_LABELS,
-                            RV.WEATHER_THRESHOLDS)
-
-
-def state_draw(seed, id_col) -> Column:
-    return category_cascade(seed, "state", id_col, RV.STATES, RV.STATE_THRESHOLDS)
-
-
-def base_columns(seed, id_col="row_id") -> list[Column]:
-    """The synthetic columns, in table order, for ids in ``id_col``."""
-    rid = F.col(id_col) if isinstance(id_col, str) else id_col
-    cols = []
-    for name, (scale, offset) in RV.NUMERIC_DRAWS.items():
-        cols.append(scaled_uniform(seed, name, rid, scale, offset).alias(name))
-    station = F.floor(uniform(seed, "station_id", rid) * F.lit(float(RV.STATION_COUNT))) + 1
-    cols.append(F.concat(F.lit("station_"), station.cast("bigint").cast("string"))
-                .alias("station_id"))
-    cols.append(scaled_uniform(seed, "elevation_meters", rid, *RV.ELEVATION_DRAW)
-                .alias("elevation_meters"))
-    cols.append(weather_draw(seed, rid).alias("weather_condition"))
-    cols.append(state_draw(seed, rid).alias("state_province"))
-    month = F.floor(uniform(seed, "month", rid) * F.lit(float(RV.MONTH_COUNT))) + 1
-    cols.append(month.cast("bigint").alias("month"))
-    return cols
-
-
 def base_columns_sql(seed, id_sql: str = "row_id") -> list[str]:
-    """``base_columns`` as Spark SQL text: one parse and one analysis for all."""
+    """The synthetic columns, in table order, as Spark SQL text (one parse and one analysis)."""
     cols = []
     for name, (scale, offset) in RV.NUMERIC_DRAWS.items():
         cols.append(f"{uniform_sql(seed, name, id_sql)} * {num(scale)} + {num(offset)} AS {name}")
@@ -92,8 +64,3 @@ def training_from_ids(ids: DataFrame, seed: int = 42, id_col: str = "row_id") ->
     """Base draws, then coordinates, risk scores and the rule label in one projection."""
     base = synthetic_rows(ids, seed, id_col)
     return base.selectExpr("*", *coordinates_sql(seed, "row_id"), *derived_sql())
-
-
-def rows_like(spark: SparkSession, table: DataFrame) -> int:
-    """Row count of a table: the generator's size when it follows a given table."""
-    return table.count()

@@ -37,18 +37,23 @@ def inline_observations(spark: SparkSession, rows=None, at: str = RV.OBSERVATION
     return df.withColumns({"timestamp": ts, "month": month_of(ts)}).select(*OBSERVATION_ORDER)
 
 
-def from_lineitem(lineitem: DataFrame) -> DataFrame:
+ROW_KEY = "concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS row_id"
+
+
+def from_lineitem(lineitem: DataFrame, keyed: bool = False) -> DataFrame:
     """Weather-like observations, one per lineitem row.
 
     Every column is a deterministic function of the row's keys and measures
     (quantity -> temperature, discount -> humidity, tax -> wind, price ->
     precipitation, ...), the state is ``suppkey mod 16`` into the state list
     and the weather label ``partkey mod 5`` into the weather list.  The first
-    line of each order reports zero precipitation.
+    line of each order reports zero precipitation.  ``keyed`` adds ``row_id``,
+    the text of the row's keys, by which draws and splits are made.
     """
     states = ", ".join(text(x) for x in RV.STATES)
     weather = ", ".join(text(x) for x in RV.WEATHER_LABELS)
     return lineitem.selectExpr(
+        *([ROW_KEY] if keyed else []),
         "concat('station_', CAST(l_suppkey % 16 + 1 AS STRING)) AS station_id",
         f"element_at(array({states}), CAST(l_suppkey % 16 + 1 AS INT)) AS state_province",
         "l_shipdate AS timestamp",

@@ -4,34 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import default_parallelism, table_path
+from ..session import table_path
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events", "documents", "embeddings", "pages",
           "benchmark", "labels", "conversations")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = False) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy parquet scan; Catalyst prunes columns and pushes filters into it.
 
-    With ``balance`` a scan that yields fewer partitions than the cluster
-    has cores (a few large files, or one row group that cannot be split) is
-    spread round-robin; a scan over many files is left as it is.
+    How finely a scan is split is the session's choice
+    (``spark.sql.files.maxPartitionBytes`` and ``minPartitionNum``).
     """
-    df = spark.read.parquet(table_path(sf_dir, name))
-    return balance_partitions(df) if balance else df
-
-
-def balance_partitions(df: DataFrame, target: int | None = None) -> DataFrame:
-    """Round-robin to ``target`` partitions when the input has fewer.
-
-    Counting partitions only plans the scan (file listing), it runs no job.
-    Column pruning still reaches the scan below the round-robin exchange.
-    """
-    target = target or default_parallelism(df.sparkSession)
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:

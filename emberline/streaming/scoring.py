@@ -2,16 +2,14 @@
 
 New observation files landing in a folder are scored as they arrive: the
 same feature engineering and the same literal-coefficient projection as the
-batch path, so each micro-batch is a narrow, shuffle-free map.  Progress and
-exactly-once file output are kept by the streaming checkpoint, which lives
-under the cluster's checkpoint folder unless one is given.
+batch path, so each micro-batch is a narrow, shuffle-free map.  Progress is
+kept by the streaming checkpoint, which belongs to the output folder: the file
+sink's own log knows batches by number, so a run that began to count anew
+would have its batches taken for ones already written.
 """
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,7 +17,6 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.enrich import engineer
 from ..catalog import REGION_KEY
 from ..operators.model import LinearModel, predict
-from ..session import ensure_checkpoint_dir
 from ..sources.observations import OBSERVATION_SCHEMA
 
 STREAM_SCHEMA = OBSERVATION_SCHEMA + ", timestamp timestamp_ntz, month bigint"
@@ -43,10 +40,11 @@ def start_scoring(spark: SparkSession, source_dir: str, sink_dir: str, model: Li
     otherwise the query keeps running and picks up new files.  With
     ``partition_by_region`` the output has the layout of a stored predictions
     table (``state_key = lower(region)`` folders), so region lookups prune.
+    The checkpoint is a hidden folder of the output unless one is given; later
+    runs over the same output must use the same.
     """
     if checkpoint is None:
-        base = ensure_checkpoint_dir(spark)
-        checkpoint = os.path.join(base, f"scoring-{uuid.uuid4().hex}")
+        checkpoint = sink_dir.rstrip("/") + "/_scoring_checkpoint"
     scored = scored_stream(spark, source_dir, model, schema)
     if partition_by_region:
         scored = scored.withColumn(REGION_KEY, F.lower(F.col("state_province")))

@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from emberline import catalog as C
@@ -37,10 +39,16 @@ def test_namespace_table_model_registry(spark, tmpdir_path):
     info = SV.model_info(reg, m.name).first()
     assert info["model_name"] == m.name and info["model_schema"] == ns
     missing = SV.model_info_or_error(reg, "nope").first()
-    assert missing["error"] == "Model not found"
+    assert missing["error"] == "Model not found" and missing["model_name"] == "nope"
+    asked = spark.createDataFrame([(m.name,), ("nope",)], "model_name string")
+    both = {r.model_name: r for r in SV.model_info_batch(reg, asked).collect()}
+    assert both[m.name]["error"] is None and both[m.name]["model_schema"] == ns
+    assert both["nope"]["error"] == "Model not found" and both["nope"]["model_schema"] is None
+    saves = C.read_saved(spark, C.REGISTRY, ns)
+    assert saves.count() == 2 and saves.select("creation_time").distinct().count() == 1
     C.write_json(SV.available_states(predict(m, obs)), os.path.join(tmpdir_path, "j"), as_strings=True)
     C.write_csv(C.count_rows(obs), os.path.join(tmpdir_path, "c"))
-    assert spark.read.json(os.path.join(tmpdir_path, "j")).count() == 1
+    assert spark.read.json(os.path.join(tmpdir_path, "j")).count() == 16
     C.drop_namespace(spark, ns)
     assert not spark.catalog.databaseExists(ns)
 
@@ -63,6 +71,31 @@ def test_streaming_scoring_equals_batch(spark, tmpdir_path):
     assert SV.prediction_for_state(out, "bayern").count() == 1
 
 
+def test_a_second_streaming_run_adds_only_the_new_rows(spark, tmpdir_path):
+    src, sink = os.path.join(tmpdir_path, "in2"), os.path.join(tmpdir_path, "out2")
+    obs = inline_observations(spark)
+    for part, rows, total in (("part1", obs.limit(8), 8), ("part2", obs.orderBy("station_id").limit(1), 9)):
+        rows.write.parquet(os.path.join(src, part))
+        start_scoring(spark, os.path.join(src, "*"), sink, fixed_model()).awaitTermination(120)
+        assert spark.read.parquet(sink).count() == total
+
+
+def test_batch_run_on_a_given_table_survives_a_failing_evaluation(spark, monkeypatch):
+    from emberline.plans import batch_job
+    from emberline.sources.generator import generate_training
+
+    def broken(*a, **k):
+        raise RuntimeError("no metrics today")
+    monkeypatch.setattr(batch_job, "evaluate", broken)
+    cfg = BatchConfig(namespace="emb_batch2", train=TrainConfig(iterations=2))
+    with pytest.warns(UserWarning, match="no metrics today"):
+        res = run_batch(spark, cfg, training=generate_training(spark, 700, 3))
+    summary = {r.metric: r.value for r in res["summary"].collect()}
+    assert summary == {"training_rows": "700", "prediction_rows": "16", "accuracy": "N/A", "roc_auc": "N/A"}
+    assert res["sample"].count() == 5
+    C.drop_namespace(spark, "emb_batch2")
+
+
 def test_batch_run_end_to_end(spark, tmpdir_path):
     cfg = BatchConfig(namespace="emb_batch", training_rows=1000,
                       train=TrainConfig(iterations=5),
@@ -90,7 +123,7 @@ def test_partitioned_predictions_prune_region_lookup(spark):
     assert "PartitionFilters: [isnotnull(state_key" in plan and "= sachsen)" in plan
     rows = q.collect()
     assert len(rows) == 1 and rows[0]["station_id"] == "station_SN"
-    assert SV.available_states(stored).first()["count"] == 16
+    assert SV.available_states(stored).first()["n_states"] == 16
     C.drop_namespace(spark, ns)
 
 

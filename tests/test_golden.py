@@ -80,10 +80,14 @@ def test_state_lookup_case_insensitive_and_missing(spark):
 
 def test_available_states_and_sample(spark):
     preds = predict(fixed_model(), engineer(inline_observations(spark)))
-    one = SV.available_states(preds).first()
-    assert one["count"] == 16 and one["states"] == sorted(RV.STATES)
+    rows = sorted(SV.available_states(preds).collect())
+    assert [tuple(r) for r in rows] == [(i, s, 16) for i, s in enumerate(sorted(RV.STATES))]
     top = SV.sample_predictions(preds, 5).collect()
     assert len(top) == 5
+    high = SV.sample_predictions(preds, 16, by="high_risk_prob").collect()
+    assert [r.high_risk_prob for r in high] == sorted((r.high_risk_prob for r in high), reverse=True)
+    label = "predicted_" + RV.LABEL_COLUMN
+    assert all((r[label] == "high") == (r.high_risk_prob == r.high_risk_probability) for r in high)
 
 
 def test_empty_table_everywhere(spark):
@@ -93,8 +97,7 @@ def test_empty_table_everywhere(spark):
     assert preds.count() == 0
     assert SV.current_predictions(preds).count() == 0
     assert SV.prediction_for_state(preds, "Bayern").count() == 0
-    one = SV.available_states(preds).first()
-    assert one["count"] == 0 and one["states"] == []
+    assert SV.available_states(preds).count() == 0
     label = f"predicted_{RV.LABEL_COLUMN}"
     assert confusion(preds, "state_province", label).count() == 0
     assert macro_metrics(confusion(preds, "state_province", label)).first()["accuracy"] is None
@@ -106,11 +109,9 @@ def test_available_states_keeps_a_null_region(spark):
     obs = inline_observations(spark)
     with_null = obs.unionByName(obs.limit(1).withColumn("state_province", F.lit(None).cast("string")))
     preds = predict(fixed_model(), engineer(with_null))
-    one = SV.available_states(preds).first()
-    assert one["count"] == 17
-    assert one["states"][0] is None and one["states"][1:] == sorted(RV.STATES)
-    rows = SV.available_states_rows(preds).collect()
-    assert len(rows) == 17 and rows[0]["state_province"] is None and rows[0]["state_index"] == 0
+    rows = {r.state_index: r for r in SV.available_states(preds).collect()}
+    assert len(rows) == 17 and rows[0]["state_province"] is None and rows[0]["n_states"] == 17
+    assert [rows[i]["state_province"] for i in range(1, 17)] == sorted(RV.STATES)
 
 
 def test_lookup_found_even_when_the_record_has_null_fields(spark):

@@ -32,7 +32,7 @@ def test_lookup_with_a_hot_region(spark):
     assert out["BAYERN"]["found"] and out["BAYERN"]["temperature_celsius"] == 31.0
     single = SV.prediction_for_state(preds, "bayern").collect()
     assert single[0]["temperature_celsius"] == 31.0
-    assert SV.available_states(preds).first()["count"] == 16
+    assert SV.available_states(preds).first()["n_states"] == 16
 
 
 def test_split_and_scores_partition_invariant(spark):
