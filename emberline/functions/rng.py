@@ -42,24 +42,7 @@ def uniform_sql(seed: int | str, site: str, id_sql: str = "row_id") -> str:
 
 def cascade_sql(seed, name: str, id_sql: str, labels: Sequence[str],
                 thresholds: Sequence[float]) -> str:
-    """``category_cascade`` as Spark SQL text (same draws, same order)."""
-    if len(labels) != len(thresholds) + 1:
-        raise ValueError("need exactly one more label than thresholds")
-    whens = " ".join(
-        f"WHEN {uniform_sql(seed, f'{name}_{k}', id_sql)} < {num(t)} "
-        f"THEN {text(lab)}"
-        for k, (lab, t) in enumerate(zip(labels, thresholds), start=1))
-    return f"CASE {whens} ELSE {text(labels[-1])} END"
-
-
-def scaled_uniform(seed, site, id_col, scale: float, offset: float = 0.0) -> Column:
-    """``u * scale + offset`` as a double."""
-    return uniform(seed, site, id_col) * F.lit(float(scale)) + F.lit(float(offset))
-
-
-def category_cascade(seed, name: str, id_col, labels: Sequence[str],
-                     thresholds: Sequence[float]) -> Column:
-    """A searched CASE where every branch makes a fresh draw.
+    """A searched CASE where every branch makes a fresh draw, as Spark SQL text.
 
     Branch k compares its own uniform (site ``{name}_{k}``) with
     ``thresholds[k-1]``; the first success picks ``labels[k-1]``, and the last
@@ -68,11 +51,11 @@ def category_cascade(seed, name: str, id_col, labels: Sequence[str],
     """
     if len(labels) != len(thresholds) + 1:
         raise ValueError("need exactly one more label than thresholds")
-    expr = None
-    for k, (label, t) in enumerate(zip(labels, thresholds), start=1):
-        cond = uniform(seed, f"{name}_{k}", id_col) < F.lit(float(t))
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return expr.otherwise(F.lit(labels[-1]))
+    whens = " ".join(
+        f"WHEN {uniform_sql(seed, f'{name}_{k}', id_sql)} < {num(t)} "
+        f"THEN {text(lab)}"
+        for k, (lab, t) in enumerate(zip(labels, thresholds), start=1))
+    return f"CASE {whens} ELSE {text(labels[-1])} END"
 
 
 def split_flag(seed, id_col, eval_fraction: float, site: str = "split") -> Column:

@@ -103,6 +103,12 @@ def training(spark, sf_dir) -> DataFrame:
     return label_rows(engineer(enrich_coordinates(keyed_obs(spark, sf_dir))))
 
 
+def scored_columns(spark, sf_dir) -> DataFrame:
+    """Label and one plain probability column for each class."""
+    scored = predict(FIXED, label_rows(engineer(obs(spark, sf_dir))), prob_columns=True)
+    return scored.select(LABEL, *[F.col(f"prob_{c}").alias(f"p_{c}") for c in CLASSES])
+
+
 def iso_sql(col: str) -> str:
     return (f"CASE WHEN {col} IS NULL THEN NULL WHEN microsecond({col}) % 1000000 = 0 "
             f"THEN strftime({col}, '%Y-%m-%dT%H:%M:%S') "
@@ -463,7 +469,7 @@ SELECT cls, n_pos, n_neg,
 FROM c
 """)
 def q_eval_auc_by_class(spark, sf_dir):
-    p = predictions(spark, sf_dir).select(LABEL, *[prob_of(PROBS, c).alias(f"p_{c}") for c in CLASSES])
+    p = scored_columns(spark, sf_dir)
     a = EV.auc_by_class(p, LABEL, {c: f"p_{c}" for c in CLASSES})
     return a.select("cls", "n_pos", "n_neg", F.round("auc", R9).alias("auc"))
 
@@ -474,7 +480,7 @@ SELECT round(avg(CASE WHEN n_pos > 0 AND n_neg > 0 THEN num / (CAST(n_pos AS DOU
 FROM c
 """)
 def q_eval_roc_auc(spark, sf_dir):
-    p = predictions(spark, sf_dir).select(LABEL, *[prob_of(PROBS, c).alias(f"p_{c}") for c in CLASSES])
+    p = scored_columns(spark, sf_dir)
     a = EV.roc_auc(p, LABEL, {c: f"p_{c}" for c in CLASSES})
     return a.select(F.round("roc_auc", R9).alias("roc_auc"))
 
