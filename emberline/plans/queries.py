@@ -261,8 +261,9 @@ def _first_step_sql() -> str:
         f"CASE WHEN CAST(t.{c} AS VARCHAR) = v.level THEN {O.d(1)} ELSE {O.d(0)} END AS x "
         f"FROM t JOIN lv v ON v.cat = '{c}'" for c in cfg.categorical)
     k_sql = "(SELECT count(*) FROM wt)"
+    # rows can share their keys: the joins below need a number of their own
     return f"""
-WITH t AS ({O.TRAIN}),
+WITH t AS MATERIALIZED (SELECT * EXCLUDE (row_id), row_number() OVER () AS row_id FROM ({O.TRAIN})),
 c AS (SELECT {LABEL} AS cls, count(*) AS n FROM t WHERE {LABEL} IS NOT NULL GROUP BY 1),
 wt AS (SELECT cls, CAST((SELECT sum(n) FROM c) AS DOUBLE) / ((SELECT count(*) FROM c) * n) AS w FROM c),
 st AS ({stats}),
@@ -325,7 +326,9 @@ def _descent_sql(steps: int) -> str:
         for c in k for j in n]
     zero = [f"{O.d(0)} AS b{c}" for c in k] + [f"{O.d(0)} AS w{c}_{j}" for c in k for j in n]
     out = [f"SELECT {O.s(CLASSES[c])} AS class, '(intercept)' AS feature, round(b{c}, 4) AS weight FROM last" for c in k]
-    out += [f"SELECT {O.s(CLASSES[c])}, {O.s(features[j])}, round(w{c}_{j}, 4) FROM last" for c in k for j in n]
+    # a level that no training row has is no feature
+    there = ["" for _ in cfg.numeric] + [f" WHERE EXISTS (SELECT 1 FROM t WHERE {c} = {O.s(v)})" for c, v in levels]
+    out += [f"SELECT {O.s(CLASSES[c])}, {O.s(features[j])}, round(w{c}_{j}, 4) FROM last{there[j]}" for c in k for j in n]
     return f"""
 WITH RECURSIVE t AS ({O.TRAIN}),
 c AS (SELECT {LABEL} AS cls, count(*) AS n FROM t WHERE {LABEL} IS NOT NULL GROUP BY 1),
