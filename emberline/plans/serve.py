@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .. import reference_values as RV
 from ..functions.temporal import iso_datetime, iso_instant
 from ..operators.model import first_of, prob_of
-from ..operators.row_id import with_row_id
+from ..operators.row_id import ranked, with_row_id
 
 PRED = f"predicted_{RV.LABEL_COLUMN}"
 REGION_KEY = "state_key"      # partition column of a stored predictions table
@@ -59,14 +59,14 @@ def current_predictions(preds: DataFrame, zero_as_null: bool = True, digits: int
 
     The order is a column, so it survives whatever is done with the rows.
     Probabilities are compared to ``digits`` places if given; ties follow
-    ``RECORD_ORDER``.  The narrow record is kept while it is numbered, so
-    scoring runs once.
+    ``RECORD_ORDER``.  The narrow record is kept while it is sorted and numbered,
+    so scoring runs once.
     """
     rows = prediction_rows(preds).persist(StorageLevel.MEMORY_AND_DISK)
     p = F.col("high_risk_probability")
     p = p if digits is None else F.round(p, digits)
-    ranked = with_row_id(rows, [p.isNull(), -p, *RECORD_ORDER], name="rank_position")
-    return ranked.select("rank_position", *as_records_columns(zero_as_null))
+    order = [F.desc(p), *[F.asc(c) for c in RECORD_ORDER + TIE_BREAK]]
+    return ranked(rows, order).select("rank_position", *as_records_columns(zero_as_null))
 
 
 def prediction_for_state(preds: DataFrame, state: str, zero_as_null: bool = True) -> DataFrame:
