@@ -21,6 +21,7 @@ from ..operators.row_id import ranked, with_row_id
 PRED = f"predicted_{RV.LABEL_COLUMN}"
 REGION_KEY = "state_key"      # partition column of a stored predictions table
 PROBS = f"predicted_{RV.LABEL_COLUMN}_probs"
+HELD_ROWS = 50_000            # regions a task holds at once while it looks for their first records
 HIGH = "high"                 # the class whose probability readers ask for
 
 SERVING_COLUMNS = ["station_id", "state_province", "temperature_celsius", "humidity_percent",
@@ -87,17 +88,60 @@ def prediction_for_state(preds: DataFrame, state: str, zero_as_null: bool = True
     return as_records(first, zero_as_null)
 
 
+def _least_rows(table, key: str, order: list[str]):
+    """The first row of each ``key`` of an Arrow table, in Spark's order: NULL first, NaN last."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    by = {"k": pc.dictionary_encode(table[key].combine_chunks(), null_encoding="encode").indices}
+    for i, c in enumerate(order):
+        x = table[c].combine_chunks()
+        if pa.types.is_floating(x.type):
+            nan = pc.is_nan(x)
+            by[f"n{i}"] = nan.cast(pa.int8())
+            x = pc.if_else(nan, pa.scalar(0, x.type), x)
+        by[f"c{i}"] = x
+    at = pc.sort_indices(pa.table(by), sort_keys=[(c, "ascending") for c in by], null_placement="at_start").to_numpy()
+    k = by["k"].to_numpy()[at]
+    return table.take(at[np.r_[True, k[1:] != k[:-1]]])
+
+
+def _reduce_per_key(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """``rows`` reduced inside each partition towards the first row of each ``key``.
+
+    One pass with a running minimum: no shuffle and no sort of the partition.
+    The held rows are emitted and begun anew at ``HELD_ROWS``, so memory is
+    bounded for any number of keys; a key may come back several times.
+    """
+    def run(batches):
+        import pyarrow as pa
+
+        held = None
+        for batch in batches:
+            if batch.num_rows:
+                part = pa.Table.from_batches([batch])
+                held = _least_rows(part if held is None else pa.concat_tables([held, part]), key, order)
+                if held.num_rows >= HELD_ROWS:
+                    yield from held.to_batches()
+                    held = None
+        if held is not None:
+            yield from held.to_batches()
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def first_per_state(preds: DataFrame) -> DataFrame:
     """``(state_key, rec)``: the smallest record per lower-cased region.
 
-    ``min(struct(order..., payload...))`` is an ordinary aggregate with
-    map-side partial aggregation, so a region holding a third of all rows is
-    reduced inside each map task before the shuffle.
+    Each partition keeps a running minimum per region, so a region holding a
+    third of all rows leaves its map task as one row; the aggregate that
+    follows (a sort aggregate, as its buffer holds strings) sees only those.
     """
-    rows = prediction_rows(preds)
-    rec = F.struct(*[F.col(c) for c in RECORD_ORDER + TIE_BREAK])
-    return rows.groupBy(F.lower(F.col("state_province")).alias("state_key")).agg(
-        F.min(rec).alias("rec"))
+    order = RECORD_ORDER + TIE_BREAK
+    rows = prediction_rows(preds).select(F.lower("state_province").alias("state_key"), *order)
+    rec = F.struct(*[F.col(c) for c in order])
+    return _reduce_per_key(rows, "state_key", order).groupBy("state_key").agg(F.min(rec).alias("rec"))
 
 
 def lookup(requests: DataFrame, preds: DataFrame, request_col: str = "requested_state",
