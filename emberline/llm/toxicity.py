@@ -175,19 +175,23 @@ def evidence(words: set[str], weights: dict) -> float:
     return sum(found[:TOP])
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, usable: Column, doc_id: str, text: str) -> DataFrame:
-    """(text, toxic): at most TOXIC_ROWS and CLEAN_ROWS labelled texts, each text once.
+def labelled_sample(docs: DataFrame, labels: DataFrame, usable: Column, doc_id: str, text: str) -> tuple[DataFrame, dict]:
+    """(h, text, toxic): at most TOXIC_ROWS and CLEAN_ROWS labelled texts, each text once; and
+    how many usable labelled documents one document of each class stands for.
 
     Chosen by a hash of the id; the ids are broadcast, so no text is shuffled to find them.
     """
+    caps = {1: TOXIC_ROWS, 0: CLEAN_ROWS}
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(
         F.max("toxic").alias("toxic")).withColumn("_h", F.xxhash64("doc_id")).where(usable)
     picks = [known.where(F.col("toxic") == y).orderBy("_h", "doc_id").limit(n)
-             for y, n in ((1, TOXIC_ROWS), (0, CLEAN_ROWS))]
+             for y, n in caps.items()]
     picked = picks[0].unionByName(picks[1]).select(F.col("doc_id").alias("_id"), "toxic")
     own = docs.select(F.col(doc_id).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return own.join(F.broadcast(picked), "_id").groupBy(F.sha2("text", 256).alias("h")).agg(
+    sample = own.join(F.broadcast(picked), "_id").groupBy(F.sha2("text", 256).alias("h")).agg(
         F.first("text").alias("text"), F.max("toxic").alias("toxic"))
+    sizes = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
+    return sample, {y: max(1.0, sizes.get(y, 0) / n) for y, n in caps.items()}
 
 
 def _feature_counts(sample: DataFrame, costs: np.ndarray, only: frozenset | None) -> DataFrame:
@@ -211,7 +215,8 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, doc_id: str = "doc_i
     """Character costs, feature weights and the calibration (a, b) of the evidence."""
     small_batches(docs.sparkSession)
     costs = trigram_costs(trigram_counts(docs, text))
-    sample = written(labelled_sample(docs, labels, usable, doc_id, text).withColumn(
+    sample, stands_for = labelled_sample(docs, labels, usable, doc_id, text)
+    sample = written(sample.withColumn(
         "fold", F.pmod(F.crc32(F.col("h").cast("binary")), F.lit(4))), "labelled")
     part = sample.where("fold > 0")
     sizes = {r.toxic: r["count"] for r in part.groupBy("toxic").count().collect()}
@@ -229,20 +234,24 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, doc_id: str = "doc_i
             weights[f] = w
     model = {"costs": costs, "weights": weights, "a": -3.0, "b": 1.0}
     held = evidences(sample.where("fold = 0").select("text", "toxic"), model).drop("text").toPandas()  # a quarter of the sample
-    model["a"], model["b"] = calibrate(held["evidence"].to_numpy(), held["toxic"].to_numpy(), model["a"], model["b"])
+    model["a"], model["b"] = calibrate(held["evidence"].to_numpy(), held["toxic"].to_numpy(), model["a"], model["b"],
+                                       held["toxic"].map(stands_for).to_numpy(np.float64))
     return model
 
 
-def calibrate(x: np.ndarray, y: np.ndarray, a: float, b: float) -> tuple[float, float]:
-    """Logistic fit of y on one feature, by Newton steps with a small ridge around the start."""
+def calibrate(x: np.ndarray, y: np.ndarray, a: float, b: float, weight: np.ndarray) -> tuple[float, float]:
+    """Logistic fit of y on one feature, by Newton steps with a small ridge around the start.
+
+    ``weight``: how many documents each row stands for, so a bounded sample keeps the share of its classes.
+    """
     if len(x) == 0 or len(set(y.tolist())) < 2:
         return a, b
     start, beta = np.array([a, b]), np.array([a, b])
     m = np.c_[np.ones(len(x)), x]
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(m @ beta, -30, 30)))
-        grad = m.T @ (p - y) + 0.1 * (beta - start)
-        step = np.linalg.solve((m * (p * (1 - p))[:, None]).T @ m + 0.1 * np.eye(2), grad)
+        grad = m.T @ (weight * (p - y)) + 0.1 * (beta - start)
+        step = np.linalg.solve((m * (weight * p * (1 - p))[:, None]).T @ m + 0.1 * np.eye(2), grad)
         beta = beta - np.clip(step, -1, 1)
     return float(beta[0]), float(max(beta[1], 1e-3))
 

@@ -301,6 +301,26 @@ def test_toxicity_on_held_out_rows(spark, none):
     assert toxicity.score(none, empty).count() == 0 and toxicity.score(df, empty).count() == 404
 
 
+def test_caps_do_not_move_the_threshold(spark, monkeypatch):
+    # "maybe" stands in 1 of 2 toxic and 1 of 11 clean texts: a quarter of the texts that hold it are toxic
+    data, labels = [], []
+    for i in range(2640):
+        toxic = i % 17 == 0
+        word = ("maybe" if i % 2 else "scum") if toxic else "maybe" if i % 11 == 0 else "plain"
+        data.append((i, f"{prose(5000 + i, 12)} {word}"))
+        labels.append((i, int(toxic)))
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+
+    def predicted():
+        model = toxicity.fit(df, labels, F.lit(True))
+        return {r.doc_id for r in toxicity.score(df, model).where("score >= 0.3").collect()}
+    whole = predicted()
+    assert whole == {i for i, t in data if t.endswith("scum")}
+    monkeypatch.setattr(toxicity, "CLEAN_ROWS", 500)
+    assert predicted() == whole
+
+
 # --- mixing
 
 def test_shortage_goes_to_siblings_before_ancestors(spark):
