@@ -2,7 +2,7 @@
 
 Words that look disguised - digits and signs among letters, letters drawn out
 or spelled with gaps - become character lattices: each sign may stand for a
-letter, each run for one or two, each separator for nothing.  A Viterbi search
+letter, each run for one or two, each separator for nothing or a space.  A Viterbi search
 under a character trigram model, counted over the whole corpus, picks the most
 likely reading.  Ordinary words have one reading and pass through.  Restored
 words are then scored: a word's weight is the best log-odds among itself and
@@ -28,15 +28,17 @@ from .common import small_batches, written
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g",
         "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l"}
 GAPS = ".-_*~'`,·"
+ANY = "abcdefghijklmnopqrstuvwxyz"  # what a star inside a word may hide
 KINDS = 28  # a-z, any other letter, and the edge of a word
 EDGE, OTHER = 27, 26
-ODD = re.compile(r"[0-9@$!|+(<€£](?=[^\W\d_])|[^\W\d_][0-9@$!|+(<€£]+[^\W\d_]|([^\W\d_])\1\1"
-                 r"|(?:^|[^\w])[^\W\d_](?:[.\-_*~'`,·][^\W\d_]){2,}(?:$|[^\w])")
+ODD = re.compile(r"[0-9@$!|+(<€£.\-_*~'`,·]|([^\W\d_])\1")  # more than one reading, if there is a letter too
+LETTER = re.compile(r"[^\W\d_]")
 TRIM = " \t\n\r\v\f.,;:!?\"'()[]{}<>*#%&$~^=/\\|-_`+@"
 STEMS = range(3, 8)
 TOXIC_ROWS, CLEAN_ROWS = 10_000, 30_000  # labelled rows the classifier is fitted on, at most
 LEAST_TEXTS, LEAST_SHARE, LEAST_WEIGHT, TOP = 2, 0.0025, 1.5, 3
 CACHED_WORDS, LONGEST = 400_000, 64
+OR = "\n"  # between readings of one word that are scored as one
 
 
 def trigram_counts(docs: DataFrame, text: str) -> np.ndarray:
@@ -82,50 +84,76 @@ def lattice(word: str) -> list[list[tuple[str, float]]]:
         while j < len(word) and word[j] == c:
             j += 1
         n = j - i
-        if c.isalpha():
+        if n == 1 and c.isalpha() and out and len(out[-1]) == 1:
+            out[-1] = [(out[-1][0][0] + c, 0.0)]
+        elif c.isalpha():
             out.append([(c, 0.0 if n != 2 else 1.0)] + ([(c + c, 0.0 if n == 2 else 1.0)] if n > 1 else []))
         elif c in LEET:
-            out.append([(x, 1.0) for x in LEET[c]] + [(c, 8.0)])
+            out.append([(x, 1.0 if n != 2 else 2.0) for x in LEET[c]] + [(word[i:j], 8.0)]
+                       + ([(x + x, 1.0 if n == 2 else 2.0) for x in LEET[c]] if n > 1 else []))
+        elif c == "*" and out and j < len(word):
+            out += [[("", 0.5), (c, 8.0)] + [(x, 1.5) for x in ANY]] * n
         elif c in GAPS:
-            out.append([("", 0.5), (c, 8.0)])
+            out.append([("", 0.5), (" ", 0.5), (word[i:j], 8.0)])
         else:
             out.append([(c, 0.0)])
         i = j
     return out
 
 
-def restore(word: str, costs: np.ndarray) -> str:
-    """The likeliest reading of a disguised word (Viterbi over the last two characters)."""
-    paths = {(EDGE, EDGE): (0.0, "")}
-    for unit in [*lattice(word), [(" ", 0.0)]]:
-        after: dict[tuple[int, int], tuple[float, str]] = {}
+def best_units(units: list[list[tuple[str, float]]], costs: np.ndarray | list) -> list[str]:
+    """The likeliest reading of each unit (Viterbi over the last two characters).
+
+    Of long tokens, all but the last ``LONGEST`` units of the likeliest path are
+    settled on the way; no word is cut.
+    """
+    paths: dict[tuple[int, int], tuple[float, tuple]] = {(EDGE, EDGE): (0.0, ())}
+    sure: list[str] = []
+    for i, unit in enumerate([*units, [(" ", 0.0)]]):
+        after: dict[tuple[int, int], tuple[float, tuple]] = {}
+        kinds = [(reading, extra, [_kind(c) for c in reading]) for reading, extra in unit]
         for (a, b), (cost, done) in paths.items():
-            for reading, extra in unit:
+            for reading, extra, ks in kinds:
                 total, x, y = cost + extra, a, b
-                for ch in reading:
-                    k = _kind(ch)
-                    total += costs[x, y, k]
+                for k in ks:
+                    total += costs[x][y][k]
                     x, y = y, k
                 if (x, y) not in after or total < after[x, y][0]:
-                    after[x, y] = (total, done + reading)
+                    after[x, y] = (total, done + (reading,))
         paths = after
-    return min(paths.values())[1].strip()
+        if i + 1 - len(sure) > 2 * LONGEST:
+            settled = min(paths.values())[1][:-LONGEST]
+            sure.extend(settled)
+            paths = {k: (c, t[len(settled):]) for k, (c, t) in paths.items() if t[:len(settled)] == settled}
+    return [*sure, *min(paths.values())[1][:-1]]
+
+
+def restore(word: str, costs: np.ndarray | list) -> str:
+    """The likeliest reading of a disguised word."""
+    return "".join(best_units(lattice(word), costs)).strip()
 
 
-def readings(word: str, costs: np.ndarray) -> str:
-    """A lower-case word as it is scored: restored if it looks disguised, without outer signs."""
+def readings(word: str, costs: np.ndarray | list) -> str:
+    """A lower-case word as it is scored: restored if it looks disguised, without outer signs.
+
+    Separators may cut it into several words (a space between them).  Where signs
+    at its end may be letters or not, the word without them follows after ``OR``.
+    """
     plain = word.strip(TRIM)
-    if not ODD.search(word):
+    word = word.lstrip("\"'([{").rstrip(".,;:!?\"')]}" + GAPS)
+    if not ODD.search(word) or not LETTER.search(word):
         return plain
-    word = word.lstrip("\"'([{").rstrip(".,;:!?\"')]}")
-    # long tokens (keys, links) are read piece by piece, so no part is left out
-    return "".join(restore(word[i:i + LONGEST], costs) for i in range(0, len(word), LONGEST)).strip(TRIM)
+    out = " ".join(w for w in (w.strip(TRIM) for w in restore(word, costs).split(" ")) if w)
+    bare = word.rstrip(TRIM)
+    if bare != word and (other := readings(bare, costs)) != out:
+        return out + (" " if " " in out + other else OR) + other if out and other else out or other
+    return out
 
 
 def words_of(text: str, costs: np.ndarray, cache: dict) -> set[str]:
     """Distinct restored words; three or more single letters in a row also make one word."""
     words = text.lower().split()
-    out = set(map(cache.__getitem__, set(words)))
+    out = {w for r in set(map(cache.__getitem__, set(words))) for w in r.split(" ")}
     if len(words) > 2:
         single = np.fromiter(map(len, words), np.int64, len(words)) == 1
         edges = np.flatnonzero(np.diff(np.r_[0, single.astype(np.int8), 0]))
@@ -142,7 +170,7 @@ class Readings(dict):
 
     def __init__(self, costs: np.ndarray):
         super().__init__()
-        self.costs = costs
+        self.costs = costs.tolist()
 
     def __missing__(self, word: str) -> str:
         if len(self) >= CACHED_WORDS:
@@ -153,7 +181,7 @@ class Readings(dict):
 
 def features(word: str) -> list[str]:
     """The word and its stems (first letters, marked by a trailing sign)."""
-    return [word, *(word[:n] + "~" for n in STEMS if len(word) > n)] if len(word) > 2 else []
+    return [f for w in word.split(OR) if len(w) > 2 for f in (w, *(w[:n] + "~" for n in STEMS if len(w) > n))]
 
 
 class Weights(dict):

@@ -280,6 +280,23 @@ def test_spelled_out_words_are_restored(costs):
     assert "moron" in toxicity.words_of("you m o r o n there", costs, toxicity.Readings(costs))
 
 
+@pytest.fixture(scope="module")
+def curses():
+    counts = np.zeros(28 ** 3)
+    text = "  you are a stupid person an idiot i moron ass there was the dumb loser and  " * 20
+    kinds = [toxicity._kind(c) for c in text]
+    for a, b, c in zip(kinds, kinds[1:], kinds[2:]):
+        counts[(a * 28 + b) * 28 + c] += 1
+    return trigram_costs(counts)
+
+
+@pytest.mark.parametrize("seen,read", [("stu.pid", "stupid"), ("st*pid", "stupid"), ("mor*n", "moron"), ("id-iot", "idiot"),
+                                       ("stu_pid", "stupid"), ("s.tupid", "stupid"), ("a55", "ass"), ("as$", "ass\nas"),
+                                       ("a$$", "ass\na"), ("stuupid", "stupid"), ("idiot-moron", "idiot moron")])
+def test_every_lattice_is_read(curses, seen, read):
+    assert readings(seen, curses) == read
+
+
 def test_toxicity_on_held_out_rows(spark, none):
     rng = np.random.default_rng(4)
     bad = ["idiot", "moron", "scum"]
