@@ -2,7 +2,8 @@
 
 Words that look disguised - digits and signs among letters, letters drawn out
 or spelled with gaps - become character lattices: each sign may stand for a
-letter, each run for one or two, each separator for nothing or a space.  A Viterbi search
+letter, each run for one or two, each separator for nothing or a space, each
+space of the text for nothing.  A Viterbi search
 under a character trigram model, counted over the whole corpus, picks the most
 likely reading.  Ordinary words have one reading and pass through.  Restored
 words are then scored: a word's weight is the best log-odds among itself and
@@ -15,6 +16,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -38,6 +40,7 @@ STEMS = range(3, 8)
 TOXIC_ROWS, CLEAN_ROWS = 10_000, 30_000  # labelled rows the classifier is fitted on, at most
 LEAST_TEXTS, LEAST_SHARE, LEAST_WEIGHT, TOP = 2, 0.0025, 1.5, 3
 CACHED_WORDS, LONGEST = 400_000, 64
+SPACE = 3.0  # cost of reading a space of the text as nothing
 OR = "\n"  # between readings of one word that are scored as one
 
 
@@ -150,27 +153,86 @@ def readings(word: str, costs: np.ndarray | list) -> str:
     return out
 
 
-def words_of(text: str, costs: np.ndarray, cache: dict) -> set[str]:
-    """Distinct restored words; three or more single letters in a row also make one word."""
+def splits(key: str, costs: list) -> list[bool]:
+    """Which spaces of ``key`` stay in its likeliest reading; those next to other signs do."""
+    parts = key.split(" ")
+    sure = [not all(c.isalpha() or c in LEET for c in (a[-1], b[0])) for a, b in zip(parts, parts[1:])]
+    if all(sure) or not LETTER.search(key):
+        return [True] * len(sure)
+    units, at = [], []
+    for part, stays in zip(parts, [*sure, True]):
+        units += [u for c in part for u in lattice(c)]
+        at.append(len(units))
+        units.append([(" ", 0.0)] if stays else [("", SPACE), (" ", 0.0)])
+    chosen = best_units(units, costs)
+    return [chosen[i] == " " for i in at[:-1]]
+
+
+def joined(words: list[str], cache: Readings) -> list[str]:
+    """The words that arise where the likeliest reading has nothing for spaces of the text.
+
+    A gap between two longer words depends on two letters to each side only;
+    single letters are read as one run with their neighbours.
+    """
+    gaps = cache.gaps
+    stays = list(map(gaps.__getitem__, map(add, [w[-2:] for w in words[:-1]], [w[:2] for w in words[1:]])))
+    singles = [i for i, w in enumerate(words) if len(w) == 1]
+    done = -1
+    for i in singles:
+        if i >= done:
+            a, done = max(0, i - 1), i + 1
+            while done < len(words) and len(words[done]) == 1:
+                done += 1
+            key = " ".join([words[a][-2:], *words[a + 1:done], *(w[:2] for w in words[done:done + 1])])
+            stays[a:done if done < len(words) else done - 1] = gaps.run(key)
+    if all(stays):
+        return []
+    cuts = [0, *(i for i, x in enumerate(stays, 1) if x), len(words)]
+    return ["".join(words[a:b]) for a, b in zip(cuts, cuts[1:]) if b - a > 1]
+
+
+def words_of(text: str, costs: np.ndarray, cache: Readings) -> set[str]:
+    """Distinct restored words, and those that spaces took apart."""
     words = text.lower().split()
-    out = {w for r in set(map(cache.__getitem__, set(words))) for w in r.split(" ")}
-    if len(words) > 2:
-        single = np.fromiter(map(len, words), np.int64, len(words)) == 1
-        edges = np.flatnonzero(np.diff(np.r_[0, single.astype(np.int8), 0]))
-        for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()):
-            if b - a >= 3:
-                spelled = "".join(words[a:b])
-                out.update(readings(" ".join(spelled[i:i + LONGEST]).replace(" ", "."), costs)
-                           for i in range(0, len(spelled), LONGEST))
+    found = set(map(cache.__getitem__, set(words)))
+    found.update(map(cache.__getitem__, set(joined(words, cache))))
+    out = set()
+    for w in found:
+        out.update(w.split(" ")) if " " in w else out.add(w)
     return out
 
 
+class Gaps(dict):
+    """Two letters on each side of a space -> whether it stays, bounded."""
+
+    def __init__(self, costs: list):
+        super().__init__()
+        self.costs, self.runs = costs, {}
+
+    def __missing__(self, key: str) -> bool:
+        # shorter: a single letter, which is read with its whole run
+        out = self[key] = len(key) < 4 or splits(f"{key[:2]} {key[2:]}", self.costs)[0]
+        if len(self) > CACHED_WORDS:
+            self.clear()
+        return out
+
+    def run(self, key: str) -> list[bool]:
+        if (out := self.runs.get(key)) is None:
+            out = splits(key, self.costs)
+            if len(self.runs) >= CACHED_WORDS:
+                self.runs.clear()
+            if len(key) <= LONGEST:
+                self.runs[key] = out
+        return out
+
+
 class Readings(dict):
     """word -> restored word, bounded."""
 
     def __init__(self, costs: np.ndarray):
         super().__init__()
         self.costs = costs.tolist()
+        self.gaps = Gaps(self.costs)
 
     def __missing__(self, word: str) -> str:
         if len(self) >= CACHED_WORDS:

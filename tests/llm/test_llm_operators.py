@@ -297,6 +297,14 @@ def test_every_lattice_is_read(curses, seen, read):
     assert readings(seen, curses) == read
 
 
+@pytest.mark.parametrize("text,found", [("you are a s t u p i d person", {"stupid", "person"}), ("i s t u p i d", {"stupid"}),
+                                        ("an i d i o t m o r o n there", {"idiot", "moron"}), ("the stu pid person", {"stupid"}),
+                                        ("the " + "m o r o n " * 60 + "i d i o t", {"moron", "idiot"})])
+def test_spaces_are_chosen(curses, text, found):
+    got = toxicity.words_of(text, curses, toxicity.Readings(curses))
+    assert found <= got and not any(len(w) > 9 for w in got)
+
+
 def test_toxicity_on_held_out_rows(spark, none):
     rng = np.random.default_rng(4)
     bad = ["idiot", "moron", "scum"]
