@@ -27,28 +27,37 @@ PIECES_PER_TASK = 100_000  # pieces (a few numbers each) that one task packs tog
 ROUNDS = 3
 
 
-def vocabulary(path: str) -> tuple[dict[bytes, int], list[tuple[str, int]]]:
-    """Byte sequences -> ids, and special strings -> ids, of a byte-level BPE file."""
+def vocabulary(path: str) -> tuple[dict[bytes, int], list[tuple[str, int]], str]:
+    """Byte sequences -> ids, and special strings -> ids, of a byte-level BPE file; and the file's text."""
     with open(path, encoding="utf-8") as f:
-        spec = json.load(f)
+        whole = f.read()
+    spec = json.loads(whole)
     shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
     hidden = [b for b in range(256) if b not in set(shown)]
     byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
     special = [(t["content"], t["id"]) for t in spec.get("added_tokens", [])]
     names = {s for s, _ in special}
     return {bytes(byte_of[c] for c in s): i for s, i in spec["model"]["vocab"].items()
-            if s not in names}, special
+            if s not in names}, special, whole
 
 
-def encoder(ranks: dict, special: list):
+def encoder(ranks: dict, special: list, whole: str):
     """text -> ids.  A byte-level BPE file numbers its merges in rank order, so a
-    rank-based encoder gives the ids of the file's own library, several times faster."""
+    rank-based encoder gives the ids of the file's own library, several times faster.
+    Its pattern overflows the stack in white space of about a million characters, so
+    texts with ``LONG_SPACE`` of it in a row go to the file's own library."""
     import tiktoken
+    own = []
     enc = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
     ids = dict(special)
     cut = re.compile("(" + "|".join(re.escape(s) for s in ids) + ")") if ids else None
 
     def encode(text: str) -> list[int]:
+        if len(text) >= LONG_SPACE and SPACES.search(text):
+            if not own:
+                from tokenizers import Tokenizer
+                own.append(Tokenizer.from_str(whole))
+            return own[0].encode(text, add_special_tokens=False).ids
         if cut is None or not cut.search(text):
             return enc.encode_ordinary(text)
         out: list[int] = []
@@ -61,6 +70,9 @@ def encoder(ranks: dict, special: list):
 # Fixed value: the split pattern of byte-level BPE files of this family.
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
+LONG_SPACE = 100_000
+SPACES = re.compile(r"(?<!\s)\s{%d}" % LONG_SPACE)
+
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int,
                  doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -486,5 +486,13 @@ def test_pieces_have_the_ids_of_the_tokenizer(docs):
         assert 0 <= p.offset <= 64 - p.length
 
 
+def test_long_white_space_has_the_ids_of_the_tokenizer():
+    from tokenizers import Tokenizer
+    path = q.tokenizer_path()
+    t, encode = Tokenizer.from_file(path), packing.encoder(*packing.vocabulary(path))
+    for text in (" " * 2_000_000 + "x", "a" + "\n" * 2_000_000 + "x <|endoftext|>", "b" + " \n" * 60_000 + "x", " " * 99_999 + "x"):
+        assert encode(text) == t.encode(text, add_special_tokens=False).ids
+
+
 def test_packing_nothing(none):
     assert packing.pack(packing.token_pieces(none, q.tokenizer_path(), 64, 2), 64).count() == 0
