@@ -2,9 +2,10 @@
 
 The standard library's parser streams events; block-level tags cut the page
 into lines, each with its text, its number of tags and the region (nearest
-sectioning element) it stands in.  Elements that by their tag or their
-class, id or role are menus, notices, forms and the like yield no text, only
-tags.  Each line's ratio of text to tags is smoothed with a Gaussian over its
+sectioning element) it stands in.  Elements that by their tag are menus, forms
+and the like yield no text, only tags; those whose class, id or role says so
+are regions of their own with a lowered ratio, unless they are or hold an
+article or main element.  Each line's ratio of text to tags is smoothed with a Gaussian over its
 neighbours, so a short paragraph among long ones stays high and a long advert
 among links low.  A threshold on the smoothed ratios - their standard
 deviation - splits them into two clusters, and the regions whose peak reaches
@@ -33,8 +34,8 @@ REGIONS = frozenset("article aside body div footer form header main nav section
 DROPPED = frozenset(
     "aside button dialog footer form frame frameset head iframe input menu nav noframes noscript object "
     "option script select style svg template textarea title".split())
-# Words in class, id or role that mark what is not the article.
-DROPPED_NAMES = frozenset(
+# Words in class, id or role that hint at what is not the article.
+LOWERED_NAMES = frozenset(
     "ad ads adv advert advertisement adverts advertising alert aside banner breadcrumb breadcrumbs comment "
     "comments consent contentinfo cookie cookies dialog disqus footer form gdpr masthead menu modal nav "
     "navbar navigation newsletter notice notices pagination paywall popup promo promoted promotion recommended "
@@ -42,6 +43,7 @@ DROPPED_NAMES = frozenset(
     "toolbar widget".split())
 NAME_PART = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
 RADIUS = 2
+LOWERED = 0.1  # of the smoothed ratio stays in an element with such a name
 
 
 class Lines(HTMLParser):
@@ -50,12 +52,15 @@ class Lines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int]] = []
-        self.open: list[tuple[str, bool, int, bool]] = []  # tag, dropped, region, inside article or main
+        # tag, dropped, region, inside article or main, regions of lowered elements around
+        self.open: list[tuple[str, bool, int, bool, tuple[int, ...]]] = []
+        self.lowered: dict[int, tuple[int, ...]] = {}  # of each region
+        self.cleared: set[int] = set()  # lowered elements that hold an article or main
         self.text: list[str] = []
         self.tags = self.regions = 0
 
-    def state(self) -> tuple[bool, int, bool]:
-        return self.open[-1][1:] if self.open else (False, 0, False)
+    def state(self) -> tuple[bool, int, bool, tuple[int, ...]]:
+        return self.open[-1][1:] if self.open else (False, 0, False, ())
 
     def cut(self) -> None:
         """Ends a line; without text, its tags count for the line that follows."""
@@ -66,22 +71,27 @@ class Lines(HTMLParser):
         self.text = []
 
     def handle_starttag(self, tag, attrs):
-        if tag not in INLINE:
+        named = tag not in VOID and tag not in WHOLE and tag not in ("html", "body") and any(
+            v and k in ("class", "id", "role") and not LOWERED_NAMES.isdisjoint(
+                p.lower() for p in NAME_PART.split(v)) for k, v in attrs)
+        if tag not in INLINE or named:
             self.cut()
         elif tag == "br":
             self.text.append(" ")
         self.tags += 1
         if tag in VOID:
             return
-        dropped, region, whole = self.state()
-        if not dropped and tag not in ("html", "body"):
-            dropped = tag in DROPPED or (tag == "header" and not whole) or any(
-                v and k in ("class", "id", "role") and not DROPPED_NAMES.isdisjoint(
-                    p.lower() for p in NAME_PART.split(v)) for k, v in attrs)
-        if tag in REGIONS and not whole:
+        dropped, region, whole, lowered = self.state()
+        dropped = dropped or tag in DROPPED or (tag == "header" and not whole)
+        if named or (tag in REGIONS and not whole):
             self.regions += 1
             region = self.regions
-        self.open.append((tag, dropped, region, whole or tag in WHOLE))
+            if named:
+                lowered = (*lowered, region)
+            self.lowered[region] = lowered
+        if tag in WHOLE and not dropped:
+            self.cleared.update(lowered)
+        self.open.append((tag, dropped, region, whole or tag in WHOLE, lowered))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -89,13 +99,12 @@ class Lines(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        if tag not in INLINE:
+        at = next((i for i in range(len(self.open) - 1, -1, -1) if self.open[i][0] == tag), None)
+        if tag not in INLINE or (at is not None and self.state()[3] != (self.open[at - 1][4] if at else ())):
             self.cut()
         self.tags += 1
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                del self.open[i:]
-                break
+        if at is not None:
+            del self.open[at:]
 
     def handle_data(self, data):
         if not self.state()[0]:
@@ -118,6 +127,8 @@ def main_text(html: str) -> str:
         return ""
     texts, tags, regions = zip(*parser.lines)
     level = smooth(np.array([len(t) / max(1, n) for t, n in zip(texts, tags)]))
+    low = {r for r, around in parser.lowered.items() if not parser.cleared.issuperset(around)}
+    level *= [LOWERED if r in low else 1.0 for r in regions]
     peaks: dict[int, float] = {}
     for r, x in zip(regions, level.tolist()):
         peaks[r] = max(x, peaks.get(r, 0.0))

@@ -250,6 +250,15 @@ def test_main_text():
     assert html.main_text("<div><p>" + "word " * 40 + "</p><p>Yes.</p></div><div><a>x</a><a>y</a><a>z</a></div>").endswith("\nYes.")
 
 
+@pytest.mark.parametrize("start,end", [("<div class='content has-sidebar'>", "</div>"), ("<main class='page with-sidebar'>", "</main>"),
+                                       ("<article id='comment-on-policy'>", "</article>"), ("<article class='share-price'>", "</article>"),
+                                       ("<div class='has-sidebar'><article>", "</article></div>")])
+def test_names_do_not_drop_the_article(start, end):
+    text = "word " * 60
+    page = f"<body><nav><a>x</a></nav>{start}<p>{text}</p><p>Yes.</p>{end}<div class='ad'>Buy this now.</div></body>"
+    assert html.main_text(page) == f"{text.strip()}\nYes."
+
+
 def test_extract_rows(spark):
     df = spark.createDataFrame([(1, None, "u"), (2, "<p>Ünï</p>", "u"), (2, "<p>Ünï</p>", "u"), (None, "", None)],
                                "page_id long, html string, text string")
