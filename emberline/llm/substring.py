@@ -173,14 +173,15 @@ def repeated_spans(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     shared = written(paths.groupBy("anchor").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).where(
         "lo < hi").select("anchor"), "repeat-anchors")
     paths = written(paths.join(shared, "anchor"), "repeat-paths")
-    distinct = paths.groupBy("anchor", "path").agg(F.min("d").alias("s"), F.min_by("start", "d").alias("s0"))
+    distinct = paths.groupBy("anchor", "path").agg(F.min(F.struct("d", "start")).alias("f")).select(
+        "anchor", "path", F.col("f.d").alias("s"), F.col("f.start").alias("s0"))
     branches = distinct.groupBy("anchor").agg((F.count(F.lit(1)) > 1).alias("branches"))
     distinct = written(distinct.join(branches, "anchor"), "distinct-paths")
     known = paths.join(distinct, ["anchor", "path"])
     whole = known.where("s < d").select("d", "start", "n", "s", "s0")
     edges = _edges(docs, known.where("s = d and branches").select("d", "start", "n"), window)
-    first = edges.groupBy("e1", "e2").agg(F.min("d").alias("s"), F.max("d").alias("hi"),
-                                          F.min_by("start", "d").alias("s0")).where("s < hi").drop("hi")
+    first = edges.groupBy("e1", "e2").agg(F.min(F.struct("d", "start")).alias("f"), F.max("d").alias("hi")).where("f.d < hi").select(
+        "e1", "e2", F.col("f.d").alias("s"), F.col("f.start").alias("s0"))
     single = edges.join(first, ["e1", "e2"]).where("s < d").select(
         "d", "start", F.lit(1).cast("long").alias("n"), "s", "s0")
     found = whole.unionByName(single)

@@ -107,6 +107,18 @@ def test_repeated_windows_go(docs, window, anchor):
     assert {"lang", "b", "domain"} <= set(got[0].asDict()) and "text" not in got[0].asDict()
 
 
+def test_first_source_is_the_smallest_start(spark, monkeypatch):
+    # a passage twice in the source: its rows reach the aggregates in descending order
+    passage = " ".join(f"w{i}" for i in range(12))
+    df = spark.createDataFrame([(1, f"a b {passage} c d e {passage}".encode()), (2, f"x {passage} y".encode())],
+                               "d long, text binary").coalesce(1)
+    keep, edges = substring._paths, substring._edges
+    for name, f in (("_paths", keep), ("_edges", edges)):
+        monkeypatch.setattr(substring, name, lambda *a, f=f: f(*a).coalesce(1).sortWithinPartitions(F.desc("start")))
+    spans = substring.repeated_spans(df, 10, 4).where("d = 2").collect()
+    assert spans and all(r.s == 1 and r.s0 < 15 for r in spans)
+
+
 def test_substring_of_nothing(none):
     assert substring.remove_repeats(none).count() == 0
 
