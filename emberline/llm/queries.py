@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html, innerproduct, katz, mixing, packing, piecewise, sharding, simhash, substring, toxicity
+from . import html, innerproduct, katz, mixing, packing, piecewise, sharding, simhash, substring, toxicity, whitening
 from .common import n_words, table, written
 from .oracle import OP2_SQL, OP5_SQL, OP8_SQL
 
@@ -124,10 +124,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+COMPONENTS, VECTOR_SHIFT = 8, 100000
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings, projected on their eight leading components at unit variance."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), COMPONENTS, VECTOR_SCALE, VECTOR_SHIFT)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_sharding": op1_sharding, "op2_substring": op2_substring, "op3_simhash": op3_simhash, "op4_piecewise": op4_piecewise,
             "op5_topk": op5_topk, "op6_html": op6_html, "op7_toxicity": op7_toxicity, "op8_mixing": op8_mixing,
-             "op9_katz": op9_katz, "op10_packing": op10_packing}
+             "op9_katz": op9_katz, "op10_packing": op10_packing, "op13_whitening": op13_whitening}
 
 
 def oracle_sql() -> dict[str, str]:
