@@ -74,3 +74,34 @@ s AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 WHERE rank <= 10"""
+
+
+OP12_SQL = """
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p),
+g AS (
+  SELECT lang, k, array_to_string(ws[s:s + k - 1], ' ') AS phrase
+  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS s
+        FROM w, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(ws) >= k)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+t AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1),
+inside AS (
+  SELECT lang, array_to_string(ws[s:s + m - 1], ' ') AS phrase, max(a) AS most
+  FROM (SELECT lang, ws, a, m, unnest(range(1, k - m + 2)) AS s
+        FROM (SELECT *, unnest(range(2, k)) AS m FROM c)) GROUP BY ALL),
+kept AS (SELECT c.* FROM c LEFT JOIN inside USING (lang, phrase) WHERE coalesce(100 * most, 0) < 100 * a),
+cut AS (
+  SELECT kept.lang, kept.phrase, a, j, x.f AS l, y.f AS r, n,
+         CAST(1000::HUGEINT * a * n // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM kept) kept
+  JOIN f x ON x.lang = kept.lang AND x.phrase = array_to_string(ws[1:j], ' ')
+  JOIN f y ON y.lang = kept.lang AND y.phrase = array_to_string(ws[j + 1:k], ' ')
+  JOIN t ON t.lang = kept.lang),
+low AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1)
+SELECT lang, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS INTEGER) AS rank,
+       phrase, a, l, r, n, score
+FROM low QUALIFY rank <= 2000"""

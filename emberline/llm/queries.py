@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html, innerproduct, katz, mixing, packing, piecewise, sharding, simhash, substring, toxicity, whitening
+from . import collocation, html, innerproduct, jaccard, katz, mixing, packing, piecewise, sharding, simhash, substring, toxicity, whitening
 from .common import n_words, table, written
-from .oracle import OP2_SQL, OP5_SQL, OP8_SQL
+from .oracle import OP2_SQL, OP5_SQL, OP8_SQL, OP12_SQL
 
 SHARDS, SHARD_SEED = 8, 20240229
 MIX_SEED, MIX_EPOCHS, MIX_SHARE = 7, 4, (1, 1)
@@ -124,6 +124,22 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+JOIN_WORDS, JOIN_PERCENT = 5, 80
+
+
+def op11_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents: distinct 5-word shingles, Jaccard at least 0.8."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), JOIN_WORDS, JOIN_PERCENT)
+
+
+PHRASE_LEAST, PHRASE_WORDS, PHRASE_TOP = 100, 5, 2000
+
+
+def op12_collocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of 2 to 5 words of each language of all documents."""
+    return collocation.collocations(table(spark, sf_dir, "documents"), PHRASE_LEAST, PHRASE_WORDS, PHRASE_TOP)
+
+
 COMPONENTS, VECTOR_SHIFT = 8, 100000
 
 
@@ -135,8 +151,9 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_sharding": op1_sharding, "op2_substring": op2_substring, "op3_simhash": op3_simhash, "op4_piecewise": op4_piecewise,
             "op5_topk": op5_topk, "op6_html": op6_html, "op7_toxicity": op7_toxicity, "op8_mixing": op8_mixing,
-             "op9_katz": op9_katz, "op10_packing": op10_packing, "op13_whitening": op13_whitening}
+            "op9_katz": op9_katz, "op10_packing": op10_packing, "op11_jaccard": op11_jaccard,
+            "op12_collocation": op12_collocation, "op13_whitening": op13_whitening}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_substring": OP2_SQL, "op5_topk": OP5_SQL, "op8_mixing": OP8_SQL}
+    return {"op2_substring": OP2_SQL, "op5_topk": OP5_SQL, "op8_mixing": OP8_SQL, "op12_collocation": OP12_SQL}
