@@ -32,18 +32,17 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     return out.where("u > v").distinct()
 
 
-def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(u, v) links with u > v  ->  (node, component): the smallest node reachable.
 
     Only nodes with a link appear.  Links repeated or given once suffice; an
-    empty table gives an empty result.  Raises if ``max_rounds`` do not settle it.
+    empty table gives an empty result.  Rounds go on until one changes nothing.
     """
     now, mark = written(links.distinct(), "links"), None
-    for _ in range(max_rounds):
+    while True:
         sums = now.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
         if (sums.n, sums.x) == mark:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
                 now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
         mark = (sums.n, sums.x)
         now = written(_star(_star(now, True), False), "links")
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")

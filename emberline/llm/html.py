@@ -3,13 +3,19 @@
 The standard library's parser streams events; block-level tags cut the page
 into lines, each with its text, its number of tags and the region (nearest
 sectioning element) it stands in.  Elements that by their tag are menus, forms
-and the like yield no text, only tags; those whose class, id or role says so
-are regions of their own with a lowered ratio, unless they are or hold an
-article or main element.  Each line's ratio of text to tags is smoothed with a Gaussian over its
+and the like yield no text, only tags; a menu that the page never closes ends
+where an article or main element begins.  Elements whose class, id or role says
+that they are no article are named regions, unless they are or hold an article
+or main element.  Where an article or main element has text, named regions
+outside and inside it are left out; elsewhere a named region must exceed the
+best other region ten times.
+
+Each line's ratio of text to tags is smoothed with a Gaussian over its
 neighbours, so a short paragraph among long ones stays high and a long advert
 among links low.  A threshold on the smoothed ratios - their standard
 deviation - splits them into two clusters, and the regions whose peak reaches
-it are the content, all their lines included.
+it are the content, all their lines included.  A page without an article or main
+element whose best ratio is below that of running text has no content.
 """
 
 from __future__ import annotations
@@ -42,32 +48,40 @@ LOWERED_NAMES = frozenset(
     "related reply replies respond search share sharing sidebar signup social sponsor sponsored subscribe "
     "toolbar widget".split())
 NAME_PART = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
+MENUS = frozenset("aside footer form header menu nav".split())  # may hold an article only by never being closed
 RADIUS = 2
 LOWERED = 0.1  # of the smoothed ratio stays in an element with such a name
+FLOOR = 8.0  # characters to a tag: what lists of links stay under
+SILENT = -1  # in place of the number of a dropped element that never holds text
 
 
 class Lines(HTMLParser):
-    """Collects (text, tags, region) lines of one page."""
+    """Collects (text, tags, region, menu, whole) lines of one page: ``menu`` is the number of the
+    dropped element around the line, 0 if none; ``whole`` that of the article or main element."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int]] = []
-        # tag, dropped, region, inside article or main, regions of lowered elements around
-        self.open: list[tuple[str, bool, int, bool, tuple[int, ...]]] = []
+        self.lines: list[tuple[str, int, int, int, int]] = []
+        # tag, menu, region, article or main, regions of named elements around
+        self.open: list[tuple[str, int, int, int, tuple[int, ...]]] = []
         self.lowered: dict[int, tuple[int, ...]] = {}  # of each region
-        self.cleared: set[int] = set()  # lowered elements that hold an article or main
+        self.cleared: set[int] = set()  # named elements that hold an article or main
+        self.closed: set[int] = set()  # menus with an end tag of their own
+        self.within: dict[int, int] = {}  # the menu around each article or main
         self.text: list[str] = []
-        self.tags = self.regions = 0
+        self.tags = self.regions = self.menus = self.wholes = 0
 
-    def state(self) -> tuple[bool, int, bool, tuple[int, ...]]:
-        return self.open[-1][1:] if self.open else (False, 0, False, ())
+    def state(self) -> tuple[int, int, int, tuple[int, ...]]:
+        return self.open[-1][1:] if self.open else (0, 0, 0, ())
 
     def cut(self) -> None:
         """Ends a line; without text, its tags count for the line that follows."""
         text = " ".join("".join(self.text).split())
         if text:
-            self.lines.append((text, self.tags, self.state()[1]))
-            self.tags = 0
+            menu, region, whole, _ = self.state()
+            self.lines.append((text, self.tags, region, menu, whole))
+            if not menu:
+                self.tags = 0
         self.text = []
 
     def handle_starttag(self, tag, attrs):
@@ -81,17 +95,30 @@ class Lines(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        dropped, region, whole, lowered = self.state()
-        dropped = dropped or tag in DROPPED or (tag == "header" and not whole)
+        menu, region, whole, lowered = self.state()
+        if not menu and (tag in DROPPED or (tag == "header" and not whole)):
+            self.menus += 1
+            menu = self.menus if tag in MENUS else SILENT
+        elif menu and tag in DROPPED and tag not in MENUS:
+            menu = SILENT
         if named or (tag in REGIONS and not whole):
             self.regions += 1
             region = self.regions
             if named:
                 lowered = (*lowered, region)
             self.lowered[region] = lowered
-        if tag in WHOLE and not dropped:
-            self.cleared.update(lowered)
-        self.open.append((tag, dropped, region, whole or tag in WHOLE, lowered))
+        if tag in WHOLE:
+            if menu != SILENT:
+                self.cleared.update(lowered)
+            if not whole:
+                self.wholes += 1
+                whole = self.wholes
+                self.within[whole] = menu
+                if menu > 0:  # a region of its own, should the menu never be closed
+                    self.regions += 1
+                    region = self.regions
+                    self.lowered[region] = lowered
+        self.open.append((tag, menu, region, whole, lowered))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -104,12 +131,20 @@ class Lines(HTMLParser):
             self.cut()
         self.tags += 1
         if at is not None:
+            menu = self.open[at][1]
+            if menu > 0 and (at == 0 or self.open[at - 1][1] != menu):
+                self.closed.add(menu)
             del self.open[at:]
 
     def handle_data(self, data):
-        if not self.state()[0]:
+        if self.state()[0] != SILENT:
             self.text.append(data)
 
+    def kept(self) -> list[tuple[str, int, int, int]]:
+        """(text, tags, region, whole) of the lines that no menu holds."""
+        return [(t, n, r, w) for t, n, r, m, w in self.lines
+                if not m or (w and m == self.within[w] and m not in self.closed)]
+
 
 def smooth(ratios: np.ndarray) -> np.ndarray:
     """Gaussian smoothing (the edge values continue beyond the ends)."""
@@ -123,17 +158,30 @@ def main_text(html: str) -> str:
     parser.feed(re.sub(r"<[a-zA-Z/!?][^<>]*\Z", "", html))  # a tag cut off by the end of the page
     parser.close()
     parser.cut()
-    if not parser.lines:
+    lines = parser.kept()
+    if not lines:
         return ""
-    texts, tags, regions = zip(*parser.lines)
+    texts, tags, regions, wholes = zip(*lines)
     level = smooth(np.array([len(t) / max(1, n) for t, n in zip(texts, tags)]))
-    low = {r for r, around in parser.lowered.items() if not parser.cleared.issuperset(around)}
-    level *= [LOWERED if r in low else 1.0 for r in regions]
+    named = {r for r, around in parser.lowered.items() if not parser.cleared.issuperset(around)}
+    keep = content(level, regions, named, any(w and r not in named for r, w in zip(regions, wholes)))
+    return "\n".join(t for t, r in zip(texts, regions) if r in keep)
+
+
+def content(level: np.ndarray, regions: tuple[int, ...], named: set[int], article: bool) -> set[int]:
+    """The regions to keep, by the smoothed ratios of their lines."""
     peaks: dict[int, float] = {}
     for r, x in zip(regions, level.tolist()):
         peaks[r] = max(x, peaks.get(r, 0.0))
-    threshold = min(float(level.std()), max(peaks.values()))
-    return "\n".join(t for t, r in zip(texts, regions) if peaks[r] >= threshold)
+    best = max((x for r, x in peaks.items() if r not in named), default=0.0)
+    for r in named & peaks.keys():
+        peaks[r] = 0.0 if article or LOWERED * peaks[r] < best else LOWERED * peaks[r]
+    top = max(peaks.values())
+    if top < FLOOR and not article:
+        return set()
+    low = np.array([peaks[r] and x * (LOWERED if r in named else 1.0) for r, x in zip(regions, level.tolist())])
+    threshold = min(float(low.std()), top)
+    return {r for r, x in peaks.items() if x >= threshold and x > 0}
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:

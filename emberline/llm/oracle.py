@@ -99,7 +99,7 @@ cut AS (
          CAST(1000::HUGEINT * a * n // (x.f::HUGEINT * y.f) AS BIGINT) AS score
   FROM (SELECT *, unnest(range(1, k)) AS j FROM kept) kept
   JOIN f x ON x.lang = kept.lang AND x.phrase = array_to_string(ws[1:j], ' ')
-  JOIN f y ON y.lang = kept.lang AND y.phrase = array_to_string(ws[j + 1:k], ' ')
+  JOIN f y ON y.lang = kept.lang AND y.phrase = array_to_string(ws[j + 1:kept.k], ' ')
   JOIN t ON t.lang = kept.lang),
 low AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1)
 SELECT lang, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS INTEGER) AS rank,

@@ -13,11 +13,13 @@ its stems, and a document's evidence is the sum of its three strongest words.
 from __future__ import annotations
 
 import math
+import os
 import re
 from collections import Counter
 from collections.abc import Iterator
 from operator import add
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -44,25 +46,32 @@ SPACE = 3.0  # cost of reading a space of the text as nothing
 OR = "\n"  # between readings of one word that are scored as one
 
 
-def trigram_counts(docs: DataFrame, text: str) -> np.ndarray:
-    """Character trigrams of all whole texts, over ``KINDS`` kinds of character."""
-    kind = np.full(256, EDGE, np.uint8)
+def kinds_table() -> np.ndarray:
+    """The kind of every code point, as ``_kind`` has it; capitals like small letters."""
+    letters = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
+    kind = np.where(letters, OTHER, EDGE).astype(np.uint8)
     kind[ord("a"):ord("z") + 1] = kind[ord("A"):ord("Z") + 1] = np.arange(26)
-    kind[128:] = OTHER
+    return kind
+
+
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
+
+def trigram_counts(docs: DataFrame, text: str) -> np.ndarray:
+    """Character trigrams of all whole texts, over ``KINDS`` kinds of character."""
     def run(batches):
-        total = np.zeros(KINDS ** 3, np.int64)
+        kind, total = kinds_table(), np.zeros(KINDS ** 3, np.int64)
         for batch in batches:
-            data = b" ".join(batch.column(0).to_pylist())
-            for at in range(0, len(data), 1 << 20):
-                x = kind[np.frombuffer(data, np.uint8)[max(0, at - 2):at + (1 << 20)]].astype(np.int32)
+            points = code_points("  ".join(["", *batch.column(0).to_pylist(), ""]))
+            for at in range(0, len(points), 1 << 20):
+                x = kind[points[max(0, at - 2):at + (1 << 20)]].astype(np.int32)
                 total += np.bincount((x[:-2] * KINDS + x[1:-1]) * KINDS + x[2:], minlength=KINDS ** 3)
         i = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(total[i])], names=["i", "n"])
 
     counts = np.zeros(KINDS ** 3)
-    found = docs.select(F.concat(F.lit("  "), F.coalesce(F.col(text), F.lit("")), F.lit("  ")).cast("binary")) \
-        .mapInArrow(run, "i long, n long").groupBy("i").agg(F.sum("n").alias("n"))
+    found = docs.select(F.coalesce(F.col(text), F.lit(""))).mapInArrow(run, "i long, n long").groupBy("i").agg(F.sum("n").alias("n"))
     for r in found.collect():  # KINDS ** 3 numbers at most
         counts[r.i] = r.n
     return counts
@@ -107,8 +116,7 @@ def lattice(word: str) -> list[list[tuple[str, float]]]:
 def best_units(units: list[list[tuple[str, float]]], costs: np.ndarray | list) -> list[str]:
     """The likeliest reading of each unit (Viterbi over the last two characters).
 
-    Of long tokens, all but the last ``LONGEST`` units of the likeliest path are
-    settled on the way; no word is cut.
+    Of long tokens, what all paths begin with is settled on the way.
     """
     paths: dict[tuple[int, int], tuple[float, tuple]] = {(EDGE, EDGE): (0.0, ())}
     sure: list[str] = []
@@ -124,10 +132,10 @@ def best_units(units: list[list[tuple[str, float]]], costs: np.ndarray | list) -
                 if (x, y) not in after or total < after[x, y][0]:
                     after[x, y] = (total, done + (reading,))
         paths = after
-        if i + 1 - len(sure) > 2 * LONGEST:
-            settled = min(paths.values())[1][:-LONGEST]
+        if i % LONGEST == LONGEST - 1:
+            settled = os.path.commonprefix([t for _, t in paths.values()])
             sure.extend(settled)
-            paths = {k: (c, t[len(settled):]) for k, (c, t) in paths.items() if t[:len(settled)] == settled}
+            paths = {k: (c, t[len(settled):]) for k, (c, t) in paths.items()}
     return [*sure, *min(paths.values())[1][:-1]]
 
 
@@ -265,6 +273,115 @@ def evidence(words: set[str], weights: dict) -> float:
     return sum(found[:TOP])
 
 
+def skeleton_classes() -> np.ndarray:
+    """A class for every code point up to the signs' last: what may be read as one another
+    shares a class, 0 is what a reading may leave out."""
+    top = max(map(ord, [*LEET, *GAPS, ANY[-1]])) + 1
+    same = np.arange(top, dtype=np.uint32)
+    for sign, letters in LEET.items():
+        low = min(same[ord(x)] for x in letters)
+        for x in letters:
+            same[same == same[ord(x)]] = low
+        same[ord(sign)] = low
+    same[[ord(c) for c in GAPS + " "]] = 0
+    return same
+
+
+class Finder:
+    """Finds the words of a text that may carry a weight, and decodes only those.
+
+    Every reading of a token has the token's skeleton: its characters by class,
+    without gaps and spaces, runs as one.  So a word, or words that spaces took apart,
+    can only restore to a weighted feature if the feature's skeleton stands in the
+    text's.  All others weigh 0 and need no reading; a star may hide any letter,
+    so words with one are always read.
+    """
+
+    def __init__(self, costs: np.ndarray, weights: dict):
+        self.cache, self.weights = Readings(costs), Weights(weights)
+        self.classes = skeleton_classes()
+        self.features, self.bare = ahocorasick.Automaton(), False
+        for f in weights:
+            key, _ = self.skeleton(f)  # the sign of a stem is a gap
+            if key:
+                self.features.add_word(key, len(key))
+            else:
+                self.bare = True
+        self.features.make_automaton()
+
+    def skeleton(self, text: str) -> tuple[str, np.ndarray]:
+        """The skeleton of ``text``, and where each of its characters stands in it."""
+        points = code_points(text)
+        classes = np.where(points < len(self.classes), self.classes[np.minimum(points, len(self.classes) - 1)], points)
+        at = np.flatnonzero(classes)
+        own = classes[at]
+        new = np.ones(len(own), bool)
+        new[1:] = own[1:] != own[:-1]
+        return own[new].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass"), at[new]
+
+    def evidence(self, text: str) -> float:
+        words = text.lower().split()
+        if not words or not self.weights.weights:
+            return 0.0
+        line = " ".join(words)
+        key, at = self.skeleton(line)
+        spaces = np.flatnonzero(code_points(line) == 32)
+        hits = set(np.searchsorted(spaces, [i for i, c in enumerate(line) if c == "*"]).tolist()) if "*" in line else set()
+        if self.bare:  # some feature is signs only
+            hits.update(range(len(words)))
+        elif found := list(self.features.iter(key)):
+            ends, sizes = np.array(found).T
+            first = np.searchsorted(spaces, at[ends - sizes + 1])
+            # a run may go on in later words, up to the next character of the skeleton
+            last = np.searchsorted(spaces, np.append(at, len(line))[ends + 1] - 1)
+            for a, b in set(zip(first.tolist(), last.tolist())):
+                hits.update(range(a, b + 1))
+        if not hits:
+            return 0.0
+        whole = {words[i] for i in hits} | joined_at(words, hits, self.cache)
+        out: set[str] = set()
+        for w in map(self.cache.__getitem__, whole):
+            out.update(w.split(" ")) if " " in w else out.add(w)
+        return evidence(out, self.weights)
+
+
+def joined_at(words: list[str], hits: set[int], cache: Readings) -> set[str]:
+    """Those words of ``joined`` that hold one of the words ``hits``."""
+    known: dict[int, bool] = {}
+
+    def stays(i: int) -> bool:
+        """Whether the space after word i stays."""
+        if i not in known:
+            if len(words[i]) > 1 and len(words[i + 1]) > 1:
+                known[i] = cache.gaps[words[i][-2:] + words[i + 1][:2]]
+            else:  # a run of single letters is read as one, with its neighbours
+                a = i if len(words[i]) == 1 else i + 1
+                done = a
+                while a > 0 and len(words[a - 1]) == 1:
+                    a -= 1
+                while done < len(words) and len(words[done]) == 1:
+                    done += 1
+                a = max(0, a - 1)
+                key = " ".join([words[a][-2:], *words[a + 1:done], *(w[:2] for w in words[done:done + 1])])
+                known.update(zip(range(a, len(words) - 1), cache.gaps.run(key)))
+        return known[i]
+
+    out: set[str] = set()
+    done = -1
+    for i in sorted(hits):
+        if i <= done:
+            continue
+        a = b = i
+        while a > 0 and not stays(a - 1):
+            a -= 1
+        while b < len(words) - 1 and not stays(b):
+            b += 1
+        done = b
+        if b > a:
+            out.add("".join(words[a:b + 1]))
+    return out
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, usable: Column, doc_id: str, text: str) -> tuple[DataFrame, dict]:
     """(h, text, toxic): at most TOXIC_ROWS and CLEAN_ROWS labelled texts, each text once; and
     how many usable labelled documents one document of each class stands for.
@@ -353,10 +470,9 @@ def evidences(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
 
     @F.pandas_udf("double")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        costs, table = shared.value
-        cache, weights = Readings(costs), Weights(table)
+        finder = Finder(*shared.value)
         for texts in parts:
-            yield pd.Series([evidence(words_of(t, costs, cache), weights) for t in texts], dtype="float64")
+            yield pd.Series([finder.evidence(t) for t in texts], dtype="float64")
 
     return docs.withColumn("evidence", run(F.coalesce(F.col(text), F.lit(""))))
 
