@@ -8,14 +8,15 @@ ROC AUC is exact one-vs-rest with mid-ranks for ties, averaged over classes.
 The rank sums need a running count over scores sorted per class, which a
 plain window would compute in a single task per class.  Instead:
 
-1. exact ties are collapsed first: ``groupBy(class, score)`` with map-side
-   partial aggregation (a value shared by a third of the rows becomes one row);
-2. the pairs are range-partitioned on ``(class, score)`` -- Spark samples the
-   boundaries, so partitions are balanced whatever the score distribution;
-3. each partition, sorted, makes one streaming pass (Arrow batches, numpy
-   segment sums) and emits
-   per class: its own pair count with running negatives local to the
-   partition, and its totals -- one row per (partition, class);
+1. each Arrow batch is unpivoted to (class, score) and its ties collapsed, so a
+   value shared by a third of the rows leaves a batch as one row;
+2. the pairs are range-partitioned on ``(class, score)``, the only exchange of
+   them -- Spark samples the boundaries, so partitions are balanced whatever the
+   score distribution, and equal pairs meet in one partition;
+3. each partition, sorted, makes one streaming pass that merges what is left of
+   the ties, also over the borders of batches, and emits per class its own pair
+   count with running negatives local to the partition, and its totals -- one
+   row per (partition, class);
 4. those few rows (bounded by partitions x classes) give every partition the
    count of negatives in all earlier partitions, which completes the sum.
 """
@@ -85,15 +86,18 @@ def macro_metrics(cm: DataFrame, labels: Sequence[str] | None = None) -> DataFra
     )
 
 
-def true_prob(actual: str, probs_col: str):
-    """Probability given to the actual label, from a (label, prob) array."""
+def true_prob(actual: str, probs: str | dict[str, str]):
+    """Probability given to the actual label, from a (label, prob) array or from one
+    plain column for each class."""
     from .model import prob_of
-    return prob_of(probs_col, F.col(actual))
+    if isinstance(probs, str):
+        return prob_of(probs, F.col(actual))
+    return F.coalesce(*[F.when(F.col(actual) == F.lit(c), F.col(p)) for c, p in probs.items()], F.lit(0.0))
 
 
-def log_loss(df: DataFrame, actual: str, probs_col: str) -> DataFrame:
+def log_loss(df: DataFrame, actual: str, probs: str | dict[str, str]) -> DataFrame:
     """One row: mean of ``-ln(max(p_actual, 1e-15))``."""
-    ll = -F.log(F.greatest(true_prob(actual, probs_col), F.lit(EPS)))
+    ll = -F.log(F.greatest(true_prob(actual, probs), F.lit(EPS)))
     return df.where(F.col(actual).isNotNull()).agg(F.avg(ll).alias("log_loss"))
 
 
@@ -107,44 +111,57 @@ def confusion_with_loss(df: DataFrame, actual: str, predicted: str, probs_col: s
 
 # -------------------------------------------------------------------- AUC --
 
-_PARTIAL_SCHEMA = "pid int, cls string, local_num double, n_pos long, n_neg long"
+_PARTIAL_SCHEMA = "pid int, cls int, local_num double, n_pos long, n_neg long"
+
+
+def _tie_starts(cls: np.ndarray, score: np.ndarray) -> np.ndarray:
+    """Where a new (class, score) begins in sorted rows; NaN equals NaN."""
+    differs = (score[1:] != score[:-1]) & ~(np.isnan(score[1:]) & np.isnan(score[:-1]))
+    return np.flatnonzero(np.append(True, (cls[1:] != cls[:-1]) | differs))
 
 
 def _partition_rank_sums(batches):
     """Per (partition, class): pairs won locally, positives, negatives.
 
-    Input rows are sorted by (cls, score) within the partition and distinct on
-    it, carrying the positive / negative counts at that score.  A pair
-    (positive at s, negative at t) counts 1 when t < s and 1/2 when t == s.
-    The batches are processed in order with a running count per class, so
-    memory stays at one Arrow batch.
+    Input rows are sorted by (cls, score) within the partition and carry counts of
+    positives and negatives.  A pair (positive at s, negative at t) counts 1 when
+    t < s and 1/2 when t == s.  The batches are processed in order with a running
+    count per class; the last score of a batch is held back, as the next batch may
+    go on with it, so memory stays at one Arrow batch.
     """
     import pyarrow as pa
 
-    state: dict[str, list] = {}
-    pid = None
-    for batch in batches:
-        n = batch.num_rows
-        if n == 0:
-            continue
-        pid = int(batch.column("pid")[0].as_py())
-        cls = batch.column("cls").to_numpy(zero_copy_only=False)
-        pos = batch.column("n_pos").to_numpy(zero_copy_only=False).astype(np.float64)
-        neg = batch.column("n_neg").to_numpy(zero_copy_only=False).astype(np.float64)
-        # segments of equal class (the batch is sorted by class first)
-        starts = np.flatnonzero(np.r_[True, cls[1:] != cls[:-1]])
-        ends = np.r_[starts[1:], n]
-        for a, b in zip(starts, ends):
-            st = state.setdefault(cls[a], [0.0, 0, 0])   # local_num, n_pos, n_neg
+    state: dict[int, list] = {}
+    pid, held = None, None
+
+    def add(cls, pos, neg):
+        starts = np.flatnonzero(np.append(True, cls[1:] != cls[:-1]))
+        for a, b in zip(starts, np.append(starts[1:], len(cls))):
+            st = state.setdefault(int(cls[a]), [0.0, 0, 0])   # local_num, n_pos, n_neg
             p, q = pos[a:b], neg[a:b]
             below = st[2] + np.cumsum(q) - q              # negatives strictly below, this partition
             st[0] += float(np.dot(p, below + 0.5 * q))
             st[1] += int(p.sum())
             st[2] += int(q.sum())
-    if pid is not None and state:
+
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        pid = int(batch.column("pid")[0].as_py())
+        rows = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("cls", "score", "n_pos", "n_neg")]
+        if held is not None:
+            rows = [np.concatenate(x) for x in zip(held, rows)]
+        starts = _tie_starts(*rows[:2])
+        cls, score = rows[0][starts], rows[1][starts]
+        pos, neg = (np.add.reduceat(x, starts).astype(np.float64) for x in rows[2:])
+        if len(starts) > 1:
+            add(cls[:-1], pos[:-1], neg[:-1])
+        held = [x[-1:] for x in (cls, score, pos, neg)]
+    if held is not None:
+        add(held[0], held[2], held[3])
         yield pa.RecordBatch.from_arrays([
             pa.array([pid] * len(state), pa.int32()),
-            pa.array(list(state.keys()), pa.string()),
+            pa.array(list(state.keys()), pa.int32()),
             pa.array([v[0] for v in state.values()], pa.float64()),
             pa.array([v[1] for v in state.values()], pa.int64()),
             pa.array([v[2] for v in state.values()], pa.int64()),
@@ -152,14 +169,32 @@ def _partition_rank_sums(batches):
 
 
 def score_pairs(df: DataFrame, actual: str, prob_cols: dict[str, str]) -> DataFrame:
-    """``(cls, score, n_pos, n_neg)``: one row per distinct score of each class."""
-    arr = F.array(*[F.struct(F.lit(c).alias("cls"), F.col(pc).cast("double").alias("score"))
-                    for c, pc in prob_cols.items()])
-    ex = df.where(F.col(actual).isNotNull()).select(
-        F.col(actual).alias("_a"), F.explode(arr).alias("e")).select("_a", "e.cls", "e.score")
-    pos = (F.col("_a") == F.col("cls")).cast("long")
-    return ex.groupBy("cls", "score").agg(F.sum(pos).alias("n_pos"),
-                                          F.sum(F.lit(1) - pos).alias("n_neg"))
+    """``(cls, score, n_pos, n_neg)``: the scores of each class (by its place in ``prob_cols``)
+    with how many rows of the class and of others have them; ties inside an Arrow batch
+    are one row.  A missing score counts as the lowest."""
+    names = list(prob_cols)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            own = batch.column(0).to_numpy(zero_copy_only=False)
+            parts = []
+            for i in range(len(names)):
+                score = batch.column(i + 1).fill_null(float("-inf")).to_numpy(zero_copy_only=False)
+                keys, which = np.unique(score, return_inverse=True)
+                pos = np.bincount(which, own == i, len(keys))
+                parts.append((np.full(len(keys), i, np.int32), keys, pos, np.bincount(which, minlength=len(keys)) - pos))
+            cls, score, pos, neg = (np.concatenate(x) for x in zip(*parts))
+            yield pa.RecordBatch.from_arrays([pa.array(cls), pa.array(score), pa.array(pos.astype(np.int64)), pa.array(neg.astype(np.int64))],
+                                             names=["cls", "score", "n_pos", "n_neg"])
+
+    place = F.array_position(F.array(*[F.lit(c) for c in names]), F.col(actual).cast("string")).cast("int") - 1
+    return df.where(F.col(actual).isNotNull()).select(
+        place.alias("_own"), *[F.col(c).cast("double") for c in prob_cols.values()]).mapInArrow(
+        run, "cls int, score double, n_pos long, n_neg long")
 
 
 def auc_by_class(df: DataFrame, actual: str, prob_cols: dict[str, str],
@@ -179,7 +214,8 @@ def auc_by_class(df: DataFrame, actual: str, prob_cols: dict[str, str],
         F.sum("n_pos").alias("n_pos"), F.sum("n_neg").alias("n_neg"))
     auc = F.when((F.col("n_pos") > 0) & (F.col("n_neg") > 0),
                  F.col("num") / (F.col("n_pos").cast("double") * F.col("n_neg")))
-    return per.select("cls", "n_pos", "n_neg", auc.alias("auc"))
+    name = F.get(F.array(*[F.lit(c) for c in prob_cols]), F.col("cls"))
+    return per.select(name.alias("cls"), "n_pos", "n_neg", auc.alias("auc"))
 
 
 def roc_auc(df: DataFrame, actual: str, prob_cols: dict[str, str],

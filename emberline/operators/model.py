@@ -107,46 +107,65 @@ def predict(model: LinearModel, df: DataFrame, label_col: str | None = None,
     The array is ordered by probability descending, label ascending, so its
     first element is the predicted class.  Argmax ties go to the smallest
     label.  With ``prob_columns`` one ``prob_<class>`` column per class is
-    added as well.
+    added as well.  A ``TableModel`` is scored by joins.
     """
-    label_col = label_col or f"predicted_{model.label}"
-    probs_col = probs_col or f"predicted_{model.label}_probs"
-    k = len(model.classes)
-    out_cols = [ident(c) for c in df.columns]
+    if not isinstance(model, LinearModel):
+        from .table_model import predict_table
+        return predict_table(model, df, label_col, probs_col, prob_columns)
+    return probability_columns(df, df.columns, model.classes, [model.logit_sql(i) for i in range(len(model.classes))],
+                               label_col or f"predicted_{model.label}", probs_col or f"predicted_{model.label}_probs", prob_columns)
+
+
+def probability_columns(df: DataFrame, columns: list[str], classes: list[str], logits: list[str],
+                        label_col: str, probs_col: str, prob_columns: bool) -> DataFrame:
+    """``columns`` of ``df`` and the predicted label, array and plain probabilities of the logits' SQL."""
+    k = len(classes)
+    out_cols = [ident(c) for c in columns]
     L = [f"__l{i}" for i in range(k)]
     E = [f"__e{i}" for i in range(k)]
     P = [f"__p{i}" for i in range(k)]
     top = f"greatest({', '.join(L)})" if k > 1 else L[0]
     # three projections: logits, shifted exponentials, probabilities; each is
     # referenced several times below, so Catalyst keeps them materialised
-    scored = (df.selectExpr("*", *[f"{model.logit_sql(i)} AS {L[i]}" for i in range(k)])
+    scored = (df.selectExpr("*", *[f"{logits[i]} AS {L[i]}" for i in range(k)])
               .selectExpr("*", *[f"exp({L[i]} - {top}) AS {E[i]}" for i in range(k)])
               .selectExpr("*", *[f"{E[i]} / ({' + '.join(E)}) AS {P[i]}" for i in range(k)]))
     # argmax over logits (exact, no exp), first class in ascending order wins ties
     whens = []
-    for i, c in enumerate(model.classes):
+    for i, c in enumerate(classes):
         conds = [f"{L[i]} > {L[j]}" if j < i else f"{L[i]} >= {L[j]}" for j in range(k) if j != i]
         whens.append(f"WHEN {' AND '.join(conds) or 'true'} THEN {text(c)}")
-    pred = f"CASE {' '.join(whens)} ELSE {text(model.classes[0])} END"
+    pred = f"CASE {' '.join(whens)} ELSE {text(classes[0])} END"
     extra = [f"{pred} AS {ident(label_col)}",
-             f"{sorted_probs_sql(model.classes, P)} AS {ident(probs_col)}"]
+             f"{sorted_probs_sql(classes, P)} AS {ident(probs_col)}"]
     if prob_columns:
-        extra += [f"{P[i]} AS {ident('prob_' + c)}" for i, c in enumerate(model.classes)]
+        extra += [f"{P[i]} AS {ident('prob_' + c)}" for i, c in enumerate(classes)]
     return scored.selectExpr(*out_cols, *extra)
 
 
 def sorted_probs_sql(classes: list[str], probs: list[str]) -> str:
-    """SQL text of array<struct<label, prob>>, by prob descending, label ascending."""
-    items = [f"named_struct('label', {text(c)}, 'prob', {p})" for c, p in zip(classes, probs)]
-    return (f"array_sort(array({', '.join(items)}), (a, b) -> CASE "
-            "WHEN a.prob > b.prob THEN -1 WHEN a.prob < b.prob THEN 1 "
-            "WHEN a.label < b.label THEN -1 WHEN a.label > b.label THEN 1 ELSE 0 END)")
+    """SQL text of array<struct<label, prob>>, by prob descending, label ascending.
+
+    Sorted by the natural order of (-prob, label), without a comparison function.
+    """
+    items = [f"named_struct('k', 0.0D - {p}, 'label', {text(c)}, 'prob', {p})" for c, p in zip(classes, probs)]
+    by_key = f"sort_array(array({', '.join(items)}))"
+    return f"CAST(arrays_zip({by_key}.label, {by_key}.prob) AS ARRAY<STRUCT<label: STRING, prob: DOUBLE>>)"
+
+
+def top_of(classes: list[str], prefix: str = "prob_") -> tuple[Column, Column]:
+    """Label and probability of the first element of that array, from plain columns."""
+    probs = [F.col(prefix + c) for c in sorted(classes)]
+    top = F.greatest(*probs) if len(probs) > 1 else probs[0]
+    label = F.coalesce(*[F.when(p == top, F.lit(c)) for c, p in zip(sorted(classes), probs)])
+    return label, top
 
 
 def prob_of(probs_col: str, label) -> Column:
     """Probability of ``label`` (a name or a column) from a (label, prob) array; 0 if absent."""
     key = F.lit(label) if isinstance(label, str) else label
-    return F.coalesce(F.try_element_at(F.map_from_entries(F.col(probs_col)), key), F.lit(0.0))
+    at = F.array_position(F.col(probs_col)["label"], key)
+    return F.coalesce(F.try_element_at(F.col(probs_col)["prob"], F.nullif(at, F.lit(0)).cast("int")), F.lit(0.0))
 
 
 def first_of(probs_col: str, field_name: str, strict: bool = False) -> Column:

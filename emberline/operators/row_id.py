@@ -11,7 +11,6 @@ lazy plan; nothing is copied to storage and no job runs while it is built.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, VariantType
@@ -76,22 +75,3 @@ def with_row_id(df: DataFrame, order_by: list, name: str = "row_id",
     return (keyed.join(F.broadcast(offsets), "_rid_b")
             .withColumn(name, F.col("_rid_o") + inside)
             .drop("_rid_b", "_rid_o", *given))
-
-
-def ranked(df: DataFrame, order: list, name: str = "rank_position") -> DataFrame:
-    """``df`` in the global order ``order``, with its 1-based place as a column.
-
-    For wide rows that are sorted anyway: the sorted frame is kept, so counting
-    its partitions and numbering their rows read the same partitions (a lost
-    block is rebuilt from the same range bounds and the same sort).
-    """
-    kept = df.orderBy(*order).persist(StorageLevel.MEMORY_AND_DISK)
-    part = F.spark_partition_id()
-    # monotonically_increasing_id = (partition id << 33) + position in partition
-    place = F.monotonically_increasing_id() - F.shiftleft(part.cast("bigint"), 33)
-    tagged = kept.withColumns({"_rk_b": part, "_rk_p": place})
-    before = Window.orderBy("_rk_b").rowsBetween(Window.unboundedPreceding, -1)  # one row for each partition
-    offsets = tagged.groupBy("_rk_b").agg(F.count(F.lit(1)).alias("_rk_n")).select(
-        "_rk_b", F.coalesce(F.sum("_rk_n").over(before), F.lit(0)).alias("_rk_o"))
-    return (tagged.join(F.broadcast(offsets), "_rk_b").withColumn(name, F.col("_rk_o") + F.col("_rk_p") + 1)
-            .drop("_rk_b", "_rk_p", "_rk_o"))

@@ -23,7 +23,11 @@ from pyspark.sql import functions as F
 from .. import reference_values as RV
 from ..functions.rng import split_flag
 from ..functions.sqltext import num, text
-from .model import LinearModel, Preprocess, number
+from ..session import default_parallelism
+from .model import LinearModel, Preprocess
+from .row_id import with_row_id
+from .stats import TableStats, statistics
+from .table_model import TableModel, balanced_weights, train_gd_table
 
 
 @dataclass
@@ -69,49 +73,6 @@ def split(df: DataFrame, id_col: str = "row_id", seed: int = 42,
 
 # ------------------------------------------------------------- preprocess --
 
-def _moments_row(df: DataFrame, numeric: list[str]) -> tuple[list[float], list[float]]:
-    """Means and sample stds of the numeric inputs: one aggregate, one row."""
-    if not numeric:
-        return [], []
-    aggs = []
-    for c in numeric:
-        x = number(c)
-        aggs += [F.avg(x).alias(f"m_{c}"), F.stddev_samp(x).alias(f"s_{c}")]
-    row = df.agg(*aggs).first()
-    means, stds = [], []
-    for c in numeric:
-        m, s = row[f"m_{c}"], row[f"s_{c}"]
-        means.append(float(m) if m is not None else 0.0)
-        stds.append(float(s) if s is not None and s > 0 else 1.0)
-    return means, stds
-
-
-_LABEL_KEY = "\u0000label"
-
-
-def _level_counts(df: DataFrame, columns: list[str], label: str | None = None):
-    """``{column: {level: count}}`` from one grouped aggregate over (column, level).
-
-    The label, when given, rides along as one more column, so vocabulary and
-    class counts cost a single pass.  What is collected becomes the model's
-    own vocabulary: one row per coefficient.
-    """
-    items = [F.struct(F.lit(c).alias("f"), F.col(c).cast("string").alias("v")) for c in columns]
-    if label is not None:
-        items.append(F.struct(F.lit(_LABEL_KEY).alias("f"), F.col(label).cast("string").alias("v")))
-    if not items:
-        return {}
-    rows = (df.select(F.explode(F.array(*items)).alias("p")).select("p.f", "p.v")
-            .where(F.col("v").isNotNull()).groupBy("f", "v").agg(F.count(F.lit(1)).alias("n"))
-            .collect())
-    out: dict[str, dict[str, int]] = {c: {} for c in columns}
-    if label is not None:
-        out[_LABEL_KEY] = {}
-    for r in rows:
-        out[r["f"]][r["v"]] = int(r["n"])
-    return out
-
-
 def design(df: DataFrame, pre: Preprocess, label: str, weights: dict[str, float]) -> DataFrame:
     """``_x0.._x{d-1}`` (double), ``_y`` (label), ``_w`` (sample weight)."""
     wmap = F.create_map(*[x for c, w in weights.items() for x in (F.lit(c), F.lit(float(w)))])
@@ -298,43 +259,55 @@ def soft_threshold(x, t: float):
     return np.where(np.abs(x) > t, np.sign(x) * (np.abs(x) - t), 0.0)
 
 
-def prepare(df: DataFrame, cfg: TrainConfig, packed: bool = False):
-    """Statistics, vocabulary and class weights, then the persisted design matrix.
+def prepare(df: DataFrame, cfg: TrainConfig, packed: bool = False, stats: TableStats | None = None):
+    """Statistics, vocabulary and class weights in one scan, then the persisted design matrix.
 
-    The input is cached for the two small passes that precede the design
-    matrix (moments; vocabulary with class counts), so an expensive source --
-    a generator, a join -- runs once; it is released as soon as the design
-    matrix itself is materialised.
+    The vocabulary becomes part of the model on the driver, so its size is checked:
+    beyond ``LITERAL_LEVELS`` this raises, and ``train_gd`` goes on with a table.
     """
-    # only the model's inputs are cached; columns it does not use are pruned
-    # before the cache, so a generator never even computes them
     needed = list(dict.fromkeys(cfg.numeric + cfg.categorical + [cfg.label]))
-    src = df.select(*needed).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        # pass 1: moments; pass 2: vocabulary and class counts together
-        means, stds = _moments_row(src, cfg.numeric)
-        counts = _level_counts(src, cfg.categorical, label=cfg.label)
-        vocab = {c: sorted(counts[c]) for c in cfg.categorical}
-        pre = Preprocess(list(cfg.numeric), means, stds, list(cfg.categorical), vocab)
-        class_n = counts[_LABEL_KEY]
-        total, k = sum(class_n.values()), len(class_n)
-        # balanced: N / (k * n_c), the same formula as class_weights()
-        weights = {c: (total / (k * n) if cfg.balanced else 1.0) for c, n in class_n.items()}
-        classes = sorted(weights)
-        build = design_blocks if packed else design
-        # The design matrix is a deterministic function of the input, so lost
-        # cached blocks are recomputed exactly from lineage.
-        X = build(src, pre, cfg.label, weights).persist(StorageLevel.MEMORY_AND_DISK)
-        wsum = X.agg(F.sum("_w" if not packed else "wsum").alias("w")).first()["w"] or 1.0
-    finally:
-        src.unpersist()
+    src = df.select(*needed)
+    stats = stats or statistics(src, cfg.numeric, [*cfg.categorical, cfg.label])
+    if n_levels(stats, cfg) > LITERAL_LEVELS:
+        raise ValueError(f"more than {LITERAL_LEVELS} levels: train with train_gd, which keeps them in a table")
+    means, stds = stats.means_and_stds()
+    vocab: dict[str, list[str]] = {c: [] for c in cfg.categorical}
+    for r in stats.levels().where(F.col("feature").isin(list(vocab))).collect():
+        vocab[r.feature].append(r.level)
+    pre = Preprocess(list(cfg.numeric), means, stds, list(cfg.categorical), {c: sorted(v) for c, v in vocab.items()})
+    weights = balanced_weights(stats, cfg)
+    classes = sorted(weights)
+    if packed:
+        # blocks are few; dealt out once, every step runs on all cores however the scan was split
+        X = design_blocks(src, pre, cfg.label, weights).repartition(default_parallelism(df.sparkSession))
+    else:
+        X = design(src, pre, cfg.label, weights)
+    # The design matrix is a deterministic function of the input, so lost
+    # cached blocks are recomputed exactly from lineage.
+    X = X.persist(StorageLevel.MEMORY_AND_DISK)
+    wsum = X.agg(F.sum("_w" if not packed else "wsum").alias("w")).first()["w"] or 1.0
     return pre, weights, classes, X, wsum
 
 
-def train_gd(df: DataFrame, cfg: TrainConfig | None = None) -> LinearModel:
-    """Multinomial logistic regression by constant-rate proximal gradient descent."""
+LITERAL_LEVELS = 4096   # categorical levels that a model may hold on the driver and in a plan
+
+
+def n_levels(stats: TableStats, cfg: TrainConfig) -> int:
+    return stats.levels().where(F.col("feature").isin(list(cfg.categorical))).count()
+
+
+def train_gd(df: DataFrame, cfg: TrainConfig | None = None) -> LinearModel | TableModel:
+    """Multinomial logistic regression by constant-rate proximal gradient descent.
+
+    The levels are counted first.  Up to ``LITERAL_LEVELS`` the weights live on the
+    driver; beyond, in a table (``table_model``), with the same steps.
+    """
     cfg = cfg or TrainConfig()
-    pre, weights, classes, X, wsum = prepare(df, cfg, packed=(cfg.engine != "sql"))
+    needed = list(dict.fromkeys(cfg.numeric + cfg.categorical + [cfg.label]))
+    stats = statistics(df.select(*needed), cfg.numeric, [*cfg.categorical, cfg.label])
+    if n_levels(stats, cfg) > LITERAL_LEVELS:
+        return train_gd_table(df, cfg, stats)
+    pre, weights, classes, X, wsum = prepare(df, cfg, packed=(cfg.engine != "sql"), stats=stats)
     spark = X.sparkSession
     view = f"_design_{uuid.uuid4().hex}"
     try:
@@ -387,35 +360,17 @@ def first_step(df: DataFrame, cfg: TrainConfig | None = None) -> DataFrame:
 # ------------------------------------------------------ converged variant --
 
 def train_lr(df: DataFrame, cfg: TrainConfig | None = None) -> LinearModel:
-    """Same objective solved by Spark ML's multinomial LogisticRegression (OWL-QN)."""
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import VectorAssembler
+    """Same objective solved to convergence by the Spark ML pipeline (OWL-QN); see ``pipeline``."""
+    from .pipeline import fit_pipeline, linear_model
 
     cfg = cfg or TrainConfig()
-    pre, weights, classes, X, _ = prepare(df, cfg)
-    d = len(pre.feature_names())
-    index = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(c), F.lit(float(i)))])
-    data = VectorAssembler(inputCols=[f"_x{j}" for j in range(d)], outputCol="features").transform(
-        X.withColumn("_label", F.try_element_at(index, F.col("_y"))))
-    reg = cfg.l1 + cfg.l2
-    lr = LogisticRegression(featuresCol="features", labelCol="_label", weightCol="_w",
-                            family="multinomial", maxIter=cfg.iterations, regParam=reg,
-                            elasticNetParam=(cfg.l1 / reg) if reg > 0 else 0.0,
-                            standardization=False, fitIntercept=True)
-    try:
-        fitted = lr.fit(data)
-    finally:
-        X.unpersist()
-    coef = fitted.coefficientMatrix.toArray()
-    icpt = fitted.interceptVector.toArray()
-    n_out = coef.shape[0]
-    W = [[float(x) for x in coef[i]] if i < n_out else [0.0] * d for i in range(len(classes))]
-    b = [float(icpt[i]) if i < n_out else 0.0 for i in range(len(classes))]
-    hist = list(fitted.summary.objectiveHistory) if fitted.hasSummary else []
-    return LinearModel(classes, pre, W, b, name=cfg.name, label=cfg.label, history=hist)
+    needed = list(dict.fromkeys(cfg.numeric + cfg.categorical + [cfg.label]))
+    stats = statistics(df.select(*needed), cfg.numeric, [*cfg.categorical, cfg.label])
+    fitted, classes = fit_pipeline(df, cfg, stats)
+    return linear_model(fitted, cfg, classes, *stats.means_and_stds())
 
 
-def optimality(df: DataFrame, model: LinearModel, cfg: TrainConfig | None = None, tolerance: float = 0.01) -> DataFrame:
+def optimality(df: DataFrame, model: LinearModel, cfg: TrainConfig | None = None, tolerance: float = 1e-3) -> DataFrame:
     """``(class, feature, optimal)``: whether each coefficient meets the optimality
     condition of the objective - a subgradient of at most ``tolerance`` - computed
     over the table: loss gradient + l2 w, within l1 of 0 where w = 0 and cancelled
@@ -438,29 +393,19 @@ def optimality(df: DataFrame, model: LinearModel, cfg: TrainConfig | None = None
 # ------------------------------------------------- statistics as DataFrames --
 
 def moments(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``(feature, mean, std)``: one wide aggregate, then unpivoted to rows."""
-    aggs = []
-    for c in columns:
-        x = number(c)
-        aggs += [F.avg(x).alias(f"m_{c}"), F.stddev_samp(x).alias(f"s_{c}")]
-    wide = df.agg(*aggs)
-    return wide.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(f"m_{c}").alias("mean"),
-                 F.col(f"s_{c}").alias("std")) for c in columns])))
+    """``(feature, mean, std)`` from one scan."""
+    return statistics(df, columns, []).moments()
 
 
 def vocabulary(df: DataFrame, columns: list[str]) -> DataFrame:
     """``(feature, level, level_index)``: sorted distinct levels per categorical.
 
-    The distinct runs distributed, and so does the numbering: a global dense
+    The counting runs distributed, and so does the numbering: a global dense
     row number over ``(feature, level)`` (range-partitioned, see
     ``with_row_id``) minus each feature's first number.  No task ever holds
     all levels of a feature, whatever its cardinality.
     """
-    from .row_id import with_row_id
-    pairs = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("level")) for c in columns]))
-    levels = df.select(pairs.alias("p")).select("p.*").where(F.col("level").isNotNull()).distinct()
+    levels = statistics(df, [], columns).levels().select("feature", "level")
     numbered = with_row_id(levels, ["feature", "level"], name="_n")
     # one row per requested column: a bound known before anything runs
     first = numbered.groupBy("feature").agg(F.min("_n").alias("_first"))

@@ -11,17 +11,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import catalog as CAT
 from .. import reference_values as RV
 from ..operators import evaluation as EV
 from ..operators.enrich import engineer, enrich_coordinates, label_rows
-from ..operators.model import LinearModel, first_of, fixed_model, predict, prob_of
+from ..operators.model import LinearModel, fixed_model, predict, top_of
 from ..operators.row_id import with_row_id
+from ..operators.table_model import as_table_model, predict_table, train_gd_table
 from ..operators.train import (TrainConfig, class_weights, first_step, moments, optimality, split,
                                train_gd, train_lr, vocabulary)
+from ..session import scratch_path, stored
 from ..sources.observations import from_lineitem
 from ..sources.tables import read_table
 from . import oracle as O
@@ -89,8 +91,9 @@ def labeled_obs(spark, sf_dir) -> DataFrame:
 
 
 def predictions(spark, sf_dir, model: LinearModel = FIXED) -> DataFrame:
-    """The stored-predictions shape: inputs, scores, label, (label, prob) array."""
-    return predict(model, label_rows(engineer(obs(spark, sf_dir))))
+    """The stored-predictions shape: inputs, scores, label, (label, prob) array, and the plain
+    probabilities (what a reader does not use is not computed)."""
+    return predict(model, label_rows(engineer(obs(spark, sf_dir))), prob_columns=True)
 
 
 def keyed_obs(spark, sf_dir) -> DataFrame:
@@ -105,8 +108,7 @@ def training(spark, sf_dir) -> DataFrame:
 
 def scored_columns(spark, sf_dir) -> DataFrame:
     """Label and one plain probability column for each class."""
-    scored = predict(FIXED, label_rows(engineer(obs(spark, sf_dir))), prob_columns=True)
-    return scored.select(LABEL, *[F.col(f"prob_{c}").alias(f"p_{c}") for c in CLASSES])
+    return predictions(spark, sf_dir).select(LABEL, *[F.col(f"prob_{c}").alias(f"p_{c}") for c in CLASSES])
 
 
 def iso_sql(col: str) -> str:
@@ -382,10 +384,27 @@ FROM ({PRED_SQL}) p
 """)
 def q_predict_fixed_model(spark, sf_dir):
     p = predictions(spark, sf_dir)
-    return p.select(*_PRED_OUT, PRED,
-                    *[F.round(prob_of(PROBS, c), R6).alias(f"prob_{c}") for c in CLASSES],
-                    first_of(PROBS, "label").alias("first_label"),
-                    F.round(first_of(PROBS, "prob"), R6).alias("first_prob"))
+    label, prob = top_of(CLASSES)
+    return p.select(*_PRED_OUT, PRED, *[F.round(f"prob_{c}", R6).alias(f"prob_{c}") for c in CLASSES],
+                    label.alias("first_label"), F.round(prob, R6).alias("first_prob"))
+
+
+@register("predict_joined_coefficients", f"""
+SELECT {', '.join(_PRED_OUT)}, {PRED}, {', '.join(f'round(prob_{c}, {R6}) AS prob_{c}' for c in CLASSES)}
+FROM ({PRED_SQL}) p
+""")
+def q_predict_joined_coefficients(spark, sf_dir):
+    """The same scores with the coefficients of levels in a table that is joined."""
+    p = predict_table(as_table_model(spark, FIXED), label_rows(engineer(obs(spark, sf_dir))), prob_columns=True)
+    return p.select(*_PRED_OUT, PRED, *[F.round(f"prob_{c}", R6).alias(f"prob_{c}") for c in CLASSES])
+
+
+@register("train_gd_table", _descent_sql(RV.MAX_ITERATIONS))
+def q_train_gd_table(spark, sf_dir):
+    """All coefficients after the full number of steps, with the weights of levels in a table."""
+    train, _ = split(training(spark, sf_dir))
+    return train_gd_table(train, TrainConfig()).coefficient_table().select(
+        "class", "feature", F.round("weight", 4).alias("weight"))
 
 
 def _position_sql(c: str) -> str:
@@ -446,7 +465,7 @@ SELECT round(avg(-ln(greatest(CASE {LABEL} {' '.join(f"WHEN '{c}' THEN prob_{c}"
 FROM ({PRED_SQL}) p WHERE {LABEL} IS NOT NULL
 """)
 def q_eval_log_loss(spark, sf_dir):
-    ll = EV.log_loss(predictions(spark, sf_dir), LABEL, PROBS)
+    ll = EV.log_loss(predictions(spark, sf_dir), LABEL, {c: f"prob_{c}" for c in CLASSES})
     return ll.select(F.round("log_loss", R6).alias("log_loss"))
 
 
@@ -560,6 +579,52 @@ def q_lookup_states_batch(spark, sf_dir):
     return _rounded_records(SV.lookup(req, predictions(spark, sf_dir)))
 
 
+@register("lookup_saved_states", ORACLE["lookup_states_batch"])
+def q_lookup_saved_states(spark, sf_dir):
+    """The same lookups answered from a stored predictions table, of which only the
+    requested regions are read."""
+    req = requests_from_supplier(read_table(spark, sf_dir, "supplier"))
+    with CAT.scratch_namespace(spark, "serving") as ns:
+        CAT.save_predictions(predictions(spark, sf_dir), namespace=ns)
+        saved = CAT.read_saved(spark, RV.PREDICTIONS_TABLE, ns)
+        return stored(_rounded_records(SV.lookup_saved(req, saved)), "lookups")
+
+
+PAGE = (101, 250)
+
+
+@register("ranked_page", f"""SELECT * FROM ({ORACLE["current_predictions"]}) r
+WHERE rank_position BETWEEN {PAGE[0]} AND {PAGE[1]}""")
+def q_ranked_page(spark, sf_dir):
+    """One page of the stored ranking."""
+    path = scratch_path(spark, "ranked")
+    SV.save_ranked_predictions(predictions(spark, sf_dir), path, digits=R9)
+    return _rounded_records(SV.ranked_predictions(spark, path, *PAGE))
+
+
+@register("model_info", f"""
+WITH t AS ({O.TRAIN})
+SELECT 'spark_catalog' AS model_catalog, true AS own_schema, '{RV.DEFAULT_MODEL_NAME}' AS model_name,
+       '{RV.MODEL_TYPE}' AS model_type, CAST(2 AS BIGINT) AS version,
+       '[' || string_agg('"' || c || '"', ', ' ORDER BY c) || ']' AS classes, CAST(NULL AS VARCHAR) AS error
+FROM (SELECT DISTINCT {LABEL} AS c FROM t WHERE {LABEL} IS NOT NULL)
+UNION ALL SELECT NULL, NULL, 'missing_model', NULL, NULL, NULL, 'Model not found'
+""")
+def q_model_info(spark, sf_dir):
+    """The registry's answer, without times, on a model trained on the table and saved twice,
+    and on one that nobody saved."""
+    train, _ = split(training(spark, sf_dir))
+    model = train_gd(train, TrainConfig(iterations=1))
+    with CAT.scratch_namespace(spark, "registry") as ns:
+        for _ in range(2):
+            CAT.save_model(spark, model, ns)
+        CAT.compact_registry(spark, ns)
+        names = spark.createDataFrame([(model.name,), ("missing_model",)], "model_name string")
+        info = SV.model_info_batch(CAT.registry(spark, ns), names)
+        return stored(info.select("model_catalog", (F.col("model_schema") == F.lit(ns)).alias("own_schema"), "model_name",
+                                  "model_type", "version", "classes", "error"), "info")
+
+
 @register("available_states", f"""
 SELECT CAST(row_number() OVER (ORDER BY state_province NULLS FIRST) - 1 AS INTEGER) AS state_index,
        state_province, count(*) OVER () AS n_states
@@ -610,11 +675,11 @@ SELECT 'roc_auc', COALESCE(CAST(round(avg(CASE WHEN n_pos > 0 AND n_neg > 0
                                 AS VARCHAR), 'N/A') FROM c
 """)
 def q_run_summary(spark, sf_dir):
-    # scored once: all figures come from the cached narrow columns
-    preds = predictions(spark, sf_dir).select(LABEL, PRED, PROBS).persist(StorageLevel.MEMORY_AND_DISK)
+    # scored once: all figures come from the stored narrow columns
+    plain = {c: f"prob_{c}" for c in CLASSES}
+    preds = stored(predictions(spark, sf_dir).select(LABEL, PRED, *plain.values()), "summary")
     acc = EV.macro_metrics(EV.confusion(preds, LABEL, PRED)).select(F.round("accuracy", R6))
-    probs = preds.select(LABEL, *[prob_of(PROBS, c).alias(f"p_{c}") for c in CLASSES])
-    auc = EV.roc_auc(probs, LABEL, {c: f"p_{c}" for c in CLASSES}).select(F.round("roc_auc", R6))
+    auc = EV.roc_auc(preds, LABEL, plain).select(F.round("roc_auc", R6))
     return SV.summary_rows(preds, preds, {"accuracy": acc, "roc_auc": auc})
 
 

@@ -9,19 +9,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import reference_values as RV
 from ..functions.temporal import iso_datetime, iso_instant
-from ..operators.model import first_of, prob_of
-from ..operators.row_id import ranked, with_row_id
+from ..operators.model import first_of, prob_of, top_of
+from ..operators.ranking import read_ranked, store_ranked
+from ..operators.row_id import with_row_id
+from ..session import scratch_path, stored
 
 PRED = f"predicted_{RV.LABEL_COLUMN}"
 REGION_KEY = "state_key"      # partition column of a stored predictions table
 PROBS = f"predicted_{RV.LABEL_COLUMN}_probs"
-HELD_ROWS = 50_000            # regions a task holds at once while it looks for their first records
+PLAIN = "prob_"               # columns of single classes, where a frame has them
 HIGH = "high"                 # the class whose probability readers ask for
 
 SERVING_COLUMNS = ["station_id", "state_province", "temperature_celsius", "humidity_percent",
@@ -38,12 +39,20 @@ def _zero_null(c: str, zero_as_null: bool) -> Column:
     return F.nullif(x, F.lit(0.0)).alias(c) if zero_as_null else x.alias(c)
 
 
+def first_and_high(preds: DataFrame) -> tuple[Column, Column, Column]:
+    """First label and probability of the array, and the probability of ``HIGH``: from plain
+    ``prob_<class>`` columns if ``preds`` has them, else from the array."""
+    classes = [c[len(PLAIN):] for c in preds.columns if c.startswith(PLAIN)]
+    if HIGH in classes:
+        return (*top_of(classes, PLAIN), F.col(PLAIN + HIGH))
+    return first_of(PROBS, "label"), first_of(PROBS, "prob"), prob_of(PROBS, HIGH)
+
+
 def prediction_rows(preds: DataFrame) -> DataFrame:
     """The projected fields: inputs, predicted label, first (label, prob) of the array."""
-    return preds.select(*SERVING_COLUMNS, PRED,
-                        first_of(PROBS, "label").alias("high_risk_label"),
-                        first_of(PROBS, "prob").alias("high_risk_probability"),
-                        prob_of(PROBS, HIGH).alias("high_class_probability"), "timestamp")
+    label, prob, high = first_and_high(preds)
+    return preds.select(*SERVING_COLUMNS, PRED, label.alias("high_risk_label"), prob.alias("high_risk_probability"),
+                        high.alias("high_class_probability"), "timestamp")
 
 
 def as_records(rows: DataFrame, zero_as_null: bool = True) -> DataFrame:
@@ -55,19 +64,39 @@ def as_records(rows: DataFrame, zero_as_null: bool = True) -> DataFrame:
     return rows.select(*as_records_columns(zero_as_null))
 
 
+def ranking_order(digits: int | None = None) -> list[Column]:
+    p = F.col("high_risk_probability")
+    p = p if digits is None else F.round(p, digits)
+    return [F.desc(p), *[F.asc(c) for c in RECORD_ORDER + TIE_BREAK]]
+
+
+def save_ranked_predictions(preds: DataFrame, path: str, digits: int | None = None) -> None:
+    """Store the prediction rows in rank order under ``path``: highest first-element
+    probability first (compared to ``digits`` places if given), ties by ``RECORD_ORDER``.
+
+    The rows are scored once: their narrow records are stored before they are sorted.
+    """
+    rows = stored(prediction_rows(preds), "records")
+    store_ranked(rows, ranking_order(digits), path)
+
+
+def ranked_predictions(spark: SparkSession, path: str, first: int | None = None, last: int | None = None,
+                       zero_as_null: bool = True) -> DataFrame:
+    """Records stored by ``save_ranked_predictions`` with ``rank_position``; a page of ranks
+    reads only the files that hold it."""
+    return read_ranked(spark, path, first, last).select("rank_position", *as_records_columns(zero_as_null))
+
+
 def current_predictions(preds: DataFrame, zero_as_null: bool = True, digits: int | None = None) -> DataFrame:
     """All predictions with ``rank_position``: highest first-element probability first.
 
-    The order is a column, so it survives whatever is done with the rows.
-    Probabilities are compared to ``digits`` places if given; ties follow
-    ``RECORD_ORDER``.  The narrow record is kept while it is sorted and numbered,
-    so scoring runs once.
+    The order is a column, so it survives whatever is done with the rows.  They are
+    stored in rank order when this is called, in the shared checkpoint folder, and
+    show ``preds`` as it is then.
     """
-    rows = prediction_rows(preds).persist(StorageLevel.MEMORY_AND_DISK)
-    p = F.col("high_risk_probability")
-    p = p if digits is None else F.round(p, digits)
-    order = [F.desc(p), *[F.asc(c) for c in RECORD_ORDER + TIE_BREAK]]
-    return ranked(rows, order).select("rank_position", *as_records_columns(zero_as_null))
+    path = scratch_path(preds.sparkSession, "ranked")
+    save_ranked_predictions(preds, path, digits)
+    return ranked_predictions(preds.sparkSession, path, zero_as_null=zero_as_null)
 
 
 def prediction_for_state(preds: DataFrame, state: str, zero_as_null: bool = True) -> DataFrame:
@@ -88,60 +117,18 @@ def prediction_for_state(preds: DataFrame, state: str, zero_as_null: bool = True
     return as_records(first, zero_as_null)
 
 
-def _least_rows(table, key: str, order: list[str]):
-    """The first row of each ``key`` of an Arrow table, in Spark's order: NULL first, NaN last."""
-    import numpy as np
-    import pyarrow as pa
-    import pyarrow.compute as pc
-
-    by = {"k": pc.dictionary_encode(table[key].combine_chunks(), null_encoding="encode").indices}
-    for i, c in enumerate(order):
-        x = table[c].combine_chunks()
-        if pa.types.is_floating(x.type):
-            nan = pc.is_nan(x)
-            by[f"n{i}"] = nan.cast(pa.int8())
-            x = pc.if_else(nan, pa.scalar(0, x.type), x)
-        by[f"c{i}"] = x
-    at = pc.sort_indices(pa.table(by), sort_keys=[(c, "ascending") for c in by], null_placement="at_start").to_numpy()
-    k = by["k"].to_numpy()[at]
-    return table.take(at[np.r_[True, k[1:] != k[:-1]]])
-
-
-def _reduce_per_key(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """``rows`` reduced inside each partition towards the first row of each ``key``.
-
-    One pass with a running minimum: no shuffle and no sort of the partition.
-    The held rows are emitted and begun anew at ``HELD_ROWS``, so memory is
-    bounded for any number of keys; a key may come back several times.
-    """
-    def run(batches):
-        import pyarrow as pa
-
-        held = None
-        for batch in batches:
-            if batch.num_rows:
-                part = pa.Table.from_batches([batch])
-                held = _least_rows(part if held is None else pa.concat_tables([held, part]), key, order)
-                if held.num_rows >= HELD_ROWS:
-                    yield from held.to_batches()
-                    held = None
-        if held is not None:
-            yield from held.to_batches()
-
-    return rows.mapInArrow(run, rows.schema)
-
-
 def first_per_state(preds: DataFrame) -> DataFrame:
     """``(state_key, rec)``: the smallest record per lower-cased region.
 
-    Each partition keeps a running minimum per region, so a region holding a
-    third of all rows leaves its map task as one row; the aggregate that
-    follows (a sort aggregate, as its buffer holds strings) sees only those.
+    Each task keeps the first row of every region it meets (the window's limit is
+    taken before the shuffle), so a region holding a third of all rows leaves its
+    map tasks as one row each.
     """
     order = RECORD_ORDER + TIE_BREAK
     rows = prediction_rows(preds).select(F.lower("state_province").alias("state_key"), *order)
-    rec = F.struct(*[F.col(c) for c in order])
-    return _reduce_per_key(rows, "state_key", order).groupBy("state_key").agg(F.min(rec).alias("rec"))
+    place = F.row_number().over(Window.partitionBy("state_key").orderBy(*order))
+    return rows.withColumn("_place", place).where(F.col("_place") == 1).select(
+        "state_key", F.struct(*order).alias("rec"))
 
 
 def lookup(requests: DataFrame, preds: DataFrame, request_col: str = "requested_state",
@@ -159,6 +146,19 @@ def lookup(requests: DataFrame, preds: DataFrame, request_col: str = "requested_
     return rec.select(request_col, "found", *as_records_columns(zero_as_null))
 
 
+def lookup_saved(requests: DataFrame, stored_preds: DataFrame, request_col: str = "requested_state",
+                 zero_as_null: bool = True) -> DataFrame:
+    """``lookup`` over a table stored by region (``catalog.save_predictions``).
+
+    The requested regions are joined on the partition column first, so their keys
+    prune the scan at run time: only the folders of regions that somebody asks for
+    are read.  A blank request matches no stored region.
+    """
+    asked = requests.select(F.lower(F.col(request_col)).alias("_asked")).where(F.length("_asked") > 0).distinct()
+    wanted = stored_preds.join(asked, F.col(REGION_KEY) == F.col("_asked")).drop("_asked")
+    return lookup(requests, wanted, request_col, zero_as_null)
+
+
 def as_records_columns(zero_as_null: bool) -> list[Column]:
     return [
         F.col("station_id"), F.col("state_province"),
@@ -188,9 +188,9 @@ def available_states(preds: DataFrame, col: str = "state_province") -> DataFrame
 def sample_predictions(preds: DataFrame, k: int = 5, by: str = "high_risk_probability") -> DataFrame:
     """Top-k by first-element probability, or ``by="high_risk_prob"`` by that of the
     class "high" (per-partition top-k, then a merge)."""
+    _, prob, high = first_and_high(preds)
     rows = preds.select("station_id", "state_province", "temperature_celsius", "humidity_percent",
-                        PRED, first_of(PROBS, "prob").alias("high_risk_probability"),
-                        prob_of(PROBS, HIGH).alias("high_risk_prob"),
+                        PRED, prob.alias("high_risk_probability"), high.alias("high_risk_prob"),
                         "timestamp", "precipitation_mm", "wind_speed_ms", "weather_condition")
     ordered = rows.orderBy(F.desc(by), *[F.asc(c) for c in RECORD_ORDER + [PRED]]).limit(k)
     return ordered.select("station_id", "state_province", "temperature_celsius",
@@ -203,9 +203,8 @@ def sample_rows(df: DataFrame, order_by: Sequence[str], k: int = 10) -> DataFram
 
 
 def model_info(registry: DataFrame, name: str) -> DataFrame:
-    """The registry row of ``name``; one ``error`` row when it is not registered."""
-    hit = registry.where(F.col("model_name") == F.lit(name)).orderBy(
-        F.desc("last_modified_time")).limit(1)
+    """The registry row of ``name``; empty when it is not registered."""
+    hit = registry.where(F.col("model_name") == F.lit(name))
     return hit.select("model_catalog", "model_schema", "model_name", "model_type",
                       iso_instant("creation_time").alias("creation_time"),
                       iso_instant("last_modified_time").alias("last_modified_time"))
@@ -215,10 +214,11 @@ def model_info_batch(registry: DataFrame, requests: DataFrame, request_col: str
     """One row per request, one schema: the registry row, or only the name and an ``error``."""
     info = registry.select(
         "model_catalog", "model_schema", F.col("model_name").alias("_found"), "model_type",
-        iso_instant("creation_time").alias("creation_time"), iso_instant("last_modified_time").alias("last_modified_time"))
+        iso_instant("creation_time").alias("creation_time"), iso_instant("last_modified_time").alias("last_modified_time"),
+        "version", "classes")
     joined = requests.select(F.col(request_col).alias("model_name")).join(info, F.col("model_name") == F.col("_found"), "left")
     return joined.select("model_catalog", "model_schema", "model_name", "model_type", "creation_time", "last_modified_time",
-                         F.when(F.col("_found").isNull(), F.lit("Model not found")).alias("error"))
+                         "version", "classes", F.when(F.col("_found").isNull(), F.lit("Model not found")).alias("error"))
 
 
 def model_info_or_error(registry: DataFrame, name: str) -> DataFrame:
