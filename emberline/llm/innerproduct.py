@@ -27,6 +27,7 @@ from .common import small_batches, written
 QUERY_BLOCK, BLOCK, STEP, LEADING = 512, 2048, 256, 16
 MAX_RANGES = 4096
 NONE = -(2**63)
+LONGEST = 2.0 ** 62  # squared; no product of two shorter vectors passes 64 bits
 
 
 def integer_vectors(df: DataFrame, vec_id: str, vector: str, scale: int) -> DataFrame:
@@ -166,11 +167,15 @@ def top_k(df: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_id",
     Candidates are all rows but the query's own; ties go to the smaller id; a
     query with fewer candidates gets them all.  Vectors of unequal length are
     compared as if the shorter ended in zeros.  No query or no row: empty.
+    Every task holds a matrix as wide and as high as the longest vector.  Scores
+    are 64-bit integers: vectors so long that a product could pass them raise an error.
     """
     spark = df.sparkSession
     small_batches(spark)
     vectors = written(integer_vectors(df, vec_id, vector, scale), "vectors")
-    size = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d")).first()
+    size = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d"), F.max("n2").alias("n2")).first()
+    if (size.n2 or 0.0) >= LONGEST:
+        raise ValueError("a vector's squared length is beyond 2^62; scale it down")
     width = max(1, size.d or 0)
     turn = rotation(vectors, width)
     ranges = max(1, min(MAX_RANGES, -(-size.n // (2 * BLOCK))))

@@ -74,12 +74,17 @@ def mix(docs: DataFrame, levels: list[str], weights: list[dict], defaults: list[
         doc_id: str = "doc_id", tokens: str = "n_tokens") -> DataFrame:
     """``docs`` plus ``leaf_budget`` and ``copies``: how often a document enters the mix.
 
-    All rows come back, those left out with 0 copies.  NULL in a level column
+    All rows come back, those left out with 0 copies.  Columns of ``docs`` named
+    ``leaf_budget`` or ``copies`` are replaced, unless they are levels, the tokens or
+    the id, which raises an error.  NULL in a level column
     is the branch named ''.  NULL or missing tokens count 0; repeated rows each
     count; an empty table gives an empty result.  Only the running sum inside
     one of 4,096 hash ranges of a leaf needs its rows together, so a leaf
     with a third of all rows is still spread over the cluster.
     """
+    if {"leaf_budget", "copies"} & {*levels, doc_id, tokens}:
+        raise ValueError("leaf_budget and copies are names of results")
+    docs = docs.drop("leaf_budget", "copies")
     lv = [f"_mx_{c}" for c in levels]
     t = (docs.withColumns({k: F.coalesce(F.col(c).cast("string"), F.lit("")) for k, c in zip(lv, levels)})
          .withColumn("_mx_t", F.coalesce(F.col(tokens).cast("long"), F.lit(0).cast("long"))))

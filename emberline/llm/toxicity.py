@@ -463,8 +463,8 @@ def calibrate(x: np.ndarray, y: np.ndarray, a: float, b: float, weight: np.ndarr
     return float(beta[0]), float(max(beta[1], 1e-3))
 
 
-def evidences(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
-    """``docs`` plus ``evidence``, 0 for empty and NULL texts."""
+def evidences(docs: DataFrame, model: dict, text: str = "text", name: str = "evidence") -> DataFrame:
+    """``docs`` plus the evidence under ``name``, 0 for empty and NULL texts."""
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((model["costs"], model["weights"]))  # bounded by the sample
 
@@ -474,14 +474,14 @@ def evidences(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
         for texts in parts:
             yield pd.Series([finder.evidence(t) for t in texts], dtype="float64")
 
-    return docs.withColumn("evidence", run(F.coalesce(F.col(text), F.lit(""))))
+    return docs.withColumn(name, run(F.coalesce(F.col(text), F.lit(""))))
 
 
 def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
-    """``docs`` plus ``score`` (0 to 1).
+    """``docs`` plus ``score`` (0 to 1), in place of a column of that name.
 
     Empty and NULL texts have no evidence and get the lowest score; repeated
     rows come back each; an empty table gives an empty result.
     """
-    return evidences(docs, model, text).withColumn(
-        "score", 1 / (1 + F.exp(-(F.lit(model["a"]) + model["b"] * F.col("evidence"))))).drop("evidence")
+    return evidences(docs, model, text, "_tx_evidence").withColumn(
+        "score", 1 / (1 + F.exp(-(F.lit(model["a"]) + model["b"] * F.col("_tx_evidence"))))).drop("_tx_evidence")
