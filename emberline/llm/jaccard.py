@@ -1,13 +1,15 @@
 """N-gram Jaccard join with adaptive multi-match prefixes.
 
-A set x of n shingles that is linked with y shares at least need = ceil(share * n)
-of them.  Under any order of all shingles, the first n - need + k shingles of both
-(their k-prefixes) therefore share at least k.  Shingles are ordered by how many
-sets hold them, rare ones first, so prefixes are rare shingles.  Each document
-chooses its own k: a longer prefix meets more other documents, but more shared
-shingles are asked for before a pair is verified.  It takes the k whose postings
-and expected verifications cost least.  A pair must share as many prefix shingles
-as the smaller k of both.
+A set of n shingles that is linked with one of m shares at least
+overlap(n, m) = ceil(share / (1 + share) * (n + m)) of them, and so need(n) =
+ceil(share * n) with any partner.  Under any order of all shingles, the first
+n - overlap + k shingles of the one and m - overlap + k of the other (their
+k-prefixes) share at least k.  Shingles are ordered by how many sets hold them,
+rare ones first, so prefixes are rare shingles.  Documents meet on a shingle of
+their 1-prefixes.  Each document then chooses its own k: a longer prefix costs
+more to compare, but more shared shingles are asked for before a pair is
+verified.  It takes the k with the least expected cost; a pair must share as many
+shingles of its prefixes as the smaller k of both.
 
 Stages on Spark:
 
@@ -16,10 +18,11 @@ Stages on Spark:
    prefix is hardly shared with anybody has no partner.  Only what is left goes on,
    so that counting shingles does not move all of them;
 3. shingle counts, prefixes, postings;
-4. rounds of pivots: each node is verified against the pivot it shares most
-   shingles with; large groups of near copies fall into one component by a number
-   of pairs linear in their size;
-5. all remaining pairs of different components that share enough are verified.
+4. rounds of pivots: each node is verified against the pivot of the rarest shingle
+   it shares; groups of near copies fall into few components by a number of pairs
+   linear in their size;
+5. nodes that share a shingle with another component meet in blocks; pairs of
+   different components are compared there, and only links leave a block.
 
 Components, not pairs, are the result, so pairs inside a component need no check.
 """
@@ -31,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bitfilter import bit_filter, passes
@@ -76,9 +79,18 @@ class Linked:
         """The least intersection that a set of ``n`` has with any partner."""
         return -(-self.percent * n // 100)
 
+    def overlap(self, a, b):
+        """The least intersection of two linked sets of these sizes."""
+        return -(-self.percent * (a + b) // (100 + self.percent))
+
     def holds(self, common, a, b):
         return 100 * common >= self.percent * (a + b - common)
 
+    def may(self, n: Column, m: Column, at_n: Column, at_m: Column) -> Column:
+        """Whether sets of n and m, whose first shared shingle has these places, can link."""
+        least = F.ceil((n + m) * self.percent / (100 + self.percent))
+        return (100 * F.least(n, m) >= self.percent * F.greatest(n, m)) & (at_n <= n - least) & (at_m <= m - least)
+
 
 def sets_of(docs: DataFrame, width: int, doc_id: str, text: str) -> DataFrame:
     """(doc_id, n, sig) for every row; sig is NULL for texts without words."""
@@ -199,120 +211,212 @@ def prefix_choice(df: np.ndarray, n: int, linked: Linked) -> tuple[int, int]:
     prefix.  It is 0 if some k-prefix holds fewer than k shared ones: no partner.
     """
     need = linked.need(n)
-    meets = np.concatenate([[0], np.cumsum(df - 1)])
+    meets = float((df[:max(0, len(df) - need + 1)] - 1).sum())  # documents met on the 1-prefix, at most
     best, k = None, 1
     while k <= need:
-        length = min(len(df), need_prefix(n, need, k) - (n - len(df)))
+        length = min(len(df), len(df) - need + k)
         if length < k:
             return 1, 0
-        # postings read, and pairs that may reach k matches, each as dear to verify as its shingles
-        cost = meets[length] * (1 + n / k)
+        # prefixes compared, and verifications of those that may have k matches
+        cost = meets * (length + len(df) / k)
         if best is None or cost < best[0]:
             best = cost, k, length
         k *= 2
     return best[1], best[2]
 
 
-def need_prefix(n: int, need: int, k: int) -> int:
-    return n - need + k
+NODE = "sig long, n long, k long, prefix long, own long, x binary"
+POSTING = "h long, sig long, n long, at long"
 
 
-def postings(sets: DataFrame, linked: Linked) -> DataFrame:
-    """(h, sig, n, k): the shared shingles of each node's prefix."""
+def nodes(sets: DataFrame, linked: Linked) -> DataFrame:
+    """(sig, n, k, prefix, own, x): ``x`` holds the shingles shared with others in their order,
+    ``own`` of the n come before them, and the first ``prefix`` of x are in the k-prefix."""
     def explode(batches):
         for batch in batches:
-            for out in pairs_of(zip(batch.column(0).to_pylist(), (np.frombuffer(x, np.uint64) for x in batch.column(1).to_pylist()))):
-                yield out
+            yield from pairs_of(zip(batch.column(0).to_pylist(), (np.frombuffer(x, np.uint64) for x in batch.column(1).to_pylist())))
 
     def choose(batches):
         for batch in batches:
-            sig, size, shared = (batch.column(i).to_pylist() for i in range(3))
-            rows: list = [[], [], [], []]
-            for s, n, pairs in zip(sig, size, shared):
+            rows = []
+            for sig, n, pairs in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 order = sorted((p["d"], p["h"]) for p in pairs)
                 k, length = prefix_choice(np.array([d for d, _ in order], np.int64), n, linked)
-                for column, values in zip(rows, ([h for _, h in order[:length]], [s] * length, [n] * length, [k] * length)):
-                    column += values
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in rows], names=["h", "sig", "n", "k"])
+                if length:
+                    rows.append((sig, n, k, length, n - len(order), np.array([h for _, h in order], np.int64).tobytes()))
+            kinds = [pa.int64()] * 5 + [pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 6, kinds)],
+                                             names=[c.split()[0] for c in NODE.split(", ")])
 
     tokens = sets.select("sig", "x").mapInArrow(explode, "h long, sig long")
     many = tokens.groupBy("h").agg(F.count(F.lit(1)).alias("d")).where("d > 1")
     shared = tokens.join(many, "h").groupBy("sig").agg(F.collect_list(F.struct("d", "h")).alias("shared"))
     least = F.ceil(F.col("n") * linked.percent / 100)
     return sets.select("sig", "n").join(shared, "sig").where(F.size("shared") >= least).select(
-        "sig", "n", "shared").mapInArrow(choose, "h long, sig long, n long, k long")
+        "sig", "n", "shared").mapInArrow(choose, NODE)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, linked: Linked) -> DataFrame:
-    """(u, v) links among the pairs (a, b), u > v, by the sets themselves."""
+def postings(found: DataFrame, linked: Linked) -> DataFrame:
+    """(h, sig, n, at): the shared shingles of each node's 1-prefix and their places in the set."""
     def run(batches):
         for batch in batches:
-            a, b, x, y = (batch.column(i).to_pylist() for i in range(4))
-            keep = [i for i, (s, t) in enumerate(zip(x, y)) if linked.holds(common(s, t), len(s) // 8, len(t) // 8)]
-            yield pa.RecordBatch.from_arrays([pa.array([max(a[i], b[i]) for i in keep], pa.int64()),
-                                              pa.array([min(a[i], b[i]) for i in keep], pa.int64())], names=["u", "v"])
+            sig, n, own, x = (batch.column(i).to_pylist() for i in range(4))
+            parts = [np.frombuffer(b, np.int64)[:m - linked.need(m) + 1 - o] if m - linked.need(m) + 1 > o else np.zeros(0, np.int64)
+                     for m, o, b in zip(n, own, x)]
+            sizes = [len(p) for p in parts]
+            at = [np.arange(o, o + c) for o, c in zip(own, sizes)]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate([*parts, np.zeros(0, np.int64)])), pa.array(np.repeat(np.array(sig, np.int64), sizes)),
+                pa.array(np.repeat(np.array(n, np.int64), sizes)), pa.array(np.concatenate([*at, np.zeros(0, np.int64)]))],
+                names=["h", "sig", "n", "at"])
+
+    return found.select("sig", "n", "own", "x").mapInArrow(run, POSTING)
+
+
+class Comparison:
+    """Prefixes and shingles of some nodes, as sets."""
+
+    def __init__(self, linked: Linked):
+        self.linked, self.known = linked, {}
+
+    def sets(self, sig: int, prefix: int, x: bytes) -> tuple[frozenset, frozenset]:
+        if sig not in self.known:
+            all_ = np.frombuffer(x, np.int64).tolist()
+            self.known[sig] = frozenset(all_[:prefix]), frozenset(all_)
+        return self.known[sig]
 
-    left = sets.select(F.col("sig").alias("a"), F.col("x").alias("xa"))
-    right = sets.select(F.col("sig").alias("b"), F.col("x").alias("xb"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "xa", "xb").mapInArrow(run, "u long, v long")
+    def links(self, a: tuple, b: tuple) -> bool:
+        """a, b: (sig, n, k, prefix, x).  Enough matches in the prefixes, then the whole sets."""
+        (p, x), (q, y) = (self.sets(s, length, own) for s, _, _, length, own in (a, b))
+        return len(p & q) >= min(a[2], b[2]) and self.linked.holds(len(x & y), a[1], b[1])
 
 
-def common(s: bytes, t: bytes) -> int:
-    """Size of the intersection of two sorted sets of hashes."""
-    x, y = np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64)
-    x, y = (x, y) if len(x) <= len(y) else (y, x)
-    at = np.searchsorted(y, x)
-    at[at == len(y)] = 0
-    return int((y[at] == x).sum()) if len(y) else 0
+def verified(pairs: DataFrame, found: DataFrame, linked: Linked) -> DataFrame:
+    """(u, v) links among the pairs (a, b), u > v."""
+    names = ("sig", "n", "k", "prefix", "x")
+
+    def run(batches):
+        for batch in batches:
+            columns = [c.to_pylist() for c in batch.columns]
+            own = Comparison(linked)
+            keep = [(max(a[0], b[0]), min(a[0], b[0])) for a, b in zip(zip(*columns[:5]), zip(*columns[5:])) if own.links(a, b)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*keep) if keep else ((), ()))], names=["u", "v"])
+
+    left, right = (found.select(*[F.col(c).alias(f"{side}_{c}") for c in names]) for side in "ab")
+    joined = pairs.join(left, pairs["a"] == left["a_sig"]).join(right, pairs["b"] == right["b_sig"])
+    return joined.select(*left.columns, *right.columns).mapInArrow(run, "u long, v long")
 
 
-def _placed(posts: DataFrame, found: DataFrame | None) -> DataFrame:
-    """``posts`` with the component of each node so far, without shingles that one component has alone."""
-    if found is None:
-        placed = posts.withColumn("c", F.col("sig"))
+def placed(posts: DataFrame, classes: DataFrame | None) -> DataFrame:
+    """``posts`` with the component ``c`` of each node so far and ``d``, the nodes of each shingle,
+    without shingles that one component has alone."""
+    if classes is None:
+        rows = posts.withColumn("c", F.col("sig"))
     else:
-        placed = posts.join(found.withColumnRenamed("node", "sig"), "sig", "left").withColumn("c", F.coalesce("component", "sig")).drop("component")
-    open_ = placed.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("h")
-    return placed.join(open_, "h")
+        rows = posts.join(classes.withColumnRenamed("node", "sig"), "sig", "left").withColumn(
+            "c", F.coalesce("component", "sig")).drop("component")
+    open_ = rows.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("d")).where(
+        "lo < hi").select("h", "d")
+    return rows.join(open_, "h")
 
 
-def pivot_pairs(placed: DataFrame, turn: int) -> DataFrame:
-    """(a, b): each node with the pivot, of another component, that it shares most shingles with.
+def pivot_pairs(rows: DataFrame, linked: Linked, turn: int) -> DataFrame:
+    """(a, b): each node with the pivot, of another component, of the rarest shingle by which they may link.
 
-    The pivot of a shingle is the node of its postings with the smallest hash in this turn.
+    The pivot of a shingle is the node with the smallest hash in this turn.
     """
-    pivot = placed.groupBy("h").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "sig").alias("o"), F.col("sig").alias("b"),
-                                                   F.col("c").alias("cb"), F.col("n").alias("nb"))).alias("p")).select("h", "p.*")
-    votes = placed.join(pivot, "h").where("c <> cb").groupBy("sig", "b").agg(F.count(F.lit(1)).alias("m"))
-    return votes.groupBy(F.col("sig").alias("a")).agg(F.max(F.struct("m", "b")).alias("v")).select("a", "v.b")
+    pivot = rows.groupBy("h").agg(F.min(F.struct(
+        F.xxhash64(F.lit(turn), "sig").alias("o"), F.col("sig").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"),
+        F.col("at").alias("at_b"))).alias("p")).select("h", "p.*")
+    near = rows.join(pivot, "h").where((F.col("c") != F.col("cb")) & linked.may(F.col("n"), F.col("nb"), F.col("at"), F.col("at_b")))
+    return near.groupBy(F.col("sig").alias("a")).agg(F.min(F.struct("d", "b")).alias("v")).select("a", "v.b")
+
+
+def blocked(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """(h, i, j, ...): the nodes of each shingle in blocks of bounded bytes, every two blocks of
+    a shingle together once."""
+    size = found.select("sig", "k", "prefix", "x").withColumn("bytes", F.octet_length("x"))
+    wide = rows.join(size, "sig")
+    parts = rows.join(size.select("sig", "bytes"), "sig").groupBy("h").agg(
+        F.greatest(F.ceil(F.sum("bytes") / BLOCK_BYTES), F.ceil(F.count(F.lit(1)) / BLOCK_ROWS)).cast("int").alias("parts"))
+    own = F.pmod(F.xxhash64("sig"), F.col("parts")).cast("int")
+    each = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    return wide.join(parts, "h").withColumn("own_part", own).select("*", each.alias("other")).select(
+        "h", F.least("own_part", "other").alias("i"), F.greatest("own_part", "other").alias("j"), "own_part",
+        "sig", "n", "k", "prefix", "x", "at", "c")
+
+
+BLOCK_BYTES, BLOCK_ROWS = 1 << 23, 1 << 10
+
+
+def block_links(linked: Linked):
+    """(u, v): links between components in each run of rows with one (h, i, j), enough to connect them."""
+    def compare(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+        part, sig, n, _, _, _, at, c = (np.array(x) if i not in (5,) else x for i, x in enumerate(zip(*rows)))
+        up = {x: x for x in c.tolist()}
+
+        def top(x):
+            while up[x] != x:
+                up[x] = up[up[x]]
+                x = up[x]
+            return x
+
+        own = Comparison(linked)
+        two = part.min() != part.max()
+        for a in range(len(rows) - 1):
+            m = n[a + 1:]
+            least = linked.overlap(n[a], m)
+            fits = (c[a + 1:] != c[a]) & (100 * np.minimum(m, n[a]) >= linked.percent * np.maximum(m, n[a])) & (
+                at[a] <= n[a] - least) & (at[a + 1:] <= m - least)
+            if two:  # pairs inside one block meet elsewhere
+                fits &= part[a + 1:] != part[a]
+            for b in (np.flatnonzero(fits) + a + 1).tolist():
+                s, t = top(int(c[a])), top(int(c[b]))
+                if s != t and own.links(rows[a][1:6], rows[b][1:6]):
+                    up[s] = t
+                    yield int(max(sig[a], sig[b])), int(min(sig[a], sig[b]))
 
+    def run(batches):
+        key, held = None, []
+
+        def out(found):
+            found = list(found)
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (zip(*found) if found else ((), ()))], names=["u", "v"])
+
+        for batch in batches:
+            found = []
+            columns = [x.to_pylist() for x in batch.columns]
+            for k, row in zip(zip(*columns[:3]), zip(*columns[3:])):
+                if k != key:
+                    found += compare(held) if len(held) > 1 else ()
+                    key, held = k, []
+                held.append(row)
+            yield out(found)
+        yield out(compare(held) if len(held) > 1 else ())
 
-def remaining_pairs(placed: DataFrame, linked: Linked) -> DataFrame:
-    """(a, b): all pairs of different components that share enough prefix shingles."""
-    a, b = (placed.select("h", *[F.col(c).alias(f"{c}_{s}") for c in ("sig", "n", "k", "c")]) for s in "ab")
-    pairs = a.join(b, (a["h"] == b["h"]) & (F.col("c_a") < F.col("c_b"))
-                   & (100 * F.least("n_a", "n_b") >= linked.percent * F.greatest("n_a", "n_b")))
-    return pairs.groupBy(F.col("sig_a").alias("a"), F.col("sig_b").alias("b")).agg(
-        F.count(F.lit(1)).alias("m"), F.first(F.least("k_a", "k_b")).alias("k")).where("m >= k").select("a", "b")
+    return run
 
 
 def links(sets: DataFrame, linked: Linked) -> DataFrame:
     """(u, v): links that connect the nodes as all links do."""
-    posts = written(postings(sets, linked), "postings")
-    every, found, turn = None, None, 0
+    found = written(nodes(sets, linked), "nodes")
+    posts = written(postings(found, linked), "postings")
+    every, classes, turn = None, None, 0
     while True:
-        placed = written(_placed(posts, found), "placed")
-        pairs = written(pivot_pairs(placed, turn), "pivots")
-        new = written(verified(pairs, sets, linked), "verified")
+        rows = written(placed(posts, classes), "placed")
+        pairs = written(pivot_pairs(rows, linked, turn), "pivots")
+        new = written(verified(pairs, found, linked), "verified")
         tried, hit = pairs.count(), new.count()
         if hit:
             every = new if every is None else every.unionByName(new)
-            found = written(components(every), "classes")
+            classes = written(components(every), "classes")
         if 2 * hit < tried or not hit:
             break
         turn += 1
-    placed = written(_placed(posts, found), "placed") if hit else placed
-    rest = written(verified(remaining_pairs(placed, linked), sets, linked), "verified")
+    rows = written(placed(posts, classes), "placed") if hit else rows
+    meet = blocked(rows, found).repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", "sig").select(
+        "h", "i", "j", "own_part", "sig", "n", "k", "prefix", "x", "at", "c")
+    rest = written(meet.mapInArrow(block_links(linked), "u long, v long"), "verified")
     return rest if every is None else every.unionByName(rest)
 
 

@@ -114,12 +114,18 @@ def test_linked_sets_share_enough_of_their_prefixes(sets, percent):
     for x in sets:
         order = sorted((count[h], h) for h in x if count[h] > 1)
         k, length = J.prefix_choice(np.array([d for d, _ in order], np.int64), len(x), linked)
-        prefix.append((k, {h for _, h in order[:length]}))
+        own = len(x) - len(order)
+        prefix.append((k, {h for _, h in order[:length]}, {h: own + at for at, (_, h) in enumerate(order)}))
     for i, x in enumerate(sets):
         for j in range(i):
             if linked.holds(len(x & sets[j]), len(x), len(sets[j])):
-                (k, a), (m, b) = prefix[i], prefix[j]
+                (k, a, at), (m, b, bt) = prefix[i], prefix[j]
                 assert len(a & b) >= min(k, m)
+                n, o = len(x), len(sets[j])
+                least = linked.overlap(n, o)
+                # they meet on a shingle of both 1-prefixes, at places that allow the link
+                assert any(at[h] <= n - least and bt[h] <= o - least and at[h] <= n - linked.need(n) and bt[h] <= o - linked.need(o)
+                           for h in at.keys() & bt.keys())
 
 
 @settings(max_examples=200, deadline=None)
@@ -141,6 +147,15 @@ def test_runs_are_told_apart_across_batches(rows, size):
     assert got == want
 
 
+def test_blocks_of_a_common_shingle(spark, monkeypatch):
+    """Every pair of a large group meets, in whichever blocks."""
+    monkeypatch.setattr(J, "BLOCK_ROWS", 7)
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(100)]
+    rows = [(i, edited(base, rng, 0.03)) for i in range(60)]
+    assert run(spark, rows) == brute(rows)
+
+
 def test_common_words_do_not_multiply_pairs(spark):
     """A passage in every text: rare shingles come first, so it makes no candidates."""
     passage = " ".join(f"p{i}" for i in range(50))
@@ -150,4 +165,4 @@ def test_common_words_do_not_multiply_pairs(spark):
     own = J.sets_of(df, 5, "doc_id", "text")
     sets = own.where("sig IS NOT NULL").groupBy("sig").agg(F.first("n").alias("n"))
     chosen = J.chosen_sets(df, sets, 5, "text")
-    assert chosen.count() == 400 and J.postings(chosen, linked).count() == 0
+    assert chosen.count() == 400 and J.nodes(chosen, linked).count() == 0
