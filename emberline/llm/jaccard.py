@@ -21,8 +21,10 @@ Stages on Spark:
 4. rounds of pivots: each node is verified against the pivot of the rarest shingle
    it shares; groups of near copies fall into few components by a number of pairs
    linear in their size;
-5. nodes that share a shingle with another component meet in blocks; pairs of
-   different components are compared there, and only links leave a block.
+5. nodes that share a shingle with another component meet in blocks.  A bitmap of
+   each node's shingles bounds the overlap of a pair from above: bits that the other
+   lacks are shingles that it lacks.  Only pairs whose bound suffices leave a block,
+   to be verified.
 
 Components, not pairs, are the result, so pairs inside a component need no check.
 """
@@ -225,13 +227,14 @@ def prefix_choice(df: np.ndarray, n: int, linked: Linked) -> tuple[int, int]:
     return best[1], best[2]
 
 
-NODE = "sig long, n long, k long, prefix long, own long, x binary"
+NODE = "sig long, n long, k long, prefix long, own long, x binary, bits binary"
 POSTING = "h long, sig long, n long, at long"
 
 
 def nodes(sets: DataFrame, linked: Linked) -> DataFrame:
-    """(sig, n, k, prefix, own, x): ``x`` holds the shingles shared with others in their order,
-    ``own`` of the n come before them, and the first ``prefix`` of x are in the k-prefix."""
+    """(sig, n, k, prefix, own, x, bits): ``x`` holds the shingles shared with others in their
+    order, ``own`` of the n come before them, the first ``prefix`` of x are in the k-prefix,
+    and ``bits`` is the bitmap of x."""
     def explode(batches):
         for batch in batches:
             yield from pairs_of(zip(batch.column(0).to_pylist(), (np.frombuffer(x, np.uint64) for x in batch.column(1).to_pylist())))
@@ -243,9 +246,12 @@ def nodes(sets: DataFrame, linked: Linked) -> DataFrame:
                 order = sorted((p["d"], p["h"]) for p in pairs)
                 k, length = prefix_choice(np.array([d for d, _ in order], np.int64), n, linked)
                 if length:
-                    rows.append((sig, n, k, length, n - len(order), np.array([h for _, h in order], np.int64).tobytes()))
-            kinds = [pa.int64()] * 5 + [pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 6, kinds)],
+                    x = np.array([h for _, h in order], np.int64)
+                    bits = np.zeros(BITMAP, bool)
+                    bits[x & (BITMAP - 1)] = True
+                    rows.append((sig, n, k, length, n - len(order), x.tobytes(), np.packbits(bits).tobytes()))
+            kinds = [pa.int64()] * 5 + [pa.binary()] * 2
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 7, kinds)],
                                              names=[c.split()[0] for c in NODE.split(", ")])
 
     tokens = sets.select("sig", "x").mapInArrow(explode, "h long, sig long")
@@ -333,66 +339,59 @@ def pivot_pairs(rows: DataFrame, linked: Linked, turn: int) -> DataFrame:
 
 
 def blocked(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """(h, i, j, ...): the nodes of each shingle in blocks of bounded bytes, every two blocks of
-    a shingle together once."""
-    size = found.select("sig", "k", "prefix", "x").withColumn("bytes", F.octet_length("x"))
-    wide = rows.join(size, "sig")
-    parts = rows.join(size.select("sig", "bytes"), "sig").groupBy("h").agg(
-        F.greatest(F.ceil(F.sum("bytes") / BLOCK_BYTES), F.ceil(F.count(F.lit(1)) / BLOCK_ROWS)).cast("int").alias("parts"))
+    """The nodes of each shingle in blocks of about ``BLOCK_ROWS``, every two blocks of a
+    shingle together once, under (h, i, j)."""
+    size = found.select("sig", (F.col("n") - F.col("own")).alias("m"), "bits")
+    parts = F.ceil(F.col("d") / BLOCK_ROWS).cast("int")
     own = F.pmod(F.xxhash64("sig"), F.col("parts")).cast("int")
     each = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    return wide.join(parts, "h").withColumn("own_part", own).select("*", each.alias("other")).select(
+    return rows.join(size, "sig").withColumn("parts", parts).withColumn("own_part", own).select("*", each.alias("other")).select(
         "h", F.least("own_part", "other").alias("i"), F.greatest("own_part", "other").alias("j"), "own_part",
-        "sig", "n", "k", "prefix", "x", "at", "c")
-
-
-BLOCK_BYTES, BLOCK_ROWS = 1 << 23, 1 << 10
-
-
-def block_links(linked: Linked):
-    """(u, v): links between components in each run of rows with one (h, i, j), enough to connect them."""
-    def compare(rows: list[tuple]) -> Iterator[tuple[int, int]]:
-        part, sig, n, _, _, _, at, c = (np.array(x) if i not in (5,) else x for i, x in enumerate(zip(*rows)))
-        up = {x: x for x in c.tolist()}
-
-        def top(x):
-            while up[x] != x:
-                up[x] = up[up[x]]
-                x = up[x]
-            return x
-
-        own = Comparison(linked)
-        two = part.min() != part.max()
-        for a in range(len(rows) - 1):
-            m = n[a + 1:]
-            least = linked.overlap(n[a], m)
-            fits = (c[a + 1:] != c[a]) & (100 * np.minimum(m, n[a]) >= linked.percent * np.maximum(m, n[a])) & (
-                at[a] <= n[a] - least) & (at[a + 1:] <= m - least)
-            if two:  # pairs inside one block meet elsewhere
-                fits &= part[a + 1:] != part[a]
-            for b in (np.flatnonzero(fits) + a + 1).tolist():
-                s, t = top(int(c[a])), top(int(c[b]))
-                if s != t and own.links(rows[a][1:6], rows[b][1:6]):
-                    up[s] = t
-                    yield int(max(sig[a], sig[b])), int(min(sig[a], sig[b]))
+        "sig", "n", "m", "at", "c", "bits")
+
+
+BITMAP, BLOCK_ROWS = 1024, 2048
+
+
+def block_pairs(linked: Linked):
+    """(a, b): the pairs of different components in each run of rows with one (h, i, j) that may link."""
+    def compare(rows: list[tuple]) -> np.ndarray:
+        part, sig, n, m, at, c = (np.array(x) for x in list(zip(*rows))[:6])
+        bits = np.unpackbits(np.frombuffer(b"".join(r[6] for r in rows), np.uint8).reshape(len(rows), -1), axis=1).astype(np.float32)
+        ones = bits.sum(axis=1)
+        out = []
+        for at_row in range(0, len(rows), 512):
+            a = slice(at_row, at_row + 512)
+            least = linked.overlap(n[a, None], n[None, :])
+            fits = (c[a, None] < c[None, :]) & (at[a, None] <= n[a, None] - least) & (at[None, :] <= n[None, :] - least)
+            if part.min() != part.max():  # pairs inside one block meet elsewhere
+                fits &= part[a, None] != part[None, :]
+            if not fits.any():
+                continue
+            both = bits[a] @ bits.T
+            most = np.minimum(m[a, None] - (ones[a, None] - both), m[None, :] - (ones[None, :] - both))
+            x, y = np.nonzero(fits & (most >= least))
+            out.append(np.stack([sig[a][x], sig[y]]))
+        return np.concatenate([*out, np.zeros((2, 0), np.int64)], axis=1)
 
     def run(batches):
         key, held = None, []
-
-        def out(found):
-            found = list(found)
-            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (zip(*found) if found else ((), ()))], names=["u", "v"])
-
         for batch in batches:
             found = []
             columns = [x.to_pylist() for x in batch.columns]
             for k, row in zip(zip(*columns[:3]), zip(*columns[3:])):
                 if k != key:
-                    found += compare(held) if len(held) > 1 else ()
+                    found += [compare(held)] if len(held) > 1 else []
                     key, held = k, []
                 held.append(row)
-            yield out(found)
-        yield out(compare(held) if len(held) > 1 else ())
+            if found:
+                yield pairs_batch(found)
+        if len(held) > 1:
+            yield pairs_batch([compare(held)])
+
+    def pairs_batch(found):
+        a, b = np.unique(np.concatenate(found, axis=1), axis=1)  # many shingles give one pair
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     return run
 
@@ -410,13 +409,13 @@ def links(sets: DataFrame, linked: Linked) -> DataFrame:
         if hit:
             every = new if every is None else every.unionByName(new)
             classes = written(components(every), "classes")
-        if 2 * hit < tried or not hit:
+        if 4 * hit < tried or not hit:  # what is left hardly links
             break
         turn += 1
     rows = written(placed(posts, classes), "placed") if hit else rows
-    meet = blocked(rows, found).repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", "sig").select(
-        "h", "i", "j", "own_part", "sig", "n", "k", "prefix", "x", "at", "c")
-    rest = written(meet.mapInArrow(block_links(linked), "u long, v long"), "verified")
+    meet = blocked(rows, found).repartition("h", "i", "j").sortWithinPartitions("h", "i", "j")
+    pairs = written(meet.mapInArrow(block_pairs(linked), "a long, b long").distinct(), "pairs")
+    rest = written(verified(pairs, found, linked), "verified")
     return rest if every is None else every.unionByName(rest)
 
 
