@@ -351,6 +351,7 @@ def blocked(rows: DataFrame, found: DataFrame) -> DataFrame:
 
 
 BITMAP, BLOCK_ROWS = 1024, 2048
+FEW = 50  # pivot rounds end when one links less than a node in so many
 
 
 def block_pairs(linked: Linked):
@@ -400,16 +401,16 @@ def links(sets: DataFrame, linked: Linked) -> DataFrame:
     """(u, v): links that connect the nodes as all links do."""
     found = written(nodes(sets, linked), "nodes")
     posts = written(postings(found, linked), "postings")
-    every, classes, turn = None, None, 0
+    every, classes, turn, size = None, None, 0, found.count()
     while True:
         rows = written(placed(posts, classes), "placed")
         pairs = written(pivot_pairs(rows, linked, turn), "pivots")
         new = written(verified(pairs, found, linked), "verified")
-        tried, hit = pairs.count(), new.count()
+        hit = new.count()
         if hit:
             every = new if every is None else every.unionByName(new)
             classes = written(components(every), "classes")
-        if 4 * hit < tried or not hit:  # what is left hardly links
+        if FEW * hit < size or not hit:  # pivots link hardly anything more
             break
         turn += 1
     rows = written(placed(posts, classes), "placed") if hit else rows
