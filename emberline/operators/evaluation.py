@@ -193,7 +193,7 @@ def score_pairs(df: DataFrame, actual: str, prob_cols: dict[str, str]) -> DataFr
 
     place = F.array_position(F.array(*[F.lit(c) for c in names]), F.col(actual).cast("string")).cast("int") - 1
     return df.where(F.col(actual).isNotNull()).select(
-        place.alias("_own"), *[F.col(c).cast("double") for c in prob_cols.values()]).mapInArrow(
+        place.alias("_own"), *[F.col(c).cast("double").alias(f"_p{i}") for i, c in enumerate(prob_cols.values())]).mapInArrow(
         run, "cls int, score double, n_pos long, n_neg long")
 
 

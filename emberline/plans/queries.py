@@ -604,8 +604,8 @@ def q_ranked_page(spark, sf_dir):
 
 @register("model_info", f"""
 WITH t AS ({O.TRAIN})
-SELECT 'spark_catalog' AS model_catalog, true AS own_schema, '{RV.DEFAULT_MODEL_NAME}' AS model_name,
-       '{RV.MODEL_TYPE}' AS model_type, CAST(2 AS BIGINT) AS version,
+SELECT 'spark_catalog' AS model_catalog, 'own' AS model_schema, '{RV.DEFAULT_MODEL_NAME}' AS model_name,
+       '{RV.MODEL_TYPE}' AS model_type, '2' AS version,
        '[' || string_agg('"' || c || '"', ', ' ORDER BY c) || ']' AS classes, CAST(NULL AS VARCHAR) AS error
 FROM (SELECT DISTINCT {LABEL} AS c FROM t WHERE {LABEL} IS NOT NULL)
 UNION ALL SELECT NULL, NULL, 'missing_model', NULL, NULL, NULL, 'Model not found'
@@ -621,8 +621,8 @@ def q_model_info(spark, sf_dir):
         CAT.compact_registry(spark, ns)
         names = spark.createDataFrame([(model.name,), ("missing_model",)], "model_name string")
         info = SV.model_info_batch(CAT.registry(spark, ns), names)
-        return stored(info.select("model_catalog", (F.col("model_schema") == F.lit(ns)).alias("own_schema"), "model_name",
-                                  "model_type", "version", "classes", "error"), "info")
+        return stored(info.select("model_catalog", F.when(F.col("model_schema") == F.lit(ns), "own").alias("model_schema"),
+                                  "model_name", "model_type", F.col("version").cast("string").alias("version"), "classes", "error"), "info")
 
 
 @register("available_states", f"""

@@ -117,18 +117,22 @@ def prediction_for_state(preds: DataFrame, state: str, zero_as_null: bool = True
     return as_records(first, zero_as_null)
 
 
-def first_per_state(preds: DataFrame) -> DataFrame:
-    """``(state_key, rec)``: the smallest record per lower-cased region.
+def first_rows(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """The first row of each ``key`` in ``order`` (NULL first, NaN last).
 
-    Each task keeps the first row of every region it meets (the window's limit is
-    taken before the shuffle), so a region holding a third of all rows leaves its
-    map tasks as one row each.
+    Each task keeps the first row of every key it meets (the window's limit is taken
+    before the shuffle), so a key with a third of all rows leaves its map tasks as
+    one row each.
     """
+    place = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    return rows.withColumn("_place", place).where(F.col("_place") == 1).drop("_place")
+
+
+def first_per_state(preds: DataFrame) -> DataFrame:
+    """``(state_key, rec)``: the smallest record per lower-cased region."""
     order = RECORD_ORDER + TIE_BREAK
     rows = prediction_rows(preds).select(F.lower("state_province").alias("state_key"), *order)
-    place = F.row_number().over(Window.partitionBy("state_key").orderBy(*order))
-    return rows.withColumn("_place", place).where(F.col("_place") == 1).select(
-        "state_key", F.struct(*order).alias("rec"))
+    return first_rows(rows, "state_key", order).select("state_key", F.struct(*order).alias("rec"))
 
 
 def lookup(requests: DataFrame, preds: DataFrame, request_col: str = "requested_state",

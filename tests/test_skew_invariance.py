@@ -70,8 +70,8 @@ def test_generator_rows_per_partition_changes_layout_not_rows(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_first_record_per_region_with_null_nan_and_ties(spark, monkeypatch):
-    """The running minimum in each partition equals the plain aggregate, also when held rows are emitted early."""
+def test_first_record_per_region_with_null_nan_and_ties(spark):
+    """The first row of a window equals the plain aggregate, and its limit is taken before the shuffle."""
     i = F.col("id")
     rows = spark.range(0, 20_000, 1, 4).select(
         F.when(i % 11 != 0, F.concat(F.lit("r"), (F.hash("id") % 5_000).cast("string"))).alias("state_key"),
@@ -79,10 +79,10 @@ def test_first_record_per_region_with_null_nan_and_ties(spark, monkeypatch):
         F.when(i % 5 == 0, F.lit(float("nan"))).when(i % 5 != 1, F.rand(1)).alias("x"),
         F.when(i % 2 == 0, -0.0).otherwise(0.0).alias("y"), F.timestamp_seconds(i % 4).alias("t"))
     order = ["name", "x", "y", "t"]
-    rec = F.min(F.struct(*order)).alias("rec")
-    want = rows.groupBy("state_key").agg(rec)
-    for held in (SV.HELD_ROWS, 500):
-        monkeypatch.setattr(SV, "HELD_ROWS", held)
-        got = SV._reduce_per_key(rows, "state_key", order).groupBy("state_key").agg(rec)
-        assert got.count() == want.count()
-        assert want.exceptAll(got).isEmpty()
+    want = rows.groupBy("state_key").agg(F.min(F.struct(*order)).alias("rec"))
+    got = SV.first_rows(rows, "state_key", order)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+    got = got.select("state_key", F.struct(*order).alias("rec"))
+    assert got.count() == want.count()
+    assert want.exceptAll(got).isEmpty()

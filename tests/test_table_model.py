@@ -21,7 +21,7 @@ from emberline.sources.generator import generate_training
 def rows(spark):
     df = generate_training(spark, 3000, 5)
     return df.withColumn("weather_condition", F.when(F.col("row_id") % 50 == 0, None).otherwise(F.col("weather_condition"))).withColumn(
-        "temperature_celsius", F.when(F.col("row_id") % 40 == 0, float("nan")).otherwise(F.col("temperature_celsius"))).persist()
+        "temperature_celsius", F.when(F.col("row_id") % 40 == 0, float("nan")).otherwise(F.col("temperature_celsius")))
 
 
 def coefficients(frame):
@@ -76,7 +76,7 @@ def test_the_plan_does_not_grow_with_the_levels(spark, rows):
         model = train_gd_table(df, TrainConfig(iterations=1))
         assert model.coefficients.where("feature = 'weather_condition'").count() == k
         sizes.append(len(predict_table(model, df)._jdf.queryExecution().optimizedPlan().toString()))
-    assert abs(sizes[1] - sizes[0]) < 100
+    assert abs(sizes[1] - sizes[0]) < 500   # 2,000 levels would take tens of thousands of characters
 
 
 def test_unseen_levels_and_clashing_columns(spark, rows):
@@ -116,7 +116,8 @@ def test_more_levels_than_a_plan_holds_need_the_table(spark, monkeypatch):
     monkeypatch.setattr(T, "LITERAL_LEVELS", 3)
     with pytest.raises(ValueError, match="train_gd"):
         T.prepare(df, TrainConfig())
-    assert train_gd(df, TrainConfig(iterations=1)).coefficients.count() == 21
+    model = train_gd(df, TrainConfig(iterations=1))
+    assert model.coefficients.count() == df.select("weather_condition").distinct().count() + df.select("state_province").distinct().count()
 
 
 def test_the_pipeline_round_trip(spark, rows, tmpdir_path):
