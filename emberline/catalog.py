@@ -149,6 +149,24 @@ def write_json(df: DataFrame, path: str, as_strings: bool = False) -> None:
     out.write.mode("overwrite").json(path)
 
 
+def write_record(df: DataFrame, path: str, as_strings: bool = False) -> None:
+    """The one row of ``df`` as one JSON file; an existing file is replaced once the new one
+    is whole.  Raises if there is no row, or more than one."""
+    spark = df.sparkSession
+    out = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns]) if as_strings else df
+    rows = out.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("j")).take(2)
+    if len(rows) != 1:
+        raise ValueError("a record has one row")
+    jvm = spark.sparkContext._jvm
+    new, final = (jvm.org.apache.hadoop.fs.Path(p) for p in (f"{path}.{uuid.uuid4().hex}", path))
+    fs = final.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stream = fs.create(new, False)
+    stream.write(bytearray((rows[0]["j"] + "\n").encode()))
+    stream.close()
+    fs.delete(final, False)
+    fs.rename(new, final)
+
+
 def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
     df.write.mode("overwrite").option("header", str(header).lower()).csv(path)
 

@@ -30,7 +30,7 @@ class BatchConfig:
     seed: int = 42
     converged: bool = False              # Spark ML L-BFGS instead of constant-rate steps
     train: TrainConfig = field(default_factory=TrainConfig)
-    evaluation_path: str | None = None   # JSON output of the evaluation, if wanted
+    evaluation_path: str | None = None   # JSON of the evaluation: one file if it ends in .json, else a folder
     comment: str = "Wildfire risk prediction data and models"
     labels: dict = field(default_factory=lambda: {"purpose": "wildfire-prediction"})
 
@@ -77,7 +77,8 @@ def run_batch(spark: SparkSession, cfg: BatchConfig | None = None,
         "accuracy double, f1_score double, log_loss double, precision double, "
         "recall double, roc_auc double")
     if cfg.evaluation_path:
-        C.write_json(metrics_df, cfg.evaluation_path, as_strings=True)
+        write = C.write_record if cfg.evaluation_path.endswith(".json") else C.write_json
+        write(metrics_df, cfg.evaluation_path, as_strings=True)
 
     return {
         "model": model,

@@ -1,5 +1,7 @@
 """Replacing tables under readers, and the model registry as a log."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,3 +132,15 @@ def test_compaction_keeps_the_latest_and_later_saves(spark, ns, monkeypatch):
 def test_an_empty_namespace_has_an_empty_registry(spark, ns):
     assert C.registry(spark, ns).count() == 0
     C.compact_registry(spark, ns)
+
+
+def test_a_record_is_one_file(spark, tmp_path):
+    path = str(tmp_path / "evaluation.json")
+    for value in (0.5, 0.75):
+        C.write_record(spark.createDataFrame([(value, None, "ü")], "a double, b string, c string"), path, as_strings=True)
+        with open(path, encoding="utf-8") as f:
+            assert json.load(f) == {"a": str(value), "b": None, "c": "ü"}
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["evaluation.json"]
+    for n in (0, 2):
+        with pytest.raises(ValueError):
+            C.write_record(spark.range(n), path)
