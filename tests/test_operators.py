@@ -194,3 +194,19 @@ def test_levels_with_quotes_and_backslashes_score_exactly(spark):
     assert got == {"it's": "a", "back\\slash": "a", "new\nline": "a", "plain": "a", "unseen": "a"}
     probs = {r.c: r.predicted_y_probs[0]["prob"] for r in predict(model, df).collect()}
     assert probs["plain"] == 0.5 and probs["unseen"] == 0.5 and probs["it's"] > 0.7
+
+
+def test_parameters_are_values_and_never_text(spark):
+    """A region name with quotes or SQL in it is compared as it is."""
+    from emberline.operators.enrich import engineer
+    from emberline.plans import serve as SV
+    from emberline.sources.observations import inline_observations
+    odd = ["O'Brien's; DROP TABLE x --", 'a"b', "%", "' OR '1'='1"]
+    rows = engineer(inline_observations(spark)).limit(len(odd))
+    named = rows.withColumn("state_province", F.element_at(F.array(*[F.lit(x) for x in odd]), (F.monotonically_increasing_id() % len(odd) + 1).cast("int")))
+    preds = predict(fixed_model(), named).persist()
+    held = {r.state_province for r in preds.collect()}
+    for x in odd:
+        assert {r.state_province for r in SV.prediction_for_state(preds, x.upper()).collect()} == ({x} & held)
+    assert SV.prediction_for_state(preds, "' OR 1=1 --").count() == 0
+    preds.unpersist()
