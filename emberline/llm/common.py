@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import discard, scratch_path
 from ..sources.tables import read_table
 
 # a word: a run of anything but space, tab, line feed, vertical tab, form feed, carriage return
@@ -24,10 +22,27 @@ def written(df: DataFrame, tag: str) -> DataFrame:
 
     Cuts the lineage: what was written survives the loss of any executor.
     """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return Tables(df.sparkSession).written(df, tag)
+
+
+class Tables:
+    """Written tables of one computation, to be deleted once nothing reads them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def written(self, df: DataFrame, tag: str) -> DataFrame:
+        path = scratch_path(self.spark, tag)
+        df.write.option("compression", "zstd").parquet(path)
+        self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def delete(self, but_last: int = 0) -> None:
+        """Delete the tables written so far, except the last ``but_last``."""
+        at = len(self.paths) - but_last
+        for path in self.paths[:max(0, at)]:
+            discard(self.spark, path)
+        self.paths = self.paths[max(0, at):]
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import Tables
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -38,11 +38,13 @@ def components(links: DataFrame) -> DataFrame:
     Only nodes with a link appear.  Links repeated or given once suffice; an
     empty table gives an empty result.  Rounds go on until one changes nothing.
     """
-    now, mark = written(links.distinct(), "links"), None
+    tables = Tables(links.sparkSession)
+    now, mark = tables.written(links.distinct(), "links"), None
     while True:
         sums = now.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
         if (sums.n, sums.x) == mark:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
                 now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
         mark = (sums.n, sums.x)
-        now = written(_star(_star(now, True), False), "links")
+        now = tables.written(_star(_star(now, True), False), "links")
+        tables.delete(but_last=1)

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bitfilter import bit_filter, passes
-from .common import as_bytes, small_batches, written
+from .common import Tables, as_bytes, small_batches, written
 from .components import components
 from .wordhash import SPACES, byte_values, folded, regrouped, texts_words
 
@@ -399,12 +399,13 @@ def block_pairs(linked: Linked):
 
 def links(sets: DataFrame, linked: Linked) -> DataFrame:
     """(u, v): links that connect the nodes as all links do."""
-    found = written(nodes(sets, linked), "nodes")
-    posts = written(postings(found, linked), "postings")
+    tables = Tables(sets.sparkSession)
+    found = tables.written(nodes(sets, linked), "nodes")
+    posts = tables.written(postings(found, linked), "postings")
     every, classes, turn, size = None, None, 0, found.count()
     while True:
-        rows = written(placed(posts, classes), "placed")
-        pairs = written(pivot_pairs(rows, linked, turn), "pivots")
+        rows = tables.written(placed(posts, classes), "placed")
+        pairs = tables.written(pivot_pairs(rows, linked, turn), "pivots")
         new = written(verified(pairs, found, linked), "verified")
         hit = new.count()
         if hit:
@@ -413,10 +414,11 @@ def links(sets: DataFrame, linked: Linked) -> DataFrame:
         if FEW * hit < size or not hit:  # pivots link hardly anything more
             break
         turn += 1
-    rows = written(placed(posts, classes), "placed") if hit else rows
+    rows = tables.written(placed(posts, classes), "placed") if hit else rows
     meet = blocked(rows, found).repartition("h", "i", "j").sortWithinPartitions("h", "i", "j")
-    pairs = written(meet.mapInArrow(block_pairs(linked), "a long, b long").distinct(), "pairs")
+    pairs = tables.written(meet.mapInArrow(block_pairs(linked), "a long, b long").distinct(), "pairs")
     rest = written(verified(pairs, found, linked), "verified")
+    tables.delete()  # links and classes are whole
     return rest if every is None else every.unionByName(rest)
 
 
