@@ -51,17 +51,18 @@ NAME_PART = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
 MENUS = frozenset("aside footer form header menu nav".split())  # may hold an article only by never being closed
 RADIUS = 2
 LOWERED = 0.1  # of the smoothed ratio stays in an element with such a name
-FLOOR = 8.0  # characters to a tag: what lists of links stay under
+NAMED_FLOOR = 24.0  # characters to a tag, where all regions are named: what short notices stay under
 SILENT = -1  # in place of the number of a dropped element that never holds text
 
 
 class Lines(HTMLParser):
-    """Collects (text, tags, region, menu, whole) lines of one page: ``menu`` is the number of the
-    dropped element around the line, 0 if none; ``whole`` that of the article or main element."""
+    """Collects (text, plain, tags, region, menu, whole) lines of one page: ``plain`` is the length
+    without links, ``menu`` the number of the dropped element around the line, 0 if none, and
+    ``whole`` that of the article or main element."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, int, int]] = []
+        self.lines: list[tuple[str, int, int, int, int, int]] = []
         # tag, menu, region, article or main, regions of named elements around
         self.open: list[tuple[str, int, int, int, tuple[int, ...]]] = []
         self.lowered: dict[int, tuple[int, ...]] = {}  # of each region
@@ -69,7 +70,8 @@ class Lines(HTMLParser):
         self.closed: set[int] = set()  # menus with an end tag of their own
         self.within: dict[int, int] = {}  # the menu around each article or main
         self.text: list[str] = []
-        self.tags = self.regions = self.menus = self.wholes = 0
+        self.in_link: list[bool] = []  # of each open element
+        self.tags = self.regions = self.menus = self.wholes = self.linked = 0
 
     def state(self) -> tuple[int, int, int, tuple[int, ...]]:
         return self.open[-1][1:] if self.open else (0, 0, 0, ())
@@ -79,10 +81,10 @@ class Lines(HTMLParser):
         text = " ".join("".join(self.text).split())
         if text:
             menu, region, whole, _ = self.state()
-            self.lines.append((text, self.tags, region, menu, whole))
+            self.lines.append((text, max(0, len(text) - self.linked), self.tags, region, menu, whole))
             if not menu:
                 self.tags = 0
-        self.text = []
+        self.text, self.linked = [], 0
 
     def handle_starttag(self, tag, attrs):
         named = tag not in VOID and tag not in WHOLE and tag not in ("html", "body") and any(
@@ -119,6 +121,7 @@ class Lines(HTMLParser):
                     region = self.regions
                     self.lowered[region] = lowered
         self.open.append((tag, menu, region, whole, lowered))
+        self.in_link.append(tag == "a" or bool(self.in_link and self.in_link[-1]))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -134,15 +137,17 @@ class Lines(HTMLParser):
             menu = self.open[at][1]
             if menu > 0 and (at == 0 or self.open[at - 1][1] != menu):
                 self.closed.add(menu)
-            del self.open[at:]
+            del self.open[at:], self.in_link[at:]
 
     def handle_data(self, data):
         if self.state()[0] != SILENT:
             self.text.append(data)
+            if self.in_link and self.in_link[-1]:
+                self.linked += len(" ".join(data.split()))
 
-    def kept(self) -> list[tuple[str, int, int, int]]:
-        """(text, tags, region, whole) of the lines that no menu holds."""
-        return [(t, n, r, w) for t, n, r, m, w in self.lines
+    def kept(self) -> list[tuple[str, int, int, int, int]]:
+        """(text, plain, tags, region, whole) of the lines that no menu holds."""
+        return [(t, c, n, r, w) for t, c, n, r, m, w in self.lines
                 if not m or (w and m == self.within[w] and m not in self.closed)]
 
 
@@ -161,8 +166,8 @@ def main_text(html: str) -> str:
     lines = parser.kept()
     if not lines:
         return ""
-    texts, tags, regions, wholes = zip(*lines)
-    level = smooth(np.array([len(t) / max(1, n) for t, n in zip(texts, tags)]))
+    texts, plain, tags, regions, wholes = zip(*lines)
+    level = smooth(np.array([c / max(1, n) for c, n in zip(plain, tags)]))
     named = {r for r, around in parser.lowered.items() if not parser.cleared.issuperset(around)}
     keep = content(level, regions, named, any(w and r not in named for r, w in zip(regions, wholes)))
     return "\n".join(t for t, r in zip(texts, regions) if r in keep)
@@ -174,10 +179,11 @@ def content(level: np.ndarray, regions: tuple[int, ...], named: set[int], articl
     for r, x in zip(regions, level.tolist()):
         peaks[r] = max(x, peaks.get(r, 0.0))
     best = max((x for r, x in peaks.items() if r not in named), default=0.0)
+    alone = named.issuperset(peaks)
     for r in named & peaks.keys():
-        peaks[r] = 0.0 if article or LOWERED * peaks[r] < best else LOWERED * peaks[r]
+        peaks[r] = 0.0 if article or (not alone and LOWERED * peaks[r] < best) else LOWERED * peaks[r]
     top = max(peaks.values())
-    if top < FLOOR and not article:
+    if alone and top < LOWERED * NAMED_FLOOR:
         return set()
     low = np.array([peaks[r] and x * (LOWERED if r in named else 1.0) for r, x in zip(regions, level.tolist())])
     threshold = min(float(low.std()), top)
