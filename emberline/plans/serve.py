@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import reference_values as RV
@@ -120,12 +120,10 @@ def prediction_for_state(preds: DataFrame, state: str, zero_as_null: bool = True
 def first_rows(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
     """The first row of each ``key`` in ``order`` (NULL first, NaN last).
 
-    Each task keeps the first row of every key it meets (the window's limit is taken
-    before the shuffle), so a key with a third of all rows leaves its map tasks as
-    one row each.
+    A minimum over the whole record: each task hands on one row for every key it
+    meets, so a key with a third of all rows leaves its map tasks as one row each.
     """
-    place = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    return rows.withColumn("_place", place).where(F.col("_place") == 1).drop("_place")
+    return rows.groupBy(key).agg(F.min(F.struct(*order)).alias("_rec")).select(key, "_rec.*")
 
 
 def first_per_state(preds: DataFrame) -> DataFrame:
