@@ -72,24 +72,23 @@ class LinearModel:
     def n_numeric(self) -> int:
         return len(self.pre.numeric)
 
-    def logit_sql(self, k: int) -> str:
-        """The same logit as Spark SQL text (one parse instead of many column calls)."""
-        w = self.weights[k]
+    def inputs_sql(self) -> list[str]:
+        """What the logits of all classes read, each computed once for a row: the standardised
+        numeric inputs, and for each categorical the array of its level's weights by class."""
         pre = self.pre
-        expr = num(self.intercepts[k])
-        for j, c in enumerate(pre.numeric):
-            std = (f"coalesce((nullif(CAST({ident(c)} AS DOUBLE), double('NaN')) - {num(pre.means[j])}) / "
-                   f"{num(pre.stds[j])}, {num(0.0)})")
-            expr = f"({expr} + {num(w[j])} * {std})"
-        j = len(pre.numeric)
-        for c in pre.categorical:
+        out, j = standardised_sql(pre.numeric, pre.means, pre.stds), len(pre.numeric)
+        for i, c in enumerate(pre.categorical):
             levels = pre.vocab[c]
             if levels:
-                entries = ", ".join(f"{text(v)}, {num(w[j + i])}" for i, v in enumerate(levels))
-                expr = (f"({expr} + coalesce(try_element_at(map({entries}), "
-                        f"CAST({ident(c)} AS STRING)), {num(0.0)}))")
+                entries = ", ".join(f"{text(v)}, array({', '.join(num(w[j + at]) for w in self.weights)})" for at, v in enumerate(levels))
+                out.append(f"try_element_at(map({entries}), CAST({ident(c)} AS STRING)) AS __w{i}")
             j += len(levels)
-        return expr
+        return out
+
+    def logit_sql(self, k: int) -> str:
+        """The logit over those inputs as Spark SQL text (one parse instead of many column calls)."""
+        return logit_sql(k, self.intercepts[k], self.weights[k][:self.n_numeric],
+                         [i for i, c in enumerate(self.pre.categorical) if self.pre.vocab[c]])
 
     def coefficient_rows(self) -> list[tuple]:
         names = ["(intercept)"] + self.pre.feature_names()
@@ -100,6 +99,22 @@ class LinearModel:
         return out
 
 
+def standardised_sql(numeric: list[str], means: list[float], stds: list[float]) -> list[str]:
+    """Standardised inputs ``__x0``, ...; NULL and NaN become 0 (the training mean)."""
+    return [f"coalesce((nullif(CAST({ident(c)} AS DOUBLE), double('NaN')) - {num(mu)}) / {num(sd)}, {num(0.0)}) AS __x{j}"
+            for j, (c, mu, sd) in enumerate(zip(numeric, means, stds))]
+
+
+def logit_sql(k: int, intercept: float, weights: list[float], categorical) -> str:
+    """Class ``k``'s logit from ``__x<j>`` and the arrays ``__w<i>``."""
+    expr = num(intercept)
+    for j, w in enumerate(weights):
+        expr = f"({expr} + {num(w)} * __x{j})"
+    for i in categorical:
+        expr = f"({expr} + coalesce(get(__w{i}, {k}), {num(0.0)}))"
+    return expr
+
+
 def predict(model: LinearModel, df: DataFrame, label_col: str | None = None,
             probs_col: str | None = None, prob_columns: bool = False) -> DataFrame:
     """Input columns + predicted label + array<struct<label, prob>>.
@@ -112,22 +127,28 @@ def predict(model: LinearModel, df: DataFrame, label_col: str | None = None,
     if not isinstance(model, LinearModel):
         from .table_model import predict_table
         return predict_table(model, df, label_col, probs_col, prob_columns)
-    return probability_columns(df, df.columns, model.classes, [model.logit_sql(i) for i in range(len(model.classes))],
+    return probability_columns(df, df.columns, model.classes, model.inputs_sql(), [model.logit_sql(i) for i in range(len(model.classes))],
                                label_col or f"predicted_{model.label}", probs_col or f"predicted_{model.label}_probs", prob_columns)
 
 
-def probability_columns(df: DataFrame, columns: list[str], classes: list[str], logits: list[str],
+def probability_columns(df: DataFrame, columns: list[str], classes: list[str], inputs: list[str], logits: list[str],
                         label_col: str, probs_col: str, prob_columns: bool) -> DataFrame:
-    """``columns`` of ``df`` and the predicted label, array and plain probabilities of the logits' SQL."""
+    """``columns`` of ``df`` and the predicted label, array and plain probabilities of the logits' SQL,
+    which reads ``inputs``.
+
+    The inputs have a projection of their own, as every class reads them: written into each
+    class's logit they make a method of more bytecode than a JVM compiles.
+    """
     k = len(classes)
     out_cols = [ident(c) for c in columns]
     L = [f"__l{i}" for i in range(k)]
     E = [f"__e{i}" for i in range(k)]
     P = [f"__p{i}" for i in range(k)]
     top = f"greatest({', '.join(L)})" if k > 1 else L[0]
-    # three projections: logits, shifted exponentials, probabilities; each is
+    # four projections: inputs, logits, shifted exponentials, probabilities; each is
     # referenced several times below, so Catalyst keeps them materialised
-    scored = (df.selectExpr("*", *[f"{logits[i]} AS {L[i]}" for i in range(k)])
+    scored = (df.selectExpr("*", *inputs)
+              .selectExpr("*", *[f"{logits[i]} AS {L[i]}" for i in range(k)])
               .selectExpr("*", *[f"exp({L[i]} - {top}) AS {E[i]}" for i in range(k)])
               .selectExpr("*", *[f"{E[i]} / ({' + '.join(E)}) AS {P[i]}" for i in range(k)]))
     # argmax over logits (exact, no exp), first class in ascending order wins ties

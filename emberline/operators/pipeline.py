@@ -80,7 +80,7 @@ def predict_pipeline(model: PipelineModel, df: DataFrame, classes: list[str], la
                      prob_columns: bool = False) -> DataFrame:
     """Input columns, predicted label and (label, prob) array, as ``model.predict`` gives them."""
     scored = model.transform(df).withColumn("_logits", vector_to_array("_raw"))
-    return probability_columns(scored, df.columns, classes, [f"get(_logits, {k})" for k in range(len(classes))],
+    return probability_columns(scored, df.columns, classes, [], [f"get(_logits, {k})" for k in range(len(classes))],
                                f"predicted_{label}", f"predicted_{label}_probs", prob_columns)
 
 

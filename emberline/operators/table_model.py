@@ -24,9 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import reference_values as RV
-from ..functions.sqltext import ident, num
 from ..session import default_parallelism, discard, scratch_path, stored
-from .model import LinearModel, number, probability_columns
+from .model import LinearModel, logit_sql, number, probability_columns, standardised_sql
 from .row_id import with_row_id
 from .stats import TableStats, statistics
 
@@ -83,16 +82,8 @@ def predict_table(model: TableModel, df: DataFrame, label_col: str | None = None
     for i, c in enumerate(model.categorical):
         own = model.coefficients.where(F.col("feature") == F.lit(c)).select(F.col("level").alias(f"__v{i}"), F.col("w").alias(f"__w{i}"))
         joined = joined.join(own, F.col(f"`{c}`").cast("string") == F.col(f"__v{i}"), "left")
-    logits = []
-    for k in range(len(model.classes)):
-        expr = num(model.intercepts[k])
-        for c, mu, sd, w in zip(model.numeric, model.means, model.stds, model.weights[k]):
-            expr = (f"({expr} + {num(w)} * coalesce((nullif(CAST({ident(c)} AS DOUBLE), double('NaN')) - {num(mu)}) / "
-                    f"{num(sd)}, {num(0.0)}))")
-        for i in range(len(model.categorical)):
-            expr = f"({expr} + coalesce(get(__w{i}, {k}), {num(0.0)}))"
-        logits.append(expr)
-    return probability_columns(joined, df.columns, model.classes, logits, label_col or f"predicted_{model.label}",
+    logits = [logit_sql(k, model.intercepts[k], model.weights[k], range(len(model.categorical))) for k in range(len(model.classes))]
+    return probability_columns(joined, df.columns, model.classes, standardised_sql(model.numeric, model.means, model.stds), logits, label_col or f"predicted_{model.label}",
                                probs_col or f"predicted_{model.label}_probs", prob_columns)
 
 
