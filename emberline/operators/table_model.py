@@ -3,14 +3,15 @@
 Levels are numbered in a table, rows get level numbers by joins, and the design
 matrix is stored as blocks of rows: numeric inputs dense, and for categoricals
 the block's own distinct level numbers with one place in them per row and
-column.  In a step each block is sent the weights of its own levels, answers
+column.  The blocks are a table bucketed by block, so in a step they stay where
+they are.  Each block is sent the weights of its own levels, answers
 with gradients keyed by level number, and Spark sums and updates them by that
 number; the driver holds the classes, the numeric weights and the intercepts.
 A lost executor costs no more than the present step, as every step's weights
 are stored.
 
-Scoring joins each categorical with the coefficient table.  Adaptive execution
-broadcasts it where its measured size is small; the plan does not grow with it.
+Scoring joins each categorical with the coefficient table (``join_levels``); the
+plan does not grow with it.
 """
 
 from __future__ import annotations
@@ -22,14 +23,17 @@ from datetime import datetime, timezone
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
 from .. import reference_values as RV
-from ..session import default_parallelism, discard, scratch_path, stored
+from ..session import default_parallelism, discard, scratch_path, shuffle_partitions, stored
 from .model import LinearModel, logit_sql, number, probability_columns, standardised_sql
 from .row_id import with_row_id
 from .stats import TableStats, statistics
 
 BLOCK_ROWS = 4096
+PART_ROWS = 64 * BLOCK_ROWS   # a task's Python worker holds the blocks of its part
+HELD_LEVELS = 4096            # levels whose entries every task may hold
 
 
 @dataclass
@@ -78,15 +82,46 @@ def predict_table(model: TableModel, df: DataFrame, label_col: str | None = None
                   prob_columns: bool = False) -> DataFrame:
     """Like ``model.predict``: each categorical is joined with its coefficients; a level that
     has none, or NULL, adds nothing."""
-    joined = df
-    for i, c in enumerate(model.categorical):
-        own = model.coefficients.where(F.col("feature") == F.lit(c)).select(F.col("level").alias(f"__v{i}"), F.col("w").alias(f"__w{i}"))
-        joined = joined.join(own, F.col(f"`{c}`").cast("string") == F.col(f"__v{i}"), "left")
+    joined = join_levels(df, model.coefficients, "w", [F.col(f"`{c}`").cast("string") for c in model.categorical],
+                         model.categorical, "__w")
     logits = [logit_sql(k, model.intercepts[k], model.weights[k], range(len(model.categorical))) for k in range(len(model.classes))]
     return probability_columns(joined, df.columns, model.classes, standardised_sql(model.numeric, model.means, model.stds), logits, label_col or f"predicted_{model.label}",
                                probs_col or f"predicted_{model.label}_probs", prob_columns)
 
 
+def join_levels(df: DataFrame, table: DataFrame, value: str, keys: list, features: list[str], name: str) -> DataFrame:
+    """``df`` with ``<name>0``, ...: for each key the ``value`` of its level in ``table`` (feature,
+    level, value), NULL if it has none.
+
+    Up to ``HELD_LEVELS`` levels of a feature are broadcast, and no row moves.  Beyond, those that
+    most rows have are broadcast; rows of the others, no level of which has more than one row in
+    ``HELD_LEVELS``, are joined by level, and all further rows are spread evenly.
+    """
+    sizes = {r.feature: r.n for r in table.where(F.col("feature").isin(list(features))).groupBy("feature").agg(
+        F.count(F.lit(1)).alias("n")).collect()}     # one row for each feature
+    out = df
+    for i, (key, feature) in enumerate(zip(keys, features)):
+        own = table.where(F.col("feature") == F.lit(feature)).select(F.col("level").alias(f"{name}_v"), F.col(value).alias(f"{name}{i}"))
+        if sizes.get(feature, 0) <= HELD_LEVELS:
+            out = out.join(F.broadcast(own), key == F.col(f"{name}_v"), "left").drop(f"{name}_v")
+        elif df.isStreaming:
+            out = out.join(own, key == F.col(f"{name}_v"), "left").drop(f"{name}_v")
+        else:
+            counts = df.where(key.isNotNull()).groupBy(key.alias(f"{name}_k")).agg(F.count(F.lit(1)).alias(f"{name}_n"))
+            often = counts.orderBy(F.desc(f"{name}_n"), f"{name}_k").limit(HELD_LEVELS)
+            held = own.join(F.broadcast(often), F.col(f"{name}_v") == F.col(f"{name}_k")).select(
+                F.col(f"{name}_k"), F.col(f"{name}{i}").alias(f"{name}_h"))
+            hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
+            settled = key.isNull() | F.col(f"{name}_k").isNotNull()
+            out = out.join(F.broadcast(held), key == F.col(f"{name}_k"), "left").withColumn(
+                f"{name}_s", F.when(settled, F.pmod(F.xxhash64(*hashed), F.lit(1 << 20))).otherwise(F.lit(-1).cast("long")))
+            out = out.join(own.withColumn(f"{name}_t", F.lit(-1).cast("long")),
+                           (key == F.col(f"{name}_v")) & (F.col(f"{name}_s") == F.col(f"{name}_t")), "left")
+            out = out.withColumn(f"{name}{i}", F.coalesce(f"{name}{i}", f"{name}_h")).drop(
+                *[f"{name}_{x}" for x in "vkhst"])
+    return out
+
+
 def level_numbers(stats: TableStats) -> DataFrame:
     """``(feature, level, idx)``: a dense number for every level of every categorical."""
     levels = stats.levels().where(F.col("feature").isin(stats.categorical)).select("feature", "level")
@@ -104,9 +139,7 @@ def sparse_blocks(df: DataFrame, cfg, numbers: DataFrame, means: list[float], st
     rows = df.where(F.col(cfg.label).isNotNull()).select(
         F.array(*x).cast("array<double>").alias("x"), y.alias("y"),
         *[F.col(c).cast("string").alias(f"_c{i}") for i, c in enumerate(cfg.categorical)])
-    for i, c in enumerate(cfg.categorical):
-        own = numbers.where(F.col("feature") == F.lit(c)).select(F.col("level").alias(f"_v{i}"), F.col("idx").alias(f"_i{i}"))
-        rows = rows.join(own, F.col(f"_c{i}") == F.col(f"_v{i}"), "left")
+    rows = join_levels(rows, numbers, "idx", [F.col(f"_c{i}") for i in range(len(cfg.categorical))], cfg.categorical, "_i")
     rows = rows.select("x", F.array(*[F.coalesce(f"_i{i}", F.lit(-1)) for i in range(len(cfg.categorical))]).cast("array<bigint>").alias("c"), "y")
     per_class = np.array([weights[c] for c in classes])
     names = ["block", "n", "x", "at", "y", "w", "wsum", "ids"]
@@ -167,28 +200,60 @@ def _block_gradients(W: np.ndarray, b: np.ndarray, n_categorical: int):
     return run
 
 
+def parts_for(rows: int, at_least: int) -> int:
+    """Over how many parts blocks are dealt, so that none holds much more than ``PART_ROWS`` rows."""
+    return min(max(at_least, -(-rows // PART_ROWS)), 100_000)
+
+
+def labelled_rows(stats: TableStats, cfg) -> int:
+    return stats.levels().where(F.col("feature") == F.lit(cfg.label)).agg(F.sum("n")).first()[0] or 0
+
+
 def train_gd_table(df: DataFrame, cfg, stats: TableStats | None = None) -> TableModel:
     """``train_gd`` with the level weights in a table: the same steps, for any number of levels."""
-    from .train import proximal_step
-
     spark = df.sparkSession
     needed = list(dict.fromkeys(cfg.numeric + cfg.categorical + [cfg.label]))
     stats = stats or statistics(df.select(*needed), cfg.numeric, [*cfg.categorical, cfg.label])
     means, stds = stats.means_and_stds()
     weights = balanced_weights(stats, cfg)
     classes = sorted(weights)
-    k, m = len(classes), len(cfg.numeric)
     numbers = stored(level_numbers(TableStats(stats.state, stats.numeric, list(cfg.categorical))), "levels")
     # stored before they are dealt out: which rows share a block may differ when a task runs again
-    blocks = stored(sparse_blocks(df, cfg, numbers, means, stds, weights), "blocks")
-    blocks = stored(blocks.repartition(default_parallelism(spark)), "blocks")
+    first = scratch_path(spark, "blocks")
+    found = sparse_blocks(df, cfg, numbers, means, stds, weights)
+    found.write.option("compression", "zstd").parquet(first)
+    parts = parts_for(labelled_rows(stats, cfg), max(default_parallelism(spark), shuffle_partitions(spark)))
+    name, path = f"gd_blocks_{uuid.uuid4().hex}", scratch_path(spark, "blocks")
+    spark.read.schema(found.schema).parquet(first).repartition(parts, "block").write.format("parquet").bucketBy(
+        parts, "block").option("path", path).option("compression", "zstd").saveAsTable(name)
+    discard(spark, first)
+    try:
+        return _descend(spark.table(name), parts, numbers, classes, means, stds, cfg)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+        discard(spark, path)
+
+
+def with_weights(blocks: DataFrame, asked: DataFrame, now: DataFrame, n_parts: int) -> DataFrame:
+    """The blocks with ``sent``, the weights of their levels.  Only those move: they are dealt out
+    like the buckets and hashed there, and the blocks are read as they lie."""
+    sent = asked.join(now, "idx").repartition(n_parts, "block").groupBy("block").agg(
+        F.collect_list(F.struct("at", "w")).alias("sent"))
+    return blocks.join(sent.hint("shuffle_hash"), "block", "left")
+
+
+def _descend(blocks: DataFrame, n_parts: int, numbers: DataFrame, classes: list[str], means: list[float], stds: list[float],
+             cfg) -> TableModel:
+    """The steps over stored blocks, which are bucketed into ``n_parts`` by ``block``."""
+    from .train import proximal_step
+
+    spark, k, m = blocks.sparkSession, len(classes), len(cfg.numeric)
     wsum = blocks.agg(F.sum("wsum").alias("w")).first()["w"] or 1.0
     asked = blocks.select("block", F.posexplode("ids").alias("at", "idx"))
     W, b, history = np.zeros((k, m)), np.zeros(k), []
     now, paths = spark.createDataFrame([], "idx long, w array<double>"), []
     for _ in range(cfg.iterations):
-        sent = asked.join(now, "idx").groupBy("block").agg(F.collect_list(F.struct("at", "w")).alias("sent"))
-        parts = blocks.join(sent, "block", "left").select("n", "x", "at", "y", "w", "ids", "sent").mapInArrow(
+        parts = with_weights(blocks, asked, now, n_parts).select("n", "x", "at", "y", "w", "ids", "sent").mapInArrow(
             _block_gradients(W, b, len(cfg.categorical)), "idx long, " + ", ".join(f"g{i} double" for i in range(k)))
         sums = parts.groupBy("idx").agg(*[F.sum(f"g{i}").alias(f"g{i}") for i in range(k)]).join(
             now.select("idx", F.col("w").alias("old")), "idx", "left")

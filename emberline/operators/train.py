@@ -27,7 +27,7 @@ from ..session import default_parallelism
 from .model import LinearModel, Preprocess
 from .row_id import with_row_id
 from .stats import TableStats, statistics
-from .table_model import TableModel, balanced_weights, train_gd_table
+from .table_model import TableModel, balanced_weights, labelled_rows, parts_for, train_gd_table
 
 
 @dataclass
@@ -278,8 +278,10 @@ def prepare(df: DataFrame, cfg: TrainConfig, packed: bool = False, stats: TableS
     weights = balanced_weights(stats, cfg)
     classes = sorted(weights)
     if packed:
-        # blocks are few; dealt out once, every step runs on all cores however the scan was split
-        X = design_blocks(src, pre, cfg.label, weights).repartition(default_parallelism(df.sparkSession))
+        # blocks are few; dealt out once, every step runs on all cores however the scan was split,
+        # over parts that a Python worker can hold whole, as one Arrow batch may take all blocks of a part
+        X = design_blocks(src, pre, cfg.label, weights).repartition(
+            parts_for(labelled_rows(stats, cfg), default_parallelism(df.sparkSession)))
     else:
         X = design(src, pre, cfg.label, weights)
     # The design matrix is a deterministic function of the input, so lost
