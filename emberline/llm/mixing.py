@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import Tables
+
 SALTS = 64  # parts of a leaf in the join with its budget
 SUB_DIGITS = 3  # a leaf's order is cut into 16 ** SUB_DIGITS ranges of the order key
 
@@ -49,22 +51,26 @@ def deal(children: DataFrame, parent: list[str], node: str) -> DataFrame:
 
 def leaf_budgets(leaves: DataFrame, levels: list[str], weights: list[dict], defaults: list[int],
                  share: tuple[int, int], max_epochs: int) -> DataFrame:
-    """One row per leaf (``levels``, tokens) with its ``budget`` in tokens.
+    """``leaves`` (one row each: ``levels``, tokens) with their ``budget`` in tokens.
 
     The total budget is ``share`` (a fraction) of all tokens.  Weights are
     integers; a value not named has its level's default, a weight of 0 takes no part.
+    ``leaves`` is read once for each level and once for the result.
     """
-    caps = leaves.withColumn("cap", F.col("tokens") * max_epochs)
-    total = leaves.agg((F.expr(f"coalesce(sum(tokens), 0) * {share[0]} div {share[1]}")).alias("given"))
-    above = total.withColumn("_root", F.lit(0))
+    caps = leaves.withColumn("cap", F.col("tokens") * max_epochs).withColumn("_root", F.lit(0))
     joined = ["_root"]
     for depth, level in enumerate(levels):
         path = levels[:depth + 1]
-        nodes = (caps.groupBy(*path).agg(F.sum("cap").alias("cap")).withColumn("_root", F.lit(0))
-                 .withColumn("w", weight_of(F.col(level), weights[depth], defaults[depth])))
-        dealt = deal(nodes.join(above, joined), joined, level)
-        above = dealt.select("_root", *path, F.col("alloc").alias("given"))
+        nodes = caps if path == levels else caps.groupBy("_root", *path).agg(
+            F.sum("cap").alias("cap"), F.sum("tokens").alias("tokens"))
+        nodes = nodes.withColumn("w", weight_of(F.col(level), weights[depth], defaults[depth]))
+        if depth:
+            nodes = nodes.join(above, joined)
+        else:
+            nodes = nodes.withColumn("given", F.sum("tokens").over(Window.partitionBy("_root"))).withColumn(
+                "given", F.expr(f"given * {share[0]} div {share[1]}"))
         joined = ["_root", *path]
+        above = deal(nodes, joined[:-1], level).select(*joined, F.col("alloc").alias("given"))
     return leaves.join(above.drop("_root"), levels, "left").withColumn(
         "budget", F.coalesce("given", F.lit(0).cast("long"))).drop("given")
 
@@ -78,7 +84,8 @@ def mix(docs: DataFrame, levels: list[str], weights: list[dict], defaults: list[
     ``leaf_budget`` or ``copies`` are replaced, unless they are levels, the tokens or
     the id, which raises an error.  NULL in a level column
     is the branch named ''.  NULL or missing tokens count 0; repeated rows each
-    count; an empty table gives an empty result.  Only the running sum inside
+    count; an empty table gives an empty result.  Leaves and budgets, one row a leaf,
+    are written while the plan is built.  Only the running sum inside
     one of 4,096 hash ranges of a leaf needs its rows together, so a leaf
     with a third of all rows is still spread over the cluster.
     """
@@ -88,11 +95,15 @@ def mix(docs: DataFrame, levels: list[str], weights: list[dict], defaults: list[
     lv = [f"_mx_{c}" for c in levels]
     t = (docs.withColumns({k: F.coalesce(F.col(c).cast("string"), F.lit("")) for k, c in zip(lv, levels)})
          .withColumn("_mx_t", F.coalesce(F.col(tokens).cast("long"), F.lit(0).cast("long"))))
-    leaves = t.groupBy(*lv).agg(F.sum("_mx_t").alias("tokens"))
-    budgets = leaf_budgets(leaves, lv, weights, defaults, share, max_epochs).select(
+    # tables, not subplans: the budgets are read twice below and the leaves once a level, and each use
+    # would repeat all that is under it in one plan, which the driver plans, compiles and reports as a whole
+    tables = Tables(docs.sparkSession)
+    leaves = tables.written(t.groupBy(*lv).agg(F.sum("_mx_t").alias("tokens")), "leaves")
+    budgets = tables.written(leaf_budgets(leaves, lv, weights, defaults, share, max_epochs).select(
         *lv, F.col("budget").alias("leaf_budget"),
         F.when(F.col("tokens") > 0, F.expr("budget div tokens")).otherwise(0).alias("_mx_full"),
-        F.when(F.col("tokens") > 0, F.expr("budget % tokens")).otherwise(0).alias("_mx_left"))
+        F.when(F.col("tokens") > 0, F.expr("budget % tokens")).otherwise(0).alias("_mx_left")), "budgets")
+    tables.delete(but_last=1)
     # the salt keeps the rows of a hot leaf apart here, and the running sums on shuffles of their own
     t = t.withColumn("_mx_z", F.pmod(F.xxhash64(doc_id), F.lit(SALTS)))
     budgets = budgets.withColumn("_mx_z", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))

@@ -211,7 +211,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, anchor: int = 20,
     small_batches(docs.sparkSession)
     key = F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID))
     plain = docs.select(key.alias("d"), as_bytes(F.col(text)).alias("text"))
-    spans = repeated_spans(plain, window, anchor)
+    spans = written(repeated_spans(plain, window, anchor), "spans")  # read twice
     sure = spans.join(_source_digests(plain, spans, window), ["s", "s0", "n"])
     lists = sure.groupBy("d").agg(F.collect_set(F.struct("start", "n", "digest")).alias("_rr_p"))
     others = [c for c in docs.columns if c not in (text, "n_words", "n_removed", "kept")]
