@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, VariantType
 
@@ -34,6 +34,7 @@ from .stats import TableStats, statistics
 BLOCK_ROWS = 4096
 PART_ROWS = 64 * BLOCK_ROWS   # a task's Python worker holds the blocks of its part
 HELD_LEVELS = 4096            # levels whose entries every task may hold
+GROUP_BYTES = 8 << 20         # of blocks in a Parquet row group, which a reader decodes whole
 
 
 @dataclass
@@ -172,7 +173,10 @@ def _block_gradients(W: np.ndarray, b: np.ndarray, n_categorical: int):
 
     def run(batches):
         for batch in batches:
-            for n, x, at, y, w, ids, sent in zip(*(batch.column(i).to_pylist() for i in range(7))):
+            # one block at a time, read where the batch lies: a batch may hold all blocks of a part
+            for n, x, at, y, w, ids, sent in zip(*(batch.column(i) for i in range(7))):
+                n, x, at, y, w = n.as_py(), *(v.as_buffer() for v in (x, at, y, w))
+                ids, sent = ids.values.to_numpy(zero_copy_only=False), sent.as_py()
                 x = np.frombuffer(x, np.float64).reshape(n, m)
                 at = np.frombuffer(at, np.int32).reshape(n, n_categorical)
                 y, w = np.frombuffer(y, np.int32), np.frombuffer(w, np.float64)
@@ -191,7 +195,7 @@ def _block_gradients(W: np.ndarray, b: np.ndarray, n_categorical: int):
                 g = np.zeros((len(ids) + 1, k))
                 for i in range(n_categorical):
                     np.add.at(g, at[:, i], r)
-                keys = np.concatenate([np.asarray(ids, np.int64), -1 - np.arange(m + 2)])
+                keys = np.concatenate([ids, -1 - np.arange(m + 2)])
                 loss = np.zeros((1, k))
                 loss[0, 0] = float(np.sum(w * -np.log(np.maximum(hit, 1e-15))))
                 sums = np.concatenate([g[:-1], r.T.dot(x).T, r.sum(axis=0)[None, :], loss])
@@ -209,6 +213,13 @@ def labelled_rows(stats: TableStats, cfg) -> int:
     return stats.levels().where(F.col("feature") == F.lit(cfg.label)).agg(F.sum("n")).first()[0] or 0
 
 
+def block_writer(blocks: DataFrame, cfg) -> DataFrameWriter:
+    """Writes some ``GROUP_BYTES`` of blocks to a row group.  Spark decodes up to 4,096 rows of a group
+    at once, whatever their size, and rows of this table are blocks."""
+    each = BLOCK_ROWS * (8 * len(cfg.numeric) + 12 * len(cfg.categorical) + 12)
+    return blocks.write.option("compression", "zstd").option("parquet.block.row.count.limit", max(1, GROUP_BYTES // each))
+
+
 def train_gd_table(df: DataFrame, cfg, stats: TableStats | None = None) -> TableModel:
     """``train_gd`` with the level weights in a table: the same steps, for any number of levels."""
     spark = df.sparkSession
@@ -221,11 +232,11 @@ def train_gd_table(df: DataFrame, cfg, stats: TableStats | None = None) -> Table
     # stored before they are dealt out: which rows share a block may differ when a task runs again
     first = scratch_path(spark, "blocks")
     found = sparse_blocks(df, cfg, numbers, means, stds, weights)
-    found.write.option("compression", "zstd").parquet(first)
+    block_writer(found, cfg).parquet(first)
     parts = parts_for(labelled_rows(stats, cfg), max(default_parallelism(spark), shuffle_partitions(spark)))
     name, path = f"gd_blocks_{uuid.uuid4().hex}", scratch_path(spark, "blocks")
-    spark.read.schema(found.schema).parquet(first).repartition(parts, "block").write.format("parquet").bucketBy(
-        parts, "block").option("path", path).option("compression", "zstd").saveAsTable(name)
+    block_writer(spark.read.schema(found.schema).parquet(first).repartition(parts, "block"), cfg).format("parquet").bucketBy(
+        parts, "block").option("path", path).saveAsTable(name)
     discard(spark, first)
     try:
         return _descend(spark.table(name), parts, numbers, classes, means, stds, cfg)
@@ -251,7 +262,8 @@ def _descend(blocks: DataFrame, n_parts: int, numbers: DataFrame, classes: list[
     wsum = blocks.agg(F.sum("wsum").alias("w")).first()["w"] or 1.0
     asked = blocks.select("block", F.posexplode("ids").alias("at", "idx"))
     W, b, history = np.zeros((k, m)), np.zeros(k), []
-    now, paths = spark.createDataFrame([], "idx long, w array<double>"), []
+    # zeros for all levels: with no weights sent, AQE drops the join and with it the buckets, and tasks read more than a part
+    now, paths = numbers.select("idx", F.array(*[F.lit(0.0)] * k).alias("w")), []
     for _ in range(cfg.iterations):
         parts = with_weights(blocks, asked, now, n_parts).select("n", "x", "at", "y", "w", "ids", "sent").mapInArrow(
             _block_gradients(W, b, len(cfg.categorical)), "idx long, " + ", ".join(f"g{i} double" for i in range(k)))

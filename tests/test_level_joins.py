@@ -61,6 +61,42 @@ def test_blocks_are_not_shuffled_in_a_step(spark, monkeypatch):
     assert {k: round(v, 9) for k, v in got.items()} == {(c, f): round(w, 9) for c, f, w in plain.coefficient_rows()}
 
 
+def test_stored_blocks_come_in_small_row_groups(spark, monkeypatch):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    found, real = [], TM.discard
+
+    def seen(session, path):
+        files = [pq.ParquetFile(f).metadata for f in glob.glob(f"{path.removeprefix('file:')}/*.parquet")] if "/blocks-" in path else []
+        found.append([m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)])
+        real(session, path)
+
+    monkeypatch.setattr(TM, "discard", seen)
+    monkeypatch.setattr(TM, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(TM, "GROUP_BYTES", 5 * 16 * 32 + 1, raising=False)   # a block of CFG takes some 16 * 32 bytes
+    TM.train_gd_table(training_rows(spark, 2000).coalesce(1), CFG)
+    stored = [groups for groups in found if groups]
+    assert [sum(groups) for groups in stored] == [125, 125]   # as found and as dealt out: a group is decoded at once
+    assert max(map(max, stored)) == 5
+
+
+def test_the_first_step_reads_blocks_by_bucket(spark, monkeypatch):
+    plans, real = [], TM.with_weights
+
+    def seen(*args):
+        out = real(*args)
+        out.collect()
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(TM, "with_weights", seen)
+    TM.train_gd_table(training_rows(spark, 2000), CFG)
+    # else a task takes as many files as a split holds
+    assert len(plans) == 3 and all("isFinalPlan=true" in p and "Bucketed: true" in p.split("Initial Plan")[0] for p in plans)
+
+
 def test_parts_grow_with_the_rows(spark, monkeypatch):
     assert TM.parts_for(10 * TM.PART_ROWS + 1, 8) == 11 and TM.parts_for(5, 8) == 8
     monkeypatch.setattr(TM, "PART_ROWS", 100)
